@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .leak import leaks
 from .neardup import NearDup, near_duplicate_sets, set_pairs
+from .sitelines import record_group, repeated_lines, without_repeated_lines
+from .splits import entities, linked_pairs, split_records
 
 THREE_WORDS = NearDup(k=3, similarity=0.6)
 
@@ -24,5 +27,44 @@ def p3_sets(spark: SparkSession, d: str) -> DataFrame:
     return sets.select(F.col("id").alias("rec_id"), "set_id")
 
 
-QUERIES = {"p3_found": p3_found, "p3_sets": p3_sets}
+def _group(df: DataFrame):
+    return record_group(df["doc_group"], df["path"])
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    rec, links = table(spark, d, "doc_record"), table(spark, d, "group_link")
+    roots, _ = entities(rec, _group(rec), rec["label"], links, "slug_a", "slug_b")
+    return linked_pairs(roots, links, "slug_a", "slug_b")
+
+
+def p2_split(spark: SparkSession, d: str) -> DataFrame:
+    rec, links = table(spark, d, "doc_record"), table(spark, d, "group_link")
+    out = split_records(rec, "rec_id", _group(rec), rec["label"], links, "slug_a", "slug_b")
+    return out.select(F.col("id").alias("rec_id"), F.col("slug").alias("grp"), "split")
+
+
+def _digital(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "doc_record").where("ocr_used = false")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    rec = _digital(spark, d)
+    return repeated_lines(rec, "rec_id", "text", _group(rec)).select(F.col("id").alias("rec_id"), F.col("line_no").cast("int"))
+
+
+def p5_clean(spark: SparkSession, d: str) -> DataFrame:
+    rec = _digital(spark, d)
+    return without_repeated_lines(rec, "rec_id", "text", _group(rec)).select("rec_id", "text")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_item"), "item_id", "text")
+
+
+QUERIES = {
+    "p2_found": p2_found, "p2_split": p2_split,
+    "p3_found": p3_found, "p3_sets": p3_sets,
+    "p5_found": p5_found, "p5_clean": p5_clean,
+    "p8_found": p8_found,
+}
 SQL: dict[str, str] = {}
