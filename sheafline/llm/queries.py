@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .arrivals import Arrivals, Store, fresh_store_path, ingest
 from .leak import leaks
 from .neardup import NearDup, near_duplicate_sets, set_pairs
 from .sitelines import record_group, repeated_lines, without_repeated_lines
@@ -43,6 +44,12 @@ def p2_split(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.col("id").alias("rec_id"), F.col("slug").alias("grp"), "split")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    history = table(spark, d, "doc_record").select(F.col("rec_id").alias("id"), "text")
+    store = Store.create(history, fresh_store_path(spark), Arrivals(k=3, similarity=0.6))
+    return ingest(store, table(spark, d, "doc_batch"), "rec_id", "batch_no", "text", history)
+
+
 def _digital(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "doc_record").where("ocr_used = false")
 
@@ -64,6 +71,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p2_found": p2_found, "p2_split": p2_split,
     "p3_found": p3_found, "p3_sets": p3_sets,
+    "p4_found": p4_found,
     "p5_found": p5_found, "p5_clean": p5_clean,
     "p8_found": p8_found,
 }
