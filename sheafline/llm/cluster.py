@@ -7,6 +7,10 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from ..session import ship
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,11 +30,7 @@ def durable(df: DataFrame) -> DataFrame:
 
 def map_batches(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str) -> DataFrame:
     """Run ``fn`` over each Arrow batch: it takes {column: pyarrow array} and yields {column: values}."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    struct = StructType.fromDDL(schema)
-    arrow = to_arrow_schema(struct)
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -43,7 +43,13 @@ def map_batches(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str
                     schema=arrow,
                 )
 
-    return df.mapInArrow(run, struct)
+    return map_stream(df, run, schema)
+
+
+def map_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with the package sent to the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, StructType.fromDDL(schema))
 
 
 def own_names(df: DataFrame, **columns: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .arrivals import Arrivals, Store, fresh_store_path, ingest
 from .leak import leaks
 from .neardup import NearDup, near_duplicate_sets, set_pairs
+from .packing import Packing, pack
+from .pieces import split_pieces
 from .sitelines import record_group, repeated_lines, without_repeated_lines
 from .splits import entities, linked_pairs, split_records
 
@@ -64,6 +66,14 @@ def p5_clean(spark: SparkSession, d: str) -> DataFrame:
     return without_repeated_lines(rec, "rec_id", "text", _group(rec)).select("rec_id", "text")
 
 
+def p7_pack(spark: SparkSession, d: str) -> DataFrame:
+    return pack(table(spark, d, "documents"), "doc_id", "text", Packing(capacity=4096)).withColumnRenamed("id", "doc_id")
+
+
+def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return split_pieces(table(spark, d, "documents"), "doc_id", "text", limit=512, overlap=64).withColumnRenamed("id", "doc_id")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_item"), "item_id", "text")
 
@@ -73,6 +83,8 @@ QUERIES = {
     "p3_found": p3_found, "p3_sets": p3_sets,
     "p4_found": p4_found,
     "p5_found": p5_found, "p5_clean": p5_clean,
+    "p7_pack": p7_pack,
     "p8_found": p8_found,
+    "p9_pieces": p9_pieces,
 }
 SQL: dict[str, str] = {}
