@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrivals import Arrivals, Store, fresh_store_path, ingest
+from .boilerplate import furniture_lines, main_bodies
 from .leak import leaks
 from .neardup import NearDup, near_duplicate_sets, set_pairs
 from .packing import Packing, pack
@@ -34,6 +35,14 @@ def _group(df: DataFrame):
     return record_group(df["doc_group"], df["path"])
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return furniture_lines(table(spark, d, "content_item"), "item_id", "text", "url").withColumnRenamed("id", "item_id")
+
+
+def p1_bodies(spark: SparkSession, d: str) -> DataFrame:
+    return main_bodies(table(spark, d, "content_item"), "item_id", "text", "url").withColumnRenamed("id", "item_id")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     rec, links = table(spark, d, "doc_record"), table(spark, d, "group_link")
     roots, _ = entities(rec, _group(rec), rec["label"], links, "slug_a", "slug_b")
@@ -79,6 +88,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found, "p1_bodies": p1_bodies,
     "p2_found": p2_found, "p2_split": p2_split,
     "p3_found": p3_found, "p3_sets": p3_sets,
     "p4_found": p4_found,
