@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from . import vec
-from .cluster import durable, map_batches, shared_dir
-from .neardup import _verify
+from .cluster import durable, map_batches, map_stream, shared_dir
+from .neardup import _verify, common_shingles
 
 
 @dataclass(frozen=True)
@@ -31,7 +33,10 @@ class Arrivals:
     similarity: float = 0.8
     window: int = 12            # shingles a winnowing window
     short: int = 24             # records of up to this many shingles keep them all
+    common_share: float = 0.001 # shingles in more than this share of the history are picked last
+    common_most: int = 300_000  # of those, as many at most (a matter of speed only)
     coverage: float = 0.25      # share of a record's fingerprints a similar one must hold to be looked up
+    shared: int = 3             # of which as many (or all, if fewer) must be met among the rarest
     segment: int = 1_000_000    # entries of a segment at most
     part_entries: int = 500_000 # entries a part is laid out for
     bloom_bits: int = 12        # a fingerprint
@@ -56,15 +61,24 @@ def winnow(h: np.ndarray, off: np.ndarray, window: int, short: int) -> np.ndarra
     return np.flatnonzero(pick)
 
 
-def sketch(docs: DataFrame, o: Arrivals) -> DataFrame:
-    """(id, whole, nf, fps) of each record with at least k words."""
+def sketch(docs: DataFrame, common: np.ndarray, o: Arrivals) -> DataFrame:
+    """(id, whole, nf, fps) of each record with at least k words; shingles in ``common`` are picked last."""
     k = o.k
+    stock = docs.sparkSession.sparkContext.broadcast(common)  # common_most at most
 
     def run(cols):
         ids, texts = cols["id"], cols["text"].to_pylist()
+        often = stock.value
+        low = np.uint64((1 << 22) - 1)
+        table = np.zeros(1 << 22, dtype=bool)
+        table[(often & low).astype(np.int64)] = True
         for a, b in vec.chunks(np.fromiter((len(t or "") for t in texts), dtype=np.int64, count=len(texts))):
             w = vec.Words(texts[a:b])
             h, off, _ = w.shingles(k)
+            maybe = np.flatnonzero(table[(h & low).astype(np.int64)])
+            maybe = maybe[np.isin(h[maybe], often)]
+            h = h >> np.uint64(1)
+            h[maybe] |= np.uint64(1 << 63)
             ok = np.flatnonzero(np.diff(off) > 0)
             if not len(ok):
                 continue
@@ -133,11 +147,7 @@ def segments(sketches: DataFrame, parts: int, o: Arrivals) -> DataFrame:
 
     small = map_batches(sketches.select("id", "fps"), scatter, "part int, fp binary, rec binary")
     most, bits = o.segment, o.bloom_bits
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    struct = StructType.fromDDL(SEGMENT)
-    arrow = to_arrow_schema(struct)
+    arrow = to_arrow_schema(StructType.fromDDL(SEGMENT))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -162,26 +172,28 @@ def segments(sketches: DataFrame, parts: int, o: Arrivals) -> DataFrame:
         if held:
             yield flush()
 
-    return small.repartition(min(parts, 2000), "part").sortWithinPartitions("part").mapInArrow(merge, struct)
+    return map_stream(small.repartition(min(parts, 2000), "part").sortWithinPartitions("part"), merge, SEGMENT)
 
 
 class Store:
     """Persistent fingerprints and records in a shared folder: segments/, records/ (id, whole, rep)."""
 
-    def __init__(self, spark: SparkSession, path: str, options: Arrivals, parts: int | None = None):
+    def __init__(self, spark: SparkSession, path: str, options: Arrivals):
         self.spark, self.path, self.o = spark, path.rstrip("/"), options
-        if parts is None:
-            parts = spark.read.parquet(f"{self.path}/layout").first()["parts"]
-        self.parts = parts
+        row = spark.read.parquet(f"{self.path}/layout").first()
+        self.parts, self.common = row["parts"], np.frombuffer(bytes(row["common"]), dtype=np.uint64)
 
     @classmethod
     def create(cls, history: DataFrame, path: str, options: Arrivals = Arrivals()) -> Store:
         """A store of ``history(id, text)``; null ids and texts of fewer than k words stay out."""
         spark = history.sparkSession
-        sk = durable(sketch(history.where("id is not null"), options))
+        history = history.where("id is not null").select(F.col("id").cast("long").alias("id"), "text")
+        common = common_shingles(history.where("length(text) > 0"), options.k, options.common_share, options.common_most)
+        sk = durable(sketch(history, common, options))
         entries = sk.agg(F.sum("nf")).first()[0] or 0
-        store = cls(spark, path, options, max(8, math.ceil(entries / options.part_entries)))
-        spark.createDataFrame([(store.parts,)], "parts int").write.parquet(f"{store.path}/layout")
+        parts = max(8, math.ceil(entries / options.part_entries))
+        spark.createDataFrame([(parts, bytearray(common.tobytes()))], "parts int, common binary").write.parquet(f"{path.rstrip('/')}/layout")
+        store = cls(spark, path, options)
         reps = sk.groupBy("whole").agg(F.min("id").alias("rep"))
         records = sk.select("id", "whole").join(reps, "whole").select("id", "whole", "rep")
         records.write.parquet(f"{store.path}/records")
@@ -206,8 +218,9 @@ def _unpack(fp: bytes, rec: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _candidates(asked: DataFrame, index: DataFrame, nf: DataFrame, o: Arrivals) -> DataFrame:
     """(a, b): records a of the index that may share enough fingerprints with the asked record b.
 
-    If b must find ``coverage`` of its F fingerprints in a, any F - ceil(coverage * F) + 1 of them
-    hold one that a has: the rarest are looked up, and those nothing else has count among them.
+    If b must find n = ceil(coverage * F) of its F fingerprints in a, any F - n + m of them hold m
+    that a has (m up to n): the rarest are looked up, those nothing else has counting among them,
+    and a must come up m times.
     """
     q = durable(asked.select("part", F.col("fp").alias("qfp"), F.col("rec").alias("qrec")))
 
@@ -231,11 +244,12 @@ def _candidates(asked: DataFrame, index: DataFrame, nf: DataFrame, o: Arrivals)
 
     seen = map_batches(positive.join(index.select("part", "seg", "fp"), ["part", "seg"]), count, "part int, fp long, b long, n long")
     seen = seen.groupBy("b", "part", "fp").agg(F.sum("n").alias("n")).where("n > 1")  # one is b itself
-    share = F.col("nf") - F.ceil(F.col("nf") * o.coverage) + 1
+    need = F.ceil(F.col("nf") * o.coverage)
+    least = F.least(need, F.lit(o.shared))
     ranked = seen.join(nf.select(F.col("id").alias("b"), "nf"), "b").withColumn(
         "rank", F.row_number().over(W.partitionBy("b").orderBy("n", "part", "fp"))).withColumn(
         "known", F.count("*").over(W.partitionBy("b")))
-    chosen = ranked.where(F.col("rank") + F.col("nf") - F.col("known") <= share).select("part", "fp", "b")
+    chosen = ranked.where(F.col("rank") + F.col("nf") - F.col("known") <= F.col("nf") - need + least).select("part", "fp", "b")
     chosen = chosen.repartition("part").sortWithinPartitions("part")
 
     def pack(cols):
@@ -259,11 +273,13 @@ def _candidates(asked: DataFrame, index: DataFrame, nf: DataFrame, o: Arrivals)
                     continue
                 at = np.repeat(lo[s:e], mm) + np.arange(total) - np.repeat(np.cumsum(mm) - mm, mm)
                 a, b = owner[at], np.repeat(rec[s:e], mm)
-                pair = np.unique(np.stack([a[a != b], b[a != b]], 1), axis=0)
+                pair, times = np.unique(np.stack([a[a != b], b[a != b]], 1), axis=0, return_counts=True)
                 if len(pair):
-                    yield {"a": pair[:, 0], "b": pair[:, 1]}
+                    yield {"a": pair[:, 0], "b": pair[:, 1], "times": times}
 
-    return map_batches(packed.join(index.select("part", "fp", "rec"), "part"), post, "a long, b long").distinct()
+    met = map_batches(packed.join(index.select("part", "fp", "rec"), "part"), post, "a long, b long, times long")
+    met = met.groupBy("a", "b").agg(F.sum("times").alias("times")).join(nf.select(F.col("id").alias("b"), "nf"), "b")
+    return met.where(F.col("times") >= least).select("a", "b")
 
 
 def ingest(store: Store, batch: DataFrame, id_col: str, batch_col: str, text_col: str, history: DataFrame) -> DataFrame:
@@ -278,7 +294,7 @@ def ingest(store: Store, batch: DataFrame, id_col: str, batch_col: str, text_col
     o = store.o
     docs = batch.select(batch[id_col].cast("long").alias("id"), batch[batch_col].alias("batch"), batch[text_col].alias("text")).where("id is not null")
     when = docs.select("id", F.struct("batch", "id").alias("at"))
-    sk = durable(sketch(docs.select("id", "text"), o))
+    sk = durable(sketch(docs.select("id", "text"), store.common, o))
     member = durable(sk.select("id", "whole").join(when, "id").withColumn(
         "rep", F.first("id").over(W.partitionBy("whole").orderBy("at"))).select("id", "at", "rep", "whole"))
     reps = durable(sk.join(member.where("id = rep").select("id"), "id", "left_semi"))

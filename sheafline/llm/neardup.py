@@ -43,9 +43,8 @@ class NearDup:
     seed: int = 7
 
 
-def _common(docs: DataFrame, o: NearDup) -> np.ndarray:
+def common_shingles(docs: DataFrame, k: int, share: float, most: int) -> np.ndarray:
     """Shingles frequent over all records: frequent in at least one chunk, then their chunk counts summed."""
-    k, share = o.k, o.common_share
 
     def local(cols):
         texts = cols["text"].to_pylist()
@@ -67,7 +66,7 @@ def _common(docs: DataFrame, o: NearDup) -> np.ndarray:
         F.sum("n").alias("n"), F.sum("docs").alias("docs")))
     total = counts.agg(F.max("docs")).first()[0] or 0
     rows = counts.where((F.col("n") > 0) & (F.col("n") >= share * total)).orderBy(
-        F.desc("n"), "h").limit(o.common_most).select("h").collect()
+        F.desc("n"), "h").limit(most).select("h").collect()
     return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
 
 
@@ -279,7 +278,7 @@ def near_duplicate_sets(df: DataFrame, id_col: str, text_col: str, options: Near
     docs = own_names(df, id=id_col, text=text_col).where(F.col("id").isNotNull())
     docs = docs.withColumn("id", F.col("id").cast("long"))
     with_text = docs.where(F.length("text") > 0)
-    codes_all = durable(_codes(with_text, _common(with_text, o), o))
+    codes_all = durable(_codes(with_text, common_shingles(with_text, o.k, o.common_share, o.common_most), o))
     reps = codes_all.groupBy("whole").agg(F.min("id").alias("rep"))
     member = codes_all.select("id", "whole").join(reps, "whole").select("id", "rep")
     codes = durable(codes_all.join(reps.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "code"))
