@@ -11,6 +11,7 @@ from .leak import leaks
 from .neardup import NearDup, near_duplicate_sets, set_pairs
 from .packing import Packing, pack
 from .pieces import split_pieces
+from .scans import repaired, scan_defects
 from .sitelines import record_group, repeated_lines, without_repeated_lines
 from .splits import entities, linked_pairs, split_records
 
@@ -75,6 +76,14 @@ def p5_clean(spark: SparkSession, d: str) -> DataFrame:
     return without_repeated_lines(rec, "rec_id", "text", _group(rec)).select("rec_id", "text")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return scan_defects(table(spark, d, "doc_record"), "rec_id", "text", "ocr_used").withColumnRenamed("id", "rec_id")
+
+
+def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return repaired(table(spark, d, "doc_record"), "rec_id", "text", "ocr_used").withColumnRenamed("id", "rec_id")
+
+
 def p7_pack(spark: SparkSession, d: str) -> DataFrame:
     return pack(table(spark, d, "documents"), "doc_id", "text", Packing(capacity=4096)).withColumnRenamed("id", "doc_id")
 
@@ -93,6 +102,7 @@ QUERIES = {
     "p3_found": p3_found, "p3_sets": p3_sets,
     "p4_found": p4_found,
     "p5_found": p5_found, "p5_clean": p5_clean,
+    "p6_found": p6_found, "p6_repaired": p6_repaired,
     "p7_pack": p7_pack,
     "p8_found": p8_found,
     "p9_pieces": p9_pieces,
