@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -37,6 +38,7 @@ HYPHENS = "-‐­¬‑"
 HANGING = frozenset("und oder sowie bzw beziehungsweise wie bis als noch and or".split())
 #: Words that open a running title.
 TITLE_WORDS = ("modulhandbuch", "studienplan", "prüfungsordnung", "ordnung", "amtliche", "studienordnung", "modulkatalog", "satzung", "module", "handbook", "regulations", "syllabus")
+TITLE_PAIRS = tuple(frozenset(w[i:i + 2] for i in range(len(w) - 1)) for w in TITLE_WORDS)
 SMALL_WORDS = frozenset("der die das den dem des ein eine und oder zu zur zum im in an auf aus mit von vor für über sind ist wird werden ihre als nach bei the a an of and or to for in on with from is are be".split())
 
 WORD = re.compile(r"[^\W_]+")
@@ -67,13 +69,25 @@ def is_scanned(ocr_used: Column, text: Column, line_chars: int = 100) -> Column:
 
 # ---- lines ---------------------------------------------------------------------------------
 
-def _near(a: str, b: str) -> float:
-    """Share of character pairs two short strings have in common."""
-    x = {a[i:i + 2] for i in range(len(a) - 1)}
-    y = {b[i:i + 2] for i in range(len(b) - 1)}
+#: Digits read for letters at the head of a word.
+DIGITS = str.maketrans({"5": "S", "0": "O", "1": "I", "8": "B", "6": "G", "2": "Z", "9": "g", "!": "I"})
+
+
+def _pairs(a: str) -> frozenset:
+    return frozenset(a[i:i + 2] for i in range(len(a) - 1))
+
+
+def _share(x: frozenset, y: frozenset) -> float:
     return len(x & y) / max(1, len(x | y))
 
 
+@lru_cache(maxsize=50_000)
+def _title_like(word: str) -> float:
+    """Share of character pairs the word has in common with the nearest word that opens a running title."""
+    x = _pairs(word)
+    return max(_share(x, t) for t in TITLE_PAIRS)
+
+
 def line_features(lines: list[str]) -> np.ndarray:
     """One row a non-blank line: what it looks like itself and between its neighbours."""
     n = len(lines)
@@ -82,28 +96,23 @@ def line_features(lines: list[str]) -> np.ndarray:
     short = [re.sub(r"[\W\d]+", "", s) for s in low]
     width = max(map(len, strip), default=1)
     out = np.zeros((n, 20))
-    seen: dict[str, list[int]] = {}
-    for i in range(n):
-        if short[i]:
-            seen.setdefault(short[i][:2], []).append(i)
-    titles = [i for i in range(n) if 8 <= len(short[i]) and len(strip[i]) < 90 and not strip[i].endswith(".")]
+    tokens = [WORD.findall(s) for s in strip]
+    named = [[w.translate(DIGITS) if w[:1].isdigit() else w for w in ws if sum(map(str.isalpha, w)) >= 2] for ws in tokens]
+    caps = [sum(w[:1].isupper() for w in ws) / len(ws) if ws else 0.0 for ws in named]
+    pairs = {i: _pairs(short[i]) for i in range(n) if caps[i] > 0.6 and 2 <= len(named[i]) <= 8 and len(short[i]) >= 8 and not strip[i].endswith(".")}
     for i, s in enumerate(strip):
-        words = WORD.findall(s)
-        letters = [w for w in words if w[:1].isalpha()]
+        words, letters = tokens[i], named[i]
         before = strip[i - 1] if i else ""
         after = strip[i + 1] if i + 1 < n else ""
         small = sum(w.lower() in SMALL_WORDS for w in words)
-        upper = sum(c.isupper() for c in s)
-        alpha = sum(c.isalpha() for c in s)
+        upper = sum(map(str.isupper, s))
+        alpha = sum(map(str.isalpha, s))
         lead = letters[0].lower() if letters else ""
-        like_title = max((_near(lead, t) for t in TITLE_WORDS), default=0) if lead else 0
-        second = letters[-3].lower() if len(letters) >= 4 else ""
-        if second:
-            like_title = max(like_title, max(_near(second, t) for t in TITLE_WORDS))
-        capital = len(letters) and sum(w[:1].isupper() or w[:1].isdigit() for w in letters) / len(letters)
-        twin = 0.0
-        if i in titles or len(strip[i]) < 60 and capital and capital > 0.8 and 2 <= len(letters) <= 7:
-            twin = max((_near(short[i], short[j]) for j in titles if j != i), default=0.0)
+        like_title = _title_like(lead) if lead else 0.0
+        if len(letters) >= 4 and caps[i] > 0.6:
+            like_title = max(like_title, _title_like(letters[-3].lower()))
+        capital = caps[i]
+        twin = max((_share(pairs[i], q) for j, q in pairs.items() if j != i), default=0.0) if i in pairs else 0.0
         cut_before = bool(before) and before[-1:] not in ".!?:" and len(before) > 0.55 * width
         out[i] = (
             len(s), len(words), small, capital, upper / max(1, alpha), s[-1:] in ".!?:", bool(NUMBER_LINE.match(s)), bool(ROMAN.match(s)),
@@ -135,27 +144,31 @@ def read_lines(text: str) -> tuple[list[int], list[str]]:
     return [i + 1 for i in at], [raw[i] for i in at]
 
 
-def page_tokens(text: str, models: dict, o: Scans) -> tuple[list[int], list[str], np.ndarray, list[int | None]]:
-    """(line numbers, lines, furniture flags, for each line the index of the line its last word goes on in)."""
-    nos, lines = read_lines(text)
-    if not lines:
-        return nos, lines, np.zeros(0, bool), []
-    x = line_features(lines)
-    furn = models["furniture"].predict(x) >= o.furniture
-    goes: list[int | None] = [None] * len(lines)
-    rows, feats = [], []
-    running = np.flatnonzero(~furn)
-    for a, b in zip(running, running[1:]):
-        f = join_features(lines[a], lines[b])
-        if f is not None:
-            rows.append((int(a), int(b)))
-            feats.append(f)
-    if rows:
-        p = models["joins"].predict(np.array(feats, dtype=float))
-        for (a, b), v in zip(rows, p):
+def read_pages(texts: list[str], models: dict, o: Scans) -> Iterator[tuple[list[int], list[str], np.ndarray, list[int | None]]]:
+    """Of each text (line numbers, lines, furniture flags, for each line the index of the line its last word goes on in)."""
+    read = [read_lines(t) for t in texts]
+    x = [line_features(lines) for _, lines in read if lines]
+    furn = models["furniture"].predict(np.concatenate(x)) >= o.furniture if x else np.zeros(0, bool)
+    pages, ends, feats, at = [], [], [], 0
+    for n, (nos, lines) in enumerate(read):
+        own = furn[at:at + len(lines)]
+        at += len(lines)
+        pages.append((nos, lines, own, [None] * len(lines)))
+        running = np.flatnonzero(~own).tolist()
+        for a, b in zip(running, running[1:]):
+            f = join_features(lines[a], lines[b])
+            if f is not None:
+                ends.append((n, a, b))
+                feats.append(f)
+    if feats:
+        for (n, a, b), v in zip(ends, models["joins"].predict(np.array(feats, dtype=float))):
             if v >= o.joins:
-                goes[a] = b
-    return nos, lines, furn, goes
+                pages[n][3][a] = b
+    yield from pages
+
+
+def _blocks(texts: list[str], most: int = 500_000) -> Iterator[tuple[int, int]]:
+    return vec.chunks(np.fromiter((len(t or "") for t in texts), dtype=np.int64, count=len(texts)), most)
 
 
 EDGE = ".,;:()[]{}\"'»«„“”’–—|*•·?…"
@@ -244,7 +257,7 @@ def made_page(text: str, nouns: list[str], rng: np.random.Generator) -> tuple[li
     out, flags = [], []
 
     def say(s: str) -> str:
-        if rng.random() < 0.35:
+        if rng.random() < 0.6:
             ws = s.split(" ")
             i = int(rng.integers(len(ws)))
             ws[i] = misread(ws[i], rng)
@@ -257,7 +270,10 @@ def made_page(text: str, nouns: list[str], rng: np.random.Generator) -> tuple[li
 
     def head() -> str:
         t = title.upper() if style == 1 else title
-        return say([t, t, f"{page} | {t}", f"{t}    {page}", f"{t} – Ausgabe {page % 9 + 1}", t][style])
+        t = [t, t, f"{page} | {t}", f"{t}    {page}", f"{t} – Ausgabe {page % 9 + 1}", t][style]
+        for _ in range(rng.integers(4)):
+            t = say(t)
+        return t
 
     top = rng.random() < 0.7
     with_number = rng.random() < 0.8
@@ -442,8 +458,9 @@ def _findings(records: DataFrame, o: Scans) -> tuple[DataFrame, DataFrame, dict]
             for k, v in zip(out, row):
                 out[k].append(v)
 
-        for i, t in zip(cols["id"].to_pylist(), cols["text"].to_pylist()):
-            nos, lines, furn, goes = page_tokens(t, models, o)
+        ids, texts = cols["id"].to_pylist(), cols["text"].to_pylist()
+        pages = ((i, *p) for s, e in _blocks(texts) for i, p in zip(ids[s:e], read_pages(texts[s:e], models, o)))
+        for i, nos, lines, furn, goes in pages:
             for n, line in enumerate(lines):
                 if furn[n]:
                     add(i, nos[n], "furniture", None, None, None)
@@ -543,7 +560,7 @@ def repaired(df: DataFrame, id_col: str, text_col: str, ocr_col: str, options: S
 
 
 def mended(text: str, fixes: dict[str, str], models: dict, o: Scans) -> str:
-    nos, lines, furn, goes = page_tokens(text, models, o)
+    nos, lines, furn, goes = next(read_pages([text], models, o))
     out: list[str] = []
     width = max((len(l.strip()) for l in lines), default=1)
 
