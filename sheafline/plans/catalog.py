@@ -1,6 +1,562 @@
-"""Every named query of the core with its SQL."""
+"""Every named query of the core over the test tables, each beside its SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import html, text, urls
+from ..operators import crawl, dedup, features, jobs, metrics, model, predict, profiles, rbac, review
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def keep(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            SQL[fn.__name__] = sql
+        return fn
+
+    return keep
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def big(*names: str) -> list:
+    return [F.col(n).cast("bigint").alias(n) for n in names]
+
+
+# ---- pieces of SQL shared by several oracles --------------------------------------------------------
+
+WS = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+HASH = rf"CASE WHEN coalesce(text,'')='' THEN '' ELSE sha256(trim(regexp_replace(lower(left(text,400000)),'{WS}+',' ','g'),' ')) END"
+PARTS = "string_split(path,'/')"
+PIECES = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?"
+
+
+def sql_piece(u: str, n: int) -> str:
+    return f"regexp_extract({u},'{PIECES}',{n})"
+
+
+def sql_norm(u: str) -> str:
+    t = f"trim({u},' ')"
+    s, a, p, q = (f"lower({sql_piece(t, 1)})", f"lower({sql_piece(t, 2)})", sql_piece(t, 3), sql_piece(t, 4))
+    return (f"(CASE WHEN {s}<>'' THEN {s}||':' ELSE '' END || CASE WHEN {a}<>'' THEN '//'||{a} ELSE '' END || "
+            f"CASE WHEN length({p})>1 THEN regexp_replace({p},'/+$','') ELSE {p} END || CASE WHEN {q}<>'' THEN '?'||{q} ELSE '' END)")
+
+
+def sql_host(u: str) -> str:
+    return f"lower(regexp_replace(regexp_replace({sql_piece(u, 2)},'^.*@',''),':\\d*$',''))"
+
+
+def sql_path(u: str) -> str:
+    return f"regexp_replace({sql_piece(u, 3)},';[^/]*$','')"
+
+
+def sql_base(h: str) -> str:
+    return f"CASE WHEN len(string_split({h},'.'))<2 THEN {h} ELSE array_to_string(string_split({h},'.')[-2:],'.') END"
+
+
+def sql_fold(x: str) -> str:
+    out = f"coalesce({x},'')"
+    for a, b in (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("ß", "ss"), ("Ä", "ae"), ("Ö", "oe"), ("Ü", "ue")):
+        out = f"replace({out},'{a}','{b}')"
+    return f"lower({out})"
+
+
+def sql_score(hay: str) -> str:
+    both = {**profiles.MODULE_POSITIVE, **profiles.MODULE_NEGATIVE}
+    return "(" + "+".join(f"CASE WHEN contains({hay},'{t}') THEN {w} ELSE 0 END" for t, w in both.items()) + ")"
+
+
+LAST_VERDICTS = """SELECT job_id, line_index, v AS verdict, reviewer FROM (
+  SELECT *, lower(trim(verdict,' ')) v, row_number() OVER (PARTITION BY job_id, line_index ORDER BY feedback_id DESC) rn
+  FROM feedback WHERE lower(trim(verdict,' ')) IN ('positive','negative')) WHERE rn=1"""
+INDEXED = "SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY manifest_id)-1 AS line_index FROM manifest"
+SCORED = f"""SELECT m.module_handbook_score s, CASE WHEN v.verdict='positive' THEN 1 ELSE 0 END y
+  FROM ({INDEXED}) m JOIN ({LAST_VERDICTS}) v ON m.job_id=v.job_id AND m.line_index=v.line_index WHERE m.module_handbook_score IS NOT NULL"""
+CURVE = f"""a AS (SELECT s, count(*) n, sum(y) p FROM ({SCORED}) GROUP BY s),
+  c AS (SELECT s, n, p, sum(n) OVER (ORDER BY s DESC) cn, sum(p) OVER (ORDER BY s DESC) cp, sum(n) OVER () all_n, sum(p) OVER () all_p FROM a)"""
+
+
+def scored(spark: SparkSession, d: str) -> DataFrame:
+    """(s, y): model scores of reviewed lines with their verdict."""
+    r = review.reviewed(table(spark, d, "manifest"), table(spark, d, "feedback"))
+    return r.where("verdict is not null and module_handbook_score is not null").select(
+        F.col("module_handbook_score").alias("s"), (F.col("verdict") == "positive").cast("int").alias("y"))
+
+
+# ---- records and duplicates ---------------------------------------------------------------------------
+
+def _kept(spark: SparkSession, d: str) -> DataFrame:
+    rec = dedup.hashed(table(spark, d, "doc_record"))
+    return dedup.first_wins(rec, "own_hash", [dedup.order_key(F.col("path"))], ["rec_id", "label", "doc_group", "text_length"])
+
+
+KEPT = f"""SELECT * FROM (SELECT rec_id, label, doc_group, text_length, h AS own_hash, row_number() OVER (PARTITION BY CASE WHEN h='' THEN path ELSE h END ORDER BY p) rn
+  FROM (SELECT *, {HASH} h, {PARTS} p FROM doc_record)) WHERE rn=1"""
+
+
+@query(f"SELECT rec_id, own_hash FROM ({KEPT})")
+def dedup_documents(spark, d):
+    return _kept(spark, d).select("rec_id", "own_hash")
+
+
+@query(f"""SELECT doc_group, count(*) n, count(*) FILTER (label=1) n_pos, count(*) FILTER (label=0) n_neg,
+  count(*) FILTER (coalesce(text_length,0)<200) n_low_text FROM ({KEPT}) GROUP BY doc_group""")
+def dedup_summary(spark, d):
+    """Records kept by group, with label and low-text counts."""
+    return _kept(spark, d).groupBy("doc_group").agg(
+        F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("n_pos"), F.count_if(F.col("label") == 0).alias("n_neg"),
+        F.count_if(F.coalesce("text_length", F.lit(0)) < text.MIN_TEXT).alias("n_low_text"))
+
+
+@query(f"""WITH h AS (SELECT *, {HASH} h, {PARTS} p FROM doc_record), f AS (
+  SELECT *, first_value(label) OVER w fl, first_value(doc_group) OVER w fg, count(*) OVER (PARTITION BY h) n FROM h WHERE h<>''
+  WINDOW w AS (PARTITION BY h ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  SELECT h AS own_hash, count(*)-1 AS n_dropped, count(*) FILTER (label IS DISTINCT FROM fl OR doc_group IS DISTINCT FROM fg) AS n_conflicts
+  FROM f WHERE n>1 GROUP BY h""")
+def dedup_conflicts(spark, d):
+    return dedup.conflicts(dedup.hashed(table(spark, d, "doc_record")), "own_hash", [dedup.order_key(F.col("path"))], "label", "doc_group")
+
+
+@query(rf"""SELECT doc_id, CAST(length(x) AS BIGINT) AS stripped_length, CAST(length(left(text,1000)) AS BIGINT) AS kept_length,
+  length(x)<200 AS low_text, CASE WHEN length(x)<200 THEN 'empty_document' ELSE 'classified' END AS extraction_status
+  FROM (SELECT *, regexp_replace(coalesce(text,''),'^{WS}+|{WS}+$','','g') x FROM documents)""")
+def doc_status(spark, d):
+    """Length without outer white space, length under a cap, low-text flag and status."""
+    n = text.stripped_length(F.col("text"))
+    return table(spark, d, "documents").select(
+        "doc_id", n.cast("bigint").alias("stripped_length"), F.length(text.truncated(F.col("text"), 1000)).cast("bigint").alias("kept_length"),
+        (n < text.MIN_TEXT).alias("low_text"), F.when(n < text.MIN_TEXT, "empty_document").otherwise("classified").alias("extraction_status"))
+
+
+_TERMS = "+".join(f"CAST((length(low)-length(replace(low,'{k}','')))/{len(k)} AS BIGINT)" for k in text.MODULE_TERMS)
+_W = r"[^\p{L}\p{N}_]"
+
+
+@query(rf"""WITH t AS (SELECT rec_id, coalesce(text,'') t, lower(coalesce(text,'')) low, page_count pc, text_length tl FROM doc_record)
+  SELECT rec_id, CAST(coalesce(pc,0) AS DOUBLE) page_count, round(ln(1+coalesce(tl,length(t))),6) log_text_length,
+  CAST(len(list_filter(regexp_split_to_array(low,'{_W}+'), lambda x: x IN ('ects','leistungspunkte','credit','credits'))) AS BIGINT) n_credit_terms,
+  CAST({_TERMS} AS BIGINT) n_module_terms,
+  CAST(least(len(list_distinct(regexp_extract_all(regexp_replace(t,'({_W})','\1\1','g'),'(?:^|{_W})([A-ZÄÖÜ]{{2,}}(?:--|_|  )?\p{{Nd}}{{2,}})(?:$|{_W})',1))),500) AS BIGINT) n_module_codes,
+  CAST(length(t)-length(regexp_replace(t,'\p{{Nd}}','','g')) AS BIGINT) n_digits FROM t""")
+def numeric_features(spark, d):
+    """Counts behind the numeric document features, undone from their ratios."""
+    rec = table(spark, d, "doc_record")
+    f = text.numeric_features(F.col("text"), F.col("page_count"), F.col("text_length"))
+    n = F.greatest(F.length(F.coalesce("text", F.lit(""))), F.lit(1))
+    return rec.select("rec_id", f["page_count"].alias("page_count"), F.round(f["log_text_length"], 6).alias("log_text_length"),
+                      F.round(f["ects_density"] * n / 1000).cast("bigint").alias("n_credit_terms"), F.round(f["module_term_density"] * n / 1000).cast("bigint").alias("n_module_terms"),
+                      f["module_code_count"].cast("bigint").alias("n_module_codes"), F.round(f["digit_ratio"] * n).cast("bigint").alias("n_digits"))
+
+
+# ---- URLs and links -------------------------------------------------------------------------------------
+
+@query(f"SELECT manifest_id, {sql_norm('url')} AS url_norm FROM manifest WHERE url IS NOT NULL")
+def url_normalize(spark, d):
+    return table(spark, d, "manifest").where("url is not null").select("manifest_id", urls.normalize_url(F.col("url")).alias("url_norm"))
+
+
+@query(f"""SELECT item_id, lower({sql_piece('url', 1)}) AS scheme, {sql_piece('url', 2)} AS netloc, {sql_host('url')} AS hostname, {sql_path('url')} AS path,
+  {sql_base(sql_host('url'))} AS base_domain, lower(regexp_extract({sql_path('url')},'(\\.[^./]*)$',1)) AS extension FROM content_item WHERE url IS NOT NULL""")
+def url_parts(spark, d):
+    u = F.col("url")
+    return table(spark, d, "content_item").where("url is not null").select(
+        "item_id", urls.scheme(u).alias("scheme"), urls.netloc(u).alias("netloc"), urls.hostname(u).alias("hostname"), urls.path(u).alias("path"),
+        urls.base_domain(urls.hostname(u)).alias("base_domain"), urls.extension(u).alias("extension"))
+
+
+@query(f"""SELECT {sql_base("lower(hostname)")} AS base_domain, count(*) AS n, count(DISTINCT hostname) AS n_hosts FROM manifest WHERE hostname IS NOT NULL GROUP BY 1""")
+def base_domain(spark, d):
+    return table(spark, d, "manifest").where("hostname is not null").groupBy(urls.base_domain(F.lower("hostname")).alias("base_domain")).agg(
+        F.count("*").alias("n"), F.count_distinct("hostname").alias("n_hosts"))
+
+
+@query(f"""SELECT manifest_id, {sql_base(sql_host('url'))}={sql_base(sql_host('source_page'))} AND lower({sql_piece('url', 1)}) IN ('http','https') AS same_site,
+  CASE WHEN {sql_host('url')}='' THEN 'unknown' ELSE {sql_host('url')} END AS host FROM manifest WHERE url IS NOT NULL AND source_page IS NOT NULL""")
+def same_site(spark, d):
+    m = table(spark, d, "manifest").where("url is not null and source_page is not null")
+    return m.select("manifest_id", urls.same_site(F.col("url"), F.col("source_page")).alias("same_site"), urls.hostname_or_unknown(F.col("url")).alias("host"))
+
+
+@query("""SELECT url, min(pos) AS pos FROM (SELECT source_page AS url, manifest_id AS pos FROM manifest UNION ALL SELECT url, 1000000000+item_id FROM content_item)
+  WHERE url IS NOT NULL GROUP BY url""")
+def seed_urls_dedup(spark, d):
+    """Two sources of URLs appended, each URL once at its first position."""
+    a = table(spark, d, "manifest").select(F.col("source_page").alias("url"), F.col("manifest_id").alias("pos"))
+    b = table(spark, d, "content_item").select("url", (F.lit(1000000000) + F.col("item_id")).alias("pos"))
+    return dedup.distinct_in_order(a.unionByName(b), "url", F.col("pos"))
+
+
+@query(r"""SELECT manifest_id, nullif(regexp_extract(x,'(https?://[^\s,;"''<>]+)',1),'') AS first_url, coalesce(regexp_matches(x,'(?i)^\s*https?://'),false) AS is_url
+  FROM (SELECT manifest_id, 'see <' || coalesce(url,'none') || '>; page,' || coalesce(source_page,'') AS x FROM manifest)""")
+def embedded_urls(spark, d):
+    x = F.concat(F.lit("see <"), F.coalesce("url", F.lit("none")), F.lit(">; page,"), F.coalesce("source_page", F.lit("")))
+    return table(spark, d, "manifest").select("manifest_id", urls.embedded_url(x).alias("first_url"), urls.is_url(x).alias("is_url"))
+
+
+_HAY = f"{sql_fold('url')}||' ␟ '||{sql_fold('filename')}"
+
+
+@query(f"SELECT manifest_id, CAST({sql_score('hay')} AS BIGINT) AS score FROM (SELECT manifest_id, {_HAY} AS hay FROM manifest)")
+def keyword_score(spark, d):
+    p = profiles.PROFILES["modulhandbuch"]
+    return table(spark, d, "manifest").select("manifest_id", p.score(F.col("url"), F.col("filename")).cast("bigint").alias("score"))
+
+
+@query(f"SELECT rec_id, {sql_fold('title')} AS folded FROM doc_record")
+def fold_text(spark, d):
+    return table(spark, d, "doc_record").select("rec_id", text.fold(F.col("title")).alias("folded"))
+
+
+def _links(spark, d) -> DataFrame:
+    return table(spark, d, "manifest").where("source_page is not null and url is not null").select(
+        F.col("source_page").alias("page"), "url", F.coalesce("filename", F.lit("")).alias("anchor"), F.col("manifest_id").alias("pos"))
+
+
+LINKS = "SELECT source_page AS page, url, coalesce(filename,'') AS anchor, manifest_id AS pos FROM manifest WHERE source_page IS NOT NULL AND url IS NOT NULL"
+LONGEST = f"""SELECT page, url, anchor, p AS pos FROM (SELECT *, min(pos) OVER (PARTITION BY page,url) p, row_number() OVER (PARTITION BY page,url ORDER BY length(anchor) DESC, pos) rn
+  FROM ({LINKS}) WHERE anchor<>'') WHERE rn=1"""
+
+
+@query(LONGEST)
+def longest_anchor(spark, d):
+    return crawl.longest_anchors(_links(spark, d))
+
+
+_LHAY = f"{sql_fold('url')}||' ␟ '||{sql_fold('anchor')}"
+
+
+@query(f"SELECT page, url, CAST(score AS BIGINT) AS score, place FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY score DESC, pos) place FROM "
+       f"(SELECT *, {sql_score('hay')} AS score FROM (SELECT *, {_LHAY} AS hay FROM ({LONGEST}))) WHERE score>0) WHERE place<=3")
+def topk_links(spark, d):
+    p = profiles.PROFILES["modulhandbuch"]
+    c = crawl.longest_anchors(_links(spark, d)).withColumn("score", p.score(F.col("url"), F.col("anchor")))
+    return crawl.top_links(c, 3).select("page", "url", *big("score", "place"))
+
+
+@query(f"""WITH c AS (SELECT page, url, anchor, pos, {sql_score('hay')} AS score FROM (SELECT *, {_LHAY} AS hay FROM ({LONGEST}))),
+  r AS (SELECT *, {sql_base(sql_host('url'))}={sql_base(sql_host('page'))} AND lower({sql_piece('url', 1)}) IN ('http','https') AS site,
+    regexp_matches(lower({sql_path('url')}),'\\.(pdf|doc|docx)$') AS target FROM c)
+  SELECT page, url, 'target' AS kind, CAST(1000+score AS BIGINT) AS priority FROM r WHERE target AND site""")
+def follow_candidates(spark, d):
+    """Links of each page sent on as documents or pages, with their priority."""
+    c = crawl.longest_anchors(_links(spark, d)).withColumn("seed", F.col("page")).withColumn("depth", F.lit(0))
+    r = crawl.routed(c, profiles.PROFILES["modulhandbuch"])
+    return r.where("kind = 'target'").select("page", "url", "kind", F.col("priority").cast("bigint").alias("priority"))
+
+
+def _escape(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+@query("""SELECT source_page AS page, count(*) AS n_links, count(DISTINCT url) AS n_urls, CAST(sum(length(coalesce(filename,''))) AS BIGINT) AS anchor_chars FROM manifest
+  WHERE source_page IS NOT NULL AND url IS NOT NULL GROUP BY 1""")
+def page_links(spark, d):
+    """Pages written as HTML from their links, parsed back, and counted."""
+    html.ready(spark)
+    a = F.concat(F.lit('<div><a href="'), _escape(F.col("url")), F.lit('">'), _escape(F.col("anchor")), F.lit("</a></div>"))
+    one = _links(spark, d).select("page", F.explode(html.parsed(a)["anchors"]).alias("l"))
+    return one.groupBy("page").agg(F.count("*").alias("n_links"), F.count_distinct("l.href").alias("n_urls"), F.sum(F.length("l.text")).cast("bigint").alias("anchor_chars"))
+
+
+@query(rf"""SELECT item_id, trim(regexp_replace(coalesce(title,''),'{WS}+',' ','g'),' ') AS title, CAST(len(l) AS BIGINT) AS n_paragraphs, CAST(coalesce(list_sum(list_transform(l,lambda x: length(x))),0) AS BIGINT) AS n_chars
+  FROM (SELECT *, list_filter(list_transform(string_split(coalesce(text,''),chr(10)), lambda x: regexp_replace(x,'^{WS}+|{WS}+$','','g')), lambda x: x<>'') l FROM content_item)""")
+def page_content(spark, d):
+    """Items written as HTML pages, their title and paragraphs read back."""
+    html.ready(spark)
+    body = F.array_join(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda l: F.concat(F.lit("<p>"), _escape(l), F.lit("</p>"))), "")
+    page = F.concat(F.lit("<html><head><title>"), _escape(F.coalesce("title", F.lit(""))), F.lit('</title><script>var x = "</p>";</script></head><body>'), body, F.lit("</body></html>"))
+    p = table(spark, d, "content_item").select("item_id", html.parsed(page).alias("p"))
+    ps = F.filter(F.split("p.text", "\n"), lambda x: x != "")
+    return p.select("item_id", F.trim(F.regexp_replace("p.title", f"{text.SPACE}+", " ")).alias("title"), F.size(ps).cast("bigint").alias("n_paragraphs"),
+                    F.aggregate(ps, F.lit(0).cast("bigint"), lambda a, x: a + F.length(x)).alias("n_chars"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT lower(trim(slug_a,' ')) a, lower(trim(slug_b,' ')) b FROM group_link WHERE slug_a IS NOT NULL AND slug_b IS NOT NULL),
+  r(node, depth) AS (SELECT * FROM (SELECT min(a) node, 0 depth FROM e UNION SELECT max(a), 0 FROM e)
+    UNION SELECT b, depth+1 FROM r JOIN e ON r.node=e.a AND a<>b WHERE depth<4)
+  SELECT node, CAST(min(depth) AS BIGINT) AS depth FROM r GROUP BY node""")
+def crawl_closure(spark, d):
+    """What is reached from two nodes of the link graph within four steps."""
+    g = table(spark, d, "group_link").select(F.lower(F.trim("slug_a")).alias("a"), F.lower(F.trim("slug_b")).alias("b")).where("a is not null and b is not null")
+    seeds = g.agg(F.array(F.min("a"), F.max("a")).alias("s")).select(F.explode("s").alias("node"))
+    return crawl.closure(g, seeds, 4).select("node", F.col("depth").cast("bigint").alias("depth"))
+
+
+@query()
+def crawl_bfs(spark, d):
+    """A budgeted best-first crawl from the most linked pages, over the manifest as the web."""
+    web = _links(spark, d)
+    seeds = web.groupBy("page").count().orderBy(F.desc("count"), "page").limit(5).select(F.col("page").alias("url"))  # five seeds are the query
+    return crawl.crawl(seeds, lambda u: web.join(u.withColumnRenamed("url", "page"), "page", "left_semi"), profiles.PROFILES["modulhandbuch"], crawl.Limits(per_round=200))
+
+
+# ---- decisions and review -----------------------------------------------------------------------------------
+
+@query("""SELECT manifest_id, CASE WHEN s>=0.6511 THEN 'automatic_positive' WHEN s<=0.3317 THEN 'automatic_negative' ELSE 'needs_review' END AS decision,
+  s>=0.6511 AS is_module_handbook, round(s,4) AS score, CASE WHEN s>=0.6511 OR s<=0.3317 THEN 'not_required' ELSE 'required' END AS review_status
+  FROM (SELECT *, CASE WHEN extraction_status='classified' THEN module_handbook_score END s FROM manifest)""")
+def decide(spark, d):
+    m = table(spark, d, "manifest")
+    p = predict.prediction(F.col("module_handbook_score"), F.col("extraction_status"))
+    return m.select("manifest_id", *[c.alias(n) for n, c in p.items()])
+
+
+@query("""SELECT manifest_id, to_json({'decision': d, 'lower': 0.3317::DOUBLE, 'upper': 0.6511::DOUBLE})::VARCHAR AS record FROM
+  (SELECT manifest_id, CASE WHEN s>=0.6511 THEN 'automatic_positive' WHEN s<=0.3317 THEN 'automatic_negative' ELSE 'needs_review' END d
+   FROM (SELECT *, CASE WHEN extraction_status='classified' THEN module_handbook_score END s FROM manifest))""")
+def prediction_record(spark, d):
+    p = predict.prediction(F.col("module_handbook_score"), F.col("extraction_status"))
+    return table(spark, d, "manifest").select("manifest_id", F.to_json(F.struct(p["decision"].alias("decision"), F.lit(predict.LOWER).alias("lower"), F.lit(predict.UPPER).alias("upper"))).alias("record"))
+
+
+@query(f"SELECT m.manifest_id, m.line_index, v.verdict, v.reviewer FROM ({INDEXED}) m LEFT JOIN ({LAST_VERDICTS}) v ON m.job_id=v.job_id AND m.line_index=v.line_index")
+def review_join(spark, d):
+    return review.reviewed(table(spark, d, "manifest"), table(spark, d, "feedback")).select("manifest_id", *big("line_index"), "verdict", "reviewer")
+
+
+@query(f"""SELECT job_id, line_index, manifest_id, verdict, row_number() OVER (PARTITION BY job_id ORDER BY module_handbook_score DESC NULLS LAST, line_index) AS place
+  FROM (SELECT m.*, v.verdict FROM ({INDEXED}) m LEFT JOIN ({LAST_VERDICTS}) v ON m.job_id=v.job_id AND m.line_index=v.line_index) WHERE decision IN ('automatic_positive','needs_review')""")
+def relevant_results(spark, d):
+    return review.relevant(table(spark, d, "manifest"), table(spark, d, "feedback")).select("job_id", *big("line_index"), "manifest_id", "verdict", *big("place"))
+
+
+@query(f"""SELECT c.*, coalesce(v.n,0) AS reviewed FROM (SELECT job_id, count(*) FILTER (decision='automatic_positive') n_positive, count(*) FILTER (decision='needs_review') n_review,
+  count(*) FILTER (decision='automatic_negative') n_negative, count(*) total FROM manifest GROUP BY job_id) c LEFT JOIN (SELECT job_id, count(*) n FROM ({LAST_VERDICTS}) GROUP BY 1) v ON c.job_id=v.job_id""")
+def decision_counts(spark, d):
+    return review.decision_counts(table(spark, d, "manifest"), table(spark, d, "feedback"))
+
+
+@query(LAST_VERDICTS)
+def feedback_last_wins(spark, d):
+    return review.last_verdicts(table(spark, d, "feedback")).select("job_id", *big("line_index"), "verdict", "reviewer")
+
+
+_SIDE = """SELECT job_id, line_index, v AS verdict FROM (SELECT *, row_number() OVER (PARTITION BY job_id, line_index ORDER BY feedback_id DESC) rn FROM
+  (SELECT *, lower(trim(verdict,' ')) v FROM feedback WHERE feedback_id%2={side}) WHERE v IN ('positive','negative')) WHERE rn=1"""
+
+
+@query(f"WITH a AS ({_SIDE.format(side=0)}), b AS ({_SIDE.format(side=1)}) SELECT * FROM b UNION ALL SELECT a.* FROM a ANTI JOIN b ON a.job_id=b.job_id AND a.line_index=b.line_index")
+def feedback_merge(spark, d):
+    """A stored half and a new half of all verdicts, the new ones winning."""
+    f = table(spark, d, "feedback")
+    side = lambda k: review.last_verdicts(f.where(F.col("feedback_id") % 2 == k)).select("job_id", *big("line_index"), "verdict")
+    return dedup.upsert(side(0), side(1), ["job_id", "line_index"])
+
+
+@query("""WITH v AS (SELECT CASE WHEN lower(trim(verdict,' '))='positive' THEN 1 ELSE 0 END AS label, coalesce(hostname,'unknown') AS grp, filename, feedback_id AS pos
+    FROM feedback WHERE lower(trim(verdict,' ')) IN ('positive','negative') AND filename IS NOT NULL),
+  e AS (SELECT DISTINCT label, lower(trim(doc_group,' ')) AS grp, filename FROM doc_record)
+  SELECT v.label, v.grp, v.filename, min(v.pos) AS pos FROM v ANTI JOIN e ON v.label=e.label AND v.grp=e.grp AND v.filename=e.filename GROUP BY 1,2,3""")
+def training_ingest(spark, d):
+    """Verdicts that become training records: first of each (label, group, name), none already there."""
+    f = table(spark, d, "feedback").select((review.verdict(F.col("verdict")) == "positive").cast("int").alias("label"), F.coalesce("hostname", F.lit("unknown")).alias("grp"),
+                                           "filename", F.col("feedback_id").alias("pos")).where("label is not null and filename is not null")
+    have = table(spark, d, "doc_record").select("label", F.lower(F.trim("doc_group")).alias("grp"), "filename")
+    return review.training_copies(f, have)
+
+
+# ---- metrics --------------------------------------------------------------------------------------------------------
+
+@query(f"""WITH c AS (SELECT count(*) FILTER (s<0.5 AND y=0) tn, count(*) FILTER (s>=0.5 AND y=0) fp, count(*) FILTER (s<0.5 AND y=1) fn, count(*) FILTER (s>=0.5 AND y=1) tp FROM ({SCORED}))
+  SELECT *, round(CASE WHEN tp+fp=0 THEN 0.0 ELSE tp/(tp+fp) END,4) AS "precision", round(CASE WHEN tp+fn=0 THEN 0.0 ELSE tp/(tp+fn) END,4) AS recall,
+  round(CASE WHEN 2*tp+fn+fp=0 THEN 0.0 ELSE 2.0*tp/(2*tp+fn+fp) END,4) AS f1, round(CASE WHEN 5*tp+4*fn+fp=0 THEN 0.0 ELSE 5.0*tp/(5*tp+4*fn+fp) END,4) AS f2 FROM c""")
+def confusion(spark, d):
+    return metrics.confusion(scored(spark, d), 0.5)
+
+
+@query(f"WITH {CURVE} SELECT s, round(cp/cn,9) AS \"precision\", round(cp/greatest(all_p,1),9) AS recall FROM c")
+def pr_curve(spark, d):
+    return metrics.pr_curve(scored(spark, d)).select("s", F.round("precision", 9).alias("precision"), F.round("recall", 9).alias("recall"))
+
+
+@query(f"WITH {CURVE} SELECT round(coalesce(sum(p/greatest(all_p,1)*cp/cn),0),6) AS average_precision FROM c")
+def average_precision(spark, d):
+    return metrics.average_precision(scored(spark, d)).select(F.round("average_precision", 6).alias("average_precision"))
+
+
+@query(f"WITH {CURVE} SELECT round(sum(p*(all_n-cn-(all_p-cp)) + p*(n-p)*0.5)/(max(all_p)*max(all_n-all_p)),6) AS roc_auc FROM c")
+def roc_auc(spark, d):
+    return metrics.roc_auc(scored(spark, d)).select(F.round("roc_auc", 6).alias("roc_auc"))
+
+
+@query(f"WITH {CURVE} SELECT coalesce(max(s) FILTER (cp>=0.95*greatest(all_p,1)), min(s), 0.0) AS threshold FROM c")
+def threshold_recall(spark, d):
+    return metrics.threshold_for_recall(scored(spark, d), 0.95)
+
+
+@query(f"""WITH {CURVE}, h AS (SELECT s, CASE WHEN cp/cn>=0.7 THEN 1 ELSE 0 END hit FROM c), e AS (SELECT s, hit, max(hit) OVER (ORDER BY s DESC) seen FROM h),
+  f AS (SELECT *, sum(CASE WHEN seen=1 AND hit=0 THEN 1 ELSE 0 END) OVER (ORDER BY s DESC) miss FROM e) SELECT min(s) AS threshold FROM f WHERE seen=1 AND miss=0""")
+def threshold_precision(spark, d):
+    return metrics.threshold_for_precision(scored(spark, d), 0.7)
+
+
+@query()
+def cv_folds(spark, d):
+    """A fold for every group of the labelled records, classes even over folds."""
+    r = table(spark, d, "doc_record").where("label is not null and doc_group is not null").withColumn("grp", F.lower(F.trim("doc_group")))
+    s = r.agg(F.count_distinct("grp").alias("g"), F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n")).first()
+    return model.grouped_folds(r, "grp", "label", model.n_splits(s["g"], s["p"], s["n"]))
+
+
+# ---- jobs -----------------------------------------------------------------------------------------------------------
+
+@query("""SELECT status, count(*) n_jobs, CAST(sum(files_found) AS BIGINT) files_found, CAST(sum(files_downloaded) AS BIGINT) files_downloaded, CAST(sum(bytes_downloaded) AS BIGINT) bytes_downloaded
+  FROM job_result GROUP BY status""")
+def batch_summary(spark, d):
+    return jobs.batch_summary(table(spark, d, "job_result"))
+
+
+@query("""SELECT job_id, count(*) FILTER (lower(file_type)='pdf') classified, count(*) FILTER (lower(file_type)='pdf' AND decision='automatic_positive') positive,
+  count(*) FILTER (lower(file_type)='pdf' AND decision='automatic_negative') negative, count(*) FILTER (lower(file_type)='pdf' AND decision='needs_review') review,
+  count(*) FILTER (lower(file_type) IS DISTINCT FROM 'pdf') skipped FROM manifest GROUP BY job_id""")
+def job_counters(spark, d):
+    return jobs.job_counters(table(spark, d, "manifest"))
+
+
+@query("""WITH j AS (SELECT job_id, max(finished_at) f FROM job_result WHERE job_id IS NOT NULL GROUP BY 1), n AS (SELECT count(*)-50 x FROM j),
+  g AS (SELECT job_id FROM (SELECT job_id, row_number() OVER (ORDER BY f, job_id) rn FROM j WHERE f IS NOT NULL), n WHERE rn<=x) SELECT job_id, f AS finished_at FROM j ANTI JOIN g USING (job_id)""")
+def job_registry_prune(spark, d):
+    j = table(spark, d, "job_result").where("job_id is not null").groupBy("job_id").agg(F.max("finished_at").alias("finished_at"))
+    return jobs.prune_registry(j, 50, F.col("finished_at").isNotNull(), [F.col("finished_at"), F.col("job_id")])
+
+
+@query(f"SELECT url, job_id, status, {sql_norm('url')} AS url_norm FROM job_result j WHERE url IS NULL OR {sql_norm('url')} NOT IN (SELECT {sql_norm('url')} FROM visited WHERE url IS NOT NULL)")
+def visited_filter(spark, d):
+    return jobs.not_visited(table(spark, d, "job_result"), table(spark, d, "visited")).select("url", "job_id", "status", "url_norm")
+
+
+@query(f"""SELECT url_norm, job_id, scraped_at FROM (SELECT *, row_number() OVER (PARTITION BY url_norm ORDER BY coalesce(scraped_at, TIMESTAMP '1900-01-01') DESC, job_id DESC) rn
+  FROM (SELECT *, {sql_norm('url')} AS url_norm FROM visited WHERE url IS NOT NULL)) WHERE rn=1""")
+def visited_upsert(spark, d):
+    return jobs.visited_state(table(spark, d, "visited"))
+
+
+@query("""SELECT event_id, CAST(json_extract_string(props,'$.k') AS BIGINT) AS k FROM events WHERE json_valid(props)""")
+def json_props(spark, d):
+    j = F.from_json("props", "k bigint, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    return table(spark, d, "events").withColumn("j", j).where("j is not null and j._bad is null").select("event_id", "j.k")
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_id >= (SELECT max(event_id) FROM events WHERE event_type='signup')")
+def last_run_section(spark, d):
+    return jobs.last_section(table(spark, d, "events"), "event_id", F.col("event_type") == "signup").select("event_id", "event_type")
+
+
+@query("SELECT event_type, user_id, count(*) AS n, max(value) AS top FROM events GROUP BY 1,2")
+def event_counters(spark, d):
+    return table(spark, d, "events").groupBy("event_type", "user_id").agg(F.count("*").alias("n"), F.max("value").alias("top"))
+
+
+@query("SELECT file_type, count(*) n, CAST(count(DISTINCT job_id) AS BIGINT) n_jobs FROM manifest WHERE decision IN ('automatic_positive','needs_review') GROUP BY 1")
+def ingest_filter(spark, d):
+    """Relevant lines whose type the catalogue knows, by type."""
+    m = table(spark, d, "manifest").where(F.col("decision").isin(*review.RELEVANT))
+    known = profiles.file_types(spark).select(F.col("ext").alias("file_type"))
+    return m.join(F.broadcast(known), "file_type", "left_semi").groupBy("file_type").agg(F.count("*").alias("n"), F.count_distinct("job_id").alias("n_jobs"))  # 32 types
+
+
+# ---- users, roles, models --------------------------------------------------------------------------------------
+
+USER_ROLES = "SELECT DISTINCT o_custkey AS user_id, l_suppkey AS role_id FROM orders JOIN lineitem ON o_orderkey=l_orderkey"
+MODEL_ROLES = "SELECT DISTINCT l_partkey AS model_id, l_suppkey AS role_id FROM lineitem"
+
+
+def _user_roles(spark, d):
+    return table(spark, d, "orders").join(table(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("user_id"), F.col("l_suppkey").alias("role_id")).distinct()
+
+
+def _model_roles(spark, d):
+    return table(spark, d, "lineitem").select(F.col("l_partkey").alias("model_id"), F.col("l_suppkey").alias("role_id")).distinct()
+
+
+def _models(spark, d):
+    return table(spark, d, "part").select(F.col("p_partkey").alias("model_id"), F.col("p_name").alias("name"))
+
+
+@query(f"SELECT user_id, count(*) AS n_models, CAST(sum(model_id) AS BIGINT) AS model_sum FROM (SELECT DISTINCT user_id, m.model_id FROM ({USER_ROLES}) u JOIN ({MODEL_ROLES}) m USING (role_id) JOIN part ON p_partkey=m.model_id) GROUP BY 1")
+def rbac_user_models(spark, d):
+    return rbac.user_models(_user_roles(spark, d), _model_roles(spark, d), _models(spark, d)).groupBy("user_id").agg(F.count("*").alias("n_models"), F.sum("model_id").alias("model_sum"))
+
+
+@query(f"""WITH a AS (SELECT DISTINCT user_id, model_id FROM ({USER_ROLES}) JOIN ({MODEL_ROLES}) USING (role_id))
+  SELECT user_id, model_id FROM (SELECT DISTINCT o_custkey AS user_id, o_orderkey % 2000 AS model_id FROM orders) SEMI JOIN a USING (user_id, model_id)""")
+def rbac_model_allowed(spark, d):
+    asked = table(spark, d, "orders").select(F.col("o_custkey").alias("user_id"), (F.col("o_orderkey") % 2000).alias("model_id")).distinct()
+    return rbac.model_allowed(asked, _user_roles(spark, d), _model_roles(spark, d))
+
+
+@query("SELECT c_custkey AS user_id, c_name AS username, n_name AS position, n_name='NATION_0' AS is_admin FROM customer JOIN nation ON c_nationkey=n_nationkey")
+def rbac_users_positions(spark, d):
+    u = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("username"), F.col("c_nationkey").alias("position_id"))
+    p = table(spark, d, "nation").select(F.col("n_nationkey").alias("position_id"), F.col("n_name").alias("position"))
+    return rbac.users_positions(u, p, "NATION_0").select("user_id", "username", "position", "is_admin")
+
+
+@query(f"SELECT user_id, string_agg(s_name, ',' ORDER BY s_name) AS roles FROM ({USER_ROLES}) JOIN supplier ON role_id=s_suppkey GROUP BY user_id")
+def rbac_user_roles(spark, d):
+    roles = table(spark, d, "supplier").select(F.col("s_suppkey").alias("role_id"), F.col("s_name").alias("role"))
+    return rbac.roles_of_users(_user_roles(spark, d), roles)
+
+
+@query(f"SELECT p_partkey AS model_id, r_regionkey AS role_id, l.model_id IS NOT NULL AS assigned FROM part CROSS JOIN region LEFT JOIN (SELECT DISTINCT model_id, role_id FROM ({MODEL_ROLES})) l ON l.model_id=p_partkey AND l.role_id=r_regionkey")
+def rbac_matrix(spark, d):
+    """Models against five roles."""
+    roles = table(spark, d, "region").select(F.col("r_regionkey").alias("role_id"))
+    return rbac.role_matrix(_models(spark, d), roles, _model_roles(spark, d))
+
+
+@query(f"SELECT model_id, role_id FROM ({MODEL_ROLES}) WHERE model_id NOT IN (SELECT p_partkey FROM part WHERE p_size=1)")
+def rbac_cascade_delete(spark, d):
+    gone = table(spark, d, "part").where("p_size = 1").select(F.col("p_partkey").alias("model_id"))
+    return rbac.delete_cascade(_models(spark, d), [_model_roles(spark, d)], "model_id", gone)[1]
+
+
+@query(f"SELECT DISTINCT model_id, role_id FROM ({MODEL_ROLES} UNION ALL SELECT p_partkey, CAST(p_size AS BIGINT) FROM part)")
+def rbac_insert_or_ignore(spark, d):
+    new = table(spark, d, "part").select(F.col("p_partkey").alias("model_id"), F.col("p_size").cast("bigint").alias("role_id"))
+    return rbac.insert_or_ignore(_model_roles(spark, d), new, ["model_id", "role_id"])
+
+
+# ---- features and model ----------------------------------------------------------------------------------------
+
+@query(r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text,'')),'[^\p{L}\p{M}\p{N}_]+'), lambda x: length(x)>=2) l FROM documents),
+  t AS (SELECT doc_id, unnest(l) term FROM w), c AS (SELECT term, count(DISTINCT doc_id) df, count(*) total FROM t GROUP BY term) SELECT term, df, total FROM c WHERE df>=2""")
+def tfidf_word(spark, d):
+    """Document and corpus frequency of every word of two letters or more that two documents share."""
+    words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"([\p{L}\p{M}\p{N}_]{2,})"), F.lit(1))
+    t = table(spark, d, "documents").select("doc_id", F.explode(words).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
+    return features.document_frequencies(t, 2, None).select("term", "df", "total")
+
+
+@query()
+def tfidf_char(spark, d):
+    """Weights of character n-grams of titles, summed by n-gram: unit-length rows, smoothed idf."""
+    t = table(spark, d, "doc_record").where("title is not null")
+    c = features.term_counts(t, "rec_id", "title", chars=True)
+    v = features.document_frequencies(c, 1, None)
+    return features.tfidf(c, v, t.count(), sublinear=False).groupBy("term").agg(F.round(F.sum("weight"), 6).alias("weight"), F.count("*").alias("df"))
+
+
+@query()
+def train_eval(spark, d):
+    """Out-of-fold scores of the labelled records by group, as one row of metrics."""
+    r = _labelled(spark, d)
+    s = model.out_of_fold(r, "grp", max_iter=30).select("s", "y").persist()
+    t = metrics.thresholds(s)
+    return t.crossJoin(metrics.average_precision(s)).crossJoin(metrics.roc_auc(s))
+
+
+def _labelled(spark, d) -> DataFrame:
+    rec = dedup.hashed(table(spark, d, "doc_record").where("label is not null and doc_group is not null"))
+    kept = dedup.first_wins(rec, "own_hash", [dedup.order_key(F.col("path"))], ["rec_id"]).select("rec_id")
+    return rec.join(kept, "rec_id", "left_semi").select("rec_id", F.lower(F.trim("doc_group")).alias("grp"), F.col("label").alias("y"), F.coalesce("text", F.lit("")).alias("text"))
