@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .arrivals import Arrivals, Store, fresh_store_path, ingest
 from .boilerplate import furniture_lines, main_bodies
 from .leak import leaks
@@ -107,4 +108,4 @@ QUERIES = {
     "p8_found": p8_found,
     "p9_pieces": p9_pieces,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracles.SQL
