@@ -43,9 +43,18 @@ def truncated(text: Column, cap: int = TEXT_CAP) -> Column:
     return F.substring(text, 1, cap) if cap else text
 
 
+#: The same characters one by one.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def collapsed(text: Column) -> Column:
+    """White space runs to one blank, none outside: one pass over characters, then one over doubled blanks only."""
+    return F.trim(F.regexp_replace(F.translate(text, SPACES, " " * len(SPACES)), " {2,}", " "))
+
+
 def text_hash(text: Column) -> Column:
     """sha256 of the text in lower case with white space collapsed; '' for a null or empty text."""
-    norm = F.trim(F.regexp_replace(F.lower(text), f"{SPACE}+", " "))
+    norm = collapsed(F.lower(text))
     return F.when(F.coalesce(text, F.lit("")) == "", "").otherwise(F.sha2(norm, 256))
 
 

@@ -551,7 +551,7 @@ def tfidf_char(spark, d):
 def train_eval(spark, d):
     """Out-of-fold scores of the labelled records by group, as one row of metrics."""
     r = _labelled(spark, d)
-    s = model.out_of_fold(r, "grp", max_iter=30).select("s", "y").persist()
+    s = model.out_of_fold(r, "grp", max_iter=15).select("s", "y").persist()
     t = metrics.thresholds(s)
     return t.crossJoin(metrics.average_precision(s)).crossJoin(metrics.roc_auc(s))
 
