@@ -28,7 +28,7 @@ from .gbm import Boosted
 CONFUSIONS = {
     "m": ("rn", "nn"), "rn": ("m",), "n": ("ri", "u"), "u": ("n", "ii"), "e": ("c",), "c": ("e",), "h": ("b",), "b": ("h",), "t": ("f",),
     "f": ("t",), "i": ("l", "!", "1"), "l": ("1", "i", "!", "I"), "w": ("vv",), "o": ("0",), "ö": ("6", "o"), "ä": ("a",), "ü": ("ii", "u"),
-    "g": ("q", "9"), "q": ("g",), "s": ("5",), "d": ("cl",), "cl": ("d",), "a": ("o",), "ß": ("B", "b"), "z": ("2",),
+    "g": ("q", "9"), "q": ("g",), "s": ("5",), "d": ("cl",), "cl": ("d",), "a": ("o",), "ß": ("B", "b"), "z": ("2",), "fi": ("ﬁ",), "fl": ("ﬂ",),
     "H": ("B",), "T": ("F",), "S": ("5",), "M": ("RN",), "E": ("C", "F"), "I": ("l", "1", "!"), "O": ("0",), "B": ("8", "R"), "G": ("6", "C"),
     "N": ("RI",), "U": ("N",), "Z": ("2",), "L": ("1", "I"), "Ü": ("U",), "Ä": ("A",), "Ö": ("O",),
 }
@@ -43,6 +43,7 @@ SMALL_WORDS = frozenset("der die das den dem des ein eine und oder zu zur zum im
 
 WORD = re.compile(r"[^\W_]+")
 TOKEN = re.compile(r"\S+")
+INNER_SIGN = re.compile(r"(?<=[^\W_])[!|](?=[^\W_])")
 NUMBER_LINE = re.compile(r"^\W*(?:(?:seite|page|blatt|s\.?|p\.?)\s*)?[\dlIOoSB]{1,4}(?:\s*(?:/|von|of)\s*[\dlIOoSB]{1,4})?\W*$", re.I)
 ROMAN = re.compile(r"^\W*[ivxlcdm]{1,7}\W*$", re.I)
 CODE = re.compile(r"^[A-ZÄÖÜ]{2,5}\d+$")
@@ -96,7 +97,7 @@ def line_features(lines: list[str]) -> np.ndarray:
     short = [re.sub(r"[\W\d]+", "", s) for s in low]
     width = max(map(len, strip), default=1)
     out = np.zeros((n, 20))
-    tokens = [WORD.findall(s) for s in strip]
+    tokens = [WORD.findall(INNER_SIGN.sub("i", s)) for s in strip]
     named = [[w.translate(DIGITS) if w[:1].isdigit() else w for w in ws if sum(map(str.isalpha, w)) >= 2] for ws in tokens]
     caps = [sum(w[:1].isupper() for w in ws) / len(ws) if ws else 0.0 for ws in named]
     pairs = {i: _pairs(short[i]) for i in range(n) if caps[i] > 0.6 and 2 <= len(named[i]) <= 8 and len(short[i]) >= 8 and not strip[i].endswith(".")}
@@ -350,7 +351,8 @@ def train(texts: list[str], words: list[str], df: np.ndarray, o: Scans) -> dict:
     pick = [i for i in range(len(words)) if len(words[i]) >= 3 and words[i].isalpha()]
     rng.shuffle(pick)
     pick = pick[:3000]
-    out = {words[i] for i in pick[:1000]}
+    spare = min(1000, len(pick) // 3)  # words left out of the known ones, which must be left alone
+    out = {words[i] for i in pick[:spare]}
     index: dict[tuple, list[int]] = {}
     for i, w in enumerate(words):
         for key in set(_grams_known(w)):
@@ -358,14 +360,14 @@ def train(texts: list[str], words: list[str], df: np.ndarray, o: Scans) -> dict:
     left, right, freq, many, label = [], [], [], [], []
     for n, i in enumerate(pick):
         true = words[i]
-        read = true if n < 1000 else misread(true, rng).lower()
-        if n >= 1000 and read == true:
+        read = true if n < spare else misread(true, rng).lower()
+        if n >= spare and read == true:
             continue
         near = {}
         for key in _grams_read(read):
             for j in index.get(key, ()):
                 v = words[j]
-                if (n < 1000 and v == true) or v in out and n < 1000 or v == read:
+                if (n < spare and v == true) or v in out and n < spare or v == read:
                     continue
                 if abs(len(v) - len(read)) <= 2 and j not in near and _middle(read, v) <= 3:
                     near[j] = True
@@ -374,7 +376,7 @@ def train(texts: list[str], words: list[str], df: np.ndarray, o: Scans) -> dict:
             right.append(words[j])
             freq.append(df[j])
             many.append(len(near))
-            label.append(float(n >= 1000 and words[j] == true))
+            label.append(float(n >= spare and words[j] == true))
     if sum(label) >= 5:
         models["replace"] = Boosted(trees=60).fit(pair_features(left, right, np.array(freq, float), np.array(many, float)), np.array(label))
     else:
