@@ -69,14 +69,18 @@ def assign_splits(roots: DataFrame, weight: DataFrame, shares=DEFAULT, large: fl
                         F.sum("m").over(W.partitionBy("stratum")).alias("all"))
     run = small.join(F.broadcast(before), ["stratum", "bucket"]).withColumn(  # strata * buckets rows at most
         "mid", F.col("base") + F.sum("n").over(W.partitionBy("stratum", "bucket").orderBy(F.xxhash64("root", F.lit(1)), "root")) - F.col("n") / 2)
-    open_ = {s: max(0.0, sum(lack[s].values())) for s in names}
-    whole = sum(open_.values()) or 1.0
-    cut, choose = 0.0, None
-    for s in names[:-1]:
-        cut += open_[s] / whole
-        cond = F.col("mid") < F.lit(cut) * F.col("all")
-        choose = F.when(cond, s) if choose is None else choose.when(cond, s)
-    return fixed.union(run.select("root", choose.otherwise(names[-1]).alias("split")))
+    gap = {x: {s: max(0.0, lack[s][x]) for s in names} for x in labels}
+    choose = F.lit(names[-1])
+    for k in range(strata):
+        q = (k + 0.5) / strata  # labelled 1 by this share: what a split lacks of either label counts accordingly
+        part = {s: sum(w * gap[x][s] / (sum(gap[x].values()) or 1.0) for x, w in (("1", q), ("0", 1 - q))) for s in names}
+        whole = sum(part.values()) or 1.0
+        cut, own = 0.0, F.lit(names[-1])
+        for s in reversed(names[:-1]):
+            cut = sum(part[x] for x in names[:names.index(s) + 1]) / whole
+            own = F.when(F.col("mid") < F.lit(cut) * F.col("all"), s).otherwise(own)
+        choose = F.when(F.col("stratum") == k, own).otherwise(choose)
+    return fixed.union(run.select("root", choose.alias("split")))
 
 
 def split_records(records: DataFrame, id_col: str, group: Column, label: Column, links: DataFrame, a: str, b: str, shares=DEFAULT) -> DataFrame:
