@@ -38,12 +38,14 @@ def visited_state(visited: DataFrame) -> DataFrame:
 
 
 def prune_registry(jobs: DataFrame, keep: int, finished: Column, order: list[Column]) -> DataFrame:
-    """Jobs left when only ``keep`` may stay: the oldest finished ones go, as many as are too many."""
-    excess = jobs.count() - keep
-    if excess <= 0:
-        return jobs
-    done = jobs.where(finished).orderBy(*order).limit(excess)
-    return jobs.join(done.select("job_id"), "job_id", "left_anti")
+    """Jobs left when only ``keep`` may stay: the oldest finished ones go, as many as are too many.
+
+    So every unfinished job stays, and of the finished ones the newest that still fit: at most
+    ``keep`` rows are picked, however many there are.
+    """
+    open_jobs = jobs.where(~finished)
+    room = max(0, keep - open_jobs.count())
+    return open_jobs.unionByName(jobs.where(finished).orderBy(*[c.desc() for c in order]).limit(room))
 
 
 def last_section(lines: DataFrame, pos: str, is_marker: Column) -> DataFrame:

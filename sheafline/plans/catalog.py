@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html, text, urls
 from ..operators import crawl, dedup, features, jobs, metrics, model, predict, profiles, rbac, review
+from ..sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -465,6 +466,34 @@ def ingest_filter(spark, d):
     return m.join(F.broadcast(known), "file_type", "left_semi").groupBy("file_type").agg(F.count("*").alias("n"), F.count_distinct("job_id").alias("n_jobs"))  # 32 types
 
 
+_TYPES = ", ".join(f"('{g}','{e}','{n}')" for g, xs in profiles.FILE_TYPES.items() for e, n in xs)
+
+
+@query(f"SELECT g AS file_group, count(*) AS n, string_agg(e, ',' ORDER BY e) AS exts FROM (VALUES {_TYPES}) t(g, e, n) GROUP BY g")
+def file_type_catalogue(spark, d):
+    """The selectable file types by group."""
+    return profiles.file_types(spark).groupBy("file_group").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("ext")), ",").alias("exts"))
+
+
+@query("""SELECT manifest_id, 'scraped/' || coalesce(hostname,'unknown') || '/' || coalesce(job_id,'none') || '/' || coalesce(filename,'document') AS object_key,
+  CASE lower(file_type) WHEN 'pdf' THEN 'application/pdf' WHEN 'doc' THEN 'application/msword'
+  WHEN 'docx' THEN 'application/vnd.openxmlformats-officedocument.wordprocessingml.document' ELSE 'application/octet-stream' END AS content_type FROM manifest""")
+def object_keys(spark, d):
+    """Key and content type each document is stored under."""
+    key = writers.document_key(F.coalesce("hostname", F.lit("unknown")), F.coalesce("job_id", F.lit("none")), F.coalesce("filename", F.lit("document")))
+    return table(spark, d, "manifest").select("manifest_id", key.alias("object_key"), writers.object_type(F.col("file_type")).alias("content_type"))
+
+
+@query("""SELECT job_id, url FROM job_result WHERE url IS NOT NULL AND job_id IS NOT NULL AND trim(url,' ')<>''""")
+def event_seed_urls(spark, d):
+    """Seeds written as event payloads of three shapes and read back."""
+    j = table(spark, d, "job_result").where("url is not null and job_id is not null")
+    shape = F.pmod(F.xxhash64("job_id"), F.lit(3))
+    one, many = F.to_json(F.struct("url")), F.to_json(F.struct(F.array("url").alias("urls")))
+    body = F.when(shape == 0, one).when(shape == 1, many).otherwise(F.to_json(F.struct(F.array(F.struct(one.alias("body"))).alias("Records"))))
+    return j.select("job_id", F.explode(readers.event_urls(body)).alias("url"))
+
+
 # ---- users, roles, models --------------------------------------------------------------------------------------
 
 USER_ROLES = "SELECT DISTINCT o_custkey AS user_id, l_suppkey AS role_id FROM orders JOIN lineitem ON o_orderkey=l_orderkey"
