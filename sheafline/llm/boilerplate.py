@@ -92,7 +92,7 @@ WORD = re.compile(r"[^\W_]+")
 
 
 def _fold(s: str) -> str:
-    return re.sub(r"\s+", " ", s).strip().strip("|•·").rstrip(":").strip().lower()
+    return " ".join(s.split()).strip("|•·").rstrip(":").strip().lower()
 
 
 def _slug(s: str) -> str:
@@ -126,7 +126,7 @@ def first_pass(line: str) -> int:
             return BODY
         if f in LINK_LABELS:
             return FURNITURE
-        if len(f) > 3 and len(f) < 160 and not BUTTONS.sub("", f).strip(" .:|·-"):
+        if 3 < len(f) < 160 and BUTTONS.match(f) and not BUTTONS.sub("", f).strip(" .:|·-"):
             return FURNITURE
     if ROW.search(s):
         n, labels, speak = link_parts(s)
