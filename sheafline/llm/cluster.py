@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -28,6 +29,11 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sent_if_small(df: DataFrame, most: int) -> DataFrame:
+    """``df`` (written already) marked for broadcast if it has ``most`` rows at most, else as it is."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str) -> DataFrame:
     """Run ``fn`` over each Arrow batch: it takes {column: pyarrow array} and yields {column: values}."""
     arrow = to_arrow_schema(StructType.fromDDL(schema))

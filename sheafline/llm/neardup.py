@@ -8,6 +8,8 @@ fewer values than the sum of (threshold + 1) meets in a partition for certain; b
 a pair meets with a probability that follows from its similarity.  A dynamic programme picks the
 thresholds with the fewest candidate pairs, counted over all records on a slice of signature
 space, among those that reach the recall asked for at the similarity threshold itself.
+Weighting stock phrases down keeps unrelated records apart; where they make up much of a record (it
+may be one of a mass of versions of one text), a second code without weights stands beside the first.
 Candidates are verified on their whole texts.
 """
 
@@ -22,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import vec
-from .cluster import durable, map_batches, own_names
+from .cluster import durable, map_batches, own_names, sent_if_small
 from .components import star_components
 
 
@@ -30,16 +32,20 @@ from .components import star_components
 class NearDup:
     k: int = 5
     similarity: float = 0.8
-    symbols: int = 96
+    symbols: int = 108
     width: int = 3
-    recall: float = 0.997
+    recall: float = 0.998
     common_share: float = 0.01      # shingles in more than this share of records are weighted down
     common_shift: int = 5           # ... by 2 ** this
     common_most: int = 50_000       # of those, as many at most (a matter of speed only)
+    plain_share: float = 0.3        # records with more common shingles than this get a second, unweighted code
     slice_of: int = 16              # candidate counts are taken on 1 / this of signature space
+    pair_cost: float = 40.0         # what fetching and verifying a pair costs, in signatures
     layout_sample: int = 256        # records whose codes fix which values go together
-    small: int = 8                  # buckets up to this size are paired in full at once
-    block: int = 256                # larger ones in blocks of this many rows
+    small: int = 12                 # buckets up to this size are paired in full at once
+    block: int = 256                # larger ones in blocks of about this many rows
+    hot: int = 64                   # a signature of more records than this in one batch is salted
+    broadcast_ids: int = 500_000    # candidate ids or large buckets sent to all tasks at most; more are joined
     seed: int = 7
 
 
@@ -71,13 +77,13 @@ def common_shingles(docs: DataFrame, k: int, share: float, most: int) -> np.ndar
 
 
 def _codes(docs: DataFrame, common: np.ndarray, o: NearDup) -> DataFrame:
-    """(id, whole, code) of each record with at least k words."""
+    """(id, whole, code, plain) of each record with at least k words; ``plain`` is null or the unweighted code."""
     rng = np.random.default_rng(o.seed)
     mul = (rng.integers(1, 2**31, o.symbols, dtype=np.int64) * 2 + 1).astype(np.uint32)
     add = rng.integers(0, 2**32, o.symbols, dtype=np.int64).astype(np.uint32)
     table = np.zeros(1 << 20, dtype=bool)
     table[(common & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-    k, shift = o.k, np.uint32(o.common_shift)
+    k, shift, share = o.k, np.uint32(o.common_shift), o.plain_share
     packed = np.packbits(table) if len(common) else None
 
     def code(cols):
@@ -97,6 +103,14 @@ def _codes(docs: DataFrame, common: np.ndarray, o: NearDup) -> DataFrame:
                 maybe = maybe[np.isin(h[maybe], common)]
                 heavy = maybe if len(maybe) else None
             out = np.empty((len(ok), len(mul)), dtype=np.uint16)
+            own, plain = np.zeros(0, dtype=np.int64), None
+            if heavy is not None:  # records mostly made of stock phrases, with their shingles put together
+                stock = np.bincount(np.searchsorted(off, heavy, "right") - 1, minlength=b - a)
+                own = ok[stock[ok] > share * np.diff(off)[ok]]
+                size = np.diff(off)[own]
+                at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+                part = np.arange(at[-1]) + np.repeat(off[:-1][own] - at[:-1], size)
+                plain = np.empty((len(own), len(mul)), dtype=np.uint16)
             top = np.uint32(0xFFFFFFFF) >> shift
             with np.errstate(over="ignore"):
                 for j in range(len(mul)):
@@ -106,6 +120,9 @@ def _codes(docs: DataFrame, common: np.ndarray, o: NearDup) -> DataFrame:
                     v ^= v >> np.uint32(13)
                     low = v
                     if heavy is not None:
+                        if len(own):
+                            m = np.minimum.reduceat(v[part], at[:-1]) * np.uint32(0x9E3779B1)
+                            plain[:, j] = (m >> np.uint32(16)).astype(np.uint16)
                         low = v.copy()
                         s = v[heavy]
                         low[heavy] = np.where(s > top, np.uint32(0xFFFFFFFF), s << shift)
@@ -113,9 +130,11 @@ def _codes(docs: DataFrame, common: np.ndarray, o: NearDup) -> DataFrame:
                     m = m * np.uint32(0x9E3779B1)
                     out[:, j] = (m >> np.uint32(16)).astype(np.uint16)
             whole = vec.text_hashes(w)[ok]
-            yield {"id": ids.take(pa.array(ok + a)), "whole": vec.signed(whole), "code": [r.tobytes() for r in out]}
+            where = {i: n for n, i in enumerate(own.tolist())}
+            yield {"id": ids.take(pa.array(ok + a)), "whole": vec.signed(whole), "code": [r.tobytes() for r in out],
+                   "plain": [plain[where[i]].tobytes() if i in where else None for i in ok.tolist()]}
 
-    return map_batches(docs, code, "id long, whole long, code binary")
+    return map_batches(docs, code, "id long, whole long, code binary, plain binary")
 
 
 def group_values(codes: np.ndarray, width: int) -> list[list[int]]:
@@ -176,45 +195,70 @@ def allocate(cost: np.ndarray, similarity: float, width: int, recall: float, uni
     return out[::-1]
 
 
-def _probe(codes: DataFrame, layout: list[list[int]], want: list[tuple[int, int]], slice_of: int = 0) -> DataFrame:
-    """(probe, sig, id) for the wanted (partition, threshold); with ``slice_of`` only a slice of signature space."""
+def _probe(codes: DataFrame, layout: list[list[int]], want: list[tuple[int, int]], slice_of: int = 0, hot: int = 64) -> DataFrame:
+    """(probe, sig, salt, id) for the wanted (partition, threshold); with ``slice_of`` only a slice of signature space.
 
-    def run(cols):
-        ids = cols["id"].to_numpy()
-        code = np.frombuffer(b"".join(cols["code"].to_pylist()), dtype=np.uint16).reshape(len(ids), -1).astype(np.uint64)
+    A signature that many records of one batch share is salted by batch, so that a mass of versions
+    of one text spreads over tasks; its first record stands in the unsalted bucket too, where the
+    batches meet.
+    """
+
+    def probes(ids, code, kind):
         for n, (p, t) in enumerate(want):
             for drop in range(-1, len(layout[p])) if t else (-1,):
                 if t and drop < 0:
                     continue  # all equal is within all but one
-                h = np.full(len(ids), (p << 8) + (drop + 1 if t else 0), dtype=np.uint64)
+                h = np.full(len(ids), (kind << 16) + (p << 8) + (drop + 1 if t else 0), dtype=np.uint64)
                 with np.errstate(over="ignore"):
                     for q, c in enumerate(layout[p]):
                         if q != drop:
                             h = vec.mix(h * np.uint64(0x9E3779B97F4A7C15) + code[:, c] + np.uint64(1))
                 got = np.flatnonzero(h % np.uint64(slice_of) == 0) if slice_of else np.arange(len(ids))
-                if len(got):
-                    yield {"probe": np.full(len(got), n, dtype=np.int32), "sig": vec.signed(h[got]), "id": ids[got]}
+                if not len(got):
+                    continue
+                salt = np.zeros(len(got), dtype=np.int32)
+                if not slice_of and len(got) > hot:
+                    sig, first, where, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+                    many = times > hot
+                    if many.any():
+                        salt[many[where]] = 1 + int(ids.min()) % 1_000_003
+                        heads = first[many]
+                        yield {"probe": np.full(len(heads), n, dtype=np.int32), "sig": vec.signed(h[heads]), "salt": np.zeros(len(heads), dtype=np.int32), "id": ids[heads]}
+                yield {"probe": np.full(len(got), n, dtype=np.int32), "sig": vec.signed(h[got]), "salt": salt, "id": ids[got]}
 
-    return map_batches(codes.select("id", "code"), run, "probe int, sig long, id long")
+    def run(cols):
+        ids = cols["id"].to_numpy()
+        for kind, name in enumerate(("code", "plain")):
+            blobs = cols[name].to_pylist()
+            at = np.array([i for i, x in enumerate(blobs) if x is not None], dtype=np.int64)
+            if len(at):
+                code = np.frombuffer(b"".join(blobs[i] for i in at), dtype=np.uint16).reshape(len(at), -1).astype(np.uint64)
+                yield from probes(ids[at], code, kind)
+
+    return map_batches(codes.select("id", "code", "plain"), run, "probe int, sig long, salt int, id long")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, k: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose whole texts reach the similarity, with it."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.join(ids, "id", "left_semi")
+def _verify(pairs: DataFrame, docs: DataFrame, k: int, similarity: float, broadcast_ids: int) -> DataFrame:
+    """The pairs (a, b), written already, whose whole texts reach the similarity, with it.
+
+    Only the texts of candidates are moved: their ids go to the scan if they are few enough.
+    """
+    ids = durable(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
+    texts = docs.join(sent_if_small(ids, broadcast_ids), "id", "left_semi")
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
 
     def run(cols):
         a, b = cols["a"].to_numpy(), cols["b"].to_numpy()
-        ta, tb = cols["ta"].to_pylist(), cols["tb"].to_pylist()
-        sims = np.zeros(len(a))
-        size = np.fromiter((len(x or "") + len(y or "") for x, y in zip(ta, tb)), dtype=np.int64, count=len(a))
-        for s, e in vec.chunks(size):
-            ha, oa, _ = vec.Words(ta[s:e]).shingles(k)
-            hb, ob, _ = vec.Words(tb[s:e]).shingles(k)
-            for i in range(e - s):
-                sims[s + i] = vec.jaccard(np.unique(ha[oa[i]:oa[i + 1]]), np.unique(hb[ob[i]:ob[i + 1]]))
+        ids, at = np.unique(np.concatenate([a, b]), return_index=True)  # each text of the batch is read once
+        ta, tb = cols["ta"], cols["tb"]
+        texts = [ta[i].as_py() if i < len(a) else tb[i - len(a)].as_py() for i in at.tolist()]
+        sets: list = []
+        for s, e in vec.chunks(np.fromiter((len(t or "") for t in texts), dtype=np.int64, count=len(texts))):
+            h, off, _ = vec.Words(texts[s:e]).shingles(k)
+            sets += [np.unique(h[off[i]:off[i + 1]]) for i in range(e - s)]
+        left_at, right_at = np.searchsorted(ids, a), np.searchsorted(ids, b)
+        sims = np.array([vec.jaccard(sets[i], sets[j]) for i, j in zip(left_at.tolist(), right_at.tolist())])
         ok = np.flatnonzero(sims >= similarity - 1e-12)
         if len(ok):
             yield {"a": a[ok], "b": b[ok], "similarity": sims[ok]}
@@ -224,14 +268,14 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, similarity: float) -> Dat
 
 def _close_pairs(hits: DataFrame, o: NearDup) -> tuple[DataFrame, DataFrame]:
     """Pairs to verify first, and the rows of buckets too large to be paired in full."""
-    w = W.partitionBy("sig", "probe").orderBy("id")
+    w = W.partitionBy("sig", "probe", "salt").orderBy("id")
     ranked = hits.withColumn("rn", F.row_number().over(w)).withColumn("hub", F.first("id").over(w))
     for i in range(1, o.small):
         ranked = ranked.withColumn(f"l{i}", F.lag("id", i).over(w))
     near = F.array(*[F.col(f"l{i}") for i in range(1, o.small)])
     partners = F.when(F.col("rn") <= o.small, near).otherwise(F.array("hub", "l1"))
     pairs = ranked.where("rn > 1").select(F.explode(F.filter(partners, lambda x: x.isNotNull())).alias("a"), F.col("id").alias("b"))
-    large = ranked.where(F.col("rn") > o.small).groupBy("sig", "probe").agg(F.max("rn").alias("size"))
+    large = ranked.where((F.col("rn") > o.small) | (F.col("salt") > 0)).groupBy("sig", "probe").agg((F.count("*") + o.small).alias("size"))
     return pairs.where("a <> b").distinct(), large
 
 
@@ -241,24 +285,24 @@ def _rest(hits: DataFrame, large: DataFrame, codes: DataFrame, comp: DataFrame,
     Rows outside the hub's set meet every row of their bucket, block by block: a block holds a
     bounded number of codes and only pairs whose codes are alike leave the task.
     """
-    rows = hits.join(large, ["sig", "probe"]).join(comp, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    w = W.partitionBy("sig", "probe").orderBy("id")
-    rows = rows.withColumn("hub", F.first("root").over(w)).withColumn("blk", F.floor((F.row_number().over(w) - 1) / o.block))
+    rows = hits.select("sig", "probe", "id").join(sent_if_small(large, o.broadcast_ids), ["sig", "probe"]).distinct().join(comp, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    hub = rows.groupBy("sig", "probe").agg(F.min_by("root", "id").alias("hub"))
+    rows = rows.join(hub, ["sig", "probe"]).withColumn("blk", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / o.block)))
     outside = rows.where("root <> hub").select("sig", "probe").distinct()
-    rows = durable(rows.join(outside, ["sig", "probe"]).join(codes.select("id", "code"), "id"))
+    rows = durable(rows.join(outside, ["sig", "probe"]).join(codes.select("id", "code", F.coalesce("plain", "code").alias("plain")), "id"))
     pack = lambda d, p: d.groupBy("sig", "probe", "blk").agg(
-        F.collect_list(F.struct("id", "root", "code")).alias(p)).withColumnRenamed("blk", f"{p}_blk")
+        F.collect_list(F.struct("id", "root", "code", "plain")).alias(p)).withColumnRenamed("blk", f"{p}_blk")
     grid = pack(rows.where("root <> hub"), "l").join(pack(rows, "r"), ["sig", "probe"]).select("l", "r")
     floor = 0.5 * o.similarity
 
     def run(cols):
         for l, r in zip(cols["l"].to_pylist(), cols["r"].to_pylist()):
-            mat = lambda x: np.frombuffer(b"".join(y["code"] for y in x), dtype=np.uint16).reshape(len(x), -1)
-            cl, cr = mat(l), mat(r)
+            mat = lambda x, c: np.frombuffer(b"".join(y[c] for y in x), dtype=np.uint16).reshape(len(x), -1)
+            cl, cr, dl, dr = mat(l, "code"), mat(r, "code"), mat(l, "plain"), mat(r, "plain")
             ids = np.array([y["id"] for y in r])
             roots = np.array([y["root"] for y in r])
             for i, y in enumerate(l):
-                got = np.flatnonzero(((cr == cl[i]).mean(1) >= floor) & (roots != y["root"]))
+                got = np.flatnonzero((np.maximum((cr == cl[i]).mean(1), (dr == dl[i]).mean(1)) >= floor) & (roots != y["root"]))
                 if len(got):
                     yield {"a": np.minimum(ids[got], y["id"]), "b": np.maximum(ids[got], y["id"])}
 
@@ -281,7 +325,7 @@ def near_duplicate_sets(df: DataFrame, id_col: str, text_col: str, options: Near
     codes_all = durable(_codes(with_text, common_shingles(with_text, o.k, o.common_share, o.common_most), o))
     reps = codes_all.groupBy("whole").agg(F.min("id").alias("rep"))
     member = codes_all.select("id", "whole").join(reps, "whole").select("id", "rep")
-    codes = durable(codes_all.join(reps.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "code"))
+    codes = durable(codes_all.join(reps.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "code", "plain"))
 
     sample = codes.orderBy(F.xxhash64("id", F.lit(o.seed))).limit(o.layout_sample).select("code").collect()
     arr = np.frombuffer(b"".join(bytes(r[0]) for r in sample), dtype=np.uint16).reshape(len(sample), o.symbols) if sample else np.zeros((0, o.symbols), np.uint16)
@@ -294,18 +338,19 @@ def near_duplicate_sets(df: DataFrame, id_col: str, text_col: str, options: Near
         p, t = every[r["probe"]]
         cost[p, t] = r["pairs"] * o.slice_of
     n = codes.count()
-    cost[:, 0] += n * 0.5           # what it costs to hand out the signatures themselves
-    cost[:, 1] += n * 0.5 * o.width
+    cost *= o.pair_cost             # ... against what it costs to hand out the signatures themselves
+    cost[:, 0] += n
+    cost[:, 1] += n * o.width
     plan = allocate(cost, o.similarity, o.width, o.recall)
     want = [(p, t) for p, t in enumerate(plan) if t >= 0]
 
-    hits = _probe(codes, layout, want)
+    hits = _probe(codes, layout, want, hot=o.hot)
     pairs, large = _close_pairs(hits, o)
-    edges = durable(_verify(durable(pairs), docs, o.k, o.similarity)).select("a", "b")
+    edges = durable(_verify(durable(pairs), docs, o.k, o.similarity, o.broadcast_ids)).select("a", "b")
     comp = durable(star_components(edges))
     large = durable(large)
     if not large.isEmpty():
-        more = _verify(durable(_rest(hits, large, codes, comp, o)), docs, o.k, o.similarity).select("a", "b")
+        more = _verify(durable(_rest(hits, large, codes, comp, o)), docs, o.k, o.similarity, o.broadcast_ids).select("a", "b")
         tree = comp.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))
         comp = durable(star_components(tree.union(more)))
     return (
