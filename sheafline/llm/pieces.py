@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,21 +23,32 @@ from .tokens import DEFAULT_VOCABULARY, byte_length, char_ends, encode
 MARKS = "PLSCWx"
 
 
-def boundary_marks(text: str, ends: np.ndarray, inside: np.ndarray) -> str:
-    """One mark a token for the boundary at its end."""
-    c = vec.codepoints(text)
+_SETS = {1: "\t\n\x0b\x0c\r \xa0\u2028\u2029", 2: "\n\x0c\r\u2028\u2029", 4: ".!?…。！？", 8: ",;:–—，；：", 16: "\"')]»”’"}
+_KINDS = np.zeros(0x10000, dtype=np.uint8)  # white space, line break, sentence end, clause end, closing sign, by bit
+for _bit, _chars in _SETS.items():
+    for _c in _chars:
+        _KINDS[ord(_c)] |= _bit
+
+
+def boundary_marks(texts: list[str], ends: list[np.ndarray], inside: list[np.ndarray]) -> list[str]:
+    """For each text one mark a token for the boundary at its end.
+
+    The texts are looked at together, a sign between them that is neither space nor punctuation.
+    """
+    c = vec.codepoints("\x01".join(texts) + "\x01")
     n = len(c)
-    space = np.isin(c, np.array([9, 10, 11, 12, 13, 32, 0xA0, 0x2028, 0x2029], dtype=np.uint32))
-    brk = np.isin(c, np.array([10, 12, 13, 0x2028, 0x2029], dtype=np.uint32))
-    stop = np.isin(c, np.array([ord(x) for x in ".!?…。！？"], dtype=np.uint32))
-    clause = np.isin(c, np.array([ord(x) for x in ",;:–—，；："], dtype=np.uint32))
-    close = np.isin(c, np.array([ord(x) for x in "\"')]»”’"], dtype=np.uint32))
+    base = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    counts = [len(x) for x in ends]
+    kind = _KINDS[np.minimum(c, 0xFFFF)]
+    space, brk, stop, clause, close = (kind & b > 0 for b in (1, 2, 4, 8, 16))
     at = lambda a, i: np.where((i >= 0) & (i < n), a[np.clip(i, 0, max(n - 1, 0))], False)
     # Position of the last character that is no space, and the line breaks since.
-    idx = np.where(~space, np.arange(n), -1)
-    solid = np.concatenate([[-1], np.maximum.accumulate(idx)]) if n else np.array([-1])
-    feeds = np.concatenate([[0], np.cumsum((c == 10) | (c == 12) | (c == 0x2029) | ((c == 13) & ~np.concatenate([c[1:] == 10, [False]]) if n else False))])
-    e = np.minimum(ends, n)
+    solid = np.concatenate([[-1], np.maximum.accumulate(np.where(space, -1, np.arange(n)))])
+    feed = brk & (c != 0x2028)
+    cr = np.flatnonzero(c == 13)
+    feed[cr[(cr + 1 < n) & (c[np.minimum(cr + 1, n - 1)] == 10)]] = False  # of CR LF only the second counts
+    feeds = np.concatenate([[0], np.cumsum(feed)])
+    e = np.concatenate([x + b for x, b in zip(ends, base)])
     last = solid[e]
     breaks = feeds[e] - feeds[np.maximum(last + 1, 0)]
     before_space, after_space = at(space, e - 1), at(space, e)
@@ -50,8 +62,10 @@ def boundary_marks(text: str, ends: np.ndarray, inside: np.ndarray) -> str:
     open_line = ~at(brk, e)  # the last of a run of line breaks is the boundary
     marks[(breaks >= 1) & before_space & open_line] = ord("L")
     marks[((breaks >= 2) | ff) & before_space & open_line] = ord("P")
-    marks[inside] = ord("-")
-    return marks.tobytes().decode("ascii")
+    marks[np.concatenate(inside)] = ord("-")
+    whole = marks.tobytes().decode("ascii")
+    cut = np.concatenate([[0], np.cumsum(counts)]).tolist()
+    return [whole[a:b] for a, b in zip(cut, cut[1:])]
 
 
 def cut_pattern(size: int) -> str:
@@ -77,24 +91,22 @@ def split_pieces(df: DataFrame, id_col: str, text_col: str, limit: int = 512, ov
         raise ValueError("limit must exceed overlap by 8 at least")
 
     def mark(cols) -> Iterator[dict]:
-        out = {k: [] for k in ("id", "text", "marks", "ends")}
-        for i, t in zip(cols["id"].to_pylist(), cols["text"].to_pylist()):
-            if len(t) * 4 <= limit or byte_length(t) <= limit:  # a token has a byte at least
-                if not keep_small:
+        ids, texts = cols["id"].to_pylist(), cols["text"].to_pylist()
+        for s, e in vec.chunks(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)), 2_000_000):
+            own, text, ends, inside = [], [], [], []
+            for i, t in zip(ids[s:e], texts[s:e]):
+                if not keep_small and (len(t) * 4 <= limit or byte_length(t) <= limit):  # a token has a byte at least
+                    continue
+                tok = encode(t, vocabulary)
+                if len(tok) <= limit and not keep_small:
                     continue
-            ids = encode(t, vocabulary)
-            if len(ids) <= limit and not keep_small:
-                continue
-            ends, inside = char_ends(t, ids, vocabulary)
-            out["id"].append(i)
-            out["text"].append(t)
-            out["marks"].append(boundary_marks(t, ends, inside))
-            out["ends"].append(ends)
-            if sum(map(len, out["text"])) > 4_000_000:
-                yield out
-                out = {k: [] for k in out}
-        if out["id"]:
-            yield out
+                at, mid = char_ends(t, tok, vocabulary)
+                for kept, x in ((own, i), (text, t), (ends, at), (inside, mid)):
+                    kept.append(x)
+            if own:
+                off = np.concatenate([[0], np.cumsum([len(x) for x in ends])]).astype(np.int32)
+                yield {"id": own, "text": text, "marks": boundary_marks(text, ends, inside),
+                       "ends": pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(ends).astype(np.int32)))}
 
     docs = own_names(df, id=id_col, text=text_col).where("id is not null and length(text) > 0")
     marked = map_batches(docs.withColumn("id", F.col("id").cast("long")), mark, "id long, text string, marks string, ends array<int>")
