@@ -32,7 +32,7 @@ class Arrivals:
     k: int = 5
     similarity: float = 0.8
     window: int = 12            # shingles a winnowing window
-    short: int = 24             # records of up to this many shingles keep them all
+    short: int = 64             # records of up to this many shingles keep them all
     common_share: float = 0.001 # shingles in more than this share of the history are picked last
     common_most: int = 300_000  # of those, as many at most (a matter of speed only)
     coverage: float = 0.25      # share of a record's fingerprints a similar one must hold to be looked up
@@ -295,8 +295,9 @@ def ingest(store: Store, batch: DataFrame, id_col: str, batch_col: str, text_col
     docs = batch.select(batch[id_col].cast("long").alias("id"), batch[batch_col].alias("batch"), batch[text_col].alias("text")).where("id is not null")
     when = docs.select("id", F.struct("batch", "id").alias("at"))
     sk = durable(sketch(docs.select("id", "text"), store.common, o))
-    member = durable(sk.select("id", "whole").join(when, "id").withColumn(
-        "rep", F.first("id").over(W.partitionBy("whole").orderBy("at"))).select("id", "at", "rep", "whole"))
+    timed = durable(sk.select("id", "whole").join(when, "id"))
+    speaks = timed.groupBy("whole").agg(F.min_by("id", "at").alias("rep"))
+    member = durable(timed.join(speaks, "whole").select("id", "at", "rep", "whole"))
     reps = durable(sk.join(member.where("id = rep").select("id"), "id", "left_semi"))
     own = durable(segments(reps, store.parts, o))
     old = store.segments()
@@ -306,11 +307,7 @@ def ingest(store: Store, batch: DataFrame, id_col: str, batch_col: str, text_col
     told = told.where("new is null or at_a < at_b")
     texts = docs.select("id", "text").union(history.select(F.col("id").cast("long"), "text"))
     wanted = durable(told.select("a", "b"))
-    need = wanted.select(F.col("a").alias("id")).union(wanted.select(F.col("b").alias("id"))).distinct()
-    need = durable(need)
-    if need.count() <= o.broadcast_ids:
-        need = F.broadcast(need)
-    close = durable(_verify(wanted, texts.join(need, "id", "left_semi"), o.k, o.similarity).join(new_ids, "a", "left"))
+    close = durable(_verify(wanted, texts, o.k, o.similarity, o.broadcast_ids).join(new_ids, "a", "left"))
 
     against_old = close.where("new is null").select("b").distinct()
     edges = durable(close.where("new").join(against_old, "b", "left_anti").join(
