@@ -52,6 +52,7 @@ CODE = re.compile(r"^[A-ZÄÖÜ]{2,5}\d+$")
 @dataclass(frozen=True)
 class Scans:
     sample_records: int = 400       # born-digital records the models are trained on, at most
+    sample_chars: int = 20_000      # ... and of this length at most, so that the sample fits the driver
     known_words: int = 50_000       # most frequent words known to every task; all others are joined
     min_records: int = 2            # a word of fewer records is no evidence of spelling
     line_chars: int = 100           # no line of a scanned page is longer
@@ -437,7 +438,7 @@ def _prepare(records: DataFrame, o: Scans):
     top = known.orderBy(F.desc("n"), "word").limit(o.known_words).collect()
     words = [r["word"] for r in top]
     df = np.array([r["n"] for r in top], dtype=float)
-    texts = [r["text"] for r in digital.orderBy(F.xxhash64("id", F.lit(o.seed))).limit(o.sample_records).select("text").collect()]
+    texts = [r["text"] for r in digital.where(F.length("text") <= o.sample_chars).orderBy(F.xxhash64("id", F.lit(o.seed))).limit(o.sample_records).select("text").collect()]
     some = np.arange(0, len(words), max(1, len(words) // 12_000))
     return known, words, train(texts, [words[i] for i in some], df[some], o)
 
