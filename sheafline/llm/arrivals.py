@@ -32,7 +32,7 @@ class Arrivals:
     k: int = 5
     similarity: float = 0.8
     window: int = 12            # shingles a winnowing window
-    short: int = 64             # records of up to this many shingles keep them all
+    short: int = 64             # records of up to this many distinct shingles are looked up with all of them
     common_share: float = 0.001 # shingles in more than this share of the history are picked last
     common_most: int = 300_000  # of those, as many at most (a matter of speed only)
     coverage: float = 0.25      # share of a record's fingerprints a similar one must hold to be looked up
@@ -42,6 +42,11 @@ class Arrivals:
     bloom_bits: int = 12        # a fingerprint
     broadcast_ids: int = 500_000
 
+    @property
+    def full(self) -> int:
+        """Records of up to this many distinct shingles are stored with all of them: any that a short one can resemble."""
+        return math.ceil(max(self.short, self.window) / self.similarity)
+
 
 SEGMENT = "part int, seg long, n int, fp binary, rec binary, bloom binary"
 
@@ -61,8 +66,22 @@ def winnow(h: np.ndarray, off: np.ndarray, window: int, short: int) -> np.ndarra
     return np.flatnonzero(pick)
 
 
+def distinct(h: np.ndarray, off: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes at the positions ``at`` of each stretch, sorted, and where each stretch begins."""
+    doc = np.searchsorted(off, at, "right") - 1
+    order = np.lexsort((h[at], doc))
+    hs, ds = h[at][order], doc[order]
+    new = np.ones(len(hs), dtype=bool)
+    new[1:] = (hs[1:] != hs[:-1]) | (ds[1:] != ds[:-1])
+    hs, ds = hs[new], ds[new]
+    return hs, np.searchsorted(ds, np.arange(len(off)))
+
+
 def sketch(docs: DataFrame, common: np.ndarray, o: Arrivals) -> DataFrame:
-    """(id, whole, nf, fps) of each record with at least k words; shingles in ``common`` are picked last."""
+    """(id, whole, nf, fps, kept) of each record with at least k words; shingles in ``common`` are picked last.
+
+    ``fps`` are the nf fingerprints a record is looked up with, ``kept`` those it is stored with (null if the same).
+    """
     k = o.k
     stock = docs.sparkSession.sparkContext.broadcast(common)  # common_most at most
 
@@ -82,18 +101,23 @@ def sketch(docs: DataFrame, common: np.ndarray, o: Arrivals) -> DataFrame:
             ok = np.flatnonzero(np.diff(off) > 0)
             if not len(ok):
                 continue
-            at = winnow(h, off, o.window, o.short)
-            doc = np.searchsorted(off, at, "right") - 1
-            order = np.lexsort((h[at], doc))
-            hs, ds = h[at][order], doc[order]
-            new = np.ones(len(hs), dtype=bool)
-            new[1:] = (hs[1:] != hs[:-1]) | (ds[1:] != ds[:-1])
-            hs, ds = hs[new], ds[new]
-            bound = np.searchsorted(ds, np.arange(b - a + 1))
+            marks, bound = distinct(h, off, winnow(h, off, o.window, 0))
+            may = np.diff(bound) <= o.full  # others have more distinct shingles than that for certain
+            every, all_bound = distinct(h, off, np.flatnonzero(np.repeat(may, np.diff(off))))
+            n = np.diff(all_bound)
+            few, full = may & (n <= max(o.short, o.window)), may & (n <= o.full)
+            some = [marks[bound[i]:bound[i + 1]].tobytes() for i in ok]
+            whole = [every[all_bound[i]:all_bound[i + 1]].tobytes() if full[i] else None for i in ok]
             yield {"id": ids.take(pa.array(ok + a)), "whole": vec.signed(vec.text_hashes(w)[ok]),
-                   "nf": np.diff(bound)[ok], "fps": [hs[bound[i]:bound[i + 1]].tobytes() for i in ok]}
+                   "nf": np.where(few, n, np.diff(bound))[ok], "fps": [e if f else s for e, s, f in zip(whole, some, few[ok])],
+                   "kept": [None if f else e for e, f in zip(whole, few[ok])]}
+
+    return map_batches(docs.where("length(text) > 0"), run, "id long, whole long, nf int, fps binary, kept binary")
+
 
-    return map_batches(docs.where("length(text) > 0"), run, "id long, whole long, nf int, fps binary")
+def to_store(sketches: DataFrame) -> DataFrame:
+    """(id, fps) of sketches, with the fingerprints they are stored with."""
+    return sketches.select("id", F.coalesce("kept", "fps").alias("fps"))
 
 
 def _bloom_hits(bits: np.ndarray, fp: np.ndarray) -> np.ndarray:
@@ -181,6 +205,8 @@ class Store:
     def __init__(self, spark: SparkSession, path: str, options: Arrivals):
         self.spark, self.path, self.o = spark, path.rstrip("/"), options
         row = spark.read.parquet(f"{self.path}/layout").first()
+        if "full" not in row or row["full"] < options.full:
+            raise ValueError(f"store {self.path} does not keep all fingerprints of records of up to {options.full} shingles: create it anew")
         self.parts, self.common = row["parts"], np.frombuffer(bytes(row["common"]), dtype=np.uint64)
 
     @classmethod
@@ -190,14 +216,15 @@ class Store:
         history = history.where("id is not null").select(F.col("id").cast("long").alias("id"), "text")
         common = common_shingles(history.where("length(text) > 0"), options.k, options.common_share, options.common_most)
         sk = durable(sketch(history, common, options))
-        entries = sk.agg(F.sum("nf")).first()[0] or 0
+        entries = to_store(sk).agg(F.sum(F.length("fps"))).first()[0] or 0
+        entries //= 8  # bytes each
         parts = max(8, math.ceil(entries / options.part_entries))
-        spark.createDataFrame([(parts, bytearray(common.tobytes()))], "parts int, common binary").write.parquet(f"{path.rstrip('/')}/layout")
+        spark.createDataFrame([(parts, bytearray(common.tobytes()), options.full)], "parts int, common binary, full int").write.parquet(f"{path.rstrip('/')}/layout")
         store = cls(spark, path, options)
         reps = sk.groupBy("whole").agg(F.min("id").alias("rep"))
         records = sk.select("id", "whole").join(reps, "whole").select("id", "whole", "rep")
         records.write.parquet(f"{store.path}/records")
-        segments(sk.join(reps.select(F.col("rep").alias("id")), "id", "left_semi"), store.parts, options).write.parquet(f"{store.path}/segments")
+        segments(to_store(sk.join(reps.select(F.col("rep").alias("id")), "id", "left_semi")), store.parts, options).write.parquet(f"{store.path}/segments")
         return store
 
     def segments(self) -> DataFrame:
@@ -218,6 +245,8 @@ def _unpack(fp: bytes, rec: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _candidates(asked: DataFrame, index: DataFrame, nf: DataFrame, o: Arrivals) -> DataFrame:
     """(a, b): records a of the index that may share enough fingerprints with the asked record b.
 
+    Whatever a record short enough to be looked up with all its shingles can resemble is stored with
+    all of its own, so F counts only what a can hold (else both sides have their winnowed marks).
     If b must find n = ceil(coverage * F) of its F fingerprints in a, any F - n + m of them hold m
     that a has (m up to n): the rarest are looked up, those nothing else has counting among them,
     and a must come up m times.
@@ -299,12 +328,14 @@ def ingest(store: Store, batch: DataFrame, id_col: str, batch_col: str, text_col
     speaks = timed.groupBy("whole").agg(F.min_by("id", "at").alias("rep"))
     member = durable(timed.join(speaks, "whole").select("id", "at", "rep", "whole"))
     reps = durable(sk.join(member.where("id = rep").select("id"), "id", "left_semi"))
-    own = durable(segments(reps, store.parts, o))
+    own = durable(segments(to_store(reps), store.parts, o))
+    asked = segments(reps, store.parts, o)
     old = store.segments()
-    pairs = durable(_candidates(own, old.union(own), reps.select("id", "nf"), o))
+    pairs = durable(_candidates(asked, old.union(own), reps.select("id", "nf"), o))
     new_ids = member.where("id = rep").select(F.col("id").alias("a"), F.lit(True).alias("new"), F.col("at").alias("at_a"))
     told = pairs.join(new_ids, "a", "left").join(member.where("id = rep").select(F.col("id").alias("b"), F.col("at").alias("at_b")), "b")
-    told = told.where("new is null or at_a < at_b")
+    late = F.coalesce(F.col("at_a") > F.col("at_b"), F.lit(False))  # met from the earlier record's side
+    told = told.select(F.when(late, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(late, F.col("a")).otherwise(F.col("b")).alias("b")).distinct()
     texts = docs.select("id", "text").union(history.select(F.col("id").cast("long"), "text"))
     wanted = durable(told.select("a", "b"))
     close = durable(_verify(wanted, texts, o.k, o.similarity, o.broadcast_ids).join(new_ids, "a", "left"))
@@ -336,7 +367,7 @@ def ingest(store: Store, batch: DataFrame, id_col: str, batch_col: str, text_col
         "at_a < at").select(F.col("a").alias("accepted_id"), F.col("id").alias("rec_id"))
     result = durable(copies.union(by_old).union(by_new))
     keep = rep_ok.select(F.col("rep").alias("id"))
-    store.append(segments(reps.join(keep, "id", "left_semi"), store.parts, o), member.join(keep, "id", "left_semi").select("id", "whole", "rep"))
+    store.append(segments(to_store(reps.join(keep, "id", "left_semi")), store.parts, o), member.join(keep, "id", "left_semi").select("id", "whole", "rep"))
     return result
 
 

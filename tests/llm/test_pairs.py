@@ -117,6 +117,28 @@ def test_store_goes_on_batch_by_batch(spark, arriving, tmp_path):
     assert got == want
 
 
+def test_arrivals_meet_across_the_length_of_short_records(spark, tmp_path):
+    rng, o = random.Random(8), arrivals.Arrivals(k=3, similarity=0.6)
+    history, late, pairs = {}, [], [(70, 60), (65, 64), (65, 40), (80, 50), (100, 62), (106, 64), (90, 90), (64, 64), (60, 66), (64, 100), (72, 110)] * 2
+    for i, (kept, new) in enumerate(pairs):  # shingles: two fewer than words
+        text = [f"w{i}x{rng.randrange(5000)}" for _ in range(max(kept, new) + 2)]
+        history[i] = " ".join(text[:kept + 2])
+        late.append((1, 1000 + i, " ".join(text[:new + 2])))
+        fresh = [f"v{i}x{rng.randrange(5000)}" for _ in range(max(kept, new) + 2)]
+        late += [(2, 2000 + i, " ".join(fresh[:kept + 2])), (3, 3000 + i, " ".join(fresh[:new + 2]))]
+        if kept == new:
+            late.append((1, 4000 + i, edited(rng, history[i], 4)))
+    repeated = " ".join(f"r{j % 50}" for j in range(200))  # few distinct shingles in a long text
+    history[900] = repeated
+    late.append((1, 4900, " ".join(repeated.split()[:54])))
+    want, _ = brute_arrivals(history, late, 3, 0.6)
+    h = spark.createDataFrame(list(history.items()), "id long, text string")
+    b = spark.createDataFrame(late, "no int, rec long, body string")
+    store = arrivals.Store.create(h, str(tmp_path / "store"), o)
+    got = {tuple(r) for r in arrivals.ingest(store, b, "rec", "no", "body", h).collect()}
+    assert len(want) >= 2 * len(pairs) and got == want
+
+
 def test_arrivals_on_empty_tables(spark, tmp_path):
     none = spark.createDataFrame([], "id long, text string")
     store = arrivals.Store.create(none, str(tmp_path / "s"), arrivals.Arrivals(k=3, similarity=0.6))
