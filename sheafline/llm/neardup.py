@@ -7,7 +7,8 @@ bits of one value agree or differ together, and values that agree together on un
 fewer values than the sum of (threshold + 1) meets in a partition for certain; beyond that radius
 a pair meets with a probability that follows from its similarity.  A dynamic programme picks the
 thresholds with the fewest candidate pairs, counted over all records on a slice of signature
-space, among those that reach the recall asked for at the similarity threshold itself.
+space, among those that reach the recall asked for at the similarity threshold itself, as the
+weights of shared stock phrases may lower it.
 Weighting stock phrases down keeps unrelated records apart; where they make up much of a record (it
 may be one of a mass of versions of one text), a second code without weights stands beside the first.
 Candidates are verified on their whole texts.
@@ -48,6 +49,15 @@ class NearDup:
     broadcast_ids: int = 500_000    # candidate ids or large buckets sent to all tasks at most; more are joined
     seed: int = 7
 
+    @property
+    def weighted(self) -> float:
+        """The least weighted similarity of a pair at the threshold that need not share an unweighted code.
+
+        One of its records has up to plain_share of common shingles, so they share at most that part of their union.
+        """
+        lost = self.plain_share * (1 - 0.5**self.common_shift)
+        return max(0.0, self.similarity - lost) / (1 - lost)
+
 
 def common_shingles(docs: DataFrame, k: int, share: float, most: int) -> np.ndarray:
     """Shingles frequent over all records: frequent in at least one chunk, then their chunk counts summed."""
@@ -293,7 +303,7 @@ def _rest(hits: DataFrame, large: DataFrame, codes: DataFrame, comp: DataFrame,
     pack = lambda d, p: d.groupBy("sig", "probe", "blk").agg(
         F.collect_list(F.struct("id", "root", "code", "plain")).alias(p)).withColumnRenamed("blk", f"{p}_blk")
     grid = pack(rows.where("root <> hub"), "l").join(pack(rows, "r"), ["sig", "probe"]).select("l", "r")
-    floor = 0.5 * o.similarity
+    floor = 0.5 * o.weighted
 
     def run(cols):
         for l, r in zip(cols["l"].to_pylist(), cols["r"].to_pylist()):
@@ -322,7 +332,8 @@ def near_duplicate_sets(df: DataFrame, id_col: str, text_col: str, options: Near
     docs = own_names(df, id=id_col, text=text_col).where(F.col("id").isNotNull())
     docs = docs.withColumn("id", F.col("id").cast("long"))
     with_text = docs.where(F.length("text") > 0)
-    codes_all = durable(_codes(with_text, common_shingles(with_text, o.k, o.common_share, o.common_most), o))
+    common = common_shingles(with_text, o.k, o.common_share, o.common_most)
+    codes_all = durable(_codes(with_text, common, o))
     reps = codes_all.groupBy("whole").agg(F.min("id").alias("rep"))
     member = codes_all.select("id", "whole").join(reps, "whole").select("id", "rep")
     codes = durable(codes_all.join(reps.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "code", "plain"))
@@ -341,7 +352,7 @@ def near_duplicate_sets(df: DataFrame, id_col: str, text_col: str, options: Near
     cost *= o.pair_cost             # ... against what it costs to hand out the signatures themselves
     cost[:, 0] += n
     cost[:, 1] += n * o.width
-    plan = allocate(cost, o.similarity, o.width, o.recall)
+    plan = allocate(cost, o.weighted if len(common) else o.similarity, o.width, o.recall)
     want = [(p, t) for p, t in enumerate(plan) if t >= 0]
 
     hits = _probe(codes, layout, want, hot=o.hot)

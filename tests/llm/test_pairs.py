@@ -44,6 +44,19 @@ def test_large_buckets_lose_nothing(spark):
     assert hot == got
 
 
+def test_pairs_that_share_stock_phrases_reach_the_recall(spark):
+    texts, n = {}, 400
+    for i in range(n):  # similarity 0.6, 29 of 100 shingles of either are stock; 0.48 by weight
+        stock = [f"s{i % 20}x{j}" for j in range(31)]
+        both = [f"b{i}x{j}" for j in range(46)]
+        for c in (0, 1):
+            texts[2 * i + c] = " ".join(stock + both + [f"o{i}x{c}x{j}" for j in range(25)])
+    assert similarity(shingles(texts[0], 3), shingles(texts[1], 3)) == 0.6
+    df = spark.createDataFrame(list(texts.items()), "id long, text string")
+    got = {r.id: r.set_id for r in neardup.near_duplicate_sets(df, "id", "text", neardup.NearDup(k=3, similarity=0.6)).collect()}
+    assert sum(got[2 * i] != got[2 * i + 1] for i in range(n)) <= 2
+
+
 def test_sets_of_nothing(spark):
     df = spark.createDataFrame([], "id long, text string")
     assert neardup.near_duplicate_sets(df, "id", "text").count() == 0
