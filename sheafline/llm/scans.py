@@ -447,15 +447,24 @@ def _hashes(words: list[str]) -> np.ndarray:
     return np.sort(vec.Words(words).hashes) if words else np.zeros(0, dtype=np.uint64)
 
 
+def _without_known_parts(found: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows but those whose word falls, in one of its ``ways``, into parts that are all known, the rarer ones too."""
+    parts = found.where("ways is not null").select("ways").distinct().select("ways", F.posexplode("ways").alias("way", "part"))
+    parts = parts.select("ways", "way", F.explode("part").alias("word")).join(known.select("word", F.lit(1).alias("is")), "word", "left")
+    gone = parts.groupBy("ways", "way").agg(F.bool_and(F.col("is").isNotNull()).alias("all")).where("all").select("ways").distinct()
+    return found.join(gone, "ways", "left_anti").select(found.columns)
+
+
 def _findings(records: DataFrame, o: Scans) -> tuple[DataFrame, DataFrame, dict]:
     """(id, no, defect, word, fix, at) rows and nothing else; words unknown with their verdicts; models."""
     known, words, models = _prepare(records, o)
     spark = records.sparkSession
     held = spark.sparkContext.broadcast((frozenset(words), models))  # o.known_words at most
+    whole = len(words) < o.known_words  # no rarer words are left to join
 
     def read(cols):
         have, models = held.value
-        out = {k: [] for k in ("id", "no", "defect", "word", "no2", "cut")}
+        out = {k: [] for k in ("id", "no", "defect", "word", "no2", "cut", "ways")}
 
         def add(*row):
             for k, v in zip(out, row):
@@ -466,28 +475,33 @@ def _findings(records: DataFrame, o: Scans) -> tuple[DataFrame, DataFrame, dict]
         for i, nos, lines, furn, goes in pages:
             for n, line in enumerate(lines):
                 if furn[n]:
-                    add(i, nos[n], "furniture", None, None, None)
+                    add(i, nos[n], "furniture", None, None, None, None)
                 elif goes[n] is not None:
-                    add(i, nos[n], "hyphen", None, None, None)
+                    add(i, nos[n], "hyphen", None, None, None, None)
             seen = set()
             for w, a, b, cut in words_of(lines, furn, goes):
                 f = w.lower()
-                if f in have or len(f) < 2 or (f, a) in seen:
+                if f in have or len(f) < 2:
                     continue
+                ways = []
                 if odd(w):
                     pass
                 elif any(c.isdigit() for c in f) or not any(c.isalpha() for c in f):
                     continue
-                elif a != b and f[:cut] in have and f[cut:] in have:
-                    continue
-                elif all(p in have for p in WORD.findall(f)):
+                else:
+                    ways = [WORD.findall(f)] + ([[f[:cut], f[cut:]]] if a != b else [])
+                    if any(all(p in have for p in x) for x in ways):
+                        continue
+                    ways = [] if whole else [x for x in ways if len(x) > 1]
+                if (f, a, str(ways)) in seen:
                     continue
-                seen.add((f, a))
-                add(i, nos[a], "word", f, nos[b], cut)
+                seen.add((f, a, str(ways)))
+                add(i, nos[a], "word", f, nos[b], cut, ways or None)
         yield out
 
     scanned = records.where("scanned and length(text) > 0").select("id", "text")
-    found = durable(map_batches(scanned, read, "id long, no int, defect string, word string, no2 int, cut int"))
+    found = map_batches(scanned, read, "id long, no int, defect string, word string, no2 int, cut int, ways array<array<string>>")
+    found = durable(found if whole else _without_known_parts(durable(found), known)).drop("ways")
     unknown = found.where("defect = 'word'").select("word").distinct().join(known.select("word"), "word", "left_anti")
     n = lambda c: F.length(c)
     h = F.greatest(F.lit(1), F.floor((n("word") - 2) / 2)).cast("int")

@@ -146,6 +146,18 @@ def test_scans_without_digital_records(spark):
     assert scans.scan_defects(df.limit(0), "id", "text", "o").count() == 0
 
 
+def test_parts_of_words_are_known_however_rare(spark, scanned):
+    rows, _ = scanned
+    rows = [*rows, *((i, "Der Text nennt quarzit und auch zinnober.", False) for i in (900, 901)), (902, "Hier steht quarzit'zinnober im Text,\nder auch quarzit'xyxyx nennt.", True)]
+    df = spark.createDataFrame(rows, "rec long, body string, ocr boolean")
+    found = {}
+    for most in (40, 50_000):
+        o = scans.Scans(known_words=most)
+        records = scans.as_records(df, "rec", "body", "ocr", o)
+        found[most] = {r.word for r in scans._findings(records, o)[0].where("id = 902 and defect = 'word'").collect()}
+    assert "quarzit'xyxyx" in found[40] and "quarzit'zinnober" not in found[40] and found[40] == found[50_000]
+
+
 def test_ranking_on_held_out_words():
     rng = np.random.default_rng(3)
     known = sorted(set(NOUNS))
