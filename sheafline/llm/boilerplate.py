@@ -202,6 +202,8 @@ def label_blocks(text: str, url: str | None = None) -> list[int]:
             end += 1
         run = range(i + 1, end)
         marked = [j for j in run if j <= i + 6 and TEASER.search(lines[j].strip())]
+        while marked and marked[-1] + 1 < end and TEASER.search(lines[marked[-1] + 1].strip()):
+            marked.append(marked[-1] + 1)
         last_of_page = end == n or box[end] or label[end] == FURNITURE
         if len(run) <= 5 and last_of_page:
             take = run

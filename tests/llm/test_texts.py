@@ -28,6 +28,13 @@ def test_page_body():
     assert boilerplate.label_blocks("Impressum\nSitemap", None) == [0, 0]
 
 
+def test_long_boxes_are_followed_to_their_last_teaser():
+    body = ["Die Hafenlehre ist ein Fach, das sich mit dem Bau und der Pflege der Häfen und ihrer Wege befasst."] * 2
+    teasers = [f"{n:02}.03.2024 Vortrag über die Arbeit der Leute an den Häfen und über das, was sie von der See wissen" for n in range(1, 13)]
+    lines = [*body, "Termine", *teasers, *body]
+    assert boilerplate.label_blocks("\n".join(lines)) == [1, 1, 0] + [0] * 12 + [1, 1]
+
+
 def test_page_tables(spark):
     text = "\n".join(l for _, l in PAGE)
     df = spark.createDataFrame([(1, text, None), (2, None, "u"), (None, text, "u"), (3, "", ""), (1, text, None)], "item long, body string, addr string").withColumn("id", F.lit("x")).withColumn("url", F.lit(1))
