@@ -27,7 +27,7 @@ class Leak:
     max_edits: int = 0              # word edits within which a window still counts
     sampled: int = 5                # sampled steps a repetition
     recall: float = 0.99            # for windows max_edits apart
-    most_repeats: int = 24
+    most_repeats: int = 24          # more are refused, not cut
     block_windows: int = 2_000_000  # item windows held in memory at once; more make further passes
     seed: int = 5
 
@@ -37,7 +37,10 @@ def repeats_needed(o: Leak) -> int:
     if o.max_edits == 0:
         return 1
     keep = max(0.05, (1 - 2.0 * o.max_edits / (2 * o.run))) ** o.sampled
-    return max(1, min(o.most_repeats, math.ceil(math.log(1 - o.recall) / math.log(1 - keep))))
+    need = max(1, math.ceil(math.log(1 - o.recall) / math.log(1 - keep)))
+    if need > o.most_repeats:
+        raise ValueError(f"a recall of {o.recall} at {o.max_edits} edits needs {need} repetitions; most_repeats allows {o.most_repeats}")
+    return need
 
 
 def plans(o: Leak) -> list[tuple[int, list[int]]]:

@@ -215,6 +215,13 @@ def test_neighbours_share_words(spark):
     assert np.mean([max(collections.Counter(v).values()) / len(v) for v in box.values()]) > 0.7
 
 
+def test_more_repetitions_than_allowed_are_refused():
+    assert leak.repeats_needed(leak.Leak(max_edits=2)) <= 24
+    with pytest.raises(ValueError):
+        leak.repeats_needed(leak.Leak(max_edits=4))
+    assert leak.repeats_needed(leak.Leak(max_edits=4, most_repeats=40)) == 33
+
+
 def test_leaks_match_scanning(spark):
     rng = random.Random(5)
     vocab = [f"v{i}" for i in range(50)]
