@@ -1,10 +1,14 @@
 """Problem 4: new batches against everything accepted before, without reading it again.
 
 A record's winnowed fingerprints (the smallest of each window of k-word shingle hashes) go into a
-persistent store: folders of segments by hash part, each with its sorted fingerprints, the records
-they come from and a Bloom filter.  A batch is screened part by part by the Bloom filters; positives
-are looked up; records that share enough fingerprints are verified on their whole texts; accepted
+persistent store: segments by hash part, each with its sorted fingerprints, the records they come
+from and a Bloom filter.  A batch is screened part by part by the Bloom filters; positives are
+looked up; records that share enough fingerprints are verified on their whole texts; accepted
 records are appended as new segments, filters included.
+
+The store needs nothing beside itself: it holds the texts it accepted, in buckets by id, and the
+hash of each whole word sequence, in buckets by hash, so that exact copies are found first and
+without fingerprints.  A batch reads the parts and buckets it touches and no others.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from . import vec
-from .cluster import durable, map_batches, map_stream, shared_dir
+from .cluster import Files, durable, map_batches, map_stream, sent_if_small, shared_dir
 from .neardup import _verify, common_shingles
 
 
@@ -34,11 +38,11 @@ class Arrivals:
     window: int = 12            # shingles a winnowing window
     short: int = 64             # records of up to this many distinct shingles are looked up with all of them
     common_share: float = 0.001 # shingles in more than this share of the history are picked last
-    common_most: int = 300_000  # of those, as many at most (a matter of speed only)
     coverage: float = 0.25      # share of a record's fingerprints a similar one must hold to be looked up
     shared: int = 3             # of which as many (or all, if fewer) must be met among the rarest
     segment: int = 1_000_000    # entries of a segment at most
     part_entries: int = 500_000 # entries a part is laid out for
+    bucket_chars: int = 16_000_000  # characters of text a bucket is laid out for
     bloom_bits: int = 12        # a fingerprint
     broadcast_ids: int = 500_000
 
@@ -83,7 +87,7 @@ def sketch(docs: DataFrame, common: np.ndarray, o: Arrivals) -> DataFrame:
     ``fps`` are the nf fingerprints a record is looked up with, ``kept`` those it is stored with (null if the same).
     """
     k = o.k
-    stock = docs.sparkSession.sparkContext.broadcast(common)  # common_most at most
+    stock = docs.sparkSession.sparkContext.broadcast(common)  # bounded by mean shingles / common_share
 
     def run(cols):
         ids, texts = cols["id"], cols["text"].to_pylist()
@@ -169,7 +173,11 @@ def segments(sketches: DataFrame, parts: int, o: Arrivals) -> DataFrame:
         if len(got):
             yield {"part": got.astype(np.int32), "fp": [low[c].tobytes() for c in cut], "rec": [_pack_ids(rec[c]) for c in cut]}
 
-    small = map_batches(sketches.select("id", "fps"), scatter, "part int, fp binary, rec binary")
+    return merged(map_batches(sketches.select("id", "fps"), scatter, "part int, fp binary, rec binary"), o)
+
+
+def merged(small: DataFrame, o: Arrivals) -> DataFrame:
+    """Segments of bounded size from rows (part, fp, rec)."""
     most, bits = o.segment, o.bloom_bits
     arrow = to_arrow_schema(StructType.fromDDL(SEGMENT))
 
@@ -196,46 +204,110 @@ def segments(sketches: DataFrame, parts: int, o: Arrivals) -> DataFrame:
         if held:
             yield flush()
 
-    return map_stream(small.repartition(min(parts, 2000), "part").sortWithinPartitions("part"), merge, SEGMENT)
+    return map_stream(small.repartition("part").sortWithinPartitions("part"), merge, SEGMENT)
+
+
+TABLES = {
+    "segments": (SEGMENT.replace("part int, ", ""), "part"),
+    "texts": ("id long, text string", "bucket"),       # of the first record of each word sequence
+    "wholes": ("whole long, rep long", "bucket"),      # word sequence -> that record
+    "copies": ("rep long, id long", "bucket"),         # that record -> its exact copies
+}
 
 
 class Store:
-    """Persistent fingerprints and records in a shared folder: segments/, records/ (id, whole, rep)."""
+    """What was accepted so far, in a shared folder: segments, texts, wholes and copies.
+
+    Each append writes new folders (gen=...) of all tables and then one numbered file of the log
+    that lists the generations in force.  Readers go by the last whole log file, so an append that
+    broke off leaves nothing behind but folders nobody reads; of two writers one fails.
+    """
 
     def __init__(self, spark: SparkSession, path: str, options: Arrivals):
         self.spark, self.path, self.o = spark, path.rstrip("/"), options
+        self.files = Files(spark, self.path)
         row = spark.read.parquet(f"{self.path}/layout").first()
-        if "full" not in row or row["full"] < options.full:
+        if "buckets" not in row:
+            raise ValueError(f"store {self.path} has no texts of its own: create it anew")
+        if row["full"] < options.full:
             raise ValueError(f"store {self.path} does not keep all fingerprints of records of up to {options.full} shingles: create it anew")
-        self.parts, self.common = row["parts"], np.frombuffer(bytes(row["common"]), dtype=np.uint64)
+        self.parts, self.buckets = row["parts"], row["buckets"]
+        self.common = np.frombuffer(bytes(row["common"]), dtype=np.uint64)
+        self.turn, self.gens, self.done = self._state()
+
+    def _state(self) -> tuple[int, list[str], list[str]]:
+        """Number of the last whole log file, the generations in force, the batches taken in by name."""
+        for name in sorted((n for n in self.files.names("log") if n.isdigit()), reverse=True):
+            said = self.files.read(f"log/{name}").split("\n")
+            if said[-1] == "end":
+                return int(name), [x[4:] for x in said if x.startswith("gen ")], [x[5:] for x in said if x.startswith("done ")]
+        return 0, [], []
 
     @classmethod
     def create(cls, history: DataFrame, path: str, options: Arrivals = Arrivals()) -> Store:
         """A store of ``history(id, text)``; null ids and texts of fewer than k words stay out."""
         spark = history.sparkSession
         history = history.where("id is not null").select(F.col("id").cast("long").alias("id"), "text")
-        common = common_shingles(history.where("length(text) > 0"), options.k, options.common_share, options.common_most)
+        common = common_shingles(history.where("length(text) > 0"), options.k, options.common_share)
         sk = durable(sketch(history, common, options))
-        entries = to_store(sk).agg(F.sum(F.length("fps"))).first()[0] or 0
-        entries //= 8  # bytes each
-        parts = max(8, math.ceil(entries / options.part_entries))
-        spark.createDataFrame([(parts, bytearray(common.tobytes()), options.full)], "parts int, common binary, full int").write.parquet(f"{path.rstrip('/')}/layout")
+        entries = (to_store(sk).agg(F.sum(F.length("fps"))).first()[0] or 0) // 8  # bytes each
+        chars = history.agg(F.sum(F.length("text"))).first()[0] or 0
+        layout = (max(8, math.ceil(entries / options.part_entries)), max(8, math.ceil(chars / options.bucket_chars)), bytearray(common.tobytes()), options.full)
+        spark.createDataFrame([layout], "parts int, buckets int, common binary, full int").write.parquet(f"{path.rstrip('/')}/layout")
         store = cls(spark, path, options)
         reps = sk.groupBy("whole").agg(F.min("id").alias("rep"))
-        records = sk.select("id", "whole").join(reps, "whole").select("id", "whole", "rep")
-        records.write.parquet(f"{store.path}/records")
-        segments(to_store(sk.join(reps.select(F.col("rep").alias("id")), "id", "left_semi")), store.parts, options).write.parquet(f"{store.path}/segments")
+        member = durable(sk.select("id", "whole").join(reps, "whole"))
+        first = durable(member.where("id = rep").select("id", "whole"))
+        own = to_store(sk.join(sent_if_small(first.select("id"), options.broadcast_ids), "id", "left_semi"))
+        store.append(segments(own, store.parts, options), history, first, member)
         return store
 
-    def segments(self) -> DataFrame:
-        return self.spark.read.schema(SEGMENT).parquet(f"{self.path}/segments")
-
-    def records(self) -> DataFrame:
-        return self.spark.read.schema("id long, whole long, rep long").parquet(f"{self.path}/records")
-
-    def append(self, seg: DataFrame, records: DataFrame) -> None:
-        seg.write.mode("append").parquet(f"{self.path}/segments")
-        records.write.mode("append").parquet(f"{self.path}/records")
+    def bucket(self, key: str):
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def read(self, table: str, at: DataFrame | None = None) -> DataFrame:
+        """Rows of a table in force, of the parts or buckets in the one column of ``at`` only.
+
+        Those are numbers of folders, so the layout bounds how many the driver sees.
+        """
+        columns, key = TABLES[table]
+        t = self.spark.read.schema(f"{columns}, gen string, {key} int").parquet(f"{self.path}/{table}").where(F.col("gen").isin(self.gens))
+        if at is not None:
+            touched = [r[0] for r in at.distinct().collect()]
+            if len(touched) < (self.parts if key == "part" else self.buckets):
+                t = t.where(F.col(key).isin(touched))
+        return t.drop("gen")
+
+    def _write(self, gen: str, table: str, df: DataFrame) -> None:
+        df.write.partitionBy(TABLES[table][1]).parquet(f"{self.path}/{table}/gen={gen}")
+
+    def _log(self, gens: list[str], done: list[str]) -> None:
+        self.files.create(f"log/{self.turn + 1:012d}", "\n".join([*(f"gen {g}" for g in gens), *(f"done {d}" for d in done), "end"]))
+        self.turn, self.gens, self.done = self.turn + 1, gens, done
+
+    def append(self, seg: DataFrame, texts: DataFrame, first: DataFrame, member: DataFrame, name: str | None = None) -> None:
+        """Add segments, the ``texts(id, text)`` of ``first(id, whole)``, and the other rows of ``member(id, rep)`` as copies."""
+        gen = f"g{uuid.uuid4().hex}"
+        self._write(gen, "segments", seg)
+        own = texts.select("id", "text").join(sent_if_small(first.select("id"), self.o.broadcast_ids), "id", "left_semi")
+        self._write(gen, "texts", own.withColumn("bucket", self.bucket("id")).repartition("bucket"))
+        self._write(gen, "wholes", first.select("whole", F.col("id").alias("rep"), self.bucket("whole").alias("bucket")).repartition("bucket"))
+        self._write(gen, "copies", member.where("id <> rep").select("rep", "id", self.bucket("rep").alias("bucket")).repartition("bucket"))
+        self._log([*self.gens, gen], self.done + ([name] if name else []))
+
+    def compact(self) -> None:
+        """Put all generations together as one, then drop the folders no log file in force lists."""
+        gen = f"g{uuid.uuid4().hex}"
+        index = self.read("segments")
+        fused = map_batches(index.select("part", "fp", "rec"), lambda cols: [{c: cols[c] for c in ("part", "fp", "rec")}], "part int, fp binary, rec binary")
+        self._write(gen, "segments", merged(fused, self.o))
+        for table in ("texts", "wholes", "copies"):
+            self._write(gen, table, self.read(table).repartition("bucket"))
+        self._log([gen], self.done)
+        for table in TABLES:
+            for name in self.files.names(table):
+                if name.startswith("gen=") and name[4:] not in self.gens:
+                    self.files.remove(f"{table}/{name}")
 
 
 def _unpack(fp: bytes, rec: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -311,63 +383,67 @@ def _candidates(asked: DataFrame, index: DataFrame, nf: DataFrame, o: Arrivals)
     return met.where(F.col("times") >= least).select("a", "b")
 
 
-def ingest(store: Store, batch: DataFrame, id_col: str, batch_col: str, text_col: str, history: DataFrame) -> DataFrame:
+def ingest(store: Store, batch: DataFrame, id_col: str, batch_col: str, text_col: str, name: str | None = None) -> DataFrame:
     """(accepted_id, rec_id): each rejected record with each accepted one it resembles; the store is updated.
 
     ``batch`` may hold several batches; records are taken by batch, then id (null batches first).
-    ``history(id, text)`` serves the texts of records in the store, read only for candidates.
     A record is rejected if its similarity to a stored or earlier accepted record reaches the
     threshold.  Records with null id are left out; those with fewer than k words are accepted and
-    match nothing.  Exact copies are decided together, the earliest speaking for them.
+    match nothing.  Exact copies are decided together, the earliest speaking for them; those of
+    stored records are known by the hash of their words before any fingerprint is looked up.  With
+    a ``name`` a batch taken in already is refused, so a job may be tried again.
     """
     o = store.o
+    if name and name in store.done:
+        raise ValueError(f"batch {name} is in store {store.path} already")
     docs = batch.select(batch[id_col].cast("long").alias("id"), batch[batch_col].alias("batch"), batch[text_col].alias("text")).where("id is not null")
     when = docs.select("id", F.struct("batch", "id").alias("at"))
     sk = durable(sketch(docs.select("id", "text"), store.common, o))
     timed = durable(sk.select("id", "whole").join(when, "id"))
     speaks = timed.groupBy("whole").agg(F.min_by("id", "at").alias("rep"))
     member = durable(timed.join(speaks, "whole").select("id", "at", "rep", "whole"))
-    reps = durable(sk.join(member.where("id = rep").select("id"), "id", "left_semi"))
+    first = durable(member.where("id = rep").select("id", "at", "whole"))
+    reps = durable(sk.join(first.select("id"), "id", "left_semi"))
+    same = durable(store.read("wholes", first.select(store.bucket("whole"))).join(first.select("id", "whole"), "whole").select(F.col("rep").alias("a"), F.col("id").alias("b")))
     own = durable(segments(to_store(reps), store.parts, o))
-    asked = segments(reps, store.parts, o)
-    old = store.segments()
-    pairs = durable(_candidates(asked, old.union(own), reps.select("id", "nf"), o))
-    new_ids = member.where("id = rep").select(F.col("id").alias("a"), F.lit(True).alias("new"), F.col("at").alias("at_a"))
-    told = pairs.join(new_ids, "a", "left").join(member.where("id = rep").select(F.col("id").alias("b"), F.col("at").alias("at_b")), "b")
+    asked = durable(segments(reps, store.parts, o).select("part", "fp", "rec"))
+    index = store.read("segments", asked.select("part")).select(*own.columns).union(own)
+    pairs = durable(_candidates(asked, index, reps.select("id", "nf"), o))
+    new_ids = first.select(F.col("id").alias("a"), F.lit(True).alias("new"), F.col("at").alias("at_a"))
+    told = pairs.join(new_ids, "a", "left").join(first.select(F.col("id").alias("b"), F.col("at").alias("at_b")), "b")
     late = F.coalesce(F.col("at_a") > F.col("at_b"), F.lit(False))  # met from the earlier record's side
-    told = told.select(F.when(late, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(late, F.col("a")).otherwise(F.col("b")).alias("b")).distinct()
-    texts = docs.select("id", "text").union(history.select(F.col("id").cast("long"), "text"))
-    wanted = durable(told.select("a", "b"))
-    close = durable(_verify(wanted, texts, o.k, o.similarity, o.broadcast_ids).join(new_ids, "a", "left"))
+    told = told.select(F.when(late, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(late, F.col("a")).otherwise(F.col("b")).alias("b"),
+                       F.col("new").isNull().alias("old")).distinct()
+    wanted = durable(told.join(same, ["a", "b"], "left_anti"))
+    stored = wanted.where("old").select(store.bucket("a"))
+    texts = docs.select("id", "text").union(store.read("texts", stored).select("id", "text"))
+    close = _verify(wanted.select("a", "b"), texts, o.k, o.similarity, o.broadcast_ids).select("a", "b").union(same)
+    close = durable(close.join(new_ids, "a", "left"))
 
     against_old = close.where("new is null").select("b").distinct()
     edges = durable(close.where("new").join(against_old, "b", "left_anti").join(
         against_old.select(F.col("b").alias("a")), "a", "left_anti").select("a", "b"))
-    accepted_by_turn = []
-    while not edges.isEmpty():
+    rejected = against_old
+    while not edges.isEmpty():  # whoever has no earlier rival left is accepted, and rejects those after it
         ok = durable(edges.select("a").distinct().join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_anti"))
-        accepted_by_turn.append(ok)
         out = durable(edges.join(ok, "a", "left_semi").select("b").distinct())
-        edges = edges.join(out, "b", "left_anti").join(out.select(F.col("b").alias("a")), "a", "left_anti")
-        edges = durable(edges.join(ok, "a", "left_anti"))
-        accepted_by_turn[-1] = (ok, out)
-    rejected = against_old
-    for _, out in accepted_by_turn:
         rejected = rejected.union(out)
+        edges = durable(edges.join(out, "b", "left_anti").join(out.select(F.col("b").alias("a")), "a", "left_anti").join(ok, "a", "left_anti"))
     rejected = durable(rejected.distinct())
 
-    rep_ok = member.where("id = rep").join(rejected.select(F.col("b").alias("id")), "id", "left_anti").select(F.col("id").alias("rep"), F.col("at").alias("at_a"))
-    rep_ok = durable(rep_ok)
+    rep_ok = durable(first.join(rejected.select(F.col("b").alias("id")), "id", "left_anti").select(F.col("id").alias("rep"), F.col("at").alias("at_a")))
     copies = member.where("id <> rep").join(rep_ok.select("rep"), "rep", "left_semi").select(F.col("rep").alias("accepted_id"), F.col("id").alias("rec_id"))
-    lost = member.join(rejected.select(F.col("b").alias("rep")), "rep", "left_semi")
-    stored = store.records().select(F.col("id").alias("accepted_id"), F.col("rep").alias("a"))
-    by_old = close.where("new is null").select("a", F.col("b").alias("rep")).join(stored, "a").join(lost, "rep").select("accepted_id", F.col("id").alias("rec_id"))
+    lost = durable(member.join(rejected.select(F.col("b").alias("rep")), "rep", "left_semi").select("id", "at", "rep"))
+    hit = durable(close.where("new is null").select("a", F.col("b").alias("rep")))
+    again = store.read("copies", hit.select(store.bucket("a"))).select(F.col("rep").alias("a"), F.col("id").alias("accepted_id"))
+    by_old = hit.select("rep", F.col("a").alias("accepted_id")).union(hit.join(again, "a").select("rep", "accepted_id"))
+    by_old = by_old.join(lost, "rep").select("accepted_id", F.col("id").alias("rec_id"))
     both = close.where("new").select("a", "b").union(close.where("new").select(F.col("b").alias("a"), F.col("a").alias("b")))
     by_new = both.select("a", F.col("b").alias("rep")).join(rep_ok.select(F.col("rep").alias("a"), "at_a"), "a").join(lost, "rep").where(
         "at_a < at").select(F.col("a").alias("accepted_id"), F.col("id").alias("rec_id"))
     result = durable(copies.union(by_old).union(by_new))
-    keep = rep_ok.select(F.col("rep").alias("id"))
-    store.append(segments(to_store(reps.join(keep, "id", "left_semi")), store.parts, o), member.join(keep, "id", "left_semi").select("id", "whole", "rep"))
+    keep = durable(first.join(rep_ok.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "whole"))
+    store.append(segments(to_store(reps.join(keep.select("id"), "id", "left_semi")), store.parts, o), docs, keep, keep.select("id", F.col("id").alias("rep")), name)
     return result
 
 

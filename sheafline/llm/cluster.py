@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -15,14 +16,52 @@ from ..session import ship
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a private one only where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or what the context was given.
+
+    Only a session whose executors are threads of this process (``local[...]``) may do without;
+    on a cluster an unset folder is an error, never a folder of one machine.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not re.match(r"local(\[.*\])?$", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="sheafline-"))
     return named or sc._jsc.sc().getCheckpointDir().get()
 
 
+class Files:
+    """A few files of a shared folder through the Hadoop file system."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.path = spark._jvm.org.apache.hadoop.fs.Path
+        self.root = root.rstrip("/")
+        self.fs = self.path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self.path(f"{self.root}/{name}")
+
+    def names(self, folder: str) -> list[str]:
+        here = self._at(folder)
+        return [x.getPath().getName() for x in self.fs.listStatus(here)] if self.fs.exists(here) else []
+
+    def read(self, name: str) -> str:
+        stream = self.fs.open(self._at(name))
+        try:
+            return bytes(stream.readAllBytes()).decode("utf-8")
+        finally:
+            stream.close()
+
+    def create(self, name: str, text: str) -> None:
+        """A new file; one that is there already is an error, so of two writers one fails."""
+        stream = self.fs.create(self._at(name), False)
+        stream.write(bytearray(text.encode("utf-8")))
+        stream.close()
+
+    def remove(self, name: str) -> None:
+        self.fs.delete(self._at(name), True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the shared folder, which outlives any executor."""
     shared_dir(df.sparkSession)

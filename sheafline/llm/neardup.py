@@ -38,7 +38,6 @@ class NearDup:
     recall: float = 0.998
     common_share: float = 0.01      # shingles in more than this share of records are weighted down
     common_shift: int = 5           # ... by 2 ** this
-    common_most: int = 50_000       # of those, as many at most (a matter of speed only)
     plain_share: float = 0.3        # records with more common shingles than this get a second, unweighted code
     slice_of: int = 16              # candidate counts are taken on 1 / this of signature space
     pair_cost: float = 40.0         # what fetching and verifying a pair costs, in signatures
@@ -59,8 +58,12 @@ class NearDup:
         return max(0.0, self.similarity - lost) / (1 - lost)
 
 
-def common_shingles(docs: DataFrame, k: int, share: float, most: int) -> np.ndarray:
-    """Shingles frequent over all records: frequent in at least one chunk, then their chunk counts summed."""
+def common_shingles(docs: DataFrame, k: int, share: float) -> np.ndarray:
+    """Shingles frequent over all records: frequent in at least one chunk, then their chunk counts summed.
+
+    There can be no more of them than the mean number of shingles of a record divided by ``share``,
+    however many records there are.
+    """
 
     def local(cols):
         texts = cols["text"].to_pylist()
@@ -81,8 +84,7 @@ def common_shingles(docs: DataFrame, k: int, share: float, most: int) -> np.ndar
     counts = durable(map_batches(docs.select("text"), local, "h long, n long, docs long").groupBy("h").agg(
         F.sum("n").alias("n"), F.sum("docs").alias("docs")))
     total = counts.agg(F.max("docs")).first()[0] or 0
-    rows = counts.where((F.col("n") > 0) & (F.col("n") >= share * total)).orderBy(
-        F.desc("n"), "h").limit(most).select("h").collect()
+    rows = counts.where((F.col("n") > 0) & (F.col("n") >= share * total)).select("h").collect()
     return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
 
 
@@ -251,7 +253,8 @@ def _probe(codes: DataFrame, layout: list[list[int]], want: list[tuple[int, int]
 def _verify(pairs: DataFrame, docs: DataFrame, k: int, similarity: float, broadcast_ids: int) -> DataFrame:
     """The pairs (a, b), written already, whose whole texts reach the similarity, with it.
 
-    Only the texts of candidates are moved: their ids go to the scan if they are few enough.
+    Only the texts of candidates are moved: their ids go to the scan if they are few enough.  A
+    candidate without a text is an error.
     """
     ids = durable(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
     texts = docs.join(sent_if_small(ids, broadcast_ids), "id", "left_semi")
@@ -263,6 +266,8 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, similarity: float, broadc
         ids, at = np.unique(np.concatenate([a, b]), return_index=True)  # each text of the batch is read once
         ta, tb = cols["ta"], cols["tb"]
         texts = [ta[i].as_py() if i < len(a) else tb[i - len(a)].as_py() for i in at.tolist()]
+        if None in texts:
+            raise ValueError(f"no text for record {ids[texts.index(None)]}")
         sets: list = []
         for s, e in vec.chunks(np.fromiter((len(t or "") for t in texts), dtype=np.int64, count=len(texts))):
             h, off, _ = vec.Words(texts[s:e]).shingles(k)
@@ -273,7 +278,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, similarity: float, broadc
         if len(ok):
             yield {"a": a[ok], "b": b[ok], "similarity": sims[ok]}
 
-    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), run, "a long, b long, similarity double")
+    return map_batches(pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "ta", "tb"), run, "a long, b long, similarity double")
 
 
 def _close_pairs(hits: DataFrame, o: NearDup) -> tuple[DataFrame, DataFrame]:
@@ -332,7 +337,7 @@ def near_duplicate_sets(df: DataFrame, id_col: str, text_col: str, options: Near
     docs = own_names(df, id=id_col, text=text_col).where(F.col("id").isNotNull())
     docs = docs.withColumn("id", F.col("id").cast("long"))
     with_text = docs.where(F.length("text") > 0)
-    common = common_shingles(with_text, o.k, o.common_share, o.common_most)
+    common = common_shingles(with_text, o.k, o.common_share)
     codes_all = durable(_codes(with_text, common, o))
     reps = codes_all.groupBy("whole").agg(F.min("id").alias("rep"))
     member = codes_all.select("id", "whole").join(reps, "whole").select("id", "rep")

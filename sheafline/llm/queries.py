@@ -60,7 +60,7 @@ def p2_split(spark: SparkSession, d: str) -> DataFrame:
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     history = table(spark, d, "doc_record").select(F.col("rec_id").alias("id"), "text")
     store = Store.create(history, fresh_store_path(spark), Arrivals(k=3, similarity=0.6))
-    return ingest(store, table(spark, d, "doc_batch"), "rec_id", "batch_no", "text", history)
+    return ingest(store, table(spark, d, "doc_batch"), "rec_id", "batch_no", "text")
 
 
 def _digital(spark: SparkSession, d: str) -> DataFrame:
