@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from . import oracles
 from .arrivals import Arrivals, Store, fresh_store_path, ingest
 from .boilerplate import furniture_lines, main_bodies
-from .leak import leaks
+from .leak import Leak, leaks
 from .neardup import NearDup, near_duplicate_sets, set_pairs
 from .packing import Packing, pack
 from .pieces import split_pieces
@@ -97,6 +97,11 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_item"), "item_id", "text")
 
 
+def p8_edited(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold a window as long as the item with up to one word in twelve edited."""
+    return leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_item"), "item_id", "text", Leak(max_edits=1, item_sized=True, sampled=6))
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_bodies": p1_bodies,
     "p2_found": p2_found, "p2_split": p2_split,
@@ -105,7 +110,7 @@ QUERIES = {
     "p5_found": p5_found, "p5_clean": p5_clean,
     "p6_found": p6_found, "p6_repaired": p6_repaired,
     "p7_pack": p7_pack,
-    "p8_found": p8_found,
+    "p8_found": p8_found, "p8_edited": p8_edited,
     "p9_pieces": p9_pieces,
 }
 SQL: dict[str, str] = oracles.SQL

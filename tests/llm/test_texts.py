@@ -215,13 +215,6 @@ def test_neighbours_share_words(spark):
     assert np.mean([max(collections.Counter(v).values()) / len(v) for v in box.values()]) > 0.7
 
 
-def test_more_repetitions_than_allowed_are_refused():
-    assert leak.repeats_needed(leak.Leak(max_edits=2)) <= 24
-    with pytest.raises(ValueError):
-        leak.repeats_needed(leak.Leak(max_edits=4))
-    assert leak.repeats_needed(leak.Leak(max_edits=4, most_repeats=40)) == 33
-
-
 def test_leaks_match_scanning(spark):
     rng = random.Random(5)
     vocab = [f"v{i}" for i in range(50)]
@@ -248,19 +241,73 @@ def test_leaks_match_scanning(spark):
     assert leak.leaks(d.limit(0), "doc", "body", i, "item", "body").count() == 0 and leak.leaks(d, "doc", "body", i.limit(0), "item", "body").count() == 0
 
 
-def test_edited_windows_are_found(spark):
-    rng = random.Random(2)
-    items = [(i, " ".join(f"q{i}x{k}" for k in range(12))) for i in range(120)]
+def brute_distance(a, b):
+    d = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, d[0] = d[0], i
+        for j, y in enumerate(b, 1):
+            last, d[j] = d[j], min(d[j] + 1, d[j - 1] + 1, last + (x != y))
+    return d[-1]
+
+
+def with_edits(rng, w, n):
+    w = list(w)
+    for _ in range(n):
+        k, kind = rng.randrange(len(w)), rng.randrange(3)
+        w[k:k + (kind != 1)] = [] if kind == 2 else [f"n{rng.randrange(10**6)}"]
+    return w
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3, 4])
+def test_edited_windows_reach_the_recall(spark, edits):
+    rng = random.Random(edits)
+    items, docs, n = [], [], 0
+    while n < 500:  # documents of one window each, truly ``edits`` edits from the item's
+        w = [f"q{n}x{k}" for k in range(12)]
+        v = (with_edits(rng, w, edits) + [f"r{n}x{k}" for k in range(12)])[:12]
+        if brute_distance(w, v) == edits:
+            items.append((n, " ".join(w)))
+            docs.append((n, " ".join(v)))
+            n += 1
+    o = leak.Leak(max_edits=edits)
+    table = lambda rows: spark.createDataFrame(rows, "id long, text string")
+    got = {tuple(r) for r in leak.leaks(table(docs), "id", "text", table(items), "id", "text", o).collect()}
+    assert got <= {(i, i) for i in range(n)} and len(got) >= 0.99 * n
+    if edits < 3:
+        assert leak.leaks(table(docs), "id", "text", table(items), "id", "text", leak.Leak(max_edits=edits - 1)).count() == 0
+
+
+def test_windows_grow_with_the_item(spark):
+    rng = random.Random(3)
+    vocab = [f"v{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(n))) for i, n in enumerate((12, 23, 24, 40, 47, 48, 70, 100, 120) * 6)]
     docs = []
     for i, t in items:
+        w, size = t.split(), 12 * 2 ** int(np.log2(len(t.split()) / 12))
+        for part, off in ((w[:size], 0), (w[-size:], 1000), (w[:size - size // 12 - 1], 2000)):  # the last is short by more than may be edited
+            v = with_edits(rng, part, size // 24) if off < 2000 else part
+            docs.append((i + off, " ".join([f"a{k}" for k in range(15)] + v + [f"b{k}" for k in range(15)])))
+    o = leak.Leak(max_edits=1, item_sized=True)
+    table = lambda rows: spark.createDataFrame(rows, "id long, text string")
+    got = {tuple(r) for r in leak.leaks(table(docs), "id", "text", table(items), "id", "text", o).collect()}
+    want = set()
+    for d, t in docs:
         w = t.split()
-        k = rng.randrange(12)
-        w[k:k + 1] = [["anders"], [], [w[k], "dazu"]][i % 3][:2]
-        docs.append((i, "vorne " * 5 + " ".join(w) + " hinten" * 5))
-    o = leak.Leak(max_edits=2)
-    got = {tuple(r) for r in leak.leaks(spark.createDataFrame(docs, "id long, text string"), "id", "text", spark.createDataFrame(items, "id long, text string"), "id", "text", o).collect()}
-    assert all(a == b for a, b in got) and len(got) >= 0.9 * len(items)
-    assert leak.edit_distance_within(np.array([1, 2, 3]), np.array([1, 3]), 1) and not leak.edit_distance_within(np.array([1, 2, 3]), np.array([3, 2, 1]), 1)
+        i = d % 1000
+        x = items[i][1].split()
+        size = 12 * 2 ** int(np.log2(len(x) / 12))
+        if any(brute_distance(x[p:p + size], w[q:q + size]) <= size // 12 for p in range(len(x) - size + 1) for q in range(max(0, 15 - 4), min(len(w) - size, 15 + size // 12 + 4) + 1)):
+            want.add((d, i))
+    assert got <= want and len(got) >= 0.99 * len(want) and len(want) >= 100
+
+
+def test_distances_of_many_rows():
+    rng = np.random.default_rng(0)
+    a = rng.integers(0, 4, (300, 9)).astype(np.uint64)
+    b = np.where(rng.random((300, 9)) < 0.7, a, rng.integers(0, 4, (300, 9)).astype(np.uint64))
+    b[:100] = np.roll(b[:100], 1, 1)
+    for most in range(4):
+        assert leak.distance_within(a, b, most).tolist() == [brute_distance(x.tolist(), y.tolist()) <= most for x, y in zip(a, b)]
 
 
 def check_pieces(text, rows, limit, overlap):
