@@ -8,11 +8,11 @@ lengths into offsets, look back for the overlap and cut the text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
@@ -111,24 +111,49 @@ def split_pieces(df: DataFrame, id_col: str, text_col: str, limit: int = 512, ov
     docs = own_names(df, id=id_col, text=text_col).where("id is not null and length(text) > 0")
     marked = map_batches(docs.withColumn("id", F.col("id").cast("long")), mark, "id long, text string, marks string, ends array<int>")
     size = limit - overlap
-    block = 4096
+    ends, blocks, marks = F.col("ends"), _blocks(F.col("text")), _blocks(F.col("marks"))
     eaten = F.transform(F.regexp_extract_all("marks", F.lit(f"({cut_pattern(size)})"), F.lit(1)), F.length)
     one = F.when(F.length("marks") <= limit, F.array(F.length("marks"))).otherwise(eaten)
-    sums = F.aggregate("eaten", F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-    cut = (
-        marked.withColumn("eaten", one).withColumn("sums", sums)
-        .withColumn("blocks", F.regexp_extract_all("text", F.lit(f"(?s)(.{{1,{block}}})"), F.lit(1)))
-        .withColumn("at", F.explode(F.sequence(F.lit(1), F.size("eaten"))))
-    )
-    upto = F.get("sums", F.col("at"))
-    begin = F.when(F.col("at") == 1, F.lit(0)).otherwise(F.get("sums", F.col("at") - 1))
-    back = F.greatest(F.lit(0), begin - overlap)
-    for _ in range(3):  # a character has four bytes at most
-        back = F.when((back > 0) & (F.substr("marks", back, F.lit(1)) == "-"), back + 1).otherwise(back)
-    rows = cut.select("id", "at", "ends", "blocks", upto.alias("upto"), begin.alias("begin"), back.alias("back"))
-    rows = rows.withColumn("c0", F.when(F.col("back") == 0, F.lit(0)).otherwise(F.get("ends", F.col("back") - 1))).withColumn("c1", F.get("ends", F.col("upto") - 1))
-    b0 = F.floor(F.col("c0") / block).cast("int")
-    b1 = F.floor((F.col("c1") - 1) / block).cast("int")
-    text = F.substr(F.array_join(F.slice("blocks", b0 + 1, b1 - b0 + 1), ""), F.col("c0") - b0 * block + 1, F.col("c1") - F.col("c0"))
-    return rows.select("id", F.col("at").alias("piece_no"), F.col("c0").alias("start_char"), F.col("c1").alias("end_char"),
-                       (F.col("upto") - F.col("back")).alias("n_tokens"), (F.col("begin") - F.col("back")).alias("overlap_tokens"), text.alias("piece"))
+
+    def piece(sums, blocks, marks, i):
+        upto, begin = F.get(sums, i), F.when(i == 0, F.lit(0)).otherwise(F.get(sums, i - 1))
+        inside = lambda at: F.substr(F.get(marks, F.floor((at - 1) / BLOCK).cast("int")), F.pmod(at - 1, F.lit(BLOCK)) + 1, F.lit(1)) == "-"
+        back = F.greatest(F.lit(0), begin - overlap)
+        for _ in range(3):  # a character has four bytes at most
+            back = F.when((back > 0) & inside(back), back + 1).otherwise(back)
+        c0 = lambda b: F.when(b == 0, F.lit(0)).otherwise(F.get(ends, b - 1))
+        return _let(back, lambda b: _let(F.struct(c0(b).alias("c0"), F.get(ends, upto - 1).alias("c1")), lambda c: F.struct(
+            (i + 1).alias("piece_no"), c["c0"].alias("start_char"), c["c1"].alias("end_char"), (upto - b).alias("n_tokens"), (begin - b).alias("overlap_tokens"),
+            _cut(blocks, c["c0"], c["c1"]).alias("piece"))))
+
+    pieces = _let(_let(one, lambda n: _running(n)), lambda sums: _let(F.struct(blocks.alias("text"), marks.alias("marks")), lambda x: F.transform(
+        F.sequence(F.lit(0), F.size(sums) - 1), lambda i: piece(sums, x["text"], x["marks"], i))))
+    return marked.select("id", F.inline(pieces))
+
+
+BLOCK = 4096
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _blocks(text: Column) -> Column:
+    """A text in blocks of BLOCK characters: where a character is, is then known without counting from the start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(.{{1,{BLOCK}}})"), F.lit(1))
+
+
+def _cut(blocks: Column, c0: Column, c1: Column) -> Column:
+    """The characters from c0 up to c1."""
+    b0, b1 = F.floor(c0 / BLOCK).cast("int"), F.floor((c1 - 1) / BLOCK).cast("int")
+    return F.substr(F.array_join(F.slice(blocks, b0 + 1, b1 - b0 + 1), ""), c0 - b0 * BLOCK + 1, c1 - c0)
+
+
+def _running(x: Column, step: int = 64) -> Column:
+    """Running sums of an array: within runs of ``step``, on top of the running sums of the runs."""
+    add = lambda acc, v: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + v))
+    sums = lambda a: F.aggregate(a, F.array().cast("array<int>"), add)
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / step).cast("int")), lambda k: sums(F.slice(x, k * step + 1, step)))
+    return _let(runs, lambda r: _let(sums(F.transform(r, lambda a: F.element_at(a, -1))), lambda total: F.flatten(
+        F.zip_with(r, total, lambda a, t: F.transform(a, lambda v: v + t - F.element_at(a, -1))))))
