@@ -39,7 +39,7 @@ class Arrivals:
     short: int = 64             # records of up to this many distinct shingles are looked up with all of them
     common_share: float = 0.001 # shingles in more than this share of the history are picked last
     coverage: float = 0.25      # share of a record's fingerprints a similar one must hold to be looked up
-    shared: int = 3             # of which as many (or all, if fewer) must be met among the rarest
+    shared: int = 5             # of which as many (or all, if fewer) must be met among the rarest
     segment: int = 1_000_000    # entries of a segment at most
     part_entries: int = 500_000 # entries a part is laid out for
     bucket_chars: int = 16_000_000  # characters of text a bucket is laid out for
@@ -82,9 +82,11 @@ def distinct(h: np.ndarray, off: np.ndarray, at: np.ndarray) -> tuple[np.ndarray
 
 
 def sketch(docs: DataFrame, common: np.ndarray, o: Arrivals) -> DataFrame:
-    """(id, whole, nf, fps, kept) of each record with at least k words; shingles in ``common`` are picked last.
+    """(id, whole, nf, need, fps, kept) of each record with at least k words; shingles in ``common`` are picked last.
 
-    ``fps`` are the nf fingerprints a record is looked up with, ``kept`` those it is stored with (null if the same).
+    ``fps`` are the nf fingerprints a record is looked up with, ``kept`` those it is stored with (null if
+    the same), ``need`` how many of its nf a similar record holds: where those are all its shingles
+    and the other's too, that follows from the similarity.
     """
     k = o.k
     stock = docs.sparkSession.sparkContext.broadcast(common)  # bounded by mean shingles / common_share
@@ -112,11 +114,12 @@ def sketch(docs: DataFrame, common: np.ndarray, o: Arrivals) -> DataFrame:
             few, full = may & (n <= max(o.short, o.window)), may & (n <= o.full)
             some = [marks[bound[i]:bound[i + 1]].tobytes() for i in ok]
             whole = [every[all_bound[i]:all_bound[i + 1]].tobytes() if full[i] else None for i in ok]
-            yield {"id": ids.take(pa.array(ok + a)), "whole": vec.signed(vec.text_hashes(w)[ok]),
-                   "nf": np.where(few, n, np.diff(bound))[ok], "fps": [e if f else s for e, s, f in zip(whole, some, few[ok])],
+            nf = np.where(few, n, np.diff(bound))
+            need = np.ceil(nf * np.where(few, o.similarity, o.coverage) - 1e-9).astype(np.int64)
+            yield {"id": ids.take(pa.array(ok + a)), "whole": vec.signed(vec.text_hashes(w)[ok]), "nf": nf[ok], "need": need[ok], "fps": [e if f else s for e, s, f in zip(whole, some, few[ok])],
                    "kept": [None if f else e for e, f in zip(whole, few[ok])]}
 
-    return map_batches(docs.where("length(text) > 0"), run, "id long, whole long, nf int, fps binary, kept binary")
+    return map_batches(docs.where("length(text) > 0"), run, "id long, whole long, nf int, need int, fps binary, kept binary")
 
 
 def to_store(sketches: DataFrame) -> DataFrame:
@@ -319,7 +322,7 @@ def _candidates(asked: DataFrame, index: DataFrame, nf: DataFrame, o: Arrivals)
 
     Whatever a record short enough to be looked up with all its shingles can resemble is stored with
     all of its own, so F counts only what a can hold (else both sides have their winnowed marks).
-    If b must find n = ceil(coverage * F) of its F fingerprints in a, any F - n + m of them hold m
+    If b must find n of its F fingerprints in a, any F - n + m of them hold m
     that a has (m up to n): the rarest are looked up, those nothing else has counting among them,
     and a must come up m times.
     """
@@ -345,9 +348,9 @@ def _candidates(asked: DataFrame, index: DataFrame, nf: DataFrame, o: Arrivals)
 
     seen = map_batches(positive.join(index.select("part", "seg", "fp"), ["part", "seg"]), count, "part int, fp long, b long, n long")
     seen = seen.groupBy("b", "part", "fp").agg(F.sum("n").alias("n")).where("n > 1")  # one is b itself
-    need = F.ceil(F.col("nf") * o.coverage)
+    need = F.col("need")
     least = F.least(need, F.lit(o.shared))
-    ranked = seen.join(nf.select(F.col("id").alias("b"), "nf"), "b").withColumn(
+    ranked = seen.join(nf.select(F.col("id").alias("b"), "nf", "need"), "b").withColumn(
         "rank", F.row_number().over(W.partitionBy("b").orderBy("n", "part", "fp"))).withColumn(
         "known", F.count("*").over(W.partitionBy("b")))
     chosen = ranked.where(F.col("rank") + F.col("nf") - F.col("known") <= F.col("nf") - need + least).select("part", "fp", "b")
@@ -379,7 +382,7 @@ def _candidates(asked: DataFrame, index: DataFrame, nf: DataFrame, o: Arrivals)
                     yield {"a": pair[:, 0], "b": pair[:, 1], "times": times}
 
     met = map_batches(packed.join(index.select("part", "fp", "rec"), "part"), post, "a long, b long, times long")
-    met = met.groupBy("a", "b").agg(F.sum("times").alias("times")).join(nf.select(F.col("id").alias("b"), "nf"), "b")
+    met = met.groupBy("a", "b").agg(F.sum("times").alias("times")).join(nf.select(F.col("id").alias("b"), "need"), "b")
     return met.where(F.col("times") >= least).select("a", "b")
 
 
@@ -408,7 +411,7 @@ def ingest(store: Store, batch: DataFrame, id_col: str, batch_col: str, text_col
     own = durable(segments(to_store(reps), store.parts, o))
     asked = durable(segments(reps, store.parts, o).select("part", "fp", "rec"))
     index = store.read("segments", asked.select("part")).select(*own.columns).union(own)
-    pairs = durable(_candidates(asked, index, reps.select("id", "nf"), o))
+    pairs = durable(_candidates(asked, index, reps.select("id", "nf", "need"), o))
     new_ids = first.select(F.col("id").alias("a"), F.lit(True).alias("new"), F.col("at").alias("at_a"))
     told = pairs.join(new_ids, "a", "left").join(first.select(F.col("id").alias("b"), F.col("at").alias("at_b")), "b")
     late = F.coalesce(F.col("at_a") > F.col("at_b"), F.lit(False))  # met from the earlier record's side
