@@ -1,9 +1,10 @@
 """Problem 7: containers of fixed capacity filled with lexically near items.
 
-Items are texts, or the capacity-sized parts of a text that alone exceeds a container.  Shards of a
-bounded number of items each build a BM25 inverted index; the largest unused item seeds a
-container, its nearest unused neighbours fill it greedily, and what then remains goes to the largest
-unused items that fit.
+Items are texts, or the capacity-sized parts of a text that alone exceeds a container.  Items are
+laid out in the order of a min-hash of their weightier terms and cut into shards of a bounded number, so that
+lexical neighbours share a shard however many shards there are.  Each builds a BM25 inverted index;
+the largest unused item seeds a container, its nearest unused neighbours fill it greedily, and what
+then remains goes to the largest unused items that fit.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from . import vec
 from .cluster import durable, map_batches, map_stream, own_names
@@ -65,19 +68,19 @@ def items_of(df: DataFrame, id_col: str, text_col: str, o: Packing) -> DataFrame
                         u, k = np.unique(term[w.offsets[i - s]:w.offsets[i - s + 1]], return_counts=True)
                     else:
                         u, k = _terms(t[c0:c1], o.features)
-                    for key, v in zip(out, (ids[i], n, b - a, c0, c1, u.astype(np.uint16 if o.features <= 65536 else np.uint32).tobytes(), np.minimum(k, 255).astype(np.uint8).tobytes())):
+                    for key, v in zip(out, (ids[i], n, b - a, c0, c1, u.astype(np.uint16 if o.features <= 65536 else np.uint32).tobytes(), k.astype(np.uint32).tobytes())):
                         out[key].append(v)
             yield out
             out = {k: [] for k in out}
 
     docs = own_names(df, id=id_col, text=text_col).where("id is not null and length(text) > 0").withColumn("id", F.col("id").cast("long"))
-    return map_batches(docs, run, "id long, part int, n_tokens int, start_char int, end_char int, terms binary, counts binary")
+    return map_batches(docs, run, ITEM)
 
 
 def _unpack(terms: list[bytes], counts: list[bytes], wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     t = np.frombuffer(b"".join(terms), dtype=np.uint32 if wide else np.uint16).astype(np.int64)
-    c = np.frombuffer(b"".join(counts), dtype=np.uint8).astype(np.float32)
-    off = np.concatenate([[0], np.cumsum([len(x) for x in counts])]).astype(np.int64)
+    c = np.frombuffer(b"".join(counts), dtype=np.uint32).astype(np.float32)
+    off = np.concatenate([[0], np.cumsum([len(x) // 4 for x in counts])]).astype(np.int64)
     return t, c, off
 
 
@@ -163,31 +166,51 @@ def pack(df: DataFrame, id_col: str, text_col: str, options: Packing = Packing()
     idf = np.zeros(o.features)
     for r in df_rows.collect():  # o.features rows at most
         idf[r["term"]] = max(0.0, math.log((n_items - r["n"] + 0.5) / (r["n"] + 0.5)))
-    avg = (total[1] or 0) / max(1, n_items)
+    avg = (total[1] or 0) / 4 / max(1, n_items)
+    held = items.sparkSession.sparkContext.broadcast(idf)  # o.features numbers
+    names = ("id", "part", "n_tokens", "start_char", "end_char", "terms", "counts")
+
+    def place(cols):
+        t, c, off = _unpack(cols["terms"].to_pylist(), cols["counts"].to_pylist(), wide)
+        yield {"place": telling(t, c, off, held.value)} | {n: cols[n] for n in names}
+
+    placed = map_batches(items, place, "place long, " + ITEM)
     shards = max(1, math.ceil(n_items / o.shard_items))
-    sharded = items.withColumn("shard", F.pmod(F.xxhash64("id", "part"), F.lit(shards)).cast("int"))
+    arrow = to_arrow_schema(StructType.fromDDL(PLACED))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush():
-            tb = pa.Table.from_batches(held)
-            size = tb["n_tokens"].to_numpy().astype(np.int64)
-            t, c, off = _unpack(tb["terms"].to_pylist(), tb["counts"].to_pylist(), wide)
-            box = fill(size, t, c, off, idf, avg, o)
-            name = tb["shard"].to_numpy().astype(np.int64) * (1 << 32) + box
-            return pa.RecordBatch.from_arrays([pa.array(name), *[tb[x].combine_chunks() for x in ("id", "part", "n_tokens", "start_char", "end_char")]], names=["container", "id", "part", "n_tokens", "start_char", "end_char"])
-
-        for batch in batches:
-            shard = batch.column("shard").to_numpy()
-            cut = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
-            for a, b in zip(cut, cut[1:]):
-                if held and held[-1].column("shard")[0].as_py() != shard[a]:
-                    yield flush()
-                    held = []
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield flush()
-
-    return map_stream(
-        sharded.repartition(min(shards, 4000), "shard").sortWithinPartitions("shard", "id", "part"), run, "container long, id long, part int, n_tokens int, start_char int, end_char int")
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        tb = pa.Table.from_batches(got)
+        size = tb["n_tokens"].to_numpy().astype(np.int64)
+        t, c, off = _unpack(tb["terms"].to_pylist(), tb["counts"].to_pylist(), wide)
+        name = tb["shard"].to_numpy().astype(np.int64) * (1 << 32) + fill(size, t, c, off, held.value, avg, o)
+        yield pa.RecordBatch.from_arrays([pa.array(name), *[tb[x].combine_chunks() for x in names[:5]]], schema=arrow)
+
+    # A task is a shard: ranges of the order hold about as many items each, a hot term's being cut by id.
+    ranged = placed.repartitionByRange(shards, "place", "id", "part").sortWithinPartitions("place", "id", "part")
+    return map_stream(ranged.withColumn("shard", F.spark_partition_id()), run, PLACED)
+
+
+ITEM = "id long, part int, n_tokens int, start_char int, end_char int, terms binary, counts binary"
+PLACED = "container long, id long, part int, n_tokens int, start_char int, end_char int"
+
+
+def telling(t: np.ndarray, c: np.ndarray, off: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """A number for each item: the two smallest hashes among the weightier half of its terms (tf-idf), so that like items have like numbers."""
+    n = len(off) - 1
+    out = np.zeros(n, dtype=np.int64)
+    size = np.diff(off)
+    doc = np.repeat(np.arange(n), size)
+    order = np.lexsort((t, -np.minimum(c, 8.0) * idf[t], doc))
+    rank = np.empty(len(t), dtype=np.int64)
+    rank[order] = np.arange(len(t)) - np.repeat(off[:-1], size)
+    kept = np.flatnonzero(2 * rank < size[doc])
+    h = (vec.mix(t[kept].astype(np.uint64)) >> np.uint64(33)).astype(np.int64)
+    order = np.lexsort((h, doc[kept]))
+    h, d = h[order], doc[kept][order]
+    at = np.flatnonzero(np.diff(d, prepend=-1))
+    last = np.append(at[1:], len(d)) - 1
+    out[d[at]] = (h[at] << 31) + h[np.minimum(at + 1, last)] if len(at) else 0
+    return out

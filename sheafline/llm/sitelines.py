@@ -59,7 +59,10 @@ def repeated_lines(df: DataFrame, id_col: str, text_col: str, group: Column, min
 
 def without_repeated_lines(df: DataFrame, id_col: str, text_col: str, group: Column, **options) -> DataFrame:
     """Every row of ``df`` as it was, its text rebuilt without the repeated lines.  Null texts stay null."""
+    # The lines that stay are taken from the sequence of all, so a text of many lines costs no more than its length.
     drop = repeated_lines(df, id_col, text_col, group, **options).groupBy("id").agg(F.collect_set("line_no").alias("_drop"))
     joined = df.join(drop.withColumnRenamed("id", "_drop_id"), df[id_col] == F.col("_drop_id"), "left")
-    kept = F.array_join(F.filter(F.split(df[text_col], "\n"), lambda x, i: ~F.array_contains("_drop", (i + 1).cast("int"))), "\n")
+    lines = F.split(df[text_col], "\n")
+    stay = F.array_except(F.sequence(F.lit(1), F.size(lines)), "_drop")
+    kept = F.get(F.transform(F.array(lines), lambda l: F.array_join(F.transform(stay, lambda i: F.get(l, i - 1)), "\n")), F.lit(0))
     return joined.select(*[F.when(F.col("_drop").isNull(), df[c]).otherwise(kept).alias(c) if c == text_col else df[c] for c in df.columns])

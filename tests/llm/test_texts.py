@@ -359,3 +359,20 @@ def test_queries_run(spark, data):
         assert queries.QUERIES[name](spark, data).count() >= 0
     assert set(queries.SQL) <= set(queries.QUERIES)
     assert queries.p4_found(spark, data).columns == ["accepted_id", "rec_id"]
+
+
+def test_neighbours_meet_however_many_shards(spark):
+    rng = random.Random(6)
+    topics = [[f"t{k}w{i}" for i in range(40)] for k in range(60)]
+    stock = [f"s{i}" for i in range(200)]
+    rows = [(i, " ".join(rng.choice(topics[i % 60] if rng.random() < 0.5 else stock) for _ in range(rng.randrange(20, 90)))) for i in range(1500)]
+    o = packing.Packing(capacity=600, shard_items=50)
+    got = packing.pack(spark.createDataFrame(rows, "id long, text string"), "id", "text", o).collect()
+    assert sorted(r.id for r in got) == list(range(1500)) and len({r.container >> 32 for r in got}) >= 20
+    boxes = collections.defaultdict(list)
+    for r in got:
+        boxes[r.container].append((r.id % 60, r.n_tokens))
+    assert all(sum(n for _, n in b) <= 600 for b in boxes.values())
+    same = sum(sum(k == b[0][0] for k, _ in b) - 1 for b in boxes.values()) / sum(len(b) - 1 for b in boxes.values() if b)
+    assert same > 0.3  # by chance it would be 1 / 60
+    assert sum(n for b in boxes.values() for _, n in b) / (600 * len(boxes)) > 0.85
