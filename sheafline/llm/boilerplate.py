@@ -1,302 +1,377 @@
 """Problem 1: the main body of a page, without the site's furniture.
 
-Pass one decides blocks (lines) on their own: stop-word density, length, and link density, the share
-of a block's words in link labels.  A page's visible text no longer has its links, so a label is
-known by its words, by the marks menus set around labels, or because the block is a row of short
-parts.  Ambiguous short blocks then take the label of their nearest decided neighbours.
+Pages come as text, without their links, so link density is drawn from the pages themselves.  A
+first sweep counts in how many pages of a host, and of all hosts, each part of a block stands: the
+parts of a row, a short line, the clauses of a sentence.  A recurring short part that stands in
+runs of its like is a link label; one that stands before teasers heads a box; one that stands
+alone among prose is a heading of the body; a recurring clause belongs to a notice.
+
+Pass one decides blocks (lines) on their own by link density (the share of a block in labels and
+recurring clauses), stop-word density and length.  Pass two gives ambiguous short blocks the label
+of their nearest decided neighbours, a run of them going as one.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cluster import map_batches, own_names
+from ..functions import urls
+from .cluster import durable, map_batches, own_names, sent_if_small
 
 BODY, FURNITURE, OPEN = 1, 0, -1
 
-# Words that carry grammar, in German and English.
+
+@dataclass(frozen=True)
+class Pages:
+    share: float = 0.005        # a part in this share of all pages (five at least) recurs everywhere
+    own: float = 0.2            # one in this share of its host's pages (three at least) recurs on the host
+    run: float = 0.45           # share of its pages on which a label stands in a run
+    tease: float = 0.3          # share of its pages on which a box heading stands before a teaser
+    dense: float = 0.6          # share of a sentence in recurring clauses that makes it a notice
+    stops: float = 0.15         # stop words a word of running text
+    long: int = 140             # characters from which a block is no ambiguous one
+    box: int = 5                # blocks below a box heading that may all be teasers without a mark
+    send: int = 200_000         # hosts with labels of their own sent to all tasks at most; more are joined
+
+# Words that carry grammar, in five languages.
 STOP_WORDS = frozenset("""
-der die das den dem des ein eine einen einem einer eines und oder aber sowie auch als wie in im an am auf aus bei mit nach
-von vom zu zum zur für über unter vor zwischen durch gegen ohne um ist sind war waren wird werden wurde kann können soll
-sollen muss müssen hat haben nicht nur sich es er sie wir ihr ihre ihren ihrer sein seine dass wenn weil wer was welche
-dazu daran dabei außerdem so noch je pro bis ab man aber sieht stehen
-the a an and or but of to in on at by for from with without as is are was were be been has have had will would can could
-should must may not no it its this that these those they their them there then than which who what when where how each per
-into over under between through after before about also if so more most such only both all any some other those
+der die das den dem des ein eine einen einem einer und oder aber als auch wie in im an am auf aus bei mit nach von vom zu zum zur
+für über unter zwischen durch ohne um ist sind war wird werden wurde kann können soll muss haben hat nicht nur sich es er sie wir
+ihr ihre dass wenn weil
+the a an and or but of to in on at by for from with as is are was were be been has have had will can not it its this that these
+they their than which who what when how into after before about also more
+le la les des du et ou un une dans pour par sur avec est sont que qui ne pas plus ce cette aux il elle nous vous
+el los las una y que del con por para se su al lo como más es son
+il lo gli di che non con per una sono della dei nel alla
 """.split())
-
-# Labels of menus and service links.
-LINK_LABELS = frozenset(x.strip() for x in """
-startseite; home; über uns; about; about us; aktuelles; news; presse; press; veranstaltungen; events; studium; study;
-studienangebot; programmes; forschung; research; fakultäten; faculties; international; bibliothek; library; hochschulsport;
-sports; mensa; canteen; alumni; karriere; careers; stellenangebote; jobs; kontakt; contact; anfahrt; directions; campusplan;
-campus map; personen a-z; people; suche; search; intranet; webmail; it-service; it services; downloads; formulare; forms;
-prüfungsamt; exams office; studienberatung; advising; bewerbung; apply; semesterticket; stundenpläne; timetables;
-termine und fristen; dates and deadlines; weiterbildung; gleichstellung; equality; leichte sprache; gebärdensprache;
-english; deutsch; zurück; back; nach oben; back to top; log in; login; anmelden; abmelden; menü; menu; impressum; imprint;
-datenschutz; privacy; barrierefreiheit; accessibility; sitemap; rss; netiquette; legal notice; feedback; hilfe; help;
-drucken; vorlesen; merken; archiv; übersicht; newsletter
-""".replace("\n", " ").split(";") if x.strip())
-
-# Service prompts and buttons that stand alone.
-PROMPTS = frozenset(x.strip() for x in """
-zum inhalt springen; zum inhalt; direkt zur navigation; direkt zum inhalt; skip to content; skip to main content;
-skip to navigation; menü öffnen; open menu; auswahl speichern; save choice; einstellungen; settings; ablehnen; reject;
-reject all; alle ablehnen; einverstanden; got it; ok; alle akzeptieren; accept all; accept; akzeptieren; nur notwendige;
-only necessary; necessary only; mehr erfahren; learn more; als lesezeichen merken; bookmark; link kopieren; copy link; teilen;
-share; diesen beitrag teilen; share this page; seite drucken; print; print this page; drucken; per e-mail weiterleiten;
-send by e-mail; newsletter abonnieren; subscribe; schriftgröße a a+ a++; font size a a+ a++;
-hat ihnen dieser beitrag geholfen? ja / nein; was this page helpful? yes / no; weiterlesen; read more
-""".replace("\n", " ").split(";") if x.strip())
-
-# Headings of boxes with teasers for other pages.
-BOX_HEADINGS = frozenset(x.strip() for x in """
-termine; aktuelles; quick links; schnellzugriff; meistgelesen; most read; das könnte sie auch interessieren;
-you may also like; you might also like; ähnliche seiten; related pages; weitere meldungen; more news; latest news; news; events;
-veranstaltungen; verwandte themen; related; dates
-""".replace("\n", " ").split(";") if x.strip())
-
-# Headings and fields of a module description, which recur on many pages yet belong to them.
-BODY_HEADINGS = frozenset(x.strip() for x in """
-lernziele; inhalte; kompetenzen; literatur; anhang; learning goals; contents; literature; appendix; skills; inhalt;
-qualifikationsziele; voraussetzungen; requirements; prüfung; examination; note: benotet
-""".replace("\n", " ").split(";") if x.strip())
-
-CONSENT = re.compile(
-    r"^(?:wir verwenden cookies|diese (?:web)?seite (?:nutzt|verwendet) cookies|unser angebot speichert|ihre privatsphäre ist|zur auswertung der zugriffe"
-    r"|mit der weiteren nutzung|this (?:web)?site (?:stores|uses)|we use cookies|we value your privacy|by continuing to|choose which optional|your privacy"
-    r"|verantwortlich für die dienste ist|the \S+(?: \S+)? computing cent(?:re|er) runs|eingebettete videos laden|notwendige einträge lassen|embedded videos)", re.I)
-FOOTER = re.compile(
-    r"^(?:©|\(c\)\s|copyright\b|alle rechte vorbehalten|all rights reserved|letzte änderung\b|last (?:change|modified|updated)\b|stand: \d"
-    r"|[^,.;:|·]{2,60}, [^,.;:|·]*(?:weg|straße|str\.|platz|allee|gasse|street|road|lane|ring|damm) \d+\s?[a-z]?, [^,.;:|·]{2,40}$)", re.I)
-BUTTONS = re.compile("|".join(re.escape(p) for p in sorted(PROMPTS, key=len, reverse=True)), re.I)
-CRUMB = re.compile(r"^(?:startseite|home|sie sind hier:?|you are here:?)\s*(?:[>»/›→|]|&gt;)\s*\S", re.I)
-ROW = re.compile(r"\s+[|·•>»›/→]\s+|\s{2,}|\t+")
-MARK = re.compile(r"^[+›»>*]\s+")
-TEASER = re.compile(r"(?:\[mehr\]|\[more\]|…|\.\.\.|weiterlesen|read more|\(\d+ ?[km]b\))\s*$|^(?:[›»]\s|\d\d?\.\d\d?\.\d{4}\b)", re.I)
-DISCIPLINE = re.compile(
-    r"^[A-ZÄÖÜ][a-zäöüß]+(?:chemie|biologie|physik|technik|ethik|politik|soziologie|ökonomie|wissenschaft|wirtschaft|informatik|lehre|statistik|geschichte|gestaltung|pädagogik"
-    r"|mechanik|planung|forschung|psychologie|mathematik|kunde|recht)$")
-ITEM = re.compile(r"^[–•*-] ")
-CREDITS = re.compile(r"\d+ (?:LP|ECTS|CP|credits?)\b")
-SENTENCES = re.compile(r"[a-zäöüß)][.!?]\s+[A-ZÄÖÜ][^.!?]*\s\S+[.!?]$")
+WORD = re.compile(r"[^\W\d_]+")
+
+#: Between the parts of a row.
+SEP = re.compile(r"\s+[|·•>»›/→]\s+|\s{2,}|\t+")
+PATH = re.compile(r"\s+[>»›/→]\s+")
+MARK = re.compile(r"^[+›»>▸►→]\s+")
+ITEM = re.compile(r"^(?:[–•*-]|\d+[.)])\s")
+CLAUSE = re.compile(r"[.!?;:,…()\[\]]+\s*|\s[–-]\s")
+TEASER = re.compile(r"(?:(?:…|\.\.\.)(?:\s\S+){0,2}|\[\w+\]|\(\d+ ?[kmg]b\))\s*$|^(?:[›»]\s|\d\d?\.\d\d?\.\d{4}\b|\d{4}-\d\d-\d\d\b)", re.I)
 FIELD = re.compile(r"^[^\W\d][\w .\-/]{1,24}: \S")
-NUMBERED = re.compile(r"^(?:§\s*\d|\d+(?:\.\d+)*\.?\s|(?:modul|module|section|abschnitt|kapitel)\s+\S)", re.I)
-WORD = re.compile(r"[^\W_]+")
+NUMBERED = re.compile(r"^(?:§\s*\d|\d+(?:\.\d+)*\.?\s)\S*\s*\S")
+OWNER = re.compile(r"©|\(c\)\s|\bcopyright\b", re.I)
+ENDS = re.compile(r"[.!?:]\W?$")
+
+def key_of(s: str) -> tuple[int, int, int]:
+    """(hash of the words, letters, words) of a part."""
+    ws = WORD.findall(s.lower())
+    return xxhash.xxh64_intdigest(" ".join(ws)) >> 1, sum(map(len, ws)), len(ws)
+
+@lru_cache(maxsize=50_000)
+def parts_of(line: str) -> tuple[str, list[tuple[int, int, int]]]:
+    """(kind, parts): kind 'row', 'short' or 'prose'; parts as (key, letters, words)."""
+    s = MARK.sub("", line.strip()).strip("|·•›» ")
+    row = [p for p in SEP.split(s) if p and p.strip()]
+    if len(row) > 1:
+        return "row", [k for k in map(key_of, row) if k[1]]
+    ws = WORD.findall(s)
+    if len(ws) <= 6 and not (ENDS.search(s) and len(ws) > 3):
+        k = key_of(s)
+        return "short", [k] if k[1] else []
+    return "prose", [k for k in map(key_of, CLAUSE.split(s)) if k[2] >= 3] + [key_of(s)]
+
+def observe(text: str) -> dict[int, tuple[int, int, int]]:
+    """What a page says of each part: {key: (stands in a run, stands before a teaser, words)}."""
+    lines = [l for l in text.split("\n") if l.strip()]
+    got = [parts_of(l) for l in lines]
+    out = {}
+    n = len(lines)
+    for i, (kind, parts) in enumerate(got):
+        run = kind == "row" or (kind == "short" and any(0 <= j < n and got[j][0] == "row" for j in (i - 1, i + 1))) or \
+            kind == "short" and sum(0 <= j < n and got[j][0] == "short" for j in (i - 2, i - 1, i + 1, i + 2)) >= 2
+        tease = i + 1 < n and bool(TEASER.search(lines[i + 1].strip()))
+        for k, letters, words in parts:
+            a = out.get(k, (0, 0, 0))
+            out[k] = (max(a[0], int(run)), max(a[1], int(tease)), words)
+    return out
+
+
+class Know:
+    """What all pages, and those of one host, say of a part, by key."""
 
+    def __init__(self, labels: set, boxes: set, heads: set, phrases: set):
+        self.labels, self.boxes, self.heads, self.phrases = labels, boxes, heads, phrases
 
-def _fold(s: str) -> str:
-    return " ".join(s.split()).strip("|•·").rstrip(":").strip().lower()
+    def on_host(self, labels: list, phrases: list) -> Know:
+        return Know(self.labels.union(labels), self.boxes, self.heads, self.phrases.union(phrases)) if labels or phrases else self
+
+
+NOTHING = Know(set(), set(), set(), set())
+
+
+CREDITS = re.compile(r"\d+ (?:LP|ECTS|CP|credits?)\b")
+SENTENCES = re.compile(r"[^\W\d_)][.!?]\s+[^\W\d_][^.!?]*\s\S+[.!?]$")
 
 
 def _slug(s: str) -> str:
     return re.sub(r"[^a-z0-9]+", "-", s.lower()).strip("-")
 
 
-def link_parts(line: str) -> tuple[int, int, int]:
-    """(parts, parts that are link labels, parts that speak) of a row of parts."""
-    parts = [p for p in ROW.split(line.strip()) if p.strip()]
-    labels = speak = 0
-    for p in parts:
-        f = _fold(MARK.sub("", p))
-        if f in LINK_LABELS or f in PROMPTS or FOOTER.match(p.strip()) or DISCIPLINE.match(p.strip()):
-            labels += 1
-        elif re.search(r"\d", f) or len(f.split()) > 4:
-            speak += 1
-    return len(parts), labels, speak
+def title_of(lines: list[str], url: str | None) -> str:
+    """The line whose words make the URL's last part: the page's heading."""
+    last = _slug((url or "").split("?")[0].split("#")[0].rstrip("/").rsplit("/", 1)[-1])
+    last = re.sub(r"-?[0-9a-f]{5,12}$", "", last)
+    if len(last) < 8:
+        return ""
+    for s in lines:
+        if len(s) >= 8 and _slug(s[:14])[:7] == last[:7] and not PATH.search(s):
+            g = _slug(s)
+            if g and (g.startswith(last) or last.startswith(g)):
+                return s
+    return ""
+
+
+def joined_labels(words: list[str], know: Know) -> bool:
+    """Whether the words are nothing but labels set one after another."""
+    i, n = 0, len(words)
+    while i < n:
+        for m in range(min(7, n - i), 0, -1):
+            if xxhash.xxh64_intdigest(" ".join(words[i:i + m])) >> 1 in know.labels:
+                i += m
+                break
+        else:
+            return False
+    return n > 0
 
 
-@lru_cache(maxsize=20_000)
-def first_pass(line: str) -> int:
+def first_pass(line: str, know: Know, o: Pages = Pages()) -> int:
     """Label of one block by itself: body, furniture, or open (short and undecided)."""
     s = line.strip()
-    if CONSENT.match(s) or FOOTER.match(s) or CRUMB.match(s):
+    kind, parts = parts_of(line)
+    if OWNER.search(s) and len(s) < 200:
+        return FURNITURE
+    words = WORD.findall(s.lower())
+    if joined_labels(words, know):
         return FURNITURE
-    if len(s) <= 300:
-        f = _fold(MARK.sub("", s))
-        if f in PROMPTS:
+    if kind == "row":
+        labels, n = sum(k in know.labels for k, _, _ in parts), len(parts)
+        if PATH.search(s) and labels:
             return FURNITURE
-        if f in BODY_HEADINGS:
-            return BODY
-        if f in LINK_LABELS:
+        cells = SEP.split(s)
+        speak = sum(any(map(str.isdigit, c)) or len(c.split()) > 4 for c in cells)
+        if n and labels * 2 >= n and not speak * 2 > n:
             return FURNITURE
-        if 3 < len(f) < 160 and BUTTONS.match(f) and not BUTTONS.sub("", f).strip(" .:|·-"):
+        if n >= 5 and not speak and max(map(len, cells)) <= 32:
             return FURNITURE
-    if ROW.search(s):
-        n, labels, speak = link_parts(s)
-        if n >= 2 and labels * 2 >= n and not (speak * 2 > n):
+    elif parts:
+        whole, letters, _ = parts[-1]
+        if kind == "short" and whole in know.labels:
             return FURNITURE
-        if n >= 5 and not speak and max(map(len, ROW.split(s))) <= 32:
+        if kind == "short" and whole in know.heads:
+            return BODY
+        if whole in know.phrases or kind == "prose" and sum(l for k, l, _ in parts[:-1] if k in know.phrases) > o.dense * letters:
             return FURNITURE
-    words = WORD.findall(s.lower())
     stops = sum(w in STOP_WORDS for w in words)
-    if len(s) >= 60 and stops >= 0.15 * len(words):
-        return BODY
-    if len(words) >= 5 and s[-1:] in ".!?" and stops:
-        return BODY
-    if FIELD.match(s) and len(s) <= 60 or NUMBERED.match(s) and len(words) >= 4:
+    if len(s) >= 60 and stops >= o.stops * len(words) or len(words) >= 5 and s[-1:] in ".!?" and stops:
         return BODY
-    if len(s) >= 140:
+    if FIELD.match(s) and len(s) <= 60 or NUMBERED.match(s) and len(words) >= 3 or len(s) >= o.long:
         return BODY
     return OPEN
 
 
-def _title_of(lines: list[str], url: str | None) -> str:
-    """The line whose words make the URL's last part: the page's heading."""
-    last = _slug((url or "").split("?")[0].split("#")[0].rstrip("/").rsplit("/", 1)[-1])
-    last = re.sub(r"-?[0-9a-f]{5,12}$", "", last) if re.search(r"[0-9a-f]{5,12}$", last) else last
-    if len(last) < 8:
-        return ""
-    for line in lines:
-        s = line.strip()
-        if len(s) >= 8 and _slug(s[:14])[:7] == last[:7] and not CRUMB.match(s):
-            g = _slug(s)
-            if g and (g.startswith(last) or last.startswith(g)):
-                return s
-    return ""
-
-
-def label_blocks(text: str, url: str | None = None) -> list[int]:
+def label_blocks(text: str, url: str | None = None, know: Know = NOTHING, o: Pages = Pages()) -> list:
     """A label for each line of a page: 1 main body, 0 furniture, None for a blank line."""
     raw = text.split("\n")
     at = [i for i, l in enumerate(raw) if l.strip()]
-    lines = [raw[i] for i in at]
+    lines = [raw[i].strip() for i in at]
+    title = title_of(lines, url)
+    got = [parts_of(l) for l in lines]
+    key = [g[1][-1][0] if g[0] != "row" and g[1] else 0 for g in got]
+    tease = [bool(TEASER.search(l)) for l in lines]
+    label = [BODY if title and l == title else first_pass(l, know, o) for l in lines]
+    _boxes(lines, title, got, key, tease, label, know, o)
+    out: list = [None] * len(raw)
+    for i, l in zip(at, second_pass(lines, title, got, key, tease, label, know)):
+        out[i] = l
+    return out
+
+
+def _boxes(lines, title, got, key, tease, label, know, o: Pages) -> None:
+    """Mark box headings and the teasers below them as furniture."""
     n = len(lines)
-    title = _title_of(lines, url)
-    label = [BODY if title and l.strip() == title else first_pass(l) for l in lines]
-    fold = [_fold(MARK.sub("", l)) if len(l) < 80 else "" for l in lines]
 
-    # A menu column: a heading word of a box inside it is a label like the others.
-    def menu(i: int) -> bool:
-        return 0 <= i < n and label[i] == FURNITURE and fold[i] in LINK_LABELS and fold[i] not in BOX_HEADINGS
+    def column(j: int) -> bool:
+        return 0 <= j < n and label[j] == FURNITURE and got[j][0] == "short" and key[j] in know.labels and key[j] not in know.boxes
 
     def heads(i: int) -> bool:
-        if fold[i] not in BOX_HEADINGS or MARK.match(lines[i].strip()):
+        if got[i][0] != "short" or key[i] not in know.boxes or MARK.match(lines[i]):
             return False
-        return fold[i] not in LINK_LABELS or not (menu(i - 1) or menu(i + 1))
-
-    box = [heads(i) for i in range(n)]
+        return key[i] not in know.labels or not (column(i - 1) or column(i + 1))
 
     def speaks(j: int) -> bool:
-        """What no teaser looks like: a list item, a single word, a field, two sentences."""
-        s = lines[j].strip()
-        if s == title or fold[j] in BODY_HEADINGS or FIELD_ONLY.match(s) or ITEM.match(s):
+        """What no teaser looks like: a list item, a word or two, a field, credits, two sentences."""
+        s = lines[j]
+        if s == title or key[j] in know.heads or ITEM.match(s) and not tease[j]:
             return True
-        if TEASER.search(s):
+        if tease[j]:
             return False
-        return len(s.split()) <= 2 or bool(CREDITS.search(s)) or bool(SENTENCES.search(s))
+        return len(s.split()) <= 2 or bool(CREDITS.search(s) or SENTENCES.search(s) or FIELD.match(s) and len(s) < 40)
 
-    fixed = [False] * n
+    box = [heads(i) for i in range(n)]
     for i in range(n):
         if not box[i]:
             continue
-        label[i], fixed[i] = FURNITURE, True
+        label[i] = FURNITURE
         end = i + 1
-        while end < n and not box[end] and not (label[end] == FURNITURE and not TEASER.search(lines[end].strip())) and not speaks(end):
+        while end < n and not box[end] and not (label[end] == FURNITURE and not tease[end]) and not speaks(end):
             end += 1
-        run = range(i + 1, end)
-        marked = [j for j in run if j <= i + 6 and TEASER.search(lines[j].strip())]
-        while marked and marked[-1] + 1 < end and TEASER.search(lines[marked[-1] + 1].strip()):
-            marked.append(marked[-1] + 1)
-        last_of_page = end == n or box[end] or label[end] == FURNITURE
-        if len(run) <= 5 and last_of_page:
-            take = run
-        else:
-            # The box is followed by more of the body: it reaches to its last marked teaser, two at least.
-            reach = max([*marked, i + 2]) if run else i
-            take = range(i + 1, min(reach + 1, end))
-        for j in take:
-            label[j], fixed[j] = FURNITURE, True
-
-    # Second pass: open blocks between decided neighbours.
-    decided = [i for i in range(n) if label[i] != OPEN]
-    if not decided:
-        return _spread(raw, at, [BODY if len(WORD.findall(l)) > 3 else FURNITURE for l in lines])
+        marked = [j for j in range(i + 1, end) if tease[j]]
+        closed = end == n or box[end] or label[end] == FURNITURE
+        if closed and end - i - 1 <= o.box:  # nothing else up to the next furniture
+            reach = end
+        else:  # the body goes on below: the box reaches to the last teaser of its first stretch, two blocks at least
+            reach = i + 3
+            for j in marked:
+                if j <= reach + 3:
+                    reach = max(reach, j + 1)
+        for j in range(i + 1, min(reach, end)):
+            label[j] = FURNITURE
+
+
+def second_pass(lines, title, got, key, tease, label, know) -> list[int]:
+    """Ambiguous blocks by their nearest decided neighbours."""
+    n = len(lines)
     out = list(label)
-    prev, last = [None] * n, None
+    for i in range(1, n - 1):  # one sentence between a notice and its buttons goes with them
+        if label[i] == BODY and lines[i] != title and got[i][0] == "prose" and len(lines[i]) < 100 and len(got[i][1]) == 2 \
+                and label[i - 1] == FURNITURE == label[i + 1] and got[i - 1][0] == "prose" and not tease[i - 1] and key[i + 1] not in know.boxes:
+            out[i] = FURNITURE
+    before, after, last = [None] * n, [None] * n, None
     for i in range(n):
-        prev[i] = last
-        if label[i] != OPEN:
-            last = i
-    nxt, last = [None] * n, None
+        before[i], last = last, i if label[i] != OPEN else last
+    last = None
     for i in range(n - 1, -1, -1):
-        nxt[i] = last
-        if label[i] != OPEN:
-            last = i
+        after[i], last = last, i if label[i] != OPEN else last
     for i in range(n):
         if label[i] != OPEN:
             continue
-        p, q = prev[i], nxt[i]
-        # Furniture of a box or a consent notice says nothing of what stands beside it; a menu does.
-        lp = label[p] if p is not None else None
-        lq = label[q] if q is not None else None
-        s = lines[i].strip()
+        p, q, s = before[i], after[i], lines[i]
         if ITEM.match(s):
             out[i] = BODY
-        elif lp == lq and lp is not None:
-            out[i] = lp
-            if lp == FURNITURE and not _menu_like(fold[p], lines[p]) and not _menu_like(fold[q], lines[q]) and not MARK.match(s):
-                out[i] = BODY
-        elif DISCIPLINE.match(MARK.sub("", s)) and any(x is not None and label[x] == FURNITURE and _menu_like(fold[x], lines[x]) for x in (p, q)):
-            out[i] = FURNITURE
         elif MARK.match(s):
             out[i] = FURNITURE
-        elif lp is None or lq is None:
-            out[i] = lq if lp is None else lp
-            if out[i] == FURNITURE and not _menu_like(fold[p if p is not None else q], lines[p if p is not None else q]):
-                out[i] = BODY
-        else:
-            out[i] = BODY
-    return _spread(raw, at, out)
-
+        elif p is None and q is None:
+            out[i] = FURNITURE if got[i][0] == "short" else BODY
+        elif p is None or q is None:
+            out[i] = label[q if p is None else p]
+        elif label[p] == label[q]:
+            out[i] = label[p]
+        else:  # a run goes with what leads into it; one block alone before the body is its heading
+            menu = got[p][0] == "row" or key[p] in know.labels
+            alone = q - p == 2 and label[q] == BODY
+            out[i] = BODY if alone and not (menu and len(s.split()) <= 2) else label[p]
+    return out
 
-FIELD_ONLY = re.compile(r"^(?:ects|lp|sws|credits|workload|turnus|dauer|duration|sprache|language|lehrform|prüfungsform|exam|note|frequency|term|grade): ?\S", re.I)
 
+# ---- over tables -------------------------------------------------------------------------------------
 
-def _menu_like(folded: str, line: str) -> bool:
-    return folded in LINK_LABELS or bool(ROW.search(line.strip())) and link_parts(line)[1] >= 1
+def _pages(df: DataFrame, id_col: str, text_col: str, url_col: str) -> DataFrame:
+    d = own_names(df, id=id_col, text=text_col, url=url_col).where("id is not null").withColumn("id", F.col("id").cast("long"))
+    return d.withColumn("host", F.xxhash64(F.coalesce(urls.hostname(F.col("url")), F.lit(""))))
 
 
-def _spread(raw: list[str], at: list[int], labels: list[int]) -> list:
-    out: list = [None] * len(raw)
-    for i, l in zip(at, labels):
-        out[i] = l
-    return out
+def learned(pages: DataFrame, o: Pages) -> tuple[Know, DataFrame]:
+    """What all pages say, and (host, labels, phrases) of the hosts that say more.
 
+    A page fetched again, under any spelling of its URL, counts once.  The parts that recur
+    everywhere are bounded by the mean number of parts a page divided by ``share``, those of a host
+    likewise by ``own``, however many pages there are.
+    """
 
-def furniture_lines(df: DataFrame, id_col: str, text_col: str, url_col: str) -> DataFrame:
+    def sweep(cols) -> Iterator[dict]:
+        out: dict = {c: [] for c in ("host", "page", "key", "seen", "words")}
+        for h, p, t in zip(cols["host"].to_pylist(), cols["page"].to_pylist(), cols["text"].to_pylist()):
+            for k, (run, tease, words) in observe(t).items():
+                for c, v in zip(out, (h, p, k, run + 2 * tease, min(words, 100))):
+                    out[c].append(v)
+        yield out
+
+    page = F.coalesce(F.xxhash64(urls.normalize_url(F.col("url"))), F.xxhash64("id"))
+    rows = map_batches(pages.where("length(text) > 0").select("host", page.alias("page"), "text"), sweep, "host long, page long, key long, seen tinyint, words tinyint")
+    once = rows.groupBy("host", "key", "page").agg(F.bit_or("seen").alias("seen"), F.max("words").alias("words"))
+    by_host = durable(once.groupBy("host", "key").agg(
+        F.count("*").alias("n"), F.sum(F.col("seen").bitwiseAND(1)).alias("run"), F.sum(F.shiftright("seen", 1)).alias("tease"), F.max("words").alias("words")))
+    sizes = durable(pages.where("length(text) > 0").select("host", page.alias("page")).distinct().groupBy("host").agg(F.count("*").alias("pages")))
+    total = sizes.agg(F.sum("pages")).first()[0] or 0
+    everywhere = by_host.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n", "run", "tease")], F.max("words").alias("words")).where(
+        F.col("n") >= max(5.0, o.share * total)).collect()
+    know = Know(set(), set(), set(), set())
+    for r in everywhere:
+        run, tease = r["run"] / r["n"], r["tease"] / r["n"]
+        if r["words"] <= 6 and tease >= o.tease:
+            know.boxes.add(r["key"])
+        if r["words"] <= 6 and run >= o.run and tease < 0.8:
+            know.labels.add(r["key"])
+        elif r["words"] <= 6 and tease < o.tease:
+            know.heads.add(r["key"])
+        if r["words"] >= 3 and run < o.run:
+            know.phrases.add(r["key"])
+    often = by_host.where("n >= 3").join(sizes, "host").where(F.col("n") >= o.own * F.col("pages"))
+    run = F.col("run") >= o.run * F.col("n")
+    own = often.groupBy("host").agg(
+        F.collect_list(F.when((F.col("words") <= 6) & run & (F.col("tease") < 0.8 * F.col("n")), F.col("key"))).alias("labels"),
+        F.collect_list(F.when((F.col("words") >= 3) & ~run, F.col("key"))).alias("phrases"))
+    return know, durable(own)
+
+
+def _labelled(df: DataFrame, id_col: str, text_col: str, url_col: str, o: Pages) -> tuple[DataFrame, object]:
+    pages = _pages(df, id_col, text_col, url_col)
+    know, own = learned(pages, o)
+    joined = pages.join(sent_if_small(own, o.send), "host", "left").select("id", "text", "url", "host", "labels", "phrases")
+    held = df.sparkSession.sparkContext.broadcast(know)  # bounded by mean parts / share
+
+    def labels(cols) -> Iterator[tuple]:
+        of_host: dict = {}
+        for i, t, u, h, l, p in zip(*(cols[c].to_pylist() for c in ("id", "text", "url", "host", "labels", "phrases"))):
+            if h not in of_host:
+                of_host[h] = held.value.on_host(l or [], p or [])
+            yield i, t, None if t is None else label_blocks(t, u, of_host[h], o)
+
+    return joined, labels
+
+
+def furniture_lines(df: DataFrame, id_col: str, text_col: str, url_col: str, options: Pages = Pages()) -> DataFrame:
     """(id, line_no) of the non-blank lines outside the main body, lines counted from 1.
 
-    Null ids, and null or empty texts, give no row; a null url costs only the hint it gives to the
-    heading.  Repeated rows give repeated results.
+    Null ids, and null or empty texts, give no row; pages with a null url count as of one unnamed
+    host and have no hint to their heading.  Repeated rows give repeated results.
     """
+    joined, labels = _labelled(df, id_col, text_col, url_col, options)
 
     def run(cols) -> Iterator[dict]:
         ids, nos = [], []
-        for i, t, u in zip(cols["id"].to_pylist(), cols["text"].to_pylist(), cols["url"].to_pylist()):
-            got = [n for n, l in enumerate(label_blocks(t, u), 1) if l == FURNITURE]
-            ids.append(np.full(len(got), i, dtype=np.int64))
-            nos.append(np.array(got, dtype=np.int32))
+        for i, _, got in labels(cols):
+            at = [n for n, l in enumerate(got, 1) if l == FURNITURE]
+            ids.append(np.full(len(at), i, dtype=np.int64))
+            nos.append(np.array(at, dtype=np.int32))
         yield {"id": np.concatenate(ids), "line_no": np.concatenate(nos)}
 
-    docs = own_names(df, id=id_col, text=text_col, url=url_col).where("id is not null and length(text) > 0")
-    return map_batches(docs.withColumn("id", F.col("id").cast("long")), run, "id long, line_no int")
+    return map_batches(joined.where("length(text) > 0"), run, "id long, line_no int")
 
 
-def main_bodies(df: DataFrame, id_col: str, text_col: str, url_col: str) -> DataFrame:
+def main_bodies(df: DataFrame, id_col: str, text_col: str, url_col: str, options: Pages = Pages()) -> DataFrame:
     """(id, body): the main body of each page; '' if it has none, null for a null text."""
+    joined, labels = _labelled(df, id_col, text_col, url_col, options)
 
     def run(cols) -> Iterator[dict]:
-        body = []
-        for t, u in zip(cols["text"].to_pylist(), cols["url"].to_pylist()):
-            body.append(None if t is None else "\n".join(l for l, x in zip(t.split("\n"), label_blocks(t, u)) if x == BODY))
-        yield {"id": cols["id"], "body": body}
+        ids, body = [], []
+        for i, t, got in labels(cols):
+            ids.append(i)
+            body.append(None if t is None else "\n".join(l for l, x in zip(t.split("\n"), got) if x == BODY))
+        yield {"id": ids, "body": body}
 
-    docs = own_names(df, id=id_col, text=text_col, url=url_col).where("id is not null")
-    return map_batches(docs.withColumn("id", F.col("id").cast("long")), run, "id long, body string")
+    return map_batches(joined, run, "id long, body string")

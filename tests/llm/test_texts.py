@@ -12,36 +12,77 @@ from pyspark.sql import functions as F
 from sheafline.llm import boilerplate, leak, packing, pieces, scans, sitelines
 from sheafline.llm.tokens import encode
 
-PAGE = [
-    (0, "Zum Inhalt springen"), (0, "Studium | Forschung | Mensa | Kontakt | Presse | Alumni"), (0, "Startseite > Studium > Hafenlehre im Wandel"), (1, "Hafenlehre im Wandel"),
-    (1, "Die Vorlesung behandelt Häfen, ihre Geschichte und die Arbeit mit den Plänen der Stadt."), (1, "– Hafenpläne"), (1, "– Kaimauern"), (1, "Lernziele"),
-    (1, "Im Praktikum zu Cookies und Einwilligungen prüfen die Teilnehmenden eine Webseite."), (1, "Kräne 10 LP | Schiffe 4 LP | Lager 7 LP"), (0, "Meistgelesen"),
-    (0, "› 17 Brücken und ihre Geschichte"), (0, "Die Gutachtergruppe lobt neue Pl …"), (0, "Wir verwenden Cookies, um diese Webseite zu betreiben."), (0, "Nur notwendige"),
-    (0, "Seite drucken"), (0, "© 2024 Hafenstadt"), (0, "HS Hafen, Kaiweg 5, Hafenstadt"),
-]
-
-
-def test_page_body():
-    text = "\n".join(l for _, l in PAGE)
-    assert boilerplate.label_blocks(text, "https://h.example/studium/hafenlehre-im-wandel-1a2b3c4") == [x for x, _ in PAGE]
-    assert boilerplate.label_blocks("", None) == [None] and boilerplate.label_blocks("\n \n", "x") == [None] * 3
-    assert boilerplate.label_blocks("Impressum\nSitemap", None) == [0, 0]
-
-
-def test_long_boxes_are_followed_to_their_last_teaser():
-    body = ["Die Hafenlehre ist ein Fach, das sich mit dem Bau und der Pflege der Häfen und ihrer Wege befasst."] * 2
-    teasers = [f"{n:02}.03.2024 Vortrag über die Arbeit der Leute an den Häfen und über das, was sie von der See wissen" for n in range(1, 13)]
-    lines = [*body, "Termine", *teasers, *body]
-    assert boilerplate.label_blocks("\n".join(lines)) == [1, 1, 0] + [0] * 12 + [1, 1]
+# Words that carry grammar, and others, of made-up pages in three languages.
+LANGUAGES = {
+    "de": "der die das und mit von für ist nicht eine auf den im zu werden".split(),
+    "en": "the and of to in is not with for a on this that are by".split(),
+    "fr": "le la les et des une dans pour est sur avec que du pas qui".split(),
+}
+
+
+def made_site(rng, lang, host):
+    """Pages (text, url, furniture line numbers) of a host whose menus, notices, boxes and footers nobody has seen before."""
+    coin = lambda n: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiouy") for _ in range(n))
+    stop = LANGUAGES[lang]
+
+    def sentence(n):
+        ws = [rng.choice(stop) if k % 2 else coin(rng.randrange(2, 5)) for k in range(n)]
+        return " ".join(ws).capitalize() + "."
+
+    menu = [coin(rng.randrange(2, 5)).capitalize() for _ in range(9)]
+    notice = [sentence(12), sentence(9)]
+    buttons = [coin(3).capitalize() for _ in range(2)]
+    box, more, skip = coin(4).capitalize(), coin(2), " ".join(coin(2) for _ in range(3)).capitalize()
+    heads = [coin(4).capitalize() for _ in range(6)]
+    feet = [coin(4).capitalize() for _ in range(4)]
+    pages = []
+    for _ in range(12):
+        title = " ".join(coin(3) for _ in range(4)).capitalize()
+        top = [*notice, *buttons, skip] if rng.random() < 0.7 else [skip]
+        top += [" | ".join(menu)] if rng.random() < 0.5 else list(menu)
+        body = [title]
+        for _ in range(rng.randrange(2, 6)):
+            body += [rng.choice(heads)] if rng.random() < 0.3 else []
+            body += [" ".join(sentence(rng.randrange(7, 14)) for _ in range(rng.randrange(1, 4)))]
+        low = [box, *(f"{sentence(8)[:-1]} … {more}" for _ in range(3))] if rng.random() < 0.6 else []
+        low += [" · ".join(feet), f"© {coin(3).capitalize()}"]
+        lines = top + body + low
+        gone = [n for n, _ in enumerate(lines, 1) if n <= len(top) or n > len(top) + len(body)]
+        pages.append(("\n".join(lines), f"https://{host}.example/{'-'.join(title.lower().split())}", gone))
+    return pages
+
+
+@pytest.mark.parametrize("lang", sorted(LANGUAGES))
+def test_bodies_of_pages_whose_furniture_nobody_has_seen(spark, lang):
+    rng = random.Random(lang)
+    pages = [p for h in range(8) for p in made_site(rng, lang, f"{lang}{h}")]
+    df = spark.createDataFrame([(i, t, u) for i, (t, u, _) in enumerate(pages)], "id long, text string, url string")
+    got = {tuple(r) for r in boilerplate.furniture_lines(df, "id", "text", "url").collect()}
+    want = {(i, n) for i, (_, _, g) in enumerate(pages) for n in g}
+    assert len(got & want) >= 0.95 * len(want) and len(got & want) >= 0.95 * len(got)
+
+
+def test_single_pages_by_shape():
+    labels = boilerplate.label_blocks
+    assert labels("", None) == [None] and labels("\n \n", "x") == [None] * 3
+    prose = "Die Hafenlehre ist ein Fach, das sich mit dem Bau und der Pflege der Häfen und ihrer Wege befasst."
+    assert labels("\n".join(["Kaimauern | Schleusen | Molen | Docks | Kräne", prose, "– Hafenpläne", "Dauer: 2 Tage", "© 2024 Hafen"])) == [0, 1, 1, 1, 0]
+    know = boilerplate.Know({boilerplate.key_of(x)[0] for x in ("Molen", "Docks")}, {boilerplate.key_of("Neues")[0]}, {boilerplate.key_of("Ziele")[0]}, set())
+    teasers = [f"{n:02}.03.2024 Vortrag über die Arbeit der Leute an den Häfen und das, was sie von der See wissen" for n in range(1, 13)]
+    assert labels("\n".join([prose, "Ziele", prose, "Neues", *teasers, prose, prose]), None, know) == [1, 1, 1, 0] + [0] * 12 + [1, 1]
+    # A run of short blocks goes with what leads into it.
+    assert labels("\n".join(["Molen", "Buhnen", "Wehre", prose, "Stege", "Poller", "Docks"]), None, know) == [0, 0, 0, 1, 1, 1, 0]
+    assert labels("Molen\nDocks Molen\nHafenbau und Wege\n" + prose, None, know) == [0, 0, 1, 1]
 
 
 def test_page_tables(spark):
-    text = "\n".join(l for _, l in PAGE)
-    df = spark.createDataFrame([(1, text, None), (2, None, "u"), (None, text, "u"), (3, "", ""), (1, text, None)], "item long, body string, addr string").withColumn("id", F.lit("x")).withColumn("url", F.lit(1))
-    got = collections.Counter(tuple(r) for r in boilerplate.furniture_lines(df, "item", "body", "addr").collect())
-    assert got == {(1, n): 2 for n, (x, _) in enumerate(PAGE, 1) if not x}
-    bodies = {r.id: r.body for r in boilerplate.main_bodies(df, "item", "body", "addr").collect()}
-    assert bodies[1] == "\n".join(l for x, l in PAGE if x) and bodies[2] is None and bodies[3] == ""
+    text = "\n".join(["Kaimauern | Schleusen | Molen | Docks | Kräne", "Die Hafenlehre ist ein Fach, das sich mit dem Bau und der Pflege der Häfen befasst."])
+    rows = [(1, text, None), (2, None, "u"), (None, text, "u"), (3, "", ""), (1, text, None)]
+    df = spark.createDataFrame(rows, "item long, body string, addr string").withColumn("id", F.lit("x")).withColumn("url", F.lit(1)).withColumn("host", F.lit(1))
+    got = sorted(tuple(r) for r in boilerplate.furniture_lines(df, "item", "body", "addr").collect())
+    assert got == [(1, 1), (1, 1)]
+    bodies = sorted((tuple(r) for r in boilerplate.main_bodies(df, "item", "body", "addr").collect()), key=str)
+    assert bodies == sorted([(1, text.split("\n")[1])] * 2 + [(2, None), (3, "")], key=str)
     assert boilerplate.furniture_lines(df.limit(0), "item", "body", "addr").count() == 0
 
 
