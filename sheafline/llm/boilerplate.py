@@ -16,14 +16,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls
+from . import vec
 from .cluster import durable, map_batches, own_names, sent_if_small
 
 BODY, FURNITURE, OPEN = 1, 0, -1
@@ -52,170 +51,290 @@ le la les des du et ou un une dans pour par sur avec est sont que qui ne pas plu
 el los las una y que del con por para se su al lo como más es son
 il lo gli di che non con per una sono della dei nel alla
 """.split())
-WORD = re.compile(r"[^\W\d_]+")
-
-#: Between the parts of a row.
-SEP = re.compile(r"\s+[|·•>»›/→]\s+|\s{2,}|\t+")
-PATH = re.compile(r"\s+[>»›/→]\s+")
 MARK = re.compile(r"^[+›»>▸►→]\s+")
 ITEM = re.compile(r"^(?:[–•*-]|\d+[.)])\s")
-CLAUSE = re.compile(r"[.!?;:,…()\[\]]+\s*|\s[–-]\s")
 TEASER = re.compile(r"(?:(?:…|\.\.\.)(?:\s\S+){0,2}|\[\w+\]|\(\d+ ?[kmg]b\))\s*$|^(?:[›»]\s|\d\d?\.\d\d?\.\d{4}\b|\d{4}-\d\d-\d\d\b)", re.I)
 FIELD = re.compile(r"^[^\W\d][\w .\-/]{1,24}: \S")
 NUMBERED = re.compile(r"^(?:§\s*\d|\d+(?:\.\d+)*\.?\s)\S*\s*\S")
-OWNER = re.compile(r"©|\(c\)\s|\bcopyright\b", re.I)
-ENDS = re.compile(r"[.!?:]\W?$")
-
-def key_of(s: str) -> tuple[int, int, int]:
-    """(hash of the words, letters, words) of a part."""
-    ws = WORD.findall(s.lower())
-    return xxhash.xxh64_intdigest(" ".join(ws)) >> 1, sum(map(len, ws)), len(ws)
-
-@lru_cache(maxsize=50_000)
-def parts_of(line: str) -> tuple[str, list[tuple[int, int, int]]]:
-    """(kind, parts): kind 'row', 'short' or 'prose'; parts as (key, letters, words)."""
-    s = MARK.sub("", line.strip()).strip("|·•›» ")
-    row = [p for p in SEP.split(s) if p and p.strip()]
-    if len(row) > 1:
-        return "row", [k for k in map(key_of, row) if k[1]]
-    ws = WORD.findall(s)
-    if len(ws) <= 6 and not (ENDS.search(s) and len(ws) > 3):
-        k = key_of(s)
-        return "short", [k] if k[1] else []
-    return "prose", [k for k in map(key_of, CLAUSE.split(s)) if k[2] >= 3] + [key_of(s)]
-
-def observe(text: str) -> dict[int, tuple[int, int, int]]:
-    """What a page says of each part: {key: (stands in a run, stands before a teaser, words)}."""
-    lines = [l for l in text.split("\n") if l.strip()]
-    got = [parts_of(l) for l in lines]
-    out = {}
-    n = len(lines)
-    for i, (kind, parts) in enumerate(got):
-        run = kind == "row" or (kind == "short" and any(0 <= j < n and got[j][0] == "row" for j in (i - 1, i + 1))) or \
-            kind == "short" and sum(0 <= j < n and got[j][0] == "short" for j in (i - 2, i - 1, i + 1, i + 2)) >= 2
-        tease = i + 1 < n and bool(TEASER.search(lines[i + 1].strip()))
-        for k, letters, words in parts:
-            a = out.get(k, (0, 0, 0))
-            out[k] = (max(a[0], int(run)), max(a[1], int(tease)), words)
-    return out
+CREDITS = re.compile(r"\d+ (?:LP|ECTS|CP|credits?)\b")
+SENTENCES = re.compile(r"[^\W\d_)][.!?]\s+[^\W\d_][^.!?]*\s\S+[.!?]$")
+SHORT, PROSE, ROW = 0, 1, 2
+
+#: Signs between the parts of a row, of a path, and between clauses.
+_ROW, _PATH, _CLAUSE, _DASH, _STOP = "|·•>»›/→", ">»›/→", ".!?;:,…()[]", "–-", ".!?:"
+
+
+def _signs(signs: str) -> np.ndarray:
+    table = np.zeros(0x10000, dtype=bool)
+    table[[ord(c) for c in signs]] = True
+    return table
+
+
+_TABLES = {n: _signs(t) for n, t in (("row", _ROW), ("path", _PATH), ("clause", _CLAUSE), ("dash", _DASH), ("stop", _STOP), ("end", ".!?"), ("close", "….])"), ("lead", "›»"), ("digit", "0123456789"), ("space", "".join(chr(c) for c in range(0x3001) if chr(c).isspace())))}
+
+
+def _hash(*words: str) -> np.ndarray:
+    return np.sort(vec.Words(list(words), letters=True).hashes)
+
+
+class Blocks:
+    """The non-blank lines of a batch of pages and their parts, as flat arrays.
+
+    A line is a row of parts, short (a few words, no sentence), or prose.  Parts are what stands
+    between the signs of a row, a short line as a whole, or a clause of three words at least.
+    """
+
+    def __init__(self, texts: list[str]):
+        self.raw = [t.split("\n") for t in texts]
+        every = [l for r in self.raw for l in r]
+        w = vec.Words(every, keep_text=True, letters=True)
+        c = np.minimum(w.chars, 0xFFFF)
+        n = len(c)
+        space = _TABLES["space"][c]
+        before, after = np.concatenate([[True], space[:-1]]), np.concatenate([space[1:], [True]])
+        lone = before & after
+        running = lambda x: np.concatenate([[0], np.cumsum(x, dtype=np.int32)])
+        sign = _TABLES["row"][c] & lone
+        row, path = running(sign | space & (before | (c == 9))), running(_TABLES["path"][c] & lone)
+        clause = running(_TABLES["clause"][c] | _TABLES["dash"][c] & lone)
+        digits, colons = running(_TABLES["digit"][c]), running(c == 58)
+        owner = running((c == 169) | (c == 41) & (np.concatenate([[0], c[:-1]]) == 99) & (np.concatenate([[0, 0], c[:-2]]) == 40) & after)
+        dots = running((c == 0x2026) | (c == 46) & (np.concatenate([[0], c[:-1]]) == 46))
+        solid = np.flatnonzero(~space)
+        lo, hi = np.searchsorted(solid, w.base[:-1]), np.searchsorted(solid, w.base[1:] - 1)
+        keep = np.flatnonzero(hi > lo)  # lines with something in them
+        self.first, self.last = solid[lo[keep]], solid[hi[keep] - 1]
+        count = np.array([len(r) for r in self.raw], dtype=np.int64)
+        self.page_of = np.repeat(np.arange(len(texts)), count)[keep]
+        self.no = (np.arange(len(every)) - np.repeat(np.cumsum(count) - count, count))[keep]
+        self.bounds = np.searchsorted(self.page_of, np.arange(len(texts) + 1))
+        self.lines = [every[i].strip() for i in keep.tolist()]
+        self.length = self.last - self.first + 1
+        self.words, self.wfirst = np.diff(w.offsets)[keep], w.offsets[:-1][keep]
+        self.hashes = w.hashes
+        self.head, self.tail = c[self.first], c[self.last]
+        ends = _TABLES["stop"][self.tail] | (_TABLES["stop"][c[np.maximum(self.last - 1, self.first)]] & ~vec._word_table()[w.chars[self.last]])
+        # Breaks before words: between the parts of a row, or between clauses.
+        line = np.repeat(np.arange(len(keep)), self.words)
+        at = np.arange(len(line)) - np.repeat(np.cumsum(self.words) - self.words, self.words) + np.repeat(self.wfirst, self.words)
+        begin, end = w.starts[at], w.ends[at]
+        new = np.diff(line, prepend=-1) > 0
+        gap = lambda cum: (cum[begin] - cum[np.concatenate([[0], end[:-1]])] > 0) & ~new
+        rows = gap(row)
+        has = self.words > 0
+        self.kind = np.where(self.words <= 6, SHORT, PROSE)
+        self.kind[ends & (self.words > 3)] = PROSE
+        self.kind[line[rows]] = ROW
+        starts = np.flatnonzero(new | np.where(self.kind[line] == ROW, rows, (self.kind[line] == PROSE) & gap(clause)))
+        size = np.diff(np.append(starts, len(line)))
+        self.p_line, self.p_words = line[starts], size
+        stop = starts + size - 1
+        self.p_letters = np.add.reduceat(end - begin, starts) if len(starts) else np.zeros(0, int)
+        self.p_span = end[stop] - begin[starts]
+        upto = np.where(np.append(self.p_line[1:], -1) == self.p_line, np.append(begin[starts][1:], 0), self.last[self.p_line] + 1)
+        self.p_digits = digits[upto] - digits[begin[starts]] > 0
+        self.p_key = vec.sequence_keys(w.hashes, at[starts], size)
+        kept = (self.kind[self.p_line] != PROSE) | (size >= 3)
+        for name in ("p_line", "p_words", "p_letters", "p_span", "p_digits", "p_key"):
+            setattr(self, name, getattr(self, name)[kept])
+        self.key = np.zeros(len(keep), dtype=np.uint64)  # of whole lines, but rows
+        self.key[has] = vec.sequence_keys(w.hashes, self.wfirst[has], self.words[has])
+        self.key[self.kind == ROW] = 0
+        self.letters = self._sum(line, end - begin)
+        self.stops = self._sum(line, vec.among(w.hashes[at], _STOPS))
+        over = lambda cum: cum[self.last + 1] - cum[self.first] > 0
+        self.colon, self.path = over(colons), over(path)
+        self.owner = over(owner)
+        self.owner[line[w.hashes[at] == _COPYRIGHT]] = True
+        near = dots[self.last + 1] - dots[np.maximum(self.first, self.last - 40)] > 0
+        self.tease = np.zeros(len(keep), dtype=bool)
+        sign = lambda by, code: c[np.minimum(self.first + by, n - 1)] == code
+        dated = _TABLES["digit"][self.head] & (sign(1, 46) | sign(2, 46) | sign(4, 45))
+        for i in np.flatnonzero(near | _TABLES["close"][self.tail] | dated | _TABLES["lead"][self.head]).tolist():
+            self.tease[i] = TEASER.search(self.lines[i]) is not None
+
+    def _sum(self, line: np.ndarray, x: np.ndarray) -> np.ndarray:
+        return np.bincount(line, x, len(self.kind)).astype(np.int64)
+
+    def near(self, x: np.ndarray, by: int) -> np.ndarray:
+        """``x`` of the line ``by`` lines on, False beyond the page."""
+        n = len(x)
+        to = np.arange(n) + by
+        ok = (to >= 0) & (to < n)
+        to = np.clip(to, 0, max(n - 1, 0))
+        return x[to] & ok & (self.page_of[to] == self.page_of)
+
+    def observed(self) -> tuple[np.ndarray, ...]:
+        """(page, key, seen, words) of every part and every whole sentence; seen: 1 in a run, 2 before a teaser."""
+        row, short = self.kind == ROW, self.kind == SHORT
+        beside = self.near(row, -1) | self.near(row, 1)
+        crowd = sum(self.near(short, d).astype(int) for d in (-2, -1, 1, 2)) >= 2
+        seen = (row | short & (beside | crowd)) + 2 * self.near(self.tease, 1)
+        whole = np.flatnonzero((self.kind == PROSE) & (self.words > 0))
+        line = np.concatenate([self.p_line, whole])
+        words = np.concatenate([self.p_words, self.words[whole]])
+        return self.page_of[line], np.concatenate([self.p_key, self.key[whole]]), seen[line], np.minimum(words, 100)
+
+
+_STOPS, _COPYRIGHT = _hash(*STOP_WORDS), _hash("copyright")[0]
+
+
+def key_of(part: str) -> int:
+    """The key of a part by itself."""
+    w = vec.Words([part], letters=True)
+    return int(vec.sequence_keys(w.hashes, np.array([0]), np.array([len(w.hashes)]))[0])
 
 
 class Know:
-    """What all pages, and those of one host, say of a part, by key."""
+    """What all pages say of a part, by key; what those of one host say, by key mixed with the host."""
 
-    def __init__(self, labels: set, boxes: set, heads: set, phrases: set):
-        self.labels, self.boxes, self.heads, self.phrases = labels, boxes, heads, phrases
+    def __init__(self, labels=(), boxes=(), heads=(), phrases=(), host_labels=(), host_phrases=()):
+        table = lambda x: np.unique(np.array(list(x), dtype=np.uint64))
+        self.labels, self.boxes, self.heads, self.phrases = table(labels), table(boxes), table(heads), table(phrases)
+        self.host_labels, self.host_phrases = table(host_labels), table(host_phrases)
 
-    def on_host(self, labels: list, phrases: list) -> Know:
-        return Know(self.labels.union(labels), self.boxes, self.heads, self.phrases.union(phrases)) if labels or phrases else self
+    def with_hosts(self, labels: np.ndarray, phrases: np.ndarray) -> Know:
+        out = Know()
+        out.__dict__.update(self.__dict__, host_labels=np.unique(labels), host_phrases=np.unique(phrases))
+        return out
 
+    def label(self, key: np.ndarray, host: np.ndarray) -> np.ndarray:
+        return vec.among(key, self.labels) | vec.among(vec.mix(key ^ host), self.host_labels)
 
-NOTHING = Know(set(), set(), set(), set())
+    def phrase(self, key: np.ndarray, host: np.ndarray) -> np.ndarray:
+        return vec.among(key, self.phrases) | vec.among(vec.mix(key ^ host), self.host_phrases)
 
 
-CREDITS = re.compile(r"\d+ (?:LP|ECTS|CP|credits?)\b")
-SENTENCES = re.compile(r"[^\W\d_)][.!?]\s+[^\W\d_][^.!?]*\s\S+[.!?]$")
+NOTHING = Know()
 
 
 def _slug(s: str) -> str:
     return re.sub(r"[^a-z0-9]+", "-", s.lower()).strip("-")
 
 
-def title_of(lines: list[str], url: str | None) -> str:
-    """The line whose words make the URL's last part: the page's heading."""
+def title_of(lines: list[str], paths: list[bool], url: str | None) -> int:
+    """The line whose words make the URL's last part, the page's heading; -1 if there is none."""
     last = _slug((url or "").split("?")[0].split("#")[0].rstrip("/").rsplit("/", 1)[-1])
     last = re.sub(r"-?[0-9a-f]{5,12}$", "", last)
     if len(last) < 8:
-        return ""
-    for s in lines:
-        if len(s) >= 8 and _slug(s[:14])[:7] == last[:7] and not PATH.search(s):
+        return -1
+    lead = last[:7]
+    for i, (s, path) in enumerate(zip(lines, paths)):
+        if len(s) >= 8 and not path and _slug(s[:14])[:7] == lead:
             g = _slug(s)
             if g and (g.startswith(last) or last.startswith(g)):
-                return s
-    return ""
-
-
-def joined_labels(words: list[str], know: Know) -> bool:
-    """Whether the words are nothing but labels set one after another."""
-    i, n = 0, len(words)
-    while i < n:
-        for m in range(min(7, n - i), 0, -1):
-            if xxhash.xxh64_intdigest(" ".join(words[i:i + m])) >> 1 in know.labels:
-                i += m
-                break
-        else:
-            return False
-    return n > 0
-
-
-def first_pass(line: str, know: Know, o: Pages = Pages()) -> int:
-    """Label of one block by itself: body, furniture, or open (short and undecided)."""
-    s = line.strip()
-    kind, parts = parts_of(line)
-    if OWNER.search(s) and len(s) < 200:
-        return FURNITURE
-    words = WORD.findall(s.lower())
-    if joined_labels(words, know):
-        return FURNITURE
-    if kind == "row":
-        labels, n = sum(k in know.labels for k, _, _ in parts), len(parts)
-        if PATH.search(s) and labels:
-            return FURNITURE
-        cells = SEP.split(s)
-        speak = sum(any(map(str.isdigit, c)) or len(c.split()) > 4 for c in cells)
-        if n and labels * 2 >= n and not speak * 2 > n:
-            return FURNITURE
-        if n >= 5 and not speak and max(map(len, cells)) <= 32:
-            return FURNITURE
-    elif parts:
-        whole, letters, _ = parts[-1]
-        if kind == "short" and whole in know.labels:
-            return FURNITURE
-        if kind == "short" and whole in know.heads:
-            return BODY
-        if whole in know.phrases or kind == "prose" and sum(l for k, l, _ in parts[:-1] if k in know.phrases) > o.dense * letters:
-            return FURNITURE
-    stops = sum(w in STOP_WORDS for w in words)
-    if len(s) >= 60 and stops >= o.stops * len(words) or len(words) >= 5 and s[-1:] in ".!?" and stops:
-        return BODY
-    if FIELD.match(s) and len(s) <= 60 or NUMBERED.match(s) and len(words) >= 3 or len(s) >= o.long:
-        return BODY
-    return OPEN
+                return i
+    return -1
+
+
+def _joined(b: Blocks, know: Know, host: np.ndarray, open_: np.ndarray) -> np.ndarray:
+    """Those of the ``open_`` lines whose words are nothing but labels set one after another."""
+    out = np.zeros(len(b.kind), dtype=bool)
+    rest = np.flatnonzero(open_ & (b.words >= 2) & (b.words <= 40))
+    may = np.zeros(len(rest), dtype=bool)
+    for m in range(1, 8):
+        at = np.flatnonzero(b.words[rest] >= m)
+        may[at[know.label(vec.sequence_keys(b.hashes, b.wfirst[rest[at]], np.full(len(at), m)), host[rest[at]])]] = True
+    rest = rest[may]
+    n = b.words[rest]
+    bound = np.concatenate([[0], np.cumsum(n)])
+    word = np.arange(bound[-1]) - np.repeat(bound[:-1], n)
+    longest = np.zeros(bound[-1], dtype=np.int64)  # words of the longest label that begins at each word
+    for m in range(1, 8):
+        at = np.flatnonzero(word + m <= np.repeat(n, n))
+        keys = vec.sequence_keys(b.hashes, (word + np.repeat(b.wfirst[rest], n))[at], np.full(len(at), m))
+        longest[at[know.label(keys, np.repeat(host[rest], n)[at])]] = m
+    step = longest.tolist()
+    for k, i in enumerate(rest.tolist()):
+        j, end = int(bound[k]), int(bound[k + 1])
+        while j < end and step[j]:
+            j += step[j]
+        out[i] = j == end
+    return out
+
+
+def first_pass(b: Blocks, know: Know, host: np.ndarray, o: Pages) -> np.ndarray:
+    """Label of each block by itself: body, furniture, or open (short and undecided)."""
+    n = len(b.kind)
+    label = np.full(n, OPEN)
+    row, short, prose = b.kind == ROW, b.kind == SHORT, b.kind == PROSE
+    p_label = know.label(b.p_key, host[b.p_line])
+    labels, parts = b._sum(b.p_line, p_label), b._sum(b.p_line, np.ones(len(p_label)))
+    speak = b._sum(b.p_line, b.p_digits | (b.p_words > 4))
+    widest = np.zeros(n, dtype=np.int64)
+    np.maximum.at(widest, b.p_line, b.p_span)
+    recurring = b._sum(b.p_line, b.p_letters * know.phrase(b.p_key, host[b.p_line]))
+    furniture = b.owner & (b.length < 200)
+    furniture |= row & ((b.path & (labels > 0)) | ((labels * 2 >= parts) & ~(speak * 2 > parts)) | ((parts >= 5) & (speak == 0) & (widest <= 32)))
+    furniture |= short & (labels > 0)
+    furniture |= ~row & know.phrase(b.key, host) | prose & (recurring > o.dense * b.letters)
+    furniture |= _joined(b, know, host, ~furniture)
+    body = (b.length >= 60) & (b.stops >= o.stops * b.words) & (b.words > 0) | (b.words >= 5) & _TABLES["end"][b.tail] & (b.stops > 0) | (b.length >= o.long)
+    for i in np.flatnonzero(~body & b.colon & (b.length <= 60)).tolist():
+        body[i] = FIELD.match(b.lines[i]) is not None
+    for i in np.flatnonzero(~body & (b.words >= 3) & (_TABLES["digit"][b.head] | (b.head == 167))).tolist():
+        body[i] = NUMBERED.match(b.lines[i]) is not None
+    label[body] = BODY
+    label[short & vec.among(b.key, know.heads)] = BODY
+    label[furniture] = FURNITURE
+    return label
+
+
+def label_batch(texts: list[str], page_urls: list, know: Know, host: np.ndarray, o: Pages) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each page (line numbers from 0 of its non-blank lines, their labels: 1 main body, 0 furniture)."""
+    b = Blocks(texts)
+    hosts = host[b.page_of]
+    label = first_pass(b, know, hosts, o)
+    in_box, is_label, is_head = (vec.among(b.key, know.boxes) & (b.kind == SHORT)), (b.kind == SHORT) & know.label(b.key, hosts), vec.among(b.key, know.heads)
+    for p, url in enumerate(page_urls):
+        s, e = b.bounds[p], b.bounds[p + 1]
+        lines = b.lines[s:e]
+        title = title_of(lines, b.path[s:e].tolist(), url)
+        own = label[s:e].tolist()
+        if title >= 0:
+            own = [BODY if l == lines[title] else x for l, x in zip(lines, own)]
+        page = Page(lines, lines[title] if title >= 0 else "", b.kind[s:e].tolist(), b.tease[s:e].tolist(), in_box[s:e].tolist(), is_label[s:e].tolist(), is_head[s:e].tolist())
+        if any(page.boxes):
+            _boxes(page, own, o)
+        yield b.no[s:e], np.array(second_pass(page, own), dtype=np.int8)
+
+
+@dataclass
+class Page:
+    """Of each non-blank line of a page."""
+
+    lines: list[str]
+    title: str
+    kind: list[int]
+    tease: list[bool]
+    boxes: list[bool]
+    labels: list[bool]
+    heads: list[bool]
 
 
 def label_blocks(text: str, url: str | None = None, know: Know = NOTHING, o: Pages = Pages()) -> list:
     """A label for each line of a page: 1 main body, 0 furniture, None for a blank line."""
-    raw = text.split("\n")
-    at = [i for i, l in enumerate(raw) if l.strip()]
-    lines = [raw[i].strip() for i in at]
-    title = title_of(lines, url)
-    got = [parts_of(l) for l in lines]
-    key = [g[1][-1][0] if g[0] != "row" and g[1] else 0 for g in got]
-    tease = [bool(TEASER.search(l)) for l in lines]
-    label = [BODY if title and l == title else first_pass(l, know, o) for l in lines]
-    _boxes(lines, title, got, key, tease, label, know, o)
-    out: list = [None] * len(raw)
-    for i, l in zip(at, second_pass(lines, title, got, key, tease, label, know)):
-        out[i] = l
+    out: list = [None] * (text.count("\n") + 1)
+    for no, label in label_batch([text], [url], know, np.zeros(1, dtype=np.uint64), o):
+        for i, x in zip(no.tolist(), label.tolist()):
+            out[i] = x
     return out
 
 
-def _boxes(lines, title, got, key, tease, label, know, o: Pages) -> None:
+def _boxes(page: Page, label: list[int], o: Pages) -> None:
     """Mark box headings and the teasers below them as furniture."""
-    n = len(lines)
+    lines, tease, n = page.lines, page.tease, len(label)
 
     def column(j: int) -> bool:
-        return 0 <= j < n and label[j] == FURNITURE and got[j][0] == "short" and key[j] in know.labels and key[j] not in know.boxes
+        return 0 <= j < n and label[j] == FURNITURE and page.labels[j] and not page.boxes[j]
 
     def heads(i: int) -> bool:
-        if got[i][0] != "short" or key[i] not in know.boxes or MARK.match(lines[i]):
-            return False
-        return key[i] not in know.labels or not (column(i - 1) or column(i + 1))
+        return page.boxes[i] and not MARK.match(lines[i]) and (not page.labels[i] or not (column(i - 1) or column(i + 1)))
 
     def speaks(j: int) -> bool:
         """What no teaser looks like: a list item, a word or two, a field, credits, two sentences."""
         s = lines[j]
-        if s == title or key[j] in know.heads or ITEM.match(s) and not tease[j]:
+        if s == page.title or page.heads[j] or ITEM.match(s) and not tease[j]:
             return True
         if tease[j]:
             return False
@@ -242,14 +361,16 @@ def _boxes(lines, title, got, key, tease, label, know, o: Pages) -> None:
             label[j] = FURNITURE
 
 
-def second_pass(lines, title, got, key, tease, label, know) -> list[int]:
+def second_pass(page: Page, label: list[int]) -> list[int]:
     """Ambiguous blocks by their nearest decided neighbours."""
-    n = len(lines)
+    lines, kind, n = page.lines, page.kind, len(label)
     out = list(label)
     for i in range(1, n - 1):  # one sentence between a notice and its buttons goes with them
-        if label[i] == BODY and lines[i] != title and got[i][0] == "prose" and len(lines[i]) < 100 and len(got[i][1]) == 2 \
-                and label[i - 1] == FURNITURE == label[i + 1] and got[i - 1][0] == "prose" and not tease[i - 1] and key[i + 1] not in know.boxes:
+        if label[i] == BODY and label[i - 1] == FURNITURE == label[i + 1] and kind[i] == PROSE == kind[i - 1] and len(lines[i]) < 100 \
+                and lines[i] != page.title and not page.tease[i - 1] and not page.boxes[i + 1] and not any(c in ".!?;:,…()[]" for c in lines[i][:-1]):
             out[i] = FURNITURE
+    if OPEN not in label:
+        return out
     before, after, last = [None] * n, [None] * n, None
     for i in range(n):
         before[i], last = last, i if label[i] != OPEN else last
@@ -265,15 +386,14 @@ def second_pass(lines, title, got, key, tease, label, know) -> list[int]:
         elif MARK.match(s):
             out[i] = FURNITURE
         elif p is None and q is None:
-            out[i] = FURNITURE if got[i][0] == "short" else BODY
+            out[i] = FURNITURE if kind[i] == SHORT else BODY
         elif p is None or q is None:
             out[i] = label[q if p is None else p]
         elif label[p] == label[q]:
             out[i] = label[p]
         else:  # a run goes with what leads into it; one block alone before the body is its heading
-            menu = got[p][0] == "row" or key[p] in know.labels
             alone = q - p == 2 and label[q] == BODY
-            out[i] = BODY if alone and not (menu and len(s.split()) <= 2) else label[p]
+            out[i] = BODY if alone and not ((kind[p] == ROW or page.labels[p]) and len(s.split()) <= 2) else label[p]
     return out
 
 
@@ -293,12 +413,10 @@ def learned(pages: DataFrame, o: Pages) -> tuple[Know, DataFrame]:
     """
 
     def sweep(cols) -> Iterator[dict]:
-        out: dict = {c: [] for c in ("host", "page", "key", "seen", "words")}
-        for h, p, t in zip(cols["host"].to_pylist(), cols["page"].to_pylist(), cols["text"].to_pylist()):
-            for k, (run, tease, words) in observe(t).items():
-                for c, v in zip(out, (h, p, k, run + 2 * tease, min(words, 100))):
-                    out[c].append(v)
-        yield out
+        host, page, texts = cols["host"].to_numpy(), cols["page"].to_numpy(), cols["text"].to_pylist()
+        for s, e in vec.chunks(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))):
+            at, key, seen, words = Blocks(texts[s:e]).observed()
+            yield {"host": host[s:e][at], "page": page[s:e][at], "key": vec.signed(key), "seen": seen.astype(np.int8), "words": words.astype(np.int8)}
 
     page = F.coalesce(F.xxhash64(urls.normalize_url(F.col("url"))), F.xxhash64("id"))
     rows = map_batches(pages.where("length(text) > 0").select("host", page.alias("page"), "text"), sweep, "host long, page long, key long, seen tinyint, words tinyint")
@@ -309,23 +427,23 @@ def learned(pages: DataFrame, o: Pages) -> tuple[Know, DataFrame]:
     total = sizes.agg(F.sum("pages")).first()[0] or 0
     everywhere = by_host.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n", "run", "tease")], F.max("words").alias("words")).where(
         F.col("n") >= max(5.0, o.share * total)).collect()
-    know = Know(set(), set(), set(), set())
+    labels, boxes, heads, phrases = [], [], [], []
     for r in everywhere:
         run, tease = r["run"] / r["n"], r["tease"] / r["n"]
         if r["words"] <= 6 and tease >= o.tease:
-            know.boxes.add(r["key"])
+            boxes.append(r["key"])
         if r["words"] <= 6 and run >= o.run and tease < 0.8:
-            know.labels.add(r["key"])
+            labels.append(r["key"])
         elif r["words"] <= 6 and tease < o.tease:
-            know.heads.add(r["key"])
+            heads.append(r["key"])
         if r["words"] >= 3 and run < o.run:
-            know.phrases.add(r["key"])
+            phrases.append(r["key"])
     often = by_host.where("n >= 3").join(sizes, "host").where(F.col("n") >= o.own * F.col("pages"))
     run = F.col("run") >= o.run * F.col("n")
     own = often.groupBy("host").agg(
         F.collect_list(F.when((F.col("words") <= 6) & run & (F.col("tease") < 0.8 * F.col("n")), F.col("key"))).alias("labels"),
         F.collect_list(F.when((F.col("words") >= 3) & ~run, F.col("key"))).alias("phrases"))
-    return know, durable(own)
+    return Know(*(np.array(x, dtype=np.int64).view(np.uint64) for x in (labels, boxes, heads, phrases))), durable(own)
 
 
 def _labelled(df: DataFrame, id_col: str, text_col: str, url_col: str, o: Pages) -> tuple[DataFrame, object]:
@@ -335,11 +453,21 @@ def _labelled(df: DataFrame, id_col: str, text_col: str, url_col: str, o: Pages)
     held = df.sparkSession.sparkContext.broadcast(know)  # bounded by mean parts / share
 
     def labels(cols) -> Iterator[tuple]:
-        of_host: dict = {}
-        for i, t, u, h, l, p in zip(*(cols[c].to_pylist() for c in ("id", "text", "url", "host", "labels", "phrases"))):
-            if h not in of_host:
-                of_host[h] = held.value.on_host(l or [], p or [])
-            yield i, t, None if t is None else label_blocks(t, u, of_host[h], o)
+        """(position in the batch, line numbers, labels) of each page with a text."""
+        texts, page_urls = cols["text"].to_pylist(), cols["url"].to_pylist()
+        host = cols["host"].to_numpy().view(np.uint64)
+        full = np.array([i for i, t in enumerate(texts) if t], dtype=np.int64)
+        _, one = np.unique(host, return_index=True)
+
+        def of_hosts(name):
+            got = [(host[i], v) for i in one.tolist() for v in (cols[name][i].as_py() or ())]
+            return vec.mix(np.array([k for _, k in got], dtype=np.int64).view(np.uint64) ^ np.array([h for h, _ in got], dtype=np.uint64))
+
+        know = held.value.with_hosts(of_hosts("labels"), of_hosts("phrases"))
+        for s, e in vec.chunks(np.array([len(texts[i]) for i in full], dtype=np.int64)):
+            some = full[s:e]
+            for i, (no, got) in zip(some.tolist(), label_batch([texts[i] for i in some], [page_urls[i] for i in some], know, host[some], o)):
+                yield i, no, got
 
     return joined, labels
 
@@ -353,12 +481,12 @@ def furniture_lines(df: DataFrame, id_col: str, text_col: str, url_col: str, opt
     joined, labels = _labelled(df, id_col, text_col, url_col, options)
 
     def run(cols) -> Iterator[dict]:
-        ids, nos = [], []
-        for i, _, got in labels(cols):
-            at = [n for n, l in enumerate(got, 1) if l == FURNITURE]
-            ids.append(np.full(len(at), i, dtype=np.int64))
-            nos.append(np.array(at, dtype=np.int32))
-        yield {"id": np.concatenate(ids), "line_no": np.concatenate(nos)}
+        ids, out, nos = cols["id"].to_numpy(), [], []
+        for i, no, got in labels(cols):
+            at = no[got == FURNITURE] + 1
+            out.append(np.full(len(at), ids[i], dtype=np.int64))
+            nos.append(at)
+        yield {"id": np.concatenate(out), "line_no": np.concatenate(nos).astype(np.int32)}
 
     return map_batches(joined.where("length(text) > 0"), run, "id long, line_no int")
 
@@ -368,10 +496,11 @@ def main_bodies(df: DataFrame, id_col: str, text_col: str, url_col: str, options
     joined, labels = _labelled(df, id_col, text_col, url_col, options)
 
     def run(cols) -> Iterator[dict]:
-        ids, body = [], []
-        for i, t, got in labels(cols):
-            ids.append(i)
-            body.append(None if t is None else "\n".join(l for l, x in zip(t.split("\n"), got) if x == BODY))
-        yield {"id": ids, "body": body}
+        texts = cols["text"].to_pylist()
+        body = [None if t is None else "" for t in texts]
+        for i, no, got in labels(cols):
+            lines = texts[i].split("\n")
+            body[i] = "\n".join(lines[k] for k in no[got == BODY].tolist())
+        yield {"id": cols["id"], "body": body}
 
     return map_batches(joined, run, "id long, body string")

@@ -66,14 +66,15 @@ class Words:
     each followed by a line feed) and ``base`` is where each text begins there.
     """
 
-    def __init__(self, texts: list[str], keep_text: bool = False):
+    def __init__(self, texts: list[str], keep_text: bool = False, letters: bool = False):
         low = [(t or "").lower() for t in texts]
         lens = np.fromiter(map(len, low), dtype=np.int64, count=len(low)) + 1
         joined = "\n".join(low) + "\n"
         self.joined = joined if keep_text else None
         chars = codepoints(joined)
         self.base = np.concatenate([[0], np.cumsum(lens)])
-        isw = _word_table()[chars]
+        self.chars = chars if keep_text else None
+        isw = (_letter_table() if letters else _word_table())[chars]
         edge = np.flatnonzero(np.diff(isw.view(np.int8), prepend=np.int8(0)))
         starts, ends = edge[0::2], edge[1::2]
         self.starts, self.ends = starts, ends
@@ -104,6 +105,24 @@ class Words:
         return mix(h[first]), off, first
 
 
+def sequence_keys(hashes: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """One hash of each run of n (one at least) words from ``first`` on; runs may not overlap but stand in order."""
+    if not len(first):
+        return np.zeros(0, dtype=U64)
+    at = np.concatenate([[0], np.cumsum(n)[:-1]])
+    pos = np.arange(int(n.sum())) - np.repeat(at, n)
+    with np.errstate(over="ignore"):
+        value = hashes[np.repeat(first, n) + pos] * _powers(int(n.max()) + 1)[pos]
+        return mix(np.add.reduceat(value, at) + n.astype(U64))
+
+
+def among(x: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Whether each value is in a sorted table."""
+    if not len(table):
+        return np.zeros(len(x), dtype=bool)
+    return table[np.minimum(np.searchsorted(table, x), len(table) - 1)] == x
+
+
 def reduce_min(values: np.ndarray, offsets: np.ndarray, empty) -> np.ndarray:
     """Minimum of each stretch; ``empty`` for a stretch without values."""
     out = np.full(len(offsets) - 1, empty, dtype=values.dtype)
