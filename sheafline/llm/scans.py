@@ -3,19 +3,22 @@
 Line-pair classifiers decide which lines are page furniture and which line ends go on in the next
 line.  Words that no born-digital record has are looked up by character q-grams: an inverted join
 on their head and tail grams, whose length grows with the word's, brings the known words that differ
-in one place; a gradient-boosted ranking chooses the replacement or leaves the word alone.  The
-models are trained on pages made from a bounded sample of born-digital texts, wrapped, hyphenated,
-misread and given headers by rule; counts of words run over all records.
+in one place; a gradient-boosted ranking chooses among them, and another model says from the best
+score and the look of the word whether it was misread at all.  The models are trained on pages made
+from a bounded sample of born-digital texts, wrapped, hyphenated, misread and given headers; counts
+of words, and the words that head running titles, are taken over all records.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,11 +37,6 @@ CONFUSIONS = {
 }
 #: Hyphens at line ends.
 HYPHENS = "-‐­¬‑"
-#: Words after which a hung hyphen is no division ("Vor- und Nachbereitung").
-HANGING = frozenset("und oder sowie bzw beziehungsweise wie bis als noch and or".split())
-#: Words that open a running title.
-TITLE_WORDS = ("modulhandbuch", "studienplan", "prüfungsordnung", "ordnung", "amtliche", "studienordnung", "modulkatalog", "satzung", "module", "handbook", "regulations", "syllabus")
-TITLE_PAIRS = tuple(frozenset(w[i:i + 2] for i in range(len(w) - 1)) for w in TITLE_WORDS)
 SMALL_WORDS = frozenset("der die das den dem des ein eine und oder zu zur zum im in an auf aus mit von vor für über sind ist wird werden ihre als nach bei the a an of and or to for in on with from is are be".split())
 
 WORD = re.compile(r"[^\W_]+")
@@ -52,21 +50,26 @@ CODE = re.compile(r"^[A-ZÄÖÜ]{2,5}\d+$")
 @dataclass(frozen=True)
 class Scans:
     sample_records: int = 400       # born-digital records the models are trained on, at most
-    sample_chars: int = 20_000      # ... and of this length at most, so that the sample fits the driver
+    sample_chars: int = 20_000      # ... each of this length at most: the labelled rows fit the driver
+    sample_words: int = 3_000       # known words the ranking is trained on, among 12,000 at most
+    head_share: float = 0.02        # a word that heads this share of the lines cut into the text heads titles
     known_words: int = 50_000       # most frequent words known to every task; all others are joined
     min_records: int = 2            # a word of fewer records is no evidence of spelling
-    line_chars: int = 100           # no line of a scanned page is longer
+    line_chars: int = 100           # a line of a scanned page is rarely longer
+    long_lines: float = 0.05        # ... than in this share of its lines
     furniture: float = 0.5
     joins: float = 0.5
     replace: float = 0.5
+    misread: float = 0.5
     seed: int = 3
 
 
-def is_scanned(ocr_used: Column, text: Column, line_chars: int = 100) -> Column:
-    """True for scanned records: known to be, or unknown and set in short lines that run on."""
-    longest = F.array_max(F.transform(F.split(text, "\n"), lambda l: F.length(F.rtrim(l))))
+def is_scanned(ocr_used: Column, text: Column, o: Scans = Scans()) -> Column:
+    """True for scanned records: known to be, or unknown and set, but for few lines, in short lines that run on."""
+    widths = F.filter(F.transform(F.split(text, "\n"), lambda l: F.length(F.rtrim(l))), lambda n: n > 0)
+    long = F.size(F.filter(widths, lambda n: n > o.line_chars))
     runs_on = F.regexp_count(text, F.lit(r"[\p{L},\x{AD}\x{AC}\x{2010}-][ \t]*\n\s*\p{Ll}"))
-    return F.coalesce(ocr_used, (longest <= line_chars) & (runs_on >= 2))
+    return F.coalesce(ocr_used, (long <= o.long_lines * F.size(widths)) & (runs_on >= 2))
 
 
 # ---- lines ---------------------------------------------------------------------------------
@@ -83,14 +86,15 @@ def _share(x: frozenset, y: frozenset) -> float:
     return len(x & y) / max(1, len(x | y))
 
 
-@lru_cache(maxsize=50_000)
-def _title_like(word: str) -> float:
-    """Share of character pairs the word has in common with the nearest word that opens a running title."""
-    x = _pairs(word)
-    return max(_share(x, t) for t in TITLE_PAIRS)
+def _title_like(word: str, heads: tuple[frozenset, ...], seen: dict[str, float]) -> float:
+    """Share of character pairs the word has in common with the nearest word that heads running titles."""
+    if word not in seen:
+        x = _pairs(word)
+        seen[word] = max((_share(x, t) for t in heads), default=0.0)
+    return seen[word]
 
 
-def line_features(lines: list[str]) -> np.ndarray:
+def line_features(lines: list[str], heads: tuple[frozenset, ...], seen: dict[str, float]) -> np.ndarray:
     """One row a non-blank line: what it looks like itself and between its neighbours."""
     n = len(lines)
     strip = [l.strip() for l in lines]
@@ -110,9 +114,9 @@ def line_features(lines: list[str]) -> np.ndarray:
         upper = sum(map(str.isupper, s))
         alpha = sum(map(str.isalpha, s))
         lead = letters[0].lower() if letters else ""
-        like_title = _title_like(lead) if lead else 0.0
+        like_title = _title_like(lead, heads, seen) if lead else 0.0
         if len(letters) >= 4 and caps[i] > 0.6:
-            like_title = max(like_title, _title_like(letters[-3].lower()))
+            like_title = max(like_title, _title_like(letters[-3].lower(), heads, seen))
         capital = caps[i]
         twin = max((_share(pairs[i], q) for j, q in pairs.items() if j != i), default=0.0) if i in pairs else 0.0
         cut_before = bool(before) and before[-1:] not in ".!?:" and len(before) > 0.55 * width
@@ -124,11 +128,11 @@ def line_features(lines: list[str]) -> np.ndarray:
     return out
 
 
-JOIN_FEATURES = 8
+JOIN_FEATURES = 11
 
 
-def join_features(line: str, after: str) -> tuple | None:
-    """Of a line pair whose first line ends in a hyphen; None for any other."""
+def join_features(line: str, after: str, df: dict[str, float]) -> tuple | None:
+    """Of a line pair whose first line ends in a hyphen: how common the parts and the whole are, and how they look; None for any other."""
     s = line.rstrip()
     if len(s) < 2 or s[-1] not in HYPHENS or not s[-2].isalnum():
         return None
@@ -136,7 +140,8 @@ def join_features(line: str, after: str) -> tuple | None:
     head = WORD.findall(s[:-1])
     a, b = head[-1] if head else "", nxt.group() if nxt else ""
     lead = after.strip()[:1]
-    return (s[-1] == "-", b.lower() in HANGING, lead.islower(), lead.isupper(), lead.isdigit() or not b, len(a), len(b), a.isupper() and b.isupper())
+    often = lambda w: math.log1p(df.get(w.lower(), 0.0))
+    return (s[-1] == "-", often(a + b), often(a), often(b), lead.islower(), lead.isupper(), a[-1:].isdigit(), lead.isdigit() or not b, len(a), len(b), a.isupper() and b.isupper())
 
 
 def read_lines(text: str) -> tuple[list[int], list[str]]:
@@ -149,7 +154,8 @@ def read_lines(text: str) -> tuple[list[int], list[str]]:
 def read_pages(texts: list[str], models: dict, o: Scans) -> Iterator[tuple[list[int], list[str], np.ndarray, list[int | None]]]:
     """Of each text (line numbers, lines, furniture flags, for each line the index of the line its last word goes on in)."""
     read = [read_lines(t) for t in texts]
-    x = [line_features(lines) for _, lines in read if lines]
+    seen: dict[str, float] = {}
+    x = [line_features(lines, models["heads"], seen) for _, lines in read if lines]
     furn = models["furniture"].predict(np.concatenate(x)) >= o.furniture if x else np.zeros(0, bool)
     pages, ends, feats, at = [], [], [], 0
     for n, (nos, lines) in enumerate(read):
@@ -158,7 +164,7 @@ def read_pages(texts: list[str], models: dict, o: Scans) -> Iterator[tuple[list[
         pages.append((nos, lines, own, [None] * len(lines)))
         running = np.flatnonzero(~own).tolist()
         for a, b in zip(running, running[1:]):
-            f = join_features(lines[a], lines[b])
+            f = join_features(lines[a], lines[b], models["df"])
             if f is not None:
                 ends.append((n, a, b))
                 feats.append(f)
@@ -232,31 +238,43 @@ def misread(word: str, rng: np.random.Generator) -> str:
     return word[:i] + read[rng.integers(len(read))] + word[i + len(k):]
 
 
-def made_page(text: str, nouns: list[str], rng: np.random.Generator) -> tuple[list[str], list[bool]]:
-    """A scanned page set from a text: (lines, furniture flags)."""
+def made_page(text: str, nouns: list[str], rng: np.random.Generator, heads: list[str]) -> tuple[list[str], list[bool], list[bool]]:
+    """A scanned page set from a text: (lines, furniture flags, whether a word was divided at the line's end).
+
+    Words are divided anywhere, or at a hyphen of their own; a line may also end, undivided, in a
+    hyphen that the text has there.
+    """
     width = int(rng.integers(48, 92))
     sign = HYPHENS[rng.integers(4)]
-    paragraphs = []
+    made: list[tuple[str, bool]] = []
     for p in text.split("\n"):
-        line, out = "", []
+        line = ""
         for w in p.split():
             while line and len(line) + 1 + len(w) > width:
                 room = width - len(line) - 2
-                if room >= 2 and len(w) > 5 and room < len(w) - 2 and w.isalpha() and rng.random() < 0.6:
-                    out.append(f"{line} {w[:room]}{sign}")
+                own = w.rfind("-", 1, max(1, room + 1))
+                if own > 0 and own < len(w) - 1 and rng.random() < 0.6:
+                    made.append((f"{line} {w[:own + 1]}", True))
+                    line, w = "", w[own + 1:]
+                elif room >= 2 and len(w) > 5 and room < len(w) - 2 and w.isalpha() and rng.random() < 0.6:
+                    made.append((f"{line} {w[:room]}{sign}", True))
                     line, w = "", w[room:]
                 else:
-                    out.append(line)
+                    made.append((line, False))
                     line = ""
             line = f"{line} {w}".strip() if line else w
-        paragraphs.append([*out, line] if line else out)
-    lines = [l for p in paragraphs for l in p if l.strip()]
-    kind = TITLE_WORDS[rng.integers(5)].capitalize()
-    title = " ".join([*(["Amtliche Fassung,"] if rng.random() < 0.2 else []), kind if kind != "Amtliche" else "Ordnung", nouns[rng.integers(len(nouns))], nouns[rng.integers(len(nouns))]])
+            if w[-1] in HYPHENS and rng.random() < 0.5:
+                made.append((line, False))
+                line = ""
+        if line:
+            made.append((line, False))
+    lines = [(l, d) for l, d in made if l.strip()]
+    head = (heads or nouns)[rng.integers(len(heads or nouns))].capitalize()
+    title = " ".join([head, nouns[rng.integers(len(nouns))], nouns[rng.integers(len(nouns))]])
     style, number = rng.integers(6), rng.integers(9)
     every = int(rng.integers(12, 40))
     page = int(rng.integers(1, 130))
-    out, flags = [], []
+    out, flags, divided = [], [], []
 
     def say(s: str) -> str:
         if rng.random() < 0.6:
@@ -270,7 +288,7 @@ def made_page(text: str, nouns: list[str], rng: np.random.Generator) -> tuple[li
         roman = ["i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x"][page % 10]
         return [f"{page}", f"   {page}", f"- {page} -", f"[{page}]", f"S. {page}", f"Blatt {page}", f"Seite {page} von 140", f"{page}/140", roman][number]
 
-    def head() -> str:
+    def title_line() -> str:
         t = title.upper() if style == 1 else title
         t = [t, t, f"{page} | {t}", f"{t}    {page}", f"{t} – Ausgabe {page % 9 + 1}", t][style]
         for _ in range(rng.integers(4)):
@@ -279,24 +297,24 @@ def made_page(text: str, nouns: list[str], rng: np.random.Generator) -> tuple[li
 
     top = rng.random() < 0.7
     with_number = rng.random() < 0.8
-    for i, l in enumerate(lines):
+    def put(l: str, furniture: bool, cut: bool = False) -> None:
+        out.append(l)
+        flags.append(furniture)
+        divided.append(cut)
+
+    for i, (l, cut) in enumerate(lines):
         if i and i % every == 0:
             if with_number:
-                out.append(say(num()) if rng.random() < 0.1 else num())
-                flags.append(True)
+                put(say(num()) if rng.random() < 0.1 else num(), True)
             page += 1
             if top:
-                out.append(("\f" if rng.random() < 0.3 else "") + head())
-                flags.append(True)
-        out.append(say(l) if rng.random() < 0.3 else l)
-        flags.append(False)
+                put(("\f" if rng.random() < 0.3 else "") + title_line(), True)
+        put(say(l) if rng.random() < 0.3 else l, False, cut)
     if with_number:
-        out.append(num())
-        flags.append(True)
+        put(num(), True)
     elif top:
-        out.append(head())
-        flags.append(True)
-    return out, flags
+        put(title_line(), True)
+    return out, flags, divided
 
 
 def pair_features(read: list[str], known: list[str], df: np.ndarray, rivals: np.ndarray) -> np.ndarray:
@@ -322,66 +340,76 @@ def pair_features(read: list[str], known: list[str], df: np.ndarray, rivals: np.
     return np.column_stack([out, np.log1p(df), rivals])
 
 
-def train(texts: list[str], words: list[str], df: np.ndarray, o: Scans) -> dict:
-    """The three models, from born-digital texts and known words (lower case, with their record counts)."""
+def word_features(words: list[str], score: np.ndarray, rivals: np.ndarray) -> np.ndarray:
+    """Of an unknown word (lower case): the best candidate's score, how many there were, and the look of the word."""
+    out = np.zeros((len(words), 7))
+    for i, w in enumerate(words):
+        sign = len(re.findall(r"(?<=[^\W\d_])[!|€$]|^[!|]", w))
+        digits = sum(map(str.isdigit, w))
+        out[i] = (sign, digits, w[:1].isdigit(), w[-1:].isdigit(), len(w), bool(re.match(r"^[^\W\d_]+\d+$", w)), bool(re.match(r"^\d+[^\W\d_]{1,3}$", w)))
+    return np.column_stack([score, np.log1p(rivals), out])
+
+
+def train(texts: list[str], words: list[str], df: np.ndarray, o: Scans, heads: list[str] = ()) -> dict:
+    """The models, from born-digital texts, known words (lower case, with their record counts) and the heads of running titles."""
     rng = np.random.default_rng(o.seed)
     nouns = sorted({w for t in texts for w in re.findall(r"\b[A-ZÄÖÜ][a-zäöüß]{5,}\b", t)}) or ["Muster"]
+    count = dict(zip(words, df.tolist()))
+    shapes = tuple(_pairs(h) for h in heads)
     xs, ys, xj, yj = [], [], [], []
     for t in texts:
         if len(t) < 200:
             continue
-        lines, flags = made_page(t, nouns, rng)
-        xs.append(line_features(lines))
+        lines, flags, divided = made_page(t, nouns, rng, list(heads))
+        xs.append(line_features(lines, shapes, {}))
         ys.append(np.array(flags, dtype=float))
-        run = [l for l, f in zip(lines, flags) if not f]
-        for a, b in zip(run, run[1:]):
-            f = join_features(a, b)
+        run = [(l, d) for l, f, d in zip(lines, flags, divided) if not f]
+        for (a, cut), (b, _) in zip(run, run[1:]):
+            f = join_features(a, b, count)
             if f is not None:
                 xj.append(f)
-                yj.append(0.0 if f[1] else 1.0)
-    hang = [w for w in nouns if len(w) > 4][:200]
-    for w in hang:  # hung hyphens at line ends, and divisions at a word's own hyphen
-        for nxt in ("und Beispiele", "oder anderes", "sowie mehr"):
-            xj.append(join_features(f"die {w}-", nxt))
-            yj.append(0.0)
-        xj.append(join_features(f"das {w}-", hang[rng.integers(len(hang))]))
-        yj.append(1.0)
-    models = {"furniture": Boosted(trees=60).fit(np.concatenate(xs), np.concatenate(ys)) if xs else Boosted(trees=0).fit(np.zeros((2, 20)), np.zeros(2)),
-              "joins": Boosted(trees=30, depth=2).fit(np.array(xj or [(0,) * JOIN_FEATURES] * 2, dtype=float), np.array(yj or [0.0] * 2))}
-    # Ranking: misread known words against all known words near them, and words left out of the known ones.
-    pick = [i for i in range(len(words)) if len(words[i]) >= 3 and words[i].isalpha()]
+                yj.append(float(cut))
+    models = {"heads": shapes, "df": count,
+              "furniture": Boosted(trees=60).fit(np.concatenate(xs), np.concatenate(ys)) if xs else Boosted(trees=0).fit(np.zeros((2, 20)), np.zeros(2)),
+              "joins": Boosted(trees=60).fit(np.array(xj or [(0,) * JOIN_FEATURES] * 2, dtype=float), np.array(yj or [1.0] * 2))}
+    # Ranking: misread known words against all known words near them; some words are taken out of the
+    # known ones and read as they are, which must be left alone, or misread, which has no right choice.
+    some = list(range(0, len(words), max(1, len(words) // 12_000)))
+    pick = [i for i in some if len(words[i]) >= 3 and words[i].isalpha()]
     rng.shuffle(pick)
-    pick = pick[:3000]
-    spare = min(1000, len(pick) // 3)  # words left out of the known ones, which must be left alone
+    pick = pick[:o.sample_words]
+    spare = min(o.sample_words // 3, len(pick) // 3)
     out = {words[i] for i in pick[:spare]}
     index: dict[tuple, list[int]] = {}
-    for i, w in enumerate(words):
-        for key in set(_grams_known(w)):
-            index.setdefault(key, []).append(i)
-    left, right, freq, many, label = [], [], [], [], []
+    for i in some:
+        if words[i] not in out:
+            for key in grams_known(words[i]):
+                index.setdefault(key, []).append(i)
+    asked: list[tuple[str, str | None, bool]] = []  # (as read, the right choice, whether misread)
     for n, i in enumerate(pick):
-        true = words[i]
-        read = true if n < spare else misread(true, rng).lower()
-        if n >= spare and read == true:
-            continue
-        near = {}
-        for key in _grams_read(read):
-            for j in index.get(key, ()):
-                v = words[j]
-                if (n < spare and v == true) or v in out and n < spare or v == read:
-                    continue
-                if abs(len(v) - len(read)) <= 2 and j not in near and _middle(read, v) <= 3:
-                    near[j] = True
+        read = misread(words[i], rng).lower()
+        if n < spare:
+            asked.append((words[i], None, False))
+        if read != words[i]:
+            asked.append((read, None if n < spare else words[i], True))
+    for t in texts:  # codes and numbers with letters, as they are
+        asked += [(w, None, False) for w in {m.lower() for m in re.findall(r"\w+", t) if odd(m)} if w not in count][:20]
+    left, right, freq, many, label, owner = [], [], [], [], [], []
+    for a, (read, true, _) in enumerate(asked):
+        near = sorted({j for key in grams_read(read) for j in index.get(key, ()) if words[j] != read and abs(len(words[j]) - len(read)) <= 2 and _middle(read, words[j]) <= 3})
         for j in near:
-            left.append(read)
-            right.append(words[j])
-            freq.append(df[j])
-            many.append(len(near))
-            label.append(float(n >= spare and words[j] == true))
+            for held, v in ((left, read), (right, words[j]), (freq, df[j]), (many, len(near)), (label, float(words[j] == true)), (owner, a)):
+                held.append(v)
+    score, rivals = np.zeros(len(asked)), np.zeros(len(asked))
+    models["replace"] = Boosted(trees=0).fit(np.zeros((2, 12)), np.zeros(2))
     if sum(label) >= 5:
-        models["replace"] = Boosted(trees=60).fit(pair_features(left, right, np.array(freq, float), np.array(many, float)), np.array(label))
-    else:
-        models["replace"] = Boosted(trees=0).fit(np.zeros((2, 12)), np.zeros(2))
+        x = pair_features(left, right, np.array(freq, float), np.array(many, float))
+        models["replace"] = Boosted(trees=60).fit(x, np.array(label))
+        np.maximum.at(score, np.array(owner), models["replace"].predict(x))
+        rivals = np.bincount(np.array(owner), minlength=len(asked)).astype(float)
+    wrong = np.array([m for *_, m in asked], dtype=float)
+    models["misread"] = Boosted(trees=40).fit(word_features([r for r, *_ in asked], score, rivals), wrong) if 0 < wrong.sum() < len(wrong) else \
+        Boosted(trees=0).fit(np.zeros((2, 9)), np.zeros(2))
     return models
 
 
@@ -396,23 +424,27 @@ def _middle(a: str, b: str) -> int:
     return max(len(a), len(b)) - s - e
 
 
-def _reach(n: int) -> int:
-    return max(1, (n - 2) // 2)
+def _grams(w: str, n: int) -> list[tuple]:
+    """Head and tail grams of w that a word read with n letters keeps one of, if it differs in one place of up to two letters.
+
+    Of the n - 2 letters left (n - 1 for three), one side keeps more than half, or both just half.
+    """
+    rest = n - 2 if n > 3 else n - 1
+    if rest < 2 and n < 3:
+        return []
+    long = rest // 2 + 1
+    out = [(n, "H", w[:long]), (n, "T", w[-long:])] if len(w) >= long else []
+    if rest % 2 == 0 and len(w) >= rest:
+        out.append((n, "B", w[:rest // 2] + w[len(w) - rest // 2:]))
+    return out
 
 
-def _grams_read(w: str) -> list[tuple]:
-    h = _reach(len(w))
-    return [("H", w[:h]), ("T", w[-h:])]
+def grams_read(w: str) -> list[tuple]:
+    return _grams(w, len(w))
 
 
-def _grams_known(w: str) -> list[tuple]:
-    out = []
-    for d in range(-2, 3):
-        n = len(w) + d
-        if n > 0:
-            h = min(_reach(n), len(w))
-            out += [("H", w[:h]), ("T", w[-h:])]
-    return out
+def grams_known(w: str) -> list[tuple]:
+    return [g for n in range(len(w) - 2, len(w) + 3) for g in _grams(w, n)]
 
 
 # ---- the operator --------------------------------------------------------------------------------
@@ -431,20 +463,45 @@ def spelling(digital: DataFrame) -> DataFrame:
     return map_batches(digital.select("text").where("length(text) > 0"), count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def hash_of(gram: tuple) -> int:
+    return xxhash.xxh64_intdigest("\x1f".join(map(str, gram))) - 2**63
+
+
+def title_heads(scanned: DataFrame, o: Scans) -> list[str]:
+    """Words that head lines cut into the running text of scanned pages, over all of them.
+
+    Such a line, mostly of capitalised words, stands where the line before breaks off and the next
+    goes on in lower case.  No more than 1 / head_share words can reach the share.
+    """
+
+    def cut_in(cols):
+        words: list[str] = []
+        for t in cols["text"].to_pylist():
+            lines = [l.strip() for l in t.split("\n")]
+            lines = [l for l in lines if l and not NUMBER_LINE.match(l)]
+            for before, line, after in zip(lines, lines[1:], lines[2:]):
+                if before[-1] in ".!?:" or not after[0].islower() or line[-1] in ".,;" + HYPHENS or before[-1] in HYPHENS:
+                    continue
+                ws = [w for w in WORD.findall(line) if len(w) >= 3 and not w.isdigit()]
+                if 2 <= len(ws) <= 6 and all(w[0].isupper() for w in ws):
+                    words.append(ws[0].lower())
+        yield {"word": words}
+
+    cut = durable(map_batches(scanned.select("text"), cut_in, "word string").groupBy("word").agg(F.count("*").alias("n")))
+    total = cut.agg(F.sum("n")).first()[0] or 0
+    return [r["word"] for r in cut.where(F.col("n") >= F.greatest(F.lit(2.0), F.lit(o.head_share * total))).orderBy(F.desc("n"), "word").collect()]
+
+
 def _prepare(records: DataFrame, o: Scans):
-    """The known words (all of them as a table, the most frequent as hashes) and the models."""
+    """The known words (all of them as a table, the most frequent by themselves) and the models."""
     digital = records.where("scanned = false and length(text) > 0")
     known = durable(spelling(digital).where(F.col("n") >= o.min_records))
     top = known.orderBy(F.desc("n"), "word").limit(o.known_words).collect()
     words = [r["word"] for r in top]
     df = np.array([r["n"] for r in top], dtype=float)
     texts = [r["text"] for r in digital.where(F.length("text") <= o.sample_chars).orderBy(F.xxhash64("id", F.lit(o.seed))).limit(o.sample_records).select("text").collect()]
-    some = np.arange(0, len(words), max(1, len(words) // 12_000))
-    return known, words, train(texts, [words[i] for i in some], df[some], o)
-
-
-def _hashes(words: list[str]) -> np.ndarray:
-    return np.sort(vec.Words(words).hashes) if words else np.zeros(0, dtype=np.uint64)
+    heads = title_heads(records.where("scanned and length(text) > 0"), o)
+    return known, words, train(texts, words, df, o, heads)
 
 
 def _without_known_parts(found: DataFrame, known: DataFrame) -> DataFrame:
@@ -502,18 +559,21 @@ def _findings(records: DataFrame, o: Scans) -> tuple[DataFrame, DataFrame, dict]
     scanned = records.where("scanned and length(text) > 0").select("id", "text")
     found = map_batches(scanned, read, "id long, no int, defect string, word string, no2 int, cut int, ways array<array<string>>")
     found = durable(found if whole else _without_known_parts(durable(found), known)).drop("ways")
-    unknown = found.where("defect = 'word'").select("word").distinct().join(known.select("word"), "word", "left_anti")
-    n = lambda c: F.length(c)
-    h = F.greatest(F.lit(1), F.floor((n("word") - 2) / 2)).cast("int")
-    ask = unknown.select("word", F.explode(F.array(
-        F.struct(F.lit("H").alias("end"), F.substr("word", F.lit(1), h).alias("gram")),
-        F.struct(F.lit("T").alias("end"), F.substr("word", n("word") - h + 1, h).alias("gram")))).alias("g")).select("word", "g.*")
-    lens = F.filter(F.sequence(n("word") - 2, n("word") + 2), lambda x: x > 0)
-    grams = F.flatten(F.transform(lens, lambda x: F.array(
-        F.struct(F.lit("H").alias("end"), F.substr("known", F.lit(1), F.greatest(F.lit(1), F.floor((x - 2) / 2)).cast("int")).alias("gram")),
-        F.struct(F.lit("T").alias("end"), F.substr("known", F.greatest(F.lit(1), n("known") - F.greatest(F.lit(1), F.floor((x - 2) / 2)) + 1).cast("int"), n("known")).alias("gram")))))
-    have = known.withColumn("known", F.col("word")).select("known", F.col("n").alias("df"), F.explode(F.array_distinct(grams)).alias("g")).select("known", "df", "g.*")
-    pairs = ask.join(have, ["end", "gram"]).where((F.abs(n("word") - n("known")) <= 2) & (F.levenshtein("word", "known", 3) >= 0)).select("word", "known", "df").distinct()
+    unknown = durable(found.where("defect = 'word'").select("word").distinct().join(known.select("word"), "word", "left_anti"))
+
+    def keyed(grams: Callable[[str], list[tuple]], carry: list[str]):
+        def run(cols):
+            words = cols["word"].to_pylist()
+            got = [[hash_of(g) for g in grams(w)] for w in words]
+            n = np.array([len(g) for g in got], dtype=np.int64)
+            at = pa.array(np.repeat(np.arange(len(words)), n))
+            yield {c: cols[c].take(at) for c in carry} | {"gram": np.array([h for g in got for h in g], dtype=np.int64)}
+
+        return run
+
+    ask = map_batches(unknown, keyed(grams_read, ["word"]), "word string, gram long")
+    have = map_batches(known, keyed(grams_known, ["word", "n"]), "word string, n long, gram long").select(F.col("word").alias("known"), F.col("n").alias("df"), "gram")
+    pairs = ask.join(have, "gram").where((F.abs(F.length("word") - F.length("known")) <= 2) & (F.levenshtein("word", "known", 3) >= 0)).select("word", "known", "df").distinct()
     pairs = pairs.withColumn("rivals", F.count("*").over(W.partitionBy("word")))
 
     def rank(cols):
@@ -523,24 +583,31 @@ def _findings(records: DataFrame, o: Scans) -> tuple[DataFrame, DataFrame, dict]
         yield {"word": w, "known": k, "score": models["replace"].predict(x)}
 
     scored = map_batches(pairs, rank, "word string, known string, score double")
-    best = scored.groupBy("word").agg(F.max(F.struct("score", "known")).alias("b")).where(F.col("b.score") >= o.replace)
-    verdict = durable(best.select("word", F.col("b.known").alias("fix")))
+    best = scored.groupBy("word").agg(F.max(F.struct("score", "known")).alias("b"), F.count("*").alias("rivals"))
+    told = unknown.join(best, "word", "left").select("word", F.col("b.known").alias("fix"), F.coalesce("b.score", F.lit(0.0)).alias("score"), F.coalesce("rivals", F.lit(0)).alias("rivals"))
+
+    def judge(cols):
+        _, models = held.value
+        w = cols["word"].to_pylist()
+        x = word_features(w, cols["score"].to_numpy(), cols["rivals"].to_numpy().astype(float))
+        yield {"word": w, "fix": cols["fix"], "score": cols["score"], "misread": models["misread"].predict(x)}
+
+    verdict = map_batches(told, judge, "word string, fix string, score double, misread double").where(F.col("misread") >= o.misread)
+    verdict = durable(verdict.select("word", F.when(F.col("score") >= o.replace, F.col("fix")).alias("fix")))
     return found.join(known.select("word"), "word", "left_anti"), verdict, models
 
 
 def _char_rows(found: DataFrame, verdict: DataFrame) -> DataFrame:
     """(id, no, word, fix): misread words with the line that holds the misread place."""
     odd_place = F.regexp_instr("word", F.lit(r"[!|€$0-9]")) - 1
-    token = found.where("defect = 'word'").join(verdict, "word", "left")
-    is_odd = F.col("word").rlike(r"\p{L}[!|€$]\p{L}|^[!|]\p{L}{2}|\p{L}{2}\d\p{L}|\p{L}\d\p{L}{2}|^\d\p{L}{3}")
-    token = token.where(F.col("fix").isNotNull() | is_odd)
+    token = found.where("defect = 'word'").join(verdict, "word")
     same = F.size(F.filter(F.sequence(F.lit(1), F.length("word")), lambda i: F.substr("word", F.lit(1), i) == F.substr("fix", F.lit(1), i)))
     place = F.when(F.col("fix").isNull(), odd_place).otherwise(same)
     return token.select("id", F.when(place >= F.col("cut"), F.col("no2")).otherwise(F.col("no")).alias("no"), "word", "fix")
 
 
 def as_records(df: DataFrame, id_col: str, text_col: str, ocr_col: str, o: Scans) -> DataFrame:
-    return df.select(df[id_col].cast("long").alias("id"), df[text_col].alias("text"), is_scanned(df[ocr_col], df[text_col], o.line_chars).alias("scanned")).where("id is not null")
+    return df.select(df[id_col].cast("long").alias("id"), df[text_col].alias("text"), is_scanned(df[ocr_col], df[text_col], o).alias("scanned")).where("id is not null")
 
 
 def scan_defects(df: DataFrame, id_col: str, text_col: str, ocr_col: str, options: Scans = Scans()) -> DataFrame:
@@ -548,8 +615,7 @@ def scan_defects(df: DataFrame, id_col: str, text_col: str, ocr_col: str, option
 
     A line may have both 'hyphen' and 'char'; furniture has nothing else.  Records whose flag is
     null count as scanned if they are set like it.  Null ids, null or empty texts give no row; with
-    no born-digital record at all no word is known, and only furniture, hyphens and words with
-    signs or digits among their letters are found.
+    no born-digital record at all no word is known and no model trained, and nothing is found.
     """
     o = options
     found, verdict, _ = _findings(as_records(df, id_col, text_col, ocr_col, o), o)
@@ -563,7 +629,7 @@ def repaired(df: DataFrame, id_col: str, text_col: str, ocr_col: str, options: S
     o = options
     recs = as_records(df, id_col, text_col, ocr_col, o)
     found, verdict, models = _findings(recs, o)
-    fixes = found.where("defect = 'word'").join(verdict, "word").groupBy("id").agg(
+    fixes = found.where("defect = 'word'").join(verdict.where("fix is not null"), "word").groupBy("id").agg(
         F.map_from_entries(F.array_distinct(F.collect_list(F.struct("word", "fix")))).alias("fixes"))
     held = df.sparkSession.sparkContext.broadcast(models)
 

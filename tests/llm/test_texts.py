@@ -138,40 +138,87 @@ def prose(rng, n=14):
         f"Vermittelt werden {rng.choice(NOUNS).capitalize()}, {rng.choice(NOUNS).capitalize()} sowie Grundlagen der {rng.choice(NOUNS).capitalize()}." for _ in range(n))
 
 
+# Misreadings of the pages set below.
+MISREAD = (("m", "rn"), ("e", "c"), ("u", "n"), ("h", "b"), ("l", "1"), ("n", "ri"), ("i", "!"), ("a", "o"))
+
+
+def set_page(rng, text):
+    """A scanned page by a rule of its own: [(line, defects)]; words are cut after a vowel, compounds at their hyphen."""
+    width, head, page = rng.randrange(50, 75), f"Lehrbuch {rng.choice(NOUNS).capitalize()} {rng.choice(NOUNS).capitalize()}", rng.randrange(2, 90)
+    lines, line = [], ""
+    for w in text.split():
+        if line and len(line) + 1 + len(w) > width:
+            room = width - len(line) - 2
+            cuts = [k for k in range(3, len(w) - 2) if k <= room and (w[k - 1] in "aeiou" or w[k - 1] == "-") and w.strip(".,").replace("-", "").isalpha()]
+            if cuts:
+                k = cuts[-1]
+                lines.append([f"{line} {w[:k]}" + ("" if w[k - 1] == "-" else "-"), {"hyphen"}])
+                line = w[k:]
+            else:
+                lines.append([line, set()])
+                line = w
+        else:
+            line = f"{line} {w}".strip()
+    lines.append([line, set()])
+    for l in lines:
+        ws = l[0].split()
+        k = rng.randrange(1, max(2, len(ws) - 1))
+        pair = rng.choice(MISREAD)
+        if rng.random() < 0.2 and 0 < k < len(ws) - 1 and len(ws[k]) >= 7 and ws[k].strip(".,").isalpha() and pair[0] in ws[k][1:-2]:
+            at = ws[k].index(pair[0], 1)
+            ws[k] = ws[k][:at] + pair[1] + ws[k][at + 1:]
+            l[0] = " ".join(ws)
+            l[1].add("char")
+    out = []
+    for n, l in enumerate(lines):
+        if n and n % 9 == 0:
+            out += [[f"- {page} -", {"furniture"}], [head, {"furniture"}]]
+            page += 1
+        out.append(l)
+    return out
+
+
+def hung(rng):
+    return f" Für die Vor- und Nachbereitung von {rng.choice(NOUNS).capitalize()} und der {rng.choice(NOUNS).capitalize()}- und {rng.choice(NOUNS).capitalize()} sowie für E-Learning-Angebote gibt es {rng.choice(NOUNS).capitalize()}. "
+
+
 @pytest.fixture(scope="module")
 def scanned(spark):
-    """Born-digital records, and made scans of other texts whose defects are known."""
-    rng, nrng = random.Random(8), np.random.default_rng(8)
-    rows = [(i, prose(rng), False) for i in range(1, 160)]
+    """Born-digital records, and pages of other texts, set here, whose defects are known."""
+    rng = random.Random(8)
+    text = lambda n: "".join(p + hung(rng) for p in prose(rng, n).split("\n"))
+    rows = [(i, "\n".join(p + hung(rng) for p in prose(rng).split("\n")), False) for i in range(1, 160)]
     truth = set()
-    caps = [w.capitalize() for w in NOUNS]
     for i in range(200, 230):
-        text = prose(rng, 10)
-        page, flags = scans.made_page(text, caps, nrng)
-        for n, (l, f) in enumerate(zip(page, flags), 1):
-            if f:
-                truth.add((i, n, "furniture"))
-        running = [n for n, f in enumerate(flags) if not f]
-        for a, b in zip(running, running[1:]):
-            if page[a][-1] in scans.HYPHENS and page[a][-2:-1].isalpha() and page[b].split()[0].lower() not in scans.HANGING:
-                truth.add((i, a + 1, "hyphen"))
-        known = set(words(" ".join(r[1] for r in rows)))
-        full = " ".join(page[n] for n in running)
-        truth |= {(i, n + 1, "char") for n in running for w in page[n].split()[1:-1] if not all(x in known for x in words(w)) and full}
-        rows.append((i, "\n".join(page), None if i % 2 else True))
+        page = set_page(rng, text(10))
+        truth |= {(i, n, d) for n, (_, ds) in enumerate(page, 1) for d in ds}
+        rows.append((i, "\n".join(l for l, _ in page), None if i % 2 else True))
     rows += [(300, None, True), (301, "", None), (302, "  \n ", True), (None, "x", True), (303, "Kurz.", None)]
     return rows, truth
 
 
+def test_models_look_at_several_features(spark, scanned):
+    rows, _ = scanned
+    texts = [t for _, t, o in rows if o is False][:60]
+    seen = collections.Counter(w for t in texts for w in set(words(t)))
+    known = sorted(w for w, n in seen.items() if n > 1)
+    models = scans.train(texts, known, np.array([seen[w] for w in known], float), scans.Scans(), ["lehrbuch"])
+    for name in ("furniture", "joins", "replace", "misread"):
+        used = {f for feat, _, _ in models[name].splits for f in feat.tolist() if f >= 0}
+        assert len(used) >= 2, name
+    ends = [("das Ver-", "fahren der", 1), ("die E-", "Learning-Angebote", 1), ("zur Vor-", "und Nachbereitung", 0), ("die Hafenlehre-", "und Marktmuster", 0), ("der Brücken\u00ad", "pläne wegen", 1), ("die Energie-", "systeme und", 1)]
+    x = np.array([scans.join_features(a, b, models["df"]) for a, b, _ in ends], dtype=float)
+    assert [int(v >= 0.5) for v in models["joins"].predict(x)] == [y for *_, y in ends]
+
+
 def test_scan_defects_are_found(spark, scanned):
     rows, truth = scanned
     df = spark.createDataFrame(rows, "rec long, body string, ocr boolean").withColumn("id", F.lit("x")).withColumn("text", F.lit(2))
     got = {tuple(r) for r in scans.scan_defects(df, "rec", "body", "ocr").collect()}
-    for kind, least in (("hyphen", 0.97), ("furniture", 0.95), ("char", 0.7)):
+    for kind, least in (("hyphen", 0.95), ("furniture", 0.95), ("char", 0.9)):
         g, t = {x for x in got if x[2] == kind}, {x for x in truth if x[2] == kind}
         assert len(g & t) / len(t) >= least, kind
-        if kind != "char":
-            assert len(g & t) / len(g) >= least, kind
+        assert len(g & t) / len(g) >= least, kind
     assert all(x[0] >= 200 and x[0] < 300 for x in got)
 
 
