@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column
@@ -12,7 +13,7 @@ SPACE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\
 TEXT_CAP = 400_000
 MIN_TEXT = 200
 
-# Terms of module descriptions.
+# Terms of module descriptions; patterns of module codes and of credit terms.
 MODULE_TERMS = (
     "modulnummer", "modulbezeichnung", "modulkennung", "modultitel",
     "lernergebnisse", "qualifikationsziele", "lernziele", "kompetenzen",
@@ -33,10 +34,15 @@ def fold(text: Column) -> Column:
 
 
 def keyword_score(url: Column, anchor: Column, *maps: dict[str, int]) -> Column:
-    """Sum of the weights of all tokens found in the folded URL and anchor: one generated expression."""
-    hay = F.concat(fold(url), F.lit(" ␟ "), fold(anchor))
-    terms = [F.when(hay.contains(t), w).otherwise(0) for m in maps for t, w in m.items()]
-    return reduce(lambda a, b: a + b, terms, F.lit(0))
+    """Sum of the weights of all tokens found in the folded URL and anchor.
+
+    The text is folded once and bound to a variable the optimizer does not unfold into every token.
+    """
+    raw = F.concat(F.coalesce(url, F.lit("")), F.lit(" ␟ "), F.coalesce(anchor, F.lit("")))
+    weights = json.dumps([{"t": t, "w": w} for m in maps for t, w in m.items()])
+    terms = F.from_json(F.lit(weights), "array<struct<t:string,w:int>>")  # folded to a constant
+    score = lambda hay: F.aggregate(terms, F.lit(0), lambda a, x: a + F.when(hay.contains(x["t"]), x["w"]).otherwise(0))
+    return F.get(F.transform(F.transform(F.array(raw), fold), score), F.lit(0))
 
 
 def truncated(text: Column, cap: int = TEXT_CAP) -> Column:

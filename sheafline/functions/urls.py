@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: RFC 3986, appendix B: scheme, authority, path, query, fragment.
 PIECES = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?"
-#: A URL inside other text.
+#: Fixed value: a URL inside other text.
 EMBEDDED = r"""https?://[^\s,;"'<>]+"""
 
 # Endings that are never pages.
@@ -127,23 +123,34 @@ def document_name(url: Column, content_extension: Column) -> Column:
     return F.when(content_extension == "", last).otherwise(F.concat(stem, F.lit("-"), F.substring(F.sha1(url), 1, 8), content_extension))
 
 
-@F.pandas_udf(T.StringType())
-def _joined(base: pd.Series, ref: pd.Series) -> pd.Series:
-    def one(b, r):
-        if b is None or r is None:
-            return None
-        try:
-            return urljoin(b, r.strip())
-        except ValueError:
-            return None
+HTTP = ("http", "https")
+
+
+def invalid_reason(url: Column) -> Column:
+    """Why a URL can't be fetched, or null: only http and https with a host can."""
+    u = F.trim(url)
+    return F.when(F.coalesce(u, F.lit("")) == "", "empty").when(~scheme(u).isin(*HTTP), "scheme").when(hostname(u) == "", "host")
+
 
-    return pd.Series([one(b, r) for b, r in zip(base, ref)])
+def _without_dots(path: Column) -> Column:
+    """A path without its '.' and '..' segments (RFC 3986, 5.2.4)."""
+    parts = F.split(path, "/")
+    step = lambda acc, p: F.when(p == "..", F.slice(acc, F.lit(1), F.greatest(F.lit(1), F.size(acc) - 1))).when(p == ".", acc).otherwise(F.concat(acc, F.array(p)))
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.lit(0), F.size(parts) - 1)), F.array(F.lit("")), step)
+    last = F.element_at(parts, -1)
+    return F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
 
 
 def url_join(base: Column, ref: Column) -> Column:
-    """``ref`` seen from ``base``: expressions for absolute and root-relative ones, Python for the rest."""
+    """``ref`` seen from an http(s) ``base``, by the rules of RFC 3986 as expressions, empty queries and fragments dropped; null if either is."""
     r = F.trim(ref)
+    query = lambda u: F.when(piece(u, 4) != "", F.concat(F.lit("?"), piece(u, 4))).otherwise("")
+    mark = F.when(piece(r, 5) != "", F.concat(F.lit("#"), piece(r, 5))).otherwise("")
+    own = lambda u: F.regexp_replace(u, "#.*$", "")
     root = F.concat(piece(base, 1), F.lit("://"), netloc(base))
-    plain = ~r.contains("/.") & ~r.contains(" ")
-    return F.when(r.rlike(r"(?i)^https?://[^/?#]+/") & plain, r).when(
-        r.startswith("/") & ~r.startswith("//") & plain & (netloc(base) != ""), F.concat(root, r)).otherwise(_joined(base, ref))
+    folder = F.coalesce(F.nullif(F.regexp_replace(piece(base, 3), "[^/]*$", ""), F.lit("")), F.lit("/"))
+    p, q = piece(r, 3), query(own(r))
+    return F.when(r.isNull() | base.isNull(), F.lit(None)).when(r == "", base).when(piece(r, 1) != "", r).when(
+        r.startswith("//"), F.concat(piece(base, 1), F.lit(":"), r)).when(
+        p == "", F.concat(root, piece(base, 3), F.when(q != "", q).otherwise(query(own(base))), mark)).otherwise(
+        F.concat(root, _without_dots(F.when(p.startswith("/"), p).otherwise(F.concat(folder, p))), q, mark))

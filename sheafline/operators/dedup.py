@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -22,13 +21,14 @@ def order_key(path: Column) -> Column:
 def first_wins(df: DataFrame, hash_col: str, order: list[Column], payload: list[str]) -> DataFrame:
     """The first record of each hash in the given order; records with an empty hash all stay.
 
-    The hash is aggregated with a map-side partial ``min_by`` over the small payload, so a hash that
-    a third of all rows share meets one row a task.  Null hashes count as empty.
+    One pass: the hash is aggregated with a map-side partial ``min_by`` over the small payload, so a
+    hash that a third of all rows share meets one row a task; a record with an empty or null hash
+    is a group of its own.
     """
-    small = df.select(*payload, F.col(hash_col).alias("_h"), F.struct(*order).alias("_o"))
-    empty = small.where("_h is null or _h = ''").select(*payload, F.coalesce("_h", F.lit("")).alias(hash_col))
-    first = small.where("_h <> ''").groupBy("_h").agg(F.min_by(F.struct(*payload), F.col("_o")).alias("p"))
-    return first.select("p.*", F.col("_h").alias(hash_col)).unionByName(empty)
+    small = df.select(*payload, F.coalesce(hash_col, F.lit("")).alias("_h"), F.struct(*order).alias("_o"))
+    alone = F.when(F.col("_h") == "", F.monotonically_increasing_id())
+    first = small.withColumn("_own", alone).groupBy("_h", "_own").agg(F.min_by(F.struct(*payload), F.col("_o")).alias("p"))
+    return first.select("p.*", F.col("_h").alias(hash_col))
 
 
 def conflicts(df: DataFrame, hash_col: str, order: list[Column], label: str, group: str) -> DataFrame:
@@ -56,7 +56,3 @@ def upsert(stored: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """The stored rows with the batch's in place of those of the same key."""
     both = stored.withColumn("_turn", F.lit(0)).unionByName(batch.withColumn("_turn", F.lit(1)))
     return last_wins(both, keys, [F.col("_turn")]).drop("_turn")
-
-
-def rank_in(df: DataFrame, part: list[str], order: list[Column], name: str = "rn") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(W.partitionBy(*part).orderBy(*order)))

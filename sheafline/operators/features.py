@@ -66,12 +66,12 @@ def _char_counts(s: pd.Series) -> pd.Series:
     return s.map(lambda t: [{"term": k, "n": v} for k, v in Counter(char_ngrams(t or "")).items()])
 
 
-def term_counts(df: DataFrame, id_col: str, text_col: str, chars: bool = False) -> DataFrame:
+def term_counts(df: DataFrame, id_col: str, text_col: str, chars: bool = False, accents: bool = False) -> DataFrame:
     """(id, term, n): term counts of each document; characters are counted before they leave Python."""
     ship(df.sparkSession)
     if chars:
         return df.select(F.col(id_col).alias("id"), F.explode(_char_counts(F.col(text_col))).alias("t")).select("id", "t.term", "t.n")
-    return df.select(F.col(id_col).alias("id"), F.explode(word_terms(F.col(text_col))).alias("term")).groupBy("id", "term").agg(F.count("*").alias("n"))
+    return df.select(F.col(id_col).alias("id"), F.explode(word_terms(F.col(text_col), accents)).alias("term")).groupBy("id", "term").agg(F.count("*").alias("n"))
 
 
 def document_frequencies(counts: DataFrame, min_df: int = 2, most: int | None = 60_000) -> DataFrame:
@@ -126,6 +126,10 @@ class Tfidf:
         return self.model.transform(df).withColumn(out, weigh("_tf")).drop("_tf")
 
 
+def scaled(df: DataFrame, columns: list[str], by: dict[str, float]) -> DataFrame:
+    return df.withColumns({c: F.col(c) / F.lit(by[c]) for c in columns})
+
+
 def scales(df: DataFrame, columns: list[str]) -> dict[str, float]:
     """Population standard deviation of each column, 1 where it is 0."""
     row = df.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()

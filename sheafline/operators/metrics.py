@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import durable
+
 BUCKETS = 64
 
 
@@ -69,16 +71,22 @@ def confusion(scored: DataFrame, threshold: float) -> DataFrame:
                     F.round(fbeta(F.col("tp"), F.col("fp"), F.col("fn"), 1.0), 4).alias("f1"), F.round(fbeta(F.col("tp"), F.col("fp"), F.col("fn"), 2.0), 4).alias("f2"))
 
 
-def threshold_for_recall(scored: DataFrame, target: float) -> DataFrame:
-    """One row: the highest score whose recall reaches the target, else the lowest score; 0 for no rows."""
-    c = curve(scored)
+def threshold_for_recall(scored: DataFrame, target: float, on: DataFrame | None = None) -> DataFrame:
+    """One row: the highest score whose recall reaches the target, else the lowest score; 0 for no rows.
+
+    ``on`` is the curve of the scores, if it was made already.
+    """
+    c = curve(scored) if on is None else on
     ok = F.col("cp") >= F.lit(target) * F.greatest(F.col("all_p"), F.lit(1))
     return c.agg(F.coalesce(F.max(F.when(ok, F.col("s"))), F.min("s"), F.lit(0.0)).alias("threshold"))
 
 
-def threshold_for_precision(scored: DataFrame, target: float) -> DataFrame:
-    """One row: from the highest score with the target precision down, the last before it is first lost; null if never."""
-    c = curve(scored).select("s", (F.col("cp") / F.col("cn") >= target).alias("hit"))
+def threshold_for_precision(scored: DataFrame, target: float, on: DataFrame | None = None) -> DataFrame:
+    """One row: from the highest score with the target precision down, the last before it is first lost; null if never.
+
+    The curve is made once and written; the three look-ups read one row a distinct score.
+    """
+    c = (durable(curve(scored)) if on is None else on).select("s", (F.col("cp") / F.col("cn") >= target).alias("hit"))
     top = c.where("hit").agg(F.max("s").alias("top"))
     lost = c.crossJoin(F.broadcast(top)).where("not hit and s < top").agg(F.max("s").alias("lost"))
     return c.crossJoin(F.broadcast(top)).crossJoin(F.broadcast(lost)).where("hit and s <= top and (lost is null or s > lost)").agg(F.min("s").alias("threshold"))
@@ -86,7 +94,8 @@ def threshold_for_precision(scored: DataFrame, target: float) -> DataFrame:
 
 def thresholds(scored: DataFrame, recall: float = 0.95, precision: float = 0.95, fallback: float = 0.80) -> DataFrame:
     """One row: lower and upper threshold; upper falls back where precision is never reached or below lower."""
-    lower = threshold_for_recall(scored, recall).withColumnRenamed("threshold", "lower")
-    upper = threshold_for_precision(scored, precision).withColumnRenamed("threshold", "upper")
+    c = durable(curve(scored))
+    lower = threshold_for_recall(scored, recall, c).withColumnRenamed("threshold", "lower")
+    upper = threshold_for_precision(scored, precision, c).withColumnRenamed("threshold", "upper")
     bad = F.col("upper").isNull() | (F.col("upper") < F.col("lower"))
     return lower.crossJoin(upper).select("lower", F.when(bad, F.greatest(F.col("lower"), F.lit(fallback))).otherwise(F.col("upper")).alias("upper"))

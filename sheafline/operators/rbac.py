@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import durable
+
 
 def user_models(user_roles: DataFrame, model_roles: DataFrame, models: DataFrame) -> DataFrame:
     """(user_id, model_id, name): models a user may use through any role."""
@@ -64,5 +66,18 @@ def get_or_create(table: DataFrame, rows: DataFrame, name: str, id_col: str) ->
     """The table with new names under ids after the largest one, numbered in name order."""
     new = rows.select(name).distinct().join(table, name, "left_anti")
     top = table.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_top"))
-    numbered = new.withColumn("_n", F.row_number().over(W.orderBy(name))).crossJoin(F.broadcast(top))
-    return table.unionByName(numbered.select((F.col("_top") + F.col("_n")).alias(id_col), name), allowMissingColumns=True)
+    # Numbered within ranges of names, on top of the ranges' sizes: no task sees all names.
+    ranged = new.repartitionByRange(name).withColumn("_p", F.spark_partition_id())
+    ranged = durable(ranged.withColumn("_n", F.row_number().over(W.partitionBy("_p").orderBy(name))))
+    size = ranged.groupBy("_p").agg(F.max("_n").alias("_m"))
+    below = size.select("_p", (F.sum("_m").over(W.orderBy("_p")) - F.col("_m")).alias("_b"))  # a row a task
+    numbered = ranged.join(F.broadcast(below), "_p").crossJoin(F.broadcast(top))
+    return table.unionByName(numbered.select((F.col("_top") + F.col("_b") + F.col("_n")).alias(id_col), name), allowMissingColumns=True)
+
+
+def assign_role(user_roles: DataFrame, users: DataFrame, roles: DataFrame, rows: DataFrame) -> DataFrame:
+    """The table with the rows (user_id, role_id); unknown users or roles are an error, pairs already there are ignored."""
+    for side, key in ((users, "user_id"), (roles, "role_id")):
+        if rows.join(side, key, "left_anti").limit(1).count():
+            raise ValueError(f"unknown {key}")
+    return insert_or_ignore(user_roles, rows, ["user_id", "role_id"])

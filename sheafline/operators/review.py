@@ -55,3 +55,16 @@ def training_copies(verdicts: DataFrame, existing: DataFrame) -> DataFrame:
     keys = ["label", "grp", "filename"]
     new = verdicts.join(existing.select(*keys).distinct(), keys, "left_anti")
     return new.groupBy(*keys).agg(F.min("pos").alias("pos"))
+
+
+def checked_verdicts(batch: DataFrame) -> DataFrame:
+    """A batch with its verdicts in order; one that isn't a verdict makes the whole batch an error, before anything is applied."""
+    v = batch.withColumn("verdict", verdict(F.col("verdict")))
+    if v.where("verdict is null").limit(1).count():
+        raise ValueError("a batch of verdicts holds something else; none was applied")
+    return v
+
+
+def preselected(stored: Column, decision: Column) -> Column:
+    """The verdict a reviewer is shown first: the stored one, else positive where the model was sure of it."""
+    return F.coalesce(verdict(stored), F.when(decision == "automatic_positive", "positive"))

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import html, text, urls
-from ..operators import crawl, dedup, features, jobs, metrics, model, predict, profiles, rbac, review
+from ..operators import crawl, dedup, features, ingest, jobs, metrics, model, predict, profiles, rbac, review
 from ..sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -247,12 +247,15 @@ def topk_links(spark, d):
 @query(f"""WITH c AS (SELECT page, url, anchor, pos, {sql_score('hay')} AS score FROM (SELECT *, {_LHAY} AS hay FROM ({LONGEST}))),
   r AS (SELECT *, {sql_base(sql_host('url'))}={sql_base(sql_host('page'))} AND lower({sql_piece('url', 1)}) IN ('http','https') AS site,
     regexp_matches(lower({sql_path('url')}),'\\.(pdf|doc|docx)$') AS target FROM c)
-  SELECT page, url, 'target' AS kind, CAST(1000+score AS BIGINT) AS priority FROM r WHERE target AND site""")
+  SELECT page, url, 'target' AS kind, 0::BIGINT AS depth, CAST(1000+score AS BIGINT) AS priority FROM r WHERE target AND site
+  UNION ALL SELECT page, url, 'page', CASE WHEN hop THEN 0 ELSE 1 END, CAST(score + CASE WHEN hop THEN 50 ELSE 0 END AS BIGINT) FROM
+    (SELECT *, {sql_piece('url', 2)}<>{sql_piece('page', 2)} AND score>0 AS hop FROM r)
+    WHERE NOT target AND site AND lower(regexp_extract({sql_path('url')},'(\\.[^./]*)$',1)) NOT IN ({", ".join(f"'{e}'" for e in urls.NON_PAGE_EXTENSIONS)})""")
 def follow_candidates(spark, d):
-    """Links of each page sent on as documents or pages, with their priority."""
+    """Links of each page sent on as documents or as pages to follow, with their depth and priority."""
     c = crawl.longest_anchors(_links(spark, d)).withColumn("seed", F.col("page")).withColumn("depth", F.lit(0))
     r = crawl.routed(c, profiles.PROFILES["modulhandbuch"])
-    return r.where("kind = 'target'").select("page", "url", "kind", F.col("priority").cast("bigint").alias("priority"))
+    return r.select("page", "url", "kind", *big("next_depth", "priority")).withColumnRenamed("next_depth", "depth")
 
 
 def _escape(c):
@@ -293,6 +296,21 @@ def crawl_closure(spark, d):
     return crawl.closure(g, seeds, 4).select("node", F.col("depth").cast("bigint").alias("depth"))
 
 
+_SMAP = f"SELECT source_page AS seed, 'map' AS sitemap, url, manifest_id AS pos, {sql_score(sql_fold('url') + "||' ␟ '")} AS score FROM manifest WHERE source_page IS NOT NULL AND url IS NOT NULL AND trim(url,' ')<>''"
+
+
+@query(f"""WITH c AS (SELECT *, regexp_matches(lower({sql_path("trim(url,' ')")}),'\\.(pdf|doc|docx)$') AS target FROM ({_SMAP})
+    WHERE {sql_base(sql_host("trim(url,' ')"))}={sql_base(sql_host('seed'))} AND lower({sql_piece("trim(url,' ')", 1)}) IN ('http','https')),
+  r AS (SELECT *, row_number() OVER (PARTITION BY seed, target ORDER BY score DESC, pos) AS place FROM c WHERE target OR score>0)
+  SELECT seed, trim(url,' ') AS url, pos, CASE WHEN target THEN 'target' ELSE 'page' END AS kind, CASE WHEN target THEN 0 ELSE 1 END::BIGINT AS depth,
+    CAST(CASE WHEN target THEN 1000+score ELSE score END AS BIGINT) AS priority FROM r WHERE target OR place<=50""")
+def crawl_sitemap(spark, d):
+    """Requests a sitemap gives: each source page's links as the list of its sitemap."""
+    locs = table(spark, d, "manifest").where("source_page is not null and url is not null").select(
+        F.col("source_page").alias("seed"), F.lit("map").alias("sitemap"), "url", F.col("manifest_id").alias("pos"), F.lit(False).alias("is_index"), F.lit(0).alias("sitemap_depth"))
+    return crawl.sitemap_requests(locs, profiles.PROFILES["modulhandbuch"], 2, crawl.Limits()).select("seed", "url", "pos", "kind", *big("depth", "priority"))
+
+
 @query()
 def crawl_bfs(spark, d):
     """A budgeted best-first crawl from the most linked pages, over the manifest as the web."""
@@ -360,10 +378,45 @@ def feedback_merge(spark, d):
   SELECT v.label, v.grp, v.filename, min(v.pos) AS pos FROM v ANTI JOIN e ON v.label=e.label AND v.grp=e.grp AND v.filename=e.filename GROUP BY 1,2,3""")
 def training_ingest(spark, d):
     """Verdicts that become training records: first of each (label, group, name), none already there."""
+    return review.training_copies(*_verdicts(spark, d))
+
+
+def _verdicts(spark, d) -> tuple[DataFrame, DataFrame]:
     f = table(spark, d, "feedback").select((review.verdict(F.col("verdict")) == "positive").cast("int").alias("label"), F.coalesce("hostname", F.lit("unknown")).alias("grp"),
                                            "filename", F.col("feedback_id").alias("pos")).where("label is not null and filename is not null")
     have = table(spark, d, "doc_record").select("label", F.lower(F.trim("doc_group")).alias("grp"), "filename")
-    return review.training_copies(f, have)
+    return f, have
+
+
+@query("""SELECT feedback_id, CASE WHEN lower(trim(verdict,' ')) IN ('positiv','positive','pos','1') THEN 'positiv' WHEN lower(trim(verdict,' ')) IN ('negativ','negative','neg','0') THEN 'negativ' END AS folder FROM feedback""")
+def label_alias(spark, d):
+    """The training folder each verdict names, however it is spelled."""
+    return table(spark, d, "feedback").select("feedback_id", ingest.label_folder(F.trim("verdict")).alias("folder"))
+
+
+@query("""WITH v AS (SELECT CASE WHEN lower(trim(verdict,' '))='positive' THEN 1 ELSE 0 END AS label, coalesce(hostname,'unknown') AS grp, filename, feedback_id AS pos
+    FROM feedback WHERE lower(trim(verdict,' ')) IN ('positive','negative') AND filename IS NOT NULL),
+  e AS (SELECT DISTINCT label, lower(trim(doc_group,' ')) AS grp, filename FROM doc_record),
+  c AS (SELECT count(*) AS copied FROM (SELECT DISTINCT v.label, v.grp, v.filename FROM v ANTI JOIN e ON v.label=e.label AND v.grp=e.grp AND v.filename=e.filename))
+  SELECT count(*) FILTER (label=1) AS positive, count(*) FILTER (label=0) AS negative, any_value(copied) AS copied, count(*)-any_value(copied) AS skipped, count(*) AS total FROM v, c""")
+def ingest_breakdown(spark, d):
+    return ingest.breakdown(ingest.outcomes(*_verdicts(spark, d)))
+
+
+@query("""SELECT feedback_id, CASE WHEN saved_path IN (SELECT saved_path FROM manifest WHERE decision='automatic_positive') THEN saved_path
+  WHEN s3_key IN (SELECT s3_key FROM manifest WHERE decision='needs_review') THEN s3_key END AS source FROM feedback""")
+def verdict_source(spark, d):
+    """Where the document of each verdict is read from: the disk holds the sure ones, the store those under review."""
+    m = table(spark, d, "manifest")
+    return ingest.located(table(spark, d, "feedback"), m.where("decision = 'automatic_positive'"), m.where("decision = 'needs_review'")).select("feedback_id", "source")
+
+
+@query(f"""SELECT m.manifest_id, coalesce(v.verdict, CASE WHEN m.decision='automatic_positive' THEN 'positive' END) AS shown, CASE WHEN n>=1048576 THEN printf('%.1f MB', n/1048576.0) ELSE printf('%.1f KB', n/1024.0) END AS size
+  FROM (SELECT *, manifest_id*7919 AS n FROM ({INDEXED})) m LEFT JOIN ({LAST_VERDICTS}) v ON m.job_id=v.job_id AND m.line_index=v.line_index""")
+def review_page(spark, d):
+    """What a reviewer sees of each line: the verdict shown first, and a size in words."""
+    r = review.reviewed(table(spark, d, "manifest"), table(spark, d, "feedback"))
+    return r.select("manifest_id", review.preselected(F.col("verdict"), F.col("decision")).alias("shown"), jobs.size_text(F.col("manifest_id") * 7919).alias("size"))
 
 
 # ---- metrics --------------------------------------------------------------------------------------------------------
@@ -439,7 +492,7 @@ def visited_filter(spark, d):
 @query(f"""SELECT url_norm, job_id, scraped_at FROM (SELECT *, row_number() OVER (PARTITION BY url_norm ORDER BY coalesce(scraped_at, TIMESTAMP '1900-01-01') DESC, job_id DESC) rn
   FROM (SELECT *, {sql_norm('url')} AS url_norm FROM visited WHERE url IS NOT NULL)) WHERE rn=1""")
 def visited_upsert(spark, d):
-    return jobs.visited_state(table(spark, d, "visited"))
+    return jobs.visited_state(table(spark, d, "visited")).select("url_norm", "job_id", "scraped_at")
 
 
 @query("""SELECT event_id, CAST(json_extract_string(props,'$.k') AS BIGINT) AS k FROM events WHERE json_valid(props)""")
@@ -494,6 +547,48 @@ def event_seed_urls(spark, d):
     return j.select("job_id", F.explode(readers.event_urls(body)).alias("url"))
 
 
+@query(f"""SELECT url, CASE WHEN trim(coalesce(url,''),' ')='' THEN 'empty' WHEN lower({sql_piece("trim(url,' ')", 1)}) NOT IN ('http','https') THEN 'scheme' WHEN {sql_host("trim(url,' ')")}='' THEN 'host' END AS reason
+  FROM (SELECT url FROM job_result UNION ALL SELECT replace(url,'http','ftp') FROM visited UNION ALL SELECT filename FROM manifest)""")
+def url_validation(spark, d):
+    """Which of many strings can be fetched, and why the others can't."""
+    u = table(spark, d, "job_result").select("url").union(table(spark, d, "visited").select(F.replace("url", F.lit("http"), F.lit("ftp")))).union(table(spark, d, "manifest").select("filename"))
+    return u.select("url", urls.invalid_reason(F.col("url")).alias("reason"))
+
+
+@query(f"""WITH v AS (SELECT DISTINCT {sql_norm('url')} AS k FROM visited WHERE url IS NOT NULL),
+  a AS (SELECT manifest_id, job_id, url, CASE WHEN trim(coalesce(url,''),' ')='' THEN 'empty' WHEN lower({sql_piece("trim(url,' ')", 1)}) NOT IN ('http','https') THEN 'scheme' WHEN {sql_host("trim(url,' ')")}='' THEN 'host' END AS bad,
+    v.k IS NOT NULL AS old FROM manifest LEFT JOIN v ON v.k={sql_norm('url')}),
+  c AS (SELECT trim(url,' ') AS u, max(CASE WHEN status='error' THEN 1 END) AS err, any_value(1) AS done FROM job_result WHERE url IS NOT NULL GROUP BY 1)
+  SELECT status, count(*) AS n FROM (SELECT CASE WHEN old THEN 'skipped' WHEN bad IS NOT NULL THEN 'invalid' WHEN c.done IS NULL THEN 'pending' WHEN c.err=1 THEN 'error' ELSE 'scraped' END AS status
+    FROM a LEFT JOIN c ON c.u=trim(a.url,' ')) GROUP BY 1""")
+def job_outcomes(spark, d):
+    """What becomes of every URL of the manifest, asked for again."""
+    j = table(spark, d, "job_result").where("url is not null").groupBy(F.trim("url").alias("url")).agg(
+        F.max(F.when(F.col("status") == "error", "failed")).alias("error"), *[F.max(c).alias(c) for c in ("files_found", "files_downloaded", "bytes_downloaded")])
+    return jobs.outcomes(table(spark, d, "manifest"), table(spark, d, "visited"), j).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT count(*) AS jobs, CAST(sum(files_found) AS BIGINT) AS files_found, CAST(sum(files_downloaded) AS BIGINT) AS files_downloaded, CAST(sum(bytes_downloaded) AS BIGINT) AS bytes_downloaded,
+  round(epoch(max(finished_at))-epoch(min(finished_at)),2) AS seconds, count(*) AS listed, (SELECT string_agg(status||'='||n, ',' ORDER BY status) FROM (SELECT status, count(*) n FROM job_result GROUP BY 1)) AS counts,
+  CASE WHEN count(*) FILTER (status='error')>0 THEN 2 ELSE 0 END::BIGINT AS exit_code FROM job_result""")
+def batch_report(spark, d):
+    """The report of a batch: counts, totals, seconds, the list of URLs, and the exit code."""
+    j = table(spark, d, "job_result")
+    at = F.col("finished_at").cast("timestamp")
+    r = jobs.batch_report(j, at, at).crossJoin(jobs.exit_code(j))  # one row each
+    counts = F.array_join(F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return r.select("jobs", "files_found", "files_downloaded", "bytes_downloaded", "seconds", F.size("per_url").cast("bigint").alias("listed"), counts.alias("counts"), *big("exit_code"))
+
+
+@query("""SELECT job_id, coalesce(files_downloaded,0) AS done, CASE WHEN files_found>0 THEN floor(100.0*files_downloaded/files_found+0.5) ELSE 0 END::BIGINT AS percent,
+  strftime(finished_at,'%Y-%m-%d %H:%M:%S')||' UTC' AS header, CASE WHEN files_found>10 THEN 'bulk' ELSE 'local' END AS backend FROM job_result""")
+def job_view(spark, d):
+    """Progress, header line and backend of each job."""
+    j = table(spark, d, "job_result")
+    return j.select("job_id", F.coalesce("files_downloaded", F.lit(0)).alias("done"), jobs.percent(F.col("files_downloaded"), F.col("files_found")).cast("bigint").alias("percent"),
+                    jobs.run_header(F.col("finished_at")).alias("header"), jobs.backend(F.col("files_found"), True, False).alias("backend"))
+
+
 # ---- users, roles, models --------------------------------------------------------------------------------------
 
 USER_ROLES = "SELECT DISTINCT o_custkey AS user_id, l_suppkey AS role_id FROM orders JOIN lineitem ON o_orderkey=l_orderkey"
@@ -558,15 +653,36 @@ def rbac_insert_or_ignore(spark, d):
 
 # ---- features and model ----------------------------------------------------------------------------------------
 
-@query(r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text,'')),'[^\p{L}\p{M}\p{N}_]+'), lambda x: length(x)>=2) l FROM documents),
-  t AS (SELECT doc_id, unnest(l) term FROM w), c AS (SELECT term, count(DISTINCT doc_id) df, count(*) total FROM t GROUP BY term) SELECT term, df, total FROM c WHERE df>=2""")
+@query(r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text,'')),'[^\p{L}\p{M}\p{Nd}_]+'), lambda x: length(x)>=2) l FROM documents),
+  t AS (SELECT doc_id, unnest(list_concat(l, list_transform(range(1,len(l)), lambda i: l[i]||' '||l[i+1]))) term FROM w), c AS (SELECT term, count(DISTINCT doc_id) df, count(*) total FROM t GROUP BY term) SELECT term, df, total FROM c WHERE df>=2""")
 def tfidf_word(spark, d):
-    """Document and corpus frequency of every word of two letters or more that two documents share."""
-    words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"([\p{L}\p{M}\p{N}_]{2,})"), F.lit(1))
-    t = table(spark, d, "documents").select("doc_id", F.explode(words).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
+    """Document and corpus frequency of every word of two letters or more, and every pair of them, that two documents share."""
+    t = features.term_counts(table(spark, d, "documents"), "doc_id", "text", accents=True)
     return features.document_frequencies(t, 2, None).select("term", "df", "total")
 
 
+_NUM = ("page_count", "text_length")
+
+
+@query(f"""SELECT rec_id, {", ".join(f"round(coalesce({c},0)/(SELECT coalesce(nullif(stddev_pop(coalesce({c},0)),0),1) FROM doc_record),6) AS {c}" for c in _NUM)} FROM doc_record""")
+def scaled_numerics(spark, d):
+    """Two numeric features over their standard deviation, not centred."""
+    r = table(spark, d, "doc_record").select("rec_id", *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in _NUM])
+    return features.scaled(r, list(_NUM), features.scales(r, list(_NUM))).select("rec_id", *[F.round(c, 6).alias(c) for c in _NUM])
+
+
+@query(r"""WITH w AS (SELECT rec_id, list_filter(regexp_split_to_array(strip_accents(lower(title)),'[^\p{L}\p{M}\p{Nd}_]+'), lambda x: length(x)>=2) l FROM doc_record WHERE title IS NOT NULL),
+  t AS (SELECT rec_id, unnest(list_concat(l, list_transform(range(1,len(l)), lambda i: l[i]||' '||l[i+1]))) term FROM w), c AS (SELECT rec_id, term, count(*) n FROM t GROUP BY 1,2),
+  v AS (SELECT term, count(*) df FROM c GROUP BY 1), n AS (SELECT count(*) n FROM doc_record WHERE title IS NOT NULL),
+  x AS (SELECT rec_id, term, c.n*(ln((1.0+n.n)/(1.0+v.df))+1) w FROM c JOIN v USING (term), n), y AS (SELECT rec_id, sqrt(sum(w*w)) s FROM x GROUP BY 1)
+  SELECT term, round(sum(w/s),6) AS weight, count(*) AS df FROM x JOIN y USING (rec_id) GROUP BY term""")
+def tfidf_title(spark, d):
+    """Weights of words and pairs of words of titles, summed by term: plain counts, smoothed idf, unit-length rows."""
+    t = table(spark, d, "doc_record").where("title is not null")
+    c = features.term_counts(t, "rec_id", "title")
+    return features.tfidf(c, features.document_frequencies(c, 1, None), t.count(), sublinear=False).groupBy("term").agg(F.round(F.sum("weight"), 6).alias("weight"), F.count("*").alias("df"))
+
+
 @query()
 def tfidf_char(spark, d):
     """Weights of character n-grams of titles, summed by n-gram: unit-length rows, smoothed idf."""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import re
 import uuid
 
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,16 +25,18 @@ def document_key(hostname: Column, job_id: Column, filename: Column, root: str =
 
 
 def write_documents(items: DataFrame, root: str) -> None:
-    """Files of (hostname, job_id, filename, content) below the root, written by the tasks that hold them."""
+    """Files of (hostname, job_id, filename, content) below the root, a path or URI of any file system the
+    tasks can reach, written by the tasks that hold them: each beside its place first, then moved there."""
 
     def put(rows):
+        fs, base = pyarrow.fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
         for r in rows:
-            folder = os.path.join(root, r["hostname"] or "unknown", r["job_id"] or "none")
-            os.makedirs(folder, exist_ok=True)
-            part = os.path.join(folder, f".{uuid.uuid4().hex}")
-            with open(part, "wb") as f:
-                f.write(r["content"] or b"")
-            os.replace(part, os.path.join(folder, os.path.basename(r["filename"] or "document")))
+            folder = f"{base.rstrip('/')}/{r['hostname'] or 'unknown'}/{r['job_id'] or 'none'}"
+            fs.create_dir(folder, recursive=True)
+            part = f"{folder}/.{uuid.uuid4().hex}"
+            with fs.open_output_stream(part) as f:
+                f.write(bytes(r["content"] or b""))
+            fs.move(part, f"{folder}/{(r['filename'] or 'document').rsplit('/', 1)[-1]}")
 
     items.select("hostname", "job_id", "filename", "content").foreachPartition(put)
 
@@ -42,17 +45,34 @@ def append_manifest(manifest: DataFrame, root: str) -> None:
     manifest.write.mode("append").partitionBy("job_id").json(root)
 
 
-def _swap(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> None:
-    """Write beside, then rename: readers see the old set or the new one."""
-    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}"
-    df.write.format(fmt).save(new)
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    here = jvm.org.apache.hadoop.fs.Path(path)
-    fs = here.getFileSystem(conf)
-    fs.delete(here, True)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(new), here):
-        raise OSError(f"{new} could not take the place of {path}")
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions of a store, oldest first: those whose writer left its mark of success."""
+    at, fs = _files(spark, path)
+    if not fs.exists(at):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(at)]
+    done = [n for n in names if re.fullmatch(r"v=\d+", n) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return sorted(int(n[2:]) for n in done)
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """The folder of the last complete version."""
+    have = versions(spark, path)
+    return f"{path.rstrip('/')}/v={have[-1]}" if have else None
+
+
+def _swap(spark: SparkSession, df: DataFrame, path: str, fmt: str, keep: int = 2) -> None:
+    """Write the next version beside the last; readers see the one or the other at any moment, and old ones go."""
+    have = versions(spark, path)
+    df.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/v={have[-1] + 1 if have else 0}")
+    for n in have[:max(0, len(have) + 1 - keep)]:
+        old, fs = _files(spark, f"{path.rstrip('/')}/v={n}")
+        fs.delete(old, True)
 
 
 def rewrite_feedback(spark: SparkSession, stored: DataFrame, batch: DataFrame, path: str) -> None:
@@ -66,8 +86,29 @@ def rewrite_visited(spark: SparkSession, state: DataFrame, path: str) -> None:
 
 def read_visited(spark: SparkSession, path: str) -> DataFrame:
     """The store, or an empty one where nothing is there yet."""
-    schema = "url_norm string, job_id string, scraped_at timestamp_ntz"
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    schema = "url_norm string, job_id string, scraped_at timestamp_ntz, metadata map<string,string>"
+    at = current(spark, path)
+    return spark.read.schema(schema).parquet(at) if at else spark.createDataFrame([], schema)
+
+
+def rewrite_cache(spark: SparkSession, cache: DataFrame, extracted: DataFrame, path: str) -> None:
+    """The extraction cache with new entries in place of those of the same key."""
+    _swap(spark, dedup.upsert(cache, extracted, ["cache_key"]), path, "parquet")
+
+
+def read_feedback(spark: SparkSession, schema: str, *places: str) -> DataFrame:
+    """Verdicts of the first of the places that holds any version; none at all give an empty table."""
+    for path in places:
+        if at := current(spark, path):
+            return spark.read.schema(schema).json(at)
+    return spark.createDataFrame([], schema)
+
+
+def write_url_list(urls: DataFrame, path: str) -> None:
+    """One URL a line, for a later run to take up."""
+    urls.select("url").where("url is not null").write.mode("overwrite").text(path)
+
+
+def summary_text(report: DataFrame, marker: str = "__SCRAPE_SUMMARY__") -> DataFrame:
+    """(value): the marker and the one row of a report as JSON."""
+    return report.select(F.concat(F.lit(marker + " "), F.to_json(F.struct(*report.columns))).alias("value"))

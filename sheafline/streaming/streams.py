@@ -31,6 +31,6 @@ def keep_visited(results: DataFrame, path: str, checkpoint: str):
     def fold(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         old = writers.read_visited(spark, path).withColumnRenamed("url_norm", "url")
-        writers.rewrite_visited(spark, jobs.visited_state(old.unionByName(batch.select("url", "job_id", "scraped_at"))), path)
+        writers.rewrite_visited(spark, jobs.visited_state(old.unionByName(batch.select("url", "job_id", "scraped_at"), allowMissingColumns=True)), path)
 
     return results.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

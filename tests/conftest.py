@@ -9,10 +9,11 @@ DATA = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = (
         SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "4g").getOrCreate()
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints"))).config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

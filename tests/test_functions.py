@@ -35,7 +35,8 @@ def test_normalize(spark):
 
 
 def test_join_and_names(spark):
-    rows = [("https://h.example/a/b.html", r) for r in ("c.pdf", "/x y.pdf", "../up.pdf", " https://o.example/z ", "?q=1", "//n.example/p", "#f", "")]
+    rows = [("https://h.example/a/b.html", r) for r in ("c.pdf", "/x y.pdf", "../up.pdf", " https://o.example/z ", "?q=1", "//n.example/p", "#f", "", ".", "..", "./x", "../../../y", "d/./e/../f?g#h", "/a/../b/", "//n.example", "?", "mailto:x@y")]
+    rows += [("https://h.example", "x"), ("https://h.example?q=2", "y"), ("https://h.example/a/?q=2#z", "#w"), ("https://h.example/a/b/", "../c/..")]
     df = spark.createDataFrame([*rows, (None, "x"), ("https://h.example/", None)], "b string, r string")
     for r in df.select("b", "r", urls.url_join(F.col("b"), F.col("r")).alias("j")).collect():
         assert r.j == (None if r.b is None or r.r is None else urljoin(r.b, r.r.strip()))

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sheafline.operators import crawl, dedup, features, jobs, metrics, model, predict, profiles, rbac, review
+from sheafline.operators import crawl, dedup, features, ingest, jobs, metrics, model, predict, profiles, rbac, review
 
 GOLD = [(1, 0.9)] * 212 + [(0, 0.9)] * 66 + [(1, 0.1)] * 11 + [(0, 0.1)] * 658
 
@@ -156,9 +156,127 @@ def test_crawl_respects_depth_site_and_budget(spark):
     assert sum(r.kind == "page" for r in small) == 2
 
 
+def sequential(seed, pages, maps, profile_score, limits):
+    """A best-first crawl in a loop: (url, kind, depth) in order."""
+    from urllib.parse import urlsplit
+
+    base = lambda u: ".".join(urlsplit(u).netloc.split(".")[-2:])
+    origin = lambda u: "{0.scheme}://{0.netloc}".format(urlsplit(u))
+    target = lambda u: u.endswith((".pdf", ".doc", ".docx"))
+    queue, seen, hosts, out = [], set(), {urlsplit(seed).netloc}, []
+
+    def push(new):
+        best = {}
+        for n, (url, kind, depth, prio) in enumerate(new):
+            k = url.rstrip("/")
+            if k not in seen and (k not in best or prio > best[k][1][3]):
+                best[k] = (n, (url, kind, depth, prio))
+        for _, (url, kind, depth, prio) in sorted(best.values()):
+            seen.add(url.rstrip("/"))
+            queue.append((-prio, len(seen), url, kind, depth))
+
+    push([(seed, "page", 0, 0), (origin(seed) + "/sitemap.xml", "sitemap", 0, 60), (origin(seed) + "/robots.txt", "robots", 0, 60)])
+    n_pages = 0
+    while queue:
+        queue.sort()
+        _, _, url, kind, depth = queue.pop(0)
+        if kind == "page" and n_pages >= limits.pages:
+            continue
+        out.append((url, kind, depth))
+        new = []
+        if kind == "page":
+            n_pages += 1
+            ranked = sorted(((-profile_score(u, a), n, u, a) for n, (u, a) in enumerate(pages.get(url, []))))
+            for minus, _, u, a in ranked:
+                score = -minus
+                if base(u) != base(seed):
+                    continue
+                hop = urlsplit(u).netloc != urlsplit(url).netloc and score > 0
+                if target(u):
+                    new.append((u, "target", depth, 1000 + score))
+                elif hop or depth < limits.depth:
+                    new.append((u, "page", 0 if hop else depth + 1, score + 50 if hop else score))
+                    host = urlsplit(u).netloc
+                    if hop and host not in hosts and len(hosts) < limits.subdomain_sitemaps:
+                        hosts.add(host)
+                        new.append((origin(u) + "/sitemap.xml", "sitemap", 0, 55))
+        elif kind == "sitemap":
+            index, locs = maps.get(url, (False, []))
+            ranked = sorted((-profile_score(u, ""), n, u) for n, u in enumerate(locs))
+            if index:
+                new += [(u, "sitemap", depth + 1, 50) for _, _, u in ranked[:limits.child_sitemaps]] if depth < 2 else []
+            else:
+                own = [(-m, u) for m, _, u in ranked if base(u) == base(seed)]
+                new += [(u, "target", 0, 1000 + x) for x, u in own if target(u)]
+                new += [(u, "page", max(0, limits.depth - 1), x) for x, u in own if not target(u) and x > 0][:limits.sitemap_urls]
+        elif kind == "robots":
+            new += [(u, "sitemap", 0, 50) for u in maps.get(url, (False, []))[1]]
+        push(new)
+    return out
+
+
+def test_crawl_with_sitemaps_is_the_sequential_crawl(spark):
+    s = "https://www.u.example/"
+    pages = {
+        s: [(s + "studium", "Studium"), (s + "news", "News"), ("https://fb1.u.example/module", "Module"), (s + "modulhandbuch.pdf", "Modulhandbuch"), ("https://else.example/modul.pdf", "x")],
+        s + "studium": [(s + "studium/bachelor", "Bachelor"), ("https://fb2.u.example/lehre", "Lehre"), (s + "logo.png", "Logo")],
+        s + "studium/bachelor": [(s + "tief", "Modul tief"), (s + "ordnung.docx", "Ordnung")], "https://fb1.u.example/module": [("https://fb1.u.example/k.pdf", "k")],
+        s + "kurs/modul3": [(s + "news", "News"), (s + "tiefer", "Module tiefer")]}
+    maps = {
+        s + "sitemap.xml": (True, [s + "sm-news.xml", s + "sm-modul.xml", s + "sm-studium.xml"]), s + "robots.txt": (False, [s + "sm-robots.xml"]),
+        s + "sm-modul.xml": (False, [s + f"kurs/modul{i}" for i in range(6)] + [s + "m2.pdf", s + "kontakt"]), s + "sm-studium.xml": (False, [s + "studium"]),
+        s + "sm-robots.xml": (False, [s + "curriculum"]), "https://fb1.u.example/sitemap.xml": (False, ["https://fb1.u.example/modulkatalog"]),
+        "https://fb2.u.example/sitemap.xml": (False, ["https://fb2.u.example/modulkatalog"])}
+    links = spark.createDataFrame([(p, u, a, n) for p, ls in pages.items() for n, (u, a) in enumerate(ls)], "page string, url string, anchor string, pos int")
+    locs = spark.createDataFrame([(m, u, n, i) for m, (i, ls) in maps.items() for n, u in enumerate(ls)], "sitemap string, url string, pos int, is_index boolean")
+    p = profiles.PROFILES["modulhandbuch"]
+    texts = {(u, a) for ls in pages.values() for u, a in ls} | {(u, "") for _, ls in maps.values() for u in ls}
+    known = {(r.u, r.a): r.s for r in spark.createDataFrame(sorted(texts), "u string, a string").select("u", "a", p.score(F.col("u"), F.col("a")).alias("s")).collect()}
+    limits = crawl.Limits(depth=2, pages=3, sitemap_urls=2, child_sitemaps=2, subdomain_sitemaps=2, per_round=1)
+    # The picture of one page has no anchor of its own there.
+    fetch = lambda u: links.withColumn("asset", F.lit(False)).join(u.withColumnRenamed("url", "page"), "page", "left_semi")
+    locate = lambda u: locs.join(u.withColumnRenamed("url", "sitemap"), "sitemap", "left_semi")
+    rows = crawl.crawl(spark.createDataFrame([(s,)], "url string"), fetch, p, limits, locate).orderBy("round").collect()
+    pages = {k: [x for x in v if not x[0].endswith(".png")] for k, v in pages.items()}
+    assert [(r.url, r.kind, r.depth) for r in rows] == sequential(s, pages, maps, lambda u, a: known[u, a], limits)
+    assert {r.kind for r in rows} == {"page", "target", "sitemap", "robots"}
+    assert len(crawl.crawl(spark.createDataFrame([(s,)], "url string"), fetch, p, crawl.Limits(requests=5, per_round=5), locate).collect()) == 5
+
+
+def test_ingest_and_outcomes(spark, tmp_path):
+    v = spark.createDataFrame([(1, "g", "a.pdf", 0), (1, "g", "a.pdf", 1), (0, "g", "b.pdf", 2), (1, "h", "c.pdf", 3)], "label int, grp string, filename string, pos int")
+    have = spark.createDataFrame([(0, "g", "b.pdf")], "label int, grp string, filename string")
+    told, report = ingest.retrained(v, have, lambda t: {"n": t.count()})
+    assert told == {"positive": 3, "negative": 1, "copied": 2, "skipped": 2, "total": 4} and report == {"n": 3}
+    assert ingest.retrained(v.where("label = 0"), have, lambda t: {})[1] is None
+    with pytest.raises(Exception, match="unknown label"):
+        spark.createDataFrame([("maybe",)], "l string").select(ingest.label_folder(F.col("l"), strict=True)).collect()
+    for name in ("g1/a.pdf", "g1/b.PDF", "g2/c.pdf"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    assert {(r.label, r.grp, r.filename) for r in ingest.from_paths(spark, str(tmp_path), "POS").collect()} == {("positiv", "g1", "a.pdf"), ("positiv", "g2", "c.pdf")}
+    assert ingest.from_paths(spark, str(tmp_path / "g1/b.PDF"), "0", "own").first().grp == "own"
+    asked = spark.createDataFrame([("https://a.example/", "1"), ("ftp://x", "2"), (" https://b.example ", "3"), ("https://c.example", "4"), ("https://d.example", "5")], "url string, job_id string")
+    seen = spark.createDataFrame([("HTTPS://A.example/",)], "url string")
+    done = spark.createDataFrame([("https://b.example", None, 3, 2, 9), ("https://c.example", "boom", 1, 0, 0)], "url string, error string, files_found int, files_downloaded int, bytes_downloaded long")
+    out = jobs.outcomes(asked, seen, done)
+    assert {r.job_id: (r.status, r.files_found) for r in out.collect()} == {"1": ("skipped", 0), "2": ("invalid", 0), "3": ("scraped", 3), "4": ("error", 1), "5": ("pending", 0)}
+    assert [r.url for r in jobs.newly_visited(out, F.current_timestamp()).collect()] == ["https://b.example"]
+    assert jobs.outcomes(asked, seen, done, force=True).where("status = 'skipped'").count() == 0
+    assert tuple(jobs.exit_code(out).first()) == (2, 500) and tuple(jobs.exit_code(out.limit(0)).first()) == (1, 422)
+    with pytest.raises(ValueError):
+        review.checked_verdicts(spark.createDataFrame([("positive",), ("perhaps",)], "verdict string"))
+    f = spark.createDataFrame([("pdf, docx ,",), (" ,",)], "t string").select(jobs.file_type_list(F.col("t")).alias("l")).collect()
+    assert [r.l for r in f] == [["pdf", "docx"], None]
+    one = spark.createDataFrame([(1, 5)], "user_id int, role_id int")
+    assert rbac.assign_role(one, one, one, one).count() == 1
+    with pytest.raises(ValueError):
+        rbac.assign_role(one, one, one.where("role_id = 0"), one)
+
+
 def test_sitemap_requests(spark):
     rows = [("s", f"https://u.example/modul{i}", i, False, 0) for i in range(5)] + [("s", "https://u.example/x.pdf", 9, False, 0), ("i", "https://u.example/sm.xml", 0, True, 2), ("k", "https://u.example/sm.xml", 0, True, 1)]
-    locs = spark.createDataFrame(rows, "sitemap string, url string, pos int, is_index boolean, sitemap_depth int")
+    locs = spark.createDataFrame(rows, "sitemap string, url string, pos int, is_index boolean, sitemap_depth int").withColumn("seed", F.lit("https://u.example/"))
     got = crawl.sitemap_requests(locs, profiles.PROFILES["modulhandbuch"], 2, crawl.Limits(sitemap_urls=3)).collect()
     assert sorted((r.sitemap, r.kind) for r in got) == [("k", "sitemap"), ("s", "page"), ("s", "page"), ("s", "page"), ("s", "target")]
 

@@ -8,18 +8,27 @@ from sheafline.sources import readers, writers
 from sheafline.streaming import streams
 
 
-def test_seed_lists(tmp_path):
-    assert readers.urls_from_csv("﻿name;Homepage\nA;https://a.example\nB;see http://b.example/x\n# note\nA;https://a.example\n") == ["https://a.example", "http://b.example/x"]
-    assert readers.urls_from_csv("x,https://c.example\ny,https://d.example") == ["https://c.example", "https://d.example"] and readers.urls_from_csv("") == []
-    assert readers.urls_from_html('<link href="https://l.example"><a href="/rel">r</a><a href=" https://a.example ">a</a><a href="https://a.example">b</a>') == ["https://a.example", "https://l.example"]
-    assert readers.urls_from_file("s.txt", "﻿https://a\n\n# c\n b ") == ["https://a", "b"] and readers.urls_inline("a, b\nc") == ["a", "b", "c"]
+def test_seed_lists(spark, tmp_path):
+    files = {
+        "a.csv": "\ufeffname;Homepage\nA;https://a.example\nB;see http://b.example/x\n# note\nA;https://a.example\n",
+        "b.csv": "x,https://c.example\ny,https://d.example\n", "c.csv": "link\turl\nhttps://no.example\thttps://tab.example\n",
+        "d.csv": "", "e.csv": "a,b\n\"one, two\",\"https://q.example/x,y\"\nnothing,here\n",
+        "s.txt": "\ufeffhttps://a\n\n# c\n b ", "h.html": '<link href="https://l.example"><a href="/rel">r</a>\n<a href=" https://a.example ">a</a><a href="https://a.example">b</a>'}
+    for name, text in files.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    got = {}
+    for r in readers.seed_urls(readers.numbered_lines(spark, str(tmp_path))).orderBy("pos").collect():
+        got.setdefault(r.file.rsplit("/", 1)[-1], []).append(r.url)
+    assert got == {"a.csv": ["https://a.example", "http://b.example/x"], "b.csv": ["https://c.example", "https://d.example"], "c.csv": ["https://tab.example"],
+                   "e.csv": ["https://q.example/x,y"], "s.txt": ["https://a", "b"], "h.html": ["https://a.example", "https://l.example"]}
+    assert readers.urls_inline("a, b\nc") == ["a", "b", "c"]
 
 
 def test_events(spark):
-    bodies = ['{"url": "https://a"}', '{"urls": ["https://b", ""]}', '{"Records": [{"body": "{\\"urls\\": [\\"https://c\\"]}"}, {"body": "https://d"}, {"body": "{\\"url\\": \\"https://e\\"}"}]}', "{}", "broken", None]
+    bodies = ['{"url": "https://a"}', '{"urls": ["https://b", ""]}', '{"Records": [{"body": "{\\"urls\\": [\\"https://c\\"]}"}, {"body": "https://d"}, {"body": "{\\"url\\": \\"https://e\\"}"}]}', "{}", "broken", None, '{"Records": [{"body": "{\\"Records\\": [{\\"body\\": \\"https://f\\"}]}"}]}']
     df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, b string")
     got = {r.i: r.u for r in df.select("i", readers.event_urls(F.col("b")).alias("u")).collect()}
-    assert got[0] == ["https://a"] and got[1] == ["https://b"] and got[2] == ["https://c", "https://d", "https://e"] and not got[3] and not got[4] and not got[5]
+    assert got[0] == ["https://a"] and got[1] == ["https://b"] and got[2] == ["https://c", "https://d", "https://e"] and not got[3] and not got[4] and not got[5] and got[6] == ["https://f"]
 
 
 def test_json_lines_index_skips_broken_lines(spark, tmp_path):
@@ -57,7 +66,18 @@ def test_writers(spark, tmp_path):
     b = spark.createDataFrame([("j", 0, "negative"), ("j", 1, "positive")], "job_id string, line_index int, verdict string")
     path = str(tmp_path / "fb")
     writers.rewrite_feedback(spark, a, b, path)
-    assert {(r.line_index, r.verdict) for r in spark.read.json(path).collect()} == {(0, "negative"), (1, "positive")}
+    assert {(r.line_index, r.verdict) for r in spark.read.json(writers.current(spark, path)).collect()} == {(0, "negative"), (1, "positive")}
+    schema = "job_id string, line_index int, verdict string"
+    writers.rewrite_feedback(spark, writers.read_feedback(spark, schema, path), a, path)  # read and written at once
+    assert {(r.line_index, r.verdict) for r in writers.read_feedback(spark, schema, str(tmp_path / "none"), path).collect()} == {(0, "positive"), (1, "positive")}
+    (tmp_path / "fb" / "v=9").mkdir()  # a version whose writer broke off
+    assert writers.versions(spark, path) == [0, 1] and writers.read_feedback(spark, schema, str(tmp_path / "none")).count() == 0
+    cache = spark.createDataFrame([("k", "old"), ("l", "x")], "cache_key string, text string")
+    writers.rewrite_cache(spark, cache, spark.createDataFrame([("k", "new")], "cache_key string, text string"), str(tmp_path / "cache"))
+    assert {tuple(r) for r in spark.read.parquet(writers.current(spark, str(tmp_path / "cache"))).collect()} == {("k", "new"), ("l", "x")}
+    report = spark.createDataFrame([(2, "x")], "jobs int, note string")
+    lines = writers.summary_text(report).withColumn("pos", F.lit(0))
+    assert readers.summary_line(lines).first().summary == '{"jobs":2,"note":"x"}'
     assert [r[0] for r in spark.createDataFrame([("PDF",), ("zip",)], "t string").select(writers.object_type(F.col("t"))).collect()] == ["application/pdf", "application/octet-stream"]
 
 
