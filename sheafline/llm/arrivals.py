@@ -420,7 +420,7 @@ def ingest(store: Store, batch: DataFrame, id_col: str, batch_col: str, text_col
     wanted = durable(told.join(same, ["a", "b"], "left_anti"))
     stored = wanted.where("old").select(store.bucket("a"))
     texts = docs.select("id", "text").union(store.read("texts", stored).select("id", "text"))
-    close = _verify(wanted.select("a", "b"), texts, o.k, o.similarity, o.broadcast_ids).select("a", "b").union(same)
+    close = _verify(wanted.select("a", "b"), texts, o.k, o.similarity, o.broadcast_ids, "left").select("a", "b").union(same)
     close = durable(close.join(new_ids, "a", "left"))
 
     against_old = close.where("new is null").select("b").distinct()

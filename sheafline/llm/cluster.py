@@ -1,9 +1,7 @@
-"""Small helpers every operator of this package shares: cutting lineage and Arrow maps."""
+"""Small helpers every operator of this package shares: files, broadcasts of checked size and Arrow maps."""
 
 from __future__ import annotations
 
-import re
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,22 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..session import ship
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or what the context was given.
-
-    Only a session whose executors are threads of this process (``local[...]``) may do without;
-    on a cluster an unset folder is an error, never a folder of one machine.
-    """
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        if not named and not re.match(r"local(\[.*\])?$", sc.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="sheafline-"))
-    return named or sc._jsc.sc().getCheckpointDir().get()
+from ..session import durable, shared_dir, ship
 
 
 class Files:
@@ -62,12 +45,6 @@ class Files:
         self.fs.delete(self._at(name), True)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the shared folder, which outlives any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def sent_if_small(df: DataFrame, most: int) -> DataFrame:
     """``df`` (written already) marked for broadcast if it has ``most`` rows at most, else as it is."""
     return F.broadcast(df) if df.count() <= most else df

@@ -250,11 +250,11 @@ def _probe(codes: DataFrame, layout: list[list[int]], want: list[tuple[int, int]
     return map_batches(codes.select("id", "code", "plain"), run, "probe int, sig long, salt int, id long")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, k: int, similarity: float, broadcast_ids: int) -> DataFrame:
+def _verify(pairs: DataFrame, docs: DataFrame, k: int, similarity: float, broadcast_ids: int, how: str = "inner") -> DataFrame:
     """The pairs (a, b), written already, whose whole texts reach the similarity, with it.
 
-    Only the texts of candidates are moved: their ids go to the scan if they are few enough.  A
-    candidate without a text is an error.
+    Only the texts of candidates are moved: their ids go to the scan if they are few enough.  With
+    ``how`` "left" a candidate without a text is an error.
     """
     ids = durable(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
     texts = docs.join(sent_if_small(ids, broadcast_ids), "id", "left_semi")
@@ -278,7 +278,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, similarity: float, broadc
         if len(ok):
             yield {"a": a[ok], "b": b[ok], "similarity": sims[ok]}
 
-    return map_batches(pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "ta", "tb"), run, "a long, b long, similarity double")
+    return map_batches(pairs.join(left, "a", how).join(right, "b", how).select("a", "b", "ta", "tb"), run, "a long, b long, similarity double")
 
 
 def _close_pairs(hits: DataFrame, o: NearDup) -> tuple[DataFrame, DataFrame]:
