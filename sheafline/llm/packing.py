@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from . import vec
 from .cluster import durable, map_batches, map_stream, own_names
-from .tokens import DEFAULT_VOCABULARY, char_ends, encode
+from .tokens import DEFAULT_VOCABULARY, char_ends, encode, send_vocabulary
 
 
 @dataclass(frozen=True)
@@ -73,6 +73,7 @@ def items_of(df: DataFrame, id_col: str, text_col: str, o: Packing) -> DataFrame
             yield out
             out = {k: [] for k in out}
 
+    send_vocabulary(df.sparkSession, o.vocabulary)
     docs = own_names(df, id=id_col, text=text_col).where("id is not null and length(text) > 0").withColumn("id", F.col("id").cast("long"))
     return map_batches(docs, run, ITEM)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from . import vec
 from .cluster import map_batches, own_names
-from .tokens import DEFAULT_VOCABULARY, byte_length, char_ends, encode
+from .tokens import DEFAULT_VOCABULARY, byte_length, char_ends, encode, send_vocabulary
 
 #: Marks, strongest first: paragraph, line, sentence, clause, word, character; '-' is inside a character.
 MARKS = "PLSCWx"
@@ -108,6 +108,7 @@ def split_pieces(df: DataFrame, id_col: str, text_col: str, limit: int = 512, ov
                 yield {"id": own, "text": text, "marks": boundary_marks(text, ends, inside),
                        "ends": pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(ends).astype(np.int32)))}
 
+    send_vocabulary(df.sparkSession, vocabulary)
     docs = own_names(df, id=id_col, text=text_col).where("id is not null and length(text) > 0")
     marked = map_batches(docs.withColumn("id", F.col("id").cast("long")), mark, "id long, text string, marks string, ends array<int>")
     size = limit - overlap

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import base64
+import os
 
 import numpy as np
+from pyspark import SparkFiles
+from pyspark.sql import SparkSession
 
 #: Where the vocabulary is; every operator takes it as a parameter.
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -12,6 +15,7 @@ DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 _held: dict[str, tuple] = {}
+_sent: set[tuple] = set()
 
 
 def tokenizer(path: str = DEFAULT_VOCABULARY):
@@ -19,7 +23,8 @@ def tokenizer(path: str = DEFAULT_VOCABULARY):
     if path not in _held:
         import tiktoken
 
-        with open(path, "rb") as f:
+        here = path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
+        with open(here, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         enc = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         size = np.zeros(max(ranks.values()) + 1, dtype=np.int32)
@@ -29,6 +34,14 @@ def tokenizer(path: str = DEFAULT_VOCABULARY):
     return _held[path]
 
 
+def send_vocabulary(spark: SparkSession, path: str) -> None:
+    """Give every executor the driver's vocabulary file, once an application."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _sent and os.path.exists(path):
+        spark.sparkContext.addFile(path)
+        _sent.add(key)
+
+
 def encode(text: str, path: str = DEFAULT_VOCABULARY) -> np.ndarray:
     return np.array(tokenizer(path)[0].encode_ordinary(text), dtype=np.int32)
 

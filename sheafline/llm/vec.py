@@ -44,6 +44,19 @@ def _powers(n: int) -> np.ndarray:
     return have
 
 
+def _inverse_powers(n: int) -> np.ndarray:
+    """The inverse of the base to the power 0, 1, 2, ..."""
+    have = _tables.get("inverse")
+    if have is None or len(have) < n:
+        size = max(256, 1 << int(n).bit_length())
+        step = np.full(size, U64(pow(int(_POW_BASE), -1, 2**64)), dtype=U64)
+        step[0] = 1
+        with np.errstate(over="ignore"):
+            have = np.cumprod(step, dtype=U64)
+        _tables["inverse"] = have
+    return have
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit touches every output bit."""
     with np.errstate(over="ignore"):
@@ -81,12 +94,17 @@ class Words:
         n = ends - starts
         self.offsets = np.searchsorted(starts, self.base).astype(np.int64)
         if len(starts):
-            at = np.flatnonzero(isw)
-            first = np.concatenate([[0], np.cumsum(n)[:-1]])
-            pos = np.arange(len(at)) - np.repeat(first, n)
             with np.errstate(over="ignore"):
-                value = (chars[at].astype(U64) + U64(0x51)) * _powers(int(n.max()) + 1)[pos]
-                self.hashes = mix(np.add.reduceat(value, first) + n.astype(U64))
+                if len(chars) <= 1 << 22:  # running sums over all characters, taken apart by words: powers are invertible
+                    total = np.zeros(len(chars) + 1, dtype=U64)
+                    np.cumsum((chars.astype(U64) + U64(0x51)) * _powers(len(chars))[:len(chars)], out=total[1:])
+                    value = (total[ends] - total[starts]) * _inverse_powers(len(chars))[starts]
+                else:
+                    at = np.flatnonzero(isw)
+                    first = np.concatenate([[0], np.cumsum(n)[:-1]])
+                    pos = np.arange(len(at)) - np.repeat(first, n)
+                    value = np.add.reduceat((chars[at].astype(U64) + U64(0x51)) * _powers(int(n.max()) + 1)[pos], first)
+                self.hashes = mix(value + n.astype(U64))
         else:
             self.hashes = np.zeros(0, dtype=U64)
 
