@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 
-def hashed(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with ``own_hash``, of the capped text."""
-    return df.withColumn("own_hash", T.text_hash(T.truncated(F.col(text_col))))
+def hashed(df: DataFrame, text_col: str = "text", cap: int | None = T.TEXT_CAP) -> DataFrame:
+    """``df`` with ``own_hash``, of the text up to ``cap`` characters as records keep it, or of the whole text without one."""
+    return df.withColumn("own_hash", T.text_hash(T.truncated(F.col(text_col), cap or 0)))
 
 
 def order_key(path: Column) -> Column:

@@ -96,8 +96,8 @@ class Tfidf:
         self.model, self.idf, self.sublinear = model, idf, sublinear
 
     @classmethod
-    def fit(cls, df: DataFrame, terms: str, min_df: int = 2, most: int = 60_000, sublinear: bool = True) -> Tfidf:
-        model = CountVectorizer(inputCol=terms, outputCol="_tf", vocabSize=most, minDF=float(min_df)).fit(df)
+    def fit(cls, df: DataFrame, terms: str, min_df: int = 2, most: int | None = 60_000, sublinear: bool = True) -> Tfidf:
+        model = CountVectorizer(inputCol=terms, outputCol="_tf", vocabSize=most or 2**31 - 1, minDF=float(min_df)).fit(df)
         size = max(1, len(model.vocabulary))
         n = df.count()
         from pyspark.ml.functions import vector_to_array  # noqa: F401
