@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -124,3 +126,10 @@ def percent(value: Column, most: Column) -> Column:
 
 def run_header(at: Column) -> Column:
     return F.concat(F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
+
+
+def chained(items: DataFrame, stages: list[tuple[int, bool, Callable[[DataFrame], DataFrame]]]) -> DataFrame:
+    """Items through the stages (priority, whether it is on, step) that are on, the lowest priority first."""
+    for _, on, step in sorted(stages, key=lambda s: s[0]):
+        items = items.transform(step) if on else items
+    return items

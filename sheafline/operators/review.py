@@ -68,3 +68,10 @@ def checked_verdicts(batch: DataFrame) -> DataFrame:
 def preselected(stored: Column, decision: Column) -> Column:
     """The verdict a reviewer is shown first: the stored one, else positive where the model was sure of it."""
     return F.coalesce(verdict(stored), F.when(decision == "automatic_positive", "positive"))
+
+
+def document_at(manifest: DataFrame, asked: DataFrame, root: str) -> DataFrame:
+    """Asked positions (job_id, line_index) with ``document``: the saved path, but only below the root, else the key in the store."""
+    m = with_index(manifest).select("job_id", "line_index", "saved_path", "s3_key")
+    below = F.startswith("saved_path", F.lit(root.rstrip("/") + "/")) & ~F.col("saved_path").contains("/../")
+    return asked.join(m, ["job_id", "line_index"]).withColumn("document", F.when(below, F.col("saved_path")).otherwise(F.col("s3_key"))).drop("saved_path", "s3_key")

@@ -419,6 +419,13 @@ def review_page(spark, d):
     return r.select("manifest_id", review.preselected(F.col("verdict"), F.col("decision")).alias("shown"), jobs.size_text(F.col("manifest_id") * 7919).alias("size"))
 
 
+@query(f"""SELECT f.feedback_id, CASE WHEN starts_with(m.saved_path,'output/www.fh-holmingen.example/') THEN m.saved_path ELSE m.s3_key END AS document FROM feedback f JOIN ({INDEXED}) m ON f.job_id=m.job_id AND f.line_index=m.line_index""")
+def document_at(spark, d):
+    """The document each verdict's position stands for: its path if below the output root, else its key."""
+    asked = table(spark, d, "feedback").select("feedback_id", "job_id", "line_index")
+    return review.document_at(table(spark, d, "manifest"), asked, "output/www.fh-holmingen.example").select("feedback_id", "document")
+
+
 # ---- metrics --------------------------------------------------------------------------------------------------------
 
 @query(f"""WITH c AS (SELECT count(*) FILTER (s<0.5 AND y=0) tn, count(*) FILTER (s>=0.5 AND y=0) fp, count(*) FILTER (s<0.5 AND y=1) fn, count(*) FILTER (s>=0.5 AND y=1) tp FROM ({SCORED}))
@@ -639,10 +646,12 @@ def rbac_matrix(spark, d):
     return rbac.role_matrix(_models(spark, d), roles, _model_roles(spark, d))
 
 
-@query(f"SELECT model_id, role_id FROM ({MODEL_ROLES}) WHERE model_id NOT IN (SELECT p_partkey FROM part WHERE p_size=1)")
+@query(f"""SELECT model_id, role_id FROM ({MODEL_ROLES}) WHERE model_id NOT IN (SELECT p_partkey FROM part WHERE p_size=1)
+  UNION ALL SELECT p_partkey, NULL FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size=1)""")
 def rbac_cascade_delete(spark, d):
     gone = table(spark, d, "part").where("p_size = 1").select(F.col("p_partkey").alias("model_id"))
-    return rbac.delete_cascade(_models(spark, d), [_model_roles(spark, d)], "model_id", gone)[1]
+    parent, child = rbac.delete_cascade(_models(spark, d), [_model_roles(spark, d)], "model_id", gone)
+    return child.unionByName(parent.select("model_id"), allowMissingColumns=True)
 
 
 @query(f"SELECT DISTINCT model_id, role_id FROM ({MODEL_ROLES} UNION ALL SELECT p_partkey, CAST(p_size AS BIGINT) FROM part)")

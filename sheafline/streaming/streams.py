@@ -34,3 +34,8 @@ def keep_visited(results: DataFrame, path: str, checkpoint: str):
         writers.rewrite_visited(spark, jobs.visited_state(old.unionByName(batch.select("url", "job_id", "scraped_at"), allowMissingColumns=True)), path)
 
     return results.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def progress(query) -> list[tuple[int, int]]:
+    """(batch, rows taken in) of a stream's recent batches, for whoever watches it."""
+    return [(p["batchId"], p["numInputRows"]) for p in query.recentProgress]

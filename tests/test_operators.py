@@ -268,6 +268,8 @@ def test_ingest_and_outcomes(spark, tmp_path):
         review.checked_verdicts(spark.createDataFrame([("positive",), ("perhaps",)], "verdict string"))
     f = spark.createDataFrame([("pdf, docx ,",), (" ,",)], "t string").select(jobs.file_type_list(F.col("t")).alias("l")).collect()
     assert [r.l for r in f] == [["pdf", "docx"], None]
+    steps = [(300, True, lambda d: d.withColumn("x", F.col("x") * 2)), (200, True, lambda d: d.withColumn("x", F.col("x") + 1)), (250, False, lambda d: d.limit(0))]
+    assert [r.x for r in jobs.chained(spark.range(1).withColumnRenamed("id", "x"), steps).collect()] == [2]
     one = spark.createDataFrame([(1, 5)], "user_id int, role_id int")
     assert rbac.assign_role(one, one, one, one).count() == 1
     with pytest.raises(ValueError):

@@ -87,6 +87,7 @@ def test_streams(spark, tmp_path):
     (src / "1.json").write_text('{"urls": ["https://A.example/", "https://a.example/x"]}\n{"url": "https://a.example/x/"}\n')
     q = streams.new_seeds(streams.event_seeds(spark, str(src))).writeStream.format("memory").queryName("seeds").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
     q.awaitTermination(120)
+    assert sum(n for _, n in streams.progress(q)) == 2
     assert spark.table("seeds").count() == 2
     store, more = str(tmp_path / "visited"), tmp_path / "more"
     more.mkdir()
