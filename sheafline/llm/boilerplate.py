@@ -387,8 +387,10 @@ def second_pass(page: Page, label: list[int]) -> list[int]:
             out[i] = FURNITURE
         elif p is None and q is None:
             out[i] = FURNITURE if kind[i] == SHORT else BODY
-        elif p is None or q is None:
-            out[i] = label[q if p is None else p]
+        elif p is None:  # the edge of a page is furniture: so is a column of short blocks before all else
+            out[i] = FURNITURE if q >= 3 and all(kind[j] == SHORT for j in range(q)) else label[q]
+        elif q is None:
+            out[i] = label[p]
         elif label[p] == label[q]:
             out[i] = label[p]
         else:  # a run goes with what leads into it; one block alone before the body is its heading

@@ -67,6 +67,7 @@ def test_single_pages_by_shape():
     assert labels("", None) == [None] and labels("\n \n", "x") == [None] * 3
     prose = "Die Hafenlehre ist ein Fach, das sich mit dem Bau und der Pflege der Häfen und ihrer Wege befasst."
     assert labels("\n".join(["Kaimauern | Schleusen | Molen | Docks | Kräne", prose, "– Hafenpläne", "Dauer: 2 Tage", "© 2024 Hafen"])) == [0, 1, 1, 1, 0]
+    assert labels("Accueil\nServices\nContact\n" + prose) == [0, 0, 0, 1] and labels("Hafenbau und Wege\n" + prose) == [1, 1]
     know = boilerplate.Know({boilerplate.key_of(x) for x in ("Molen", "Docks")}, {boilerplate.key_of("Neues")}, {boilerplate.key_of("Ziele")})
     teasers = [f"{n:02}.03.2024 Vortrag über die Arbeit der Leute an den Häfen und das, was sie von der See wissen" for n in range(1, 13)]
     assert labels("\n".join([prose, "Ziele", prose, "Neues", *teasers, prose, prose]), None, know) == [1, 1, 1, 0] + [0] * 12 + [1, 1]
