@@ -11,7 +11,7 @@ space, among those that reach the recall asked for at the similarity threshold i
 weights of shared stock phrases may lower it.
 Weighting stock phrases down keeps unrelated records apart; where they make up much of a record (it
 may be one of a mass of versions of one text), a second code without weights stands beside the first.
-Candidates are verified on their whole texts.
+Candidates whose codes agree as those of pairs at the threshold do are verified on their whole texts.
 """
 
 from __future__ import annotations
@@ -93,7 +93,10 @@ def common_shingles(docs: DataFrame, k: int, share: float) -> np.ndarray:
 
 
 def _codes(docs: DataFrame, common: np.ndarray, o: NearDup) -> DataFrame:
-    """(id, whole, code, plain) of each record with at least k words; ``plain`` is null or the unweighted code."""
+    """(id, whole, code, plain, brief, brief_plain) of each record with at least k words.
+
+    ``plain`` is null or the unweighted code; the brief forms hold four bits of each value.
+    """
     rng = np.random.default_rng(o.seed)
     mul = (rng.integers(1, 2**31, o.symbols, dtype=np.int64) * 2 + 1).astype(np.uint32)
     add = rng.integers(0, 2**32, o.symbols, dtype=np.int64).astype(np.uint32)
@@ -102,6 +105,10 @@ def _codes(docs: DataFrame, common: np.ndarray, o: NearDup) -> DataFrame:
     k, shift, share = o.k, np.uint32(o.common_shift), o.plain_share
     packed = np.packbits(table) if len(common) else None
 
+    def short(c: np.ndarray) -> list[bytes]:
+        low = (c & np.uint16(15)).astype(np.uint8)
+        return [r.tobytes() for r in (low[:, 0::2] << np.uint8(4)) | low[:, 1::2]]
+
     def code(cols):
         ids, texts = cols["id"], cols["text"].to_pylist()
         light = np.unpackbits(packed).astype(bool) if packed is not None else None
@@ -147,10 +154,12 @@ def _codes(docs: DataFrame, common: np.ndarray, o: NearDup) -> DataFrame:
                     out[:, j] = (m >> np.uint32(16)).astype(np.uint16)
             whole = vec.text_hashes(w)[ok]
             where = {i: n for n, i in enumerate(own.tolist())}
+            brief = short(plain) if len(own) else []
             yield {"id": ids.take(pa.array(ok + a)), "whole": vec.signed(whole), "code": [r.tobytes() for r in out],
-                   "plain": [plain[where[i]].tobytes() if i in where else None for i in ok.tolist()]}
+                   "plain": [plain[where[i]].tobytes() if i in where else None for i in ok.tolist()],
+                   "brief": short(out), "brief_plain": [brief[where[i]] if i in where else None for i in ok.tolist()]}
 
-    return map_batches(docs, code, "id long, whole long, code binary, plain binary")
+    return map_batches(docs, code, "id long, whole long, code binary, plain binary, brief binary, brief_plain binary")
 
 
 def group_values(codes: np.ndarray, width: int) -> list[list[int]]:
@@ -285,6 +294,38 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, similarity: float, broadc
     return map_batches(pairs.join(left, "a", how).join(right, "b", how).select("a", "b", "ta", "tb"), run, "a long, b long, similarity double")
 
 
+def least_agreement(similarity: float, symbols: int, bits: int) -> int:
+    """Values, seen with so many bits, that a pair of this similarity agrees in but for one case in a million: five standard errors below the mean."""
+    p = similarity + (1 - similarity) / 2**bits
+    return int(np.floor(symbols * p - 5 * np.sqrt(symbols * p * (1 - p))))
+
+
+def _alike(pairs: DataFrame, codes: DataFrame, o: NearDup) -> DataFrame:
+    """The pairs whose brief codes agree as those of pairs at the threshold do: only their texts are fetched.
+
+    A pair at the threshold has either the weighted similarity that plain_share leaves, or two plain codes.
+    """
+    brief = lambda x: codes.select(F.col("id").alias(x), F.col("brief").alias(f"w{x}"), F.col("brief_plain").alias(f"p{x}"))
+    weighted, plain = least_agreement(o.weighted, o.symbols, 4), least_agreement(o.similarity, o.symbols, 4)
+
+    def agree(x: list, y: list) -> np.ndarray:
+        diff = np.frombuffer(b"".join(x), dtype=np.uint8) ^ np.frombuffer(b"".join(y), dtype=np.uint8)
+        diff = diff.reshape(len(x), -1)
+        return ((diff & 0xF0) == 0).sum(1) + ((diff & 0x0F) == 0).sum(1)
+
+    def run(cols):
+        w = [cols[c].to_pylist() for c in ("wa", "wb", "pa", "pb")]
+        ok = agree(w[0], w[1]) >= weighted
+        both = np.array([i for i, (x, y) in enumerate(zip(w[2], w[3])) if x and y and not ok[i]], dtype=np.int64)
+        if len(both):
+            ok[both] = agree([w[2][i] for i in both], [w[3][i] for i in both]) >= plain
+        at = np.flatnonzero(ok)
+        if len(at):
+            yield {"a": cols["a"].to_numpy()[at], "b": cols["b"].to_numpy()[at]}
+
+    return map_batches(pairs.join(brief("a"), "a").join(brief("b"), "b").select("a", "b", "wa", "wb", "pa", "pb"), run, "a long, b long")
+
+
 def _close_pairs(hits: DataFrame, o: NearDup) -> tuple[DataFrame, DataFrame]:
     """Pairs to verify first, and the rows of buckets too large to be paired in full."""
     w = W.partitionBy("sig", "probe", "salt").orderBy("id")
@@ -312,7 +353,7 @@ def _rest(hits: DataFrame, large: DataFrame, codes: DataFrame, comp: DataFrame,
     pack = lambda d, p: d.groupBy("sig", "probe", "blk").agg(
         F.collect_list(F.struct("id", "root", "code", "plain")).alias(p)).withColumnRenamed("blk", f"{p}_blk")
     grid = pack(rows.where("root <> hub"), "l").join(pack(rows, "r"), ["sig", "probe"]).select("l", "r")
-    floor = 0.5 * o.weighted
+    weighted, plain = (least_agreement(x, o.symbols, 16) / o.symbols for x in (o.weighted, o.similarity))
 
     def run(cols):
         for l, r in zip(cols["l"].to_pylist(), cols["r"].to_pylist()):
@@ -321,7 +362,7 @@ def _rest(hits: DataFrame, large: DataFrame, codes: DataFrame, comp: DataFrame,
             ids = np.array([y["id"] for y in r])
             roots = np.array([y["root"] for y in r])
             for i, y in enumerate(l):
-                got = np.flatnonzero((np.maximum((cr == cl[i]).mean(1), (dr == dl[i]).mean(1)) >= floor) & (roots != y["root"]))
+                got = np.flatnonzero((((cr == cl[i]).mean(1) >= weighted) | ((dr == dl[i]).mean(1) >= plain)) & (roots != y["root"]))
                 if len(got):
                     yield {"a": np.minimum(ids[got], y["id"]), "b": np.maximum(ids[got], y["id"])}
 
@@ -345,7 +386,7 @@ def near_duplicate_sets(df: DataFrame, id_col: str, text_col: str, options: Near
     codes_all = durable(_codes(with_text, common, o))
     reps = codes_all.groupBy("whole").agg(F.min("id").alias("rep"))
     member = codes_all.select("id", "whole").join(reps, "whole").select("id", "rep")
-    codes = durable(codes_all.join(reps.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "code", "plain"))
+    codes = durable(codes_all.join(reps.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "code", "plain", "brief", "brief_plain"))
 
     sample = codes.orderBy(F.xxhash64("id", F.lit(o.seed))).limit(o.layout_sample).select("code").collect()
     arr = np.frombuffer(b"".join(bytes(r[0]) for r in sample), dtype=np.uint16).reshape(len(sample), o.symbols) if sample else np.zeros((0, o.symbols), np.uint16)
@@ -366,7 +407,7 @@ def near_duplicate_sets(df: DataFrame, id_col: str, text_col: str, options: Near
 
     hits = _probe(codes, layout, want, hot=o.hot)
     pairs, large = _close_pairs(hits, o)
-    edges = durable(_verify(durable(pairs), docs, o.k, o.similarity, o.broadcast_ids)).select("a", "b")
+    edges = durable(_verify(durable(_alike(pairs, codes, o)), docs, o.k, o.similarity, o.broadcast_ids)).select("a", "b")
     comp = durable(star_components(edges))
     large = durable(large)
     if not large.isEmpty():
