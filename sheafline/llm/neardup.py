@@ -300,6 +300,11 @@ def least_agreement(similarity: float, symbols: int, bits: int) -> int:
     return int(np.floor(symbols * p - 5 * np.sqrt(symbols * p * (1 - p))))
 
 
+def _agreement(diff: np.ndarray) -> np.ndarray:
+    """How many of the four-bit values are equal, of each row of differences."""
+    return ((diff & 0xF0) == 0).sum(1) + ((diff & 0x0F) == 0).sum(1)
+
+
 def _alike(pairs: DataFrame, codes: DataFrame, o: NearDup) -> DataFrame:
     """The pairs whose brief codes agree as those of pairs at the threshold do: only their texts are fetched.
 
@@ -310,8 +315,7 @@ def _alike(pairs: DataFrame, codes: DataFrame, o: NearDup) -> DataFrame:
 
     def agree(x: list, y: list) -> np.ndarray:
         diff = np.frombuffer(b"".join(x), dtype=np.uint8) ^ np.frombuffer(b"".join(y), dtype=np.uint8)
-        diff = diff.reshape(len(x), -1)
-        return ((diff & 0xF0) == 0).sum(1) + ((diff & 0x0F) == 0).sum(1)
+        return _agreement(diff.reshape(len(x), -1))
 
     def run(cols):
         w = [cols[c].to_pylist() for c in ("wa", "wb", "pa", "pb")]
@@ -349,20 +353,26 @@ def _rest(hits: DataFrame, large: DataFrame, codes: DataFrame, comp: DataFrame,
     hub = rows.groupBy("sig", "probe").agg(F.min_by("root", "id").alias("hub"))
     rows = rows.join(hub, ["sig", "probe"]).withColumn("blk", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / o.block)))
     outside = rows.where("root <> hub").select("sig", "probe").distinct()
-    rows = durable(rows.join(outside, ["sig", "probe"]).join(codes.select("id", "code", F.coalesce("plain", "code").alias("plain")), "id"))
+    rows = durable(rows.join(outside, ["sig", "probe"]).join(codes.select("id", "brief", "brief_plain"), "id"))
     pack = lambda d, p: d.groupBy("sig", "probe", "blk").agg(
-        F.collect_list(F.struct("id", "root", "code", "plain")).alias(p)).withColumnRenamed("blk", f"{p}_blk")
+        F.collect_list(F.struct("id", "root", "brief", "brief_plain")).alias(p)).withColumnRenamed("blk", f"{p}_blk")
     grid = pack(rows.where("root <> hub"), "l").join(pack(rows, "r"), ["sig", "probe"]).select("l", "r")
-    weighted, plain = (least_agreement(x, o.symbols, 16) / o.symbols for x in (o.weighted, o.similarity))
+    weighted, plain = least_agreement(o.weighted, o.symbols, 4), least_agreement(o.similarity, o.symbols, 4)
+    width = o.symbols // 2
 
     def run(cols):
         for l, r in zip(cols["l"].to_pylist(), cols["r"].to_pylist()):
-            mat = lambda x, c: np.frombuffer(b"".join(y[c] for y in x), dtype=np.uint16).reshape(len(x), -1)
-            cl, cr, dl, dr = mat(l, "code"), mat(r, "code"), mat(l, "plain"), mat(r, "plain")
+            # A record without a plain code has zeros there, and is told apart by a mask.
+            mat = lambda x, c: np.frombuffer(b"".join(y[c] or bytes(width) for y in x), dtype=np.uint8).reshape(len(x), -1)
+            cl, cr, dl, dr = mat(l, "brief"), mat(r, "brief"), mat(l, "brief_plain"), mat(r, "brief_plain")
+            has = np.array([y["brief_plain"] is not None for y in r])
             ids = np.array([y["id"] for y in r])
             roots = np.array([y["root"] for y in r])
             for i, y in enumerate(l):
-                got = np.flatnonzero((((cr == cl[i]).mean(1) >= weighted) | ((dr == dl[i]).mean(1) >= plain)) & (roots != y["root"]))
+                ok = _agreement(cr ^ cl[i]) >= weighted
+                if y["brief_plain"] is not None:
+                    ok |= has & (_agreement(dr ^ dl[i]) >= plain)
+                got = np.flatnonzero(ok & (roots != y["root"]))
                 if len(got):
                     yield {"a": np.minimum(ids[got], y["id"]), "b": np.maximum(ids[got], y["id"])}
 
