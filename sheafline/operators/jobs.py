@@ -109,7 +109,7 @@ def backend(n_urls: Column, bulk: bool, function: bool, threshold: int = 10) ->
 
 def file_type_list(text: Column) -> Column:
     """The file types of a comma-separated text, or null for none."""
-    kept = F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    kept = F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
     return F.when(F.size(kept) > 0, kept)
 
 
