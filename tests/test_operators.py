@@ -318,7 +318,7 @@ def test_both_variants_are_trained_and_the_better_one_kept(spark, tmp_path):
         words = " ".join(rng.choice(("modul", "lehre", "kurs") if y and rng.random() < 0.5 else ("haus", "berg", "fluss", "kurs")) for _ in range(30))
         rows.append((i, f"g{i % 8}", y, words, f"{'modulkatalog' if y else 'bericht'}_{i}.pdf", None if i % 5 == 0 else ("Katalog" if y else "Bericht"), rng.randrange(1, 9), len(words)))
     df = spark.createDataFrame(rows, "id int, grp string, y int, text string, filename string, title string, page_count int, text_length int")
-    fitted, told = model.trained(df, "grp", max_iter=5)
+    fitted, told = model.trained(df, "grp", max_iter=3, folds=2)
     assert set(told["variants"]) == {"content", "metadata"} and told["variants"]["metadata"]["average_precision"] > 0.95
     assert told["variant"] == model.choose_variant(*(told["variants"][v]["average_precision"] for v in ("content", "metadata")))
     fitted.save(spark, str(tmp_path / "m"))
