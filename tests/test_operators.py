@@ -310,19 +310,13 @@ def test_folds_keep_groups_and_model_learns(spark):
         model.out_of_fold(df.limit(5), "grp")
 
 
-def test_both_variants_are_trained_and_the_better_one_kept(spark, tmp_path):
-    rng = random.Random(4)
-    rows = []
-    for i in range(80):
-        y = i % 2
-        words = " ".join(rng.choice(("modul", "lehre", "kurs") if y and rng.random() < 0.5 else ("haus", "berg", "fluss", "kurs")) for _ in range(30))
-        rows.append((i, f"g{i % 8}", y, words, f"{'modulkatalog' if y else 'bericht'}_{i}.pdf", None if i % 5 == 0 else ("Katalog" if y else "Bericht"), rng.randrange(1, 9), len(words)))
-    df = spark.createDataFrame(rows, "id int, grp string, y int, text string, filename string, title string, page_count int, text_length int")
-    fitted, told = model.trained(df, "grp", max_iter=3, folds=2)
-    assert set(told["variants"]) == {"content", "metadata"} and told["variants"]["metadata"]["average_precision"] > 0.95
-    assert told["variant"] == model.choose_variant(*(told["variants"][v]["average_precision"] for v in ("content", "metadata")))
+def test_metadata_variant_is_fitted_saved_and_read(spark, tmp_path):
+    rows = [(i, f"g{i % 4}", i % 2, ("modul lehre " if i % 2 else "haus berg ") * 5, ("modulkatalog" if i % 2 else "bericht") + f"_{i}.pdf", None, 3, 50) for i in range(24)]
+    df = spark.createDataFrame(rows, "id int, grp string, y int, text string, filename string, title string, page_count int, text_length int").repartition(2)
+    ready = model.with_terms(df, variant="metadata").persist()
+    fitted = model.Classifier.fit(ready, max_iter=2, variant="metadata")
     fitted.save(spark, str(tmp_path / "m"))
     again = model.Classifier.load(spark, str(tmp_path / "m"))
-    ready = model.with_terms(df, variant=told["variant"])
     score = lambda m: {r.id: round(r.s, 9) for r in m.score(ready).collect()}
-    assert score(fitted) == score(again) and again.meta["n_universities"] == 8
+    assert score(fitted) == score(again) and set(again.blocks) == {"_words", "_chars", "_names", "_titles"} and len(again.scale) == 6
+    assert model.choose_variant(0.90, 0.93) == "metadata" and model.choose_variant(0.90, 0.915) == "content" and model.choose_variant(0.9, 0.1, "metadata") == "metadata"
