@@ -101,6 +101,7 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], DataFrame], profile: Pr
 
     Each round pops the best ``per_round`` requests of each seed by (priority desc, seq); with 1 it
     is a sequential best-first crawl.  URLs are requested once a seed, by their normalised form.
+    Pages, or documents, whose budget is spent leave the frontier and take no round.
     """
     spark = seeds.sparkSession
     u = F.col("url")
@@ -145,7 +146,9 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], DataFrame], profile: Pr
                                      (F.row_number().over(order) + F.lit(turn + 1) * F.lit(2**40)).cast("bigint").alias("seq"), "key"))
         seen = durable(seen.union(fresh.select("seed", "key")))
         open_ = frontier.join(popped.select("seed", "key"), ["seed", "key"], "left_anti").unionByName(fresh)
-        frontier = durable(open_.join(spent.where(F.col("n_all") >= limits.requests).select("seed"), "seed", "left_anti").select(*frontier.columns))
+        # What a spent budget would refuse is not popped round by round: the rounds follow the budgets, not the frontier.
+        kept = (had("n_all") < limits.requests) & F.when(F.col("kind") == "page", had("n_pages") < limits.pages).when(F.col("kind") == "target", had("n_items") < limits.items).otherwise(True)
+        frontier = durable(open_.join(spent, "seed", "left").where(kept).select(*frontier.columns))
         turn += 1
     return out.select("seed", "url", "kind", "depth", "source_page", "round") if out is not None else spark.createDataFrame([], "seed string, url string, kind string, depth int, source_page string, round int")
 

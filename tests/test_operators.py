@@ -156,6 +156,21 @@ def test_crawl_respects_depth_site_and_budget(spark):
     assert sum(r.kind == "page" for r in small) == 2
 
 
+def test_crawl_takes_no_rounds_for_what_a_spent_budget_refuses(spark):
+    s = "https://www.u.example/"
+    web = [(s, s + f"m{i}.pdf", "Modul", i) for i in range(20)] + [(s, s + f"p{i}", "Modul", 20 + i) for i in range(20)] + [(s + "p0", s + "deep", "x", 0)]
+    links = spark.createDataFrame(web, "page string, url string, anchor string, pos int")
+    rounds = []
+
+    def fetch(u):
+        rounds.append(1)
+        return links.join(u.withColumnRenamed("url", "page"), "page", "left_semi")
+
+    got = crawl.crawl(spark.createDataFrame([(s,)], "url string"), fetch, profiles.PROFILES["modulhandbuch"], crawl.Limits(items=5, pages=3, per_round=5)).collect()
+    assert {r.url for r in got} == {s, s + "p0", s + "p1", *(s + f"m{i}.pdf" for i in range(5))}
+    assert len(rounds) == 3
+
+
 def sequential(seed, pages, maps, profile_score, limits):
     """A best-first crawl in a loop: (url, kind, depth) in order."""
     from urllib.parse import urlsplit
