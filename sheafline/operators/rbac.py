@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import durable, ship
 
-from ..session import durable
+BLOCK = 32_768      # bits of one of Spark's bitmaps
+TASK_ROWS = 500_000  # (user, role) rows a task is laid out for
 
 
 def user_models(user_roles: DataFrame, model_roles: DataFrame, models: DataFrame) -> DataFrame:
@@ -17,6 +26,73 @@ def user_models(user_roles: DataFrame, model_roles: DataFrame, models: DataFrame
     return pairs.join(models, "model_id")
 
 
+def _totals(users: pa.Table, roles: pa.Table, schema: pa.Schema) -> pa.Table:
+    """Of one block of models: how many each user may use, and the sum of their ids, from the union of the roles' bitmaps."""
+    if not users.num_rows or not roles.num_rows:
+        return schema.empty_table()
+    ids = np.zeros(BLOCK, dtype=np.int64)
+    at = pc.equal(roles["kind"], "ids")
+    for row in roles.filter(at).select(["bits", "ids"]).to_pylist():
+        ids[: len(row["ids"])] = row["ids"]
+    roles = roles.filter(pc.invert(at)).combine_chunks()
+    bits = np.array([np.frombuffer(b.as_py(), dtype=np.uint64) for b in roles["bits"]]).reshape(-1, BLOCK // 64)
+    # Sum of the ids of each value of each byte.
+    of_byte = ids.reshape(-1, 8) @ np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").T.astype(np.int64)
+    place = np.arange(BLOCK // 8)
+    role = pc.index_in(users["role_id"], value_set=roles["role_id"].combine_chunks()).to_numpy()
+    code = users["user_id"].combine_chunks().dictionary_encode(null_encoding="encode")
+    user = code.indices.to_numpy()
+    order = np.argsort(user, kind="stable")
+    cuts = np.flatnonzero(np.diff(user[order])) + 1
+    n, total = [], []
+    for rows in np.split(role[order], cuts):
+        own = np.bitwise_or.reduce(bits[rows], axis=0)
+        n.append(int(np.bitwise_count(own).sum()))
+        total.append(int(of_byte[place, own.view(np.uint8)].sum()))
+    first = user[order][np.concatenate([[0], cuts])]
+    return pa.Table.from_arrays([code.dictionary.take(pa.array(first)).cast(schema.field(0).type), pa.array(n, pa.int64()), pa.array(total, pa.int64())], schema=schema)
+
+
+def user_model_totals(user_roles: DataFrame, model_roles: DataFrame, models: DataFrame) -> DataFrame:
+    """(user_id, n_models, model_sum): how many models a user may use through any role, and the sum of their ids.
+
+    The same as counting ``user_models``, whose pairs are many times the tables, without making them:
+    a role is a bitmap of models a block of them, a user the union of its roles' bitmaps.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    spark = models.sparkSession
+    ship(spark)
+    links = durable(user_roles.select("user_id", "role_id").where("role_id is not null").distinct())
+    known = models.select(F.col("model_id").cast("bigint").alias("model_id")).where("model_id is not null").distinct()
+    place = durable(_numbered(known, "model_id").select("model_id", F.expr(f"cast((_n - 1) div {BLOCK} as int)").alias("block"), ((F.col("_n") - 1) % BLOCK).alias("bit")))
+    # Bitmaps are made where a role's models of a block meet, not in pieces before.
+    held = model_roles.join(place, "model_id").where("role_id is not null").select("role_id", "block", "bit").repartition("role_id", "block")
+    roles = durable(held.groupBy("role_id", "block").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    size = place.agg(F.max("block")).first()[0]
+    size = 1 if size is None else size + 1
+    spread = roles.count() / max(1, roles.select("role_id").distinct().count())  # blocks a role
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), links.count() * spread / TASK_ROWS)
+    cuts = max(1, math.ceil(wanted / size))
+    ids = place.groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("bit", "model_id"))), lambda x: x["model_id"]).alias("ids"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(cuts - 1))).alias("cut")
+    right = roles.select("block", every, F.lit("role").alias("kind"), "role_id", "bits").unionByName(ids.select("block", every, F.lit("ids").alias("kind"), "ids"), allowMissingColumns=True)
+    left = links.join(roles.select("role_id", F.col("block").alias("of")), "role_id").select("of", F.pmod(F.hash("user_id"), F.lit(cuts)).alias("part"), "user_id", "role_id")
+    out = T.StructType([T.StructField("user_id", user_roles.schema["user_id"].dataType), T.StructField("n_models", T.LongType()), T.StructField("model_sum", T.LongType())])
+    schema = to_arrow_schema(out)
+    parts = left.groupBy("of", "part").cogroup(right.groupBy("block", "cut")).applyInArrow(lambda users, roles: _totals(users, roles, schema), out)
+    return parts.groupBy("user_id").agg(F.sum("n_models").alias("n_models"), F.sum("model_sum").alias("model_sum"))
+
+
+def _numbered(df: DataFrame, by: str) -> DataFrame:
+    """``df`` with _n, its place from 1 in the order of ``by``: numbered within ranges, on top of the ranges' sizes, so no task sees all rows."""
+    ranged = df.repartitionByRange(by).withColumn("_p", F.spark_partition_id())
+    ranged = durable(ranged.withColumn("_n", F.row_number().over(W.partitionBy("_p").orderBy(by))))
+    size = ranged.groupBy("_p").agg(F.max("_n").alias("_m"))
+    below = size.select("_p", (F.sum("_m").over(W.orderBy("_p")) - F.col("_m")).alias("_b"))  # a row a task
+    return ranged.join(F.broadcast(below), "_p").withColumn("_n", F.col("_b") + F.col("_n")).drop("_p", "_b")
+
+
 def model_allowed(requests: DataFrame, user_roles: DataFrame, model_roles: DataFrame) -> DataFrame:
     """Requests (user_id, model_id) some role of the user allows."""
     asked = requests.select("user_id", "model_id").distinct()
@@ -66,13 +142,8 @@ def get_or_create(table: DataFrame, rows: DataFrame, name: str, id_col: str) ->
     """The table with new names under ids after the largest one, numbered in name order."""
     new = rows.select(name).distinct().join(table, name, "left_anti")
     top = table.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_top"))
-    # Numbered within ranges of names, on top of the ranges' sizes: no task sees all names.
-    ranged = new.repartitionByRange(name).withColumn("_p", F.spark_partition_id())
-    ranged = durable(ranged.withColumn("_n", F.row_number().over(W.partitionBy("_p").orderBy(name))))
-    size = ranged.groupBy("_p").agg(F.max("_n").alias("_m"))
-    below = size.select("_p", (F.sum("_m").over(W.orderBy("_p")) - F.col("_m")).alias("_b"))  # a row a task
-    numbered = ranged.join(F.broadcast(below), "_p").crossJoin(F.broadcast(top))
-    return table.unionByName(numbered.select((F.col("_top") + F.col("_b") + F.col("_n")).alias(id_col), name), allowMissingColumns=True)
+    numbered = _numbered(new, name).crossJoin(F.broadcast(top))
+    return table.unionByName(numbered.select((F.col("_top") + F.col("_n")).alias(id_col), name), allowMissingColumns=True)
 
 
 def assign_role(user_roles: DataFrame, users: DataFrame, roles: DataFrame, rows: DataFrame) -> DataFrame:

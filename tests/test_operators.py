@@ -135,6 +135,20 @@ def test_roles(spark):
     assert {r.name for r in rbac.update_where(m, "model_id", m.where("model_id = 7"), "name", "z").collect()} == {"z", "b"}
 
 
+def test_totals_of_users_are_the_pairs_counted(spark):
+    """Over two blocks of models, with ids far apart, doubled rows, nulls and links to nothing."""
+    models = spark.range(40_000).select((F.col("id") * 1_000_003 - 7_000_000_000).alias("model_id"), F.lit("m").alias("name"))
+    mr = models.withColumn("role_id", F.explode(F.array((F.hash("model_id") % 5).cast("bigint"), F.lit(9).cast("bigint")))).where("role_id <> 9 or model_id % 7 = 0").select("model_id", "role_id")
+    mr = mr.unionByName(spark.createDataFrame([(None, 1), (1, 1), (2, None)], "model_id bigint, role_id bigint")).unionByName(mr.where("role_id = 2"))
+    ur = spark.createDataFrame([(1, 1), (1, 1), (1, 9), (2, 3), (2, -3), (2, 4), (3, 77), (None, 0), (4, None), (5, 0), (5, 1), (5, 2), (5, 3), (5, 4), (5, -1), (5, -2), (5, -3), (5, -4)], "user_id int, role_id bigint")
+    want = rbac.user_models(ur, mr, models).groupBy("user_id").agg(F.count("*").alias("n_models"), F.sum("model_id").alias("model_sum"))
+    got = rbac.user_model_totals(ur, mr, models)
+    assert got.dtypes == want.dtypes
+    got = {tuple(r) for r in got.collect()}
+    assert got == {tuple(r) for r in want.collect()} and {r[0] for r in got} == {1, 2, 5, None} and (5, 40_000) in {r[:2] for r in got}
+    assert rbac.user_model_totals(ur, mr, models.limit(0)).collect() == []
+
+
 def test_longest_anchor(spark):
     rows = [("p", "u", "ab", 2), ("p", "u", "cd", 1), ("p", "u", "", 0), ("p", "e", "", 3), ("p", "v", "x", 4)]
     links = spark.createDataFrame(rows, "page string, url string, anchor string, pos int")
