@@ -339,6 +339,24 @@ def test_folds_keep_groups_and_model_learns(spark):
         model.out_of_fold(df.limit(5), "grp")
 
 
+def test_folds_share_one_count_of_terms(spark, monkeypatch):
+    """The scores of models fitted fold by fold, with no fit of a vocabulary a fold."""
+    rng = random.Random(2)
+    rows = [(i, f"g{i % 6}", i % 2, None if i == 7 else " ".join(rng.choice(["Modul", "lehre", "Prüfung" if i % 2 else "ﬁx", "a", "haus-berg", "ECTS"]) for _ in range(i % 9)),
+             f"m_{i % 3}.pdf", None if i % 4 else "Der Titel", 3, 50 + i) for i in range(30)]
+    df = spark.createDataFrame(rows, "id int, grp string, y int, text string, filename string, title string, page_count int, text_length int")
+    fold = model.grouped_folds(df, "grp", "y", 2)
+    want = {}
+    for variant in model.VARIANTS:
+        ready = model.with_terms(df.join(fold, "grp"), variant=variant).persist()
+        parts = [model.Classifier.fit(ready.where(F.col("fold") != i), max_iter=3, variant=variant).score(ready.where(F.col("fold") == i)) for i in range(2)]
+        want[variant] = {r.id: r.s for p in parts for r in p.select("id", "s").collect()}
+    monkeypatch.setattr(features.Tfidf, "fit", None)
+    for variant, scores in want.items():
+        got = {r.id: r.s for r in model.out_of_fold(df, "grp", folds=2, max_iter=3, variant=variant).select("id", "s").collect()}
+        assert got.keys() == scores.keys() and all(abs(s - scores[i]) < 1e-9 for i, s in got.items())
+
+
 def test_metadata_variant_is_fitted_saved_and_read(spark, tmp_path):
     rows = [(i, f"g{i % 4}", i % 2, ("modul lehre " if i % 2 else "haus berg ") * 5, ("modulkatalog" if i % 2 else "bericht") + f"_{i}.pdf", None, 3, 50) for i in range(24)]
     df = spark.createDataFrame(rows, "id int, grp string, y int, text string, filename string, title string, page_count int, text_length int").repartition(2)
