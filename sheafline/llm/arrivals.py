@@ -40,6 +40,8 @@ class Arrivals:
     common_share: float = 0.001 # shingles in more than this share of the history are picked last
     coverage: float = 0.25      # share of a record's fingerprints a similar one must hold to be looked up
     shared: int = 5             # of which as many (or all, if fewer) must be met among the rarest
+    first: int = 2              # ... and as many of these before the more frequent of the rarest are looked up
+    meets: int = 4_000_000      # meetings of a bucket of askers, about
     segment: int = 1_000_000    # entries of a segment at most
     part_entries: int = 500_000 # entries a part is laid out for
     bucket_chars: int = 16_000_000  # characters of text a bucket is laid out for
@@ -317,6 +319,47 @@ def _unpack(fp: bytes, rec: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(fp, dtype=np.uint32), _ids(rec)
 
 
+def _ranges(start: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... as many times, one range after another."""
+    return np.repeat(start - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
+
+
+def meeting(rows: list[dict], first: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (a, b) of a bucket's lists that meet often enough, made about ``most`` at a time."""
+    count = lambda name: np.concatenate([np.frombuffer(r[name], dtype=np.uint32) for r in rows]).astype(np.int64)
+    asked, b = np.unique(np.concatenate([_ids(r["b"]) for r in rows]), return_inverse=True)
+    held, a = np.unique(np.concatenate([_ids(r["a"]) for r in rows]), return_inverse=True)
+    code = np.concatenate([np.frombuffer(r["code"], dtype=np.uint16) for r in rows])
+    times, size = count("owners"), np.int64(len(held))
+    group = np.repeat(np.arange(len(times)), count("askers"))
+    start = np.cumsum(times) - times
+    holds = np.repeat(np.arange(len(times)), times) * size + a  # sorted: owners are in order
+    least = np.zeros(len(asked), dtype=np.int64)
+    least[b] = code >> 1
+    order = np.argsort(b, kind="stable")
+    early, late = order[code[order] & 1 == 0], order[code[order] & 1 == 1]
+    bound, late_bound = (np.searchsorted(b[x], np.arange(len(asked) + 1)) for x in (early, late))
+    total = np.concatenate([[0], np.cumsum(times[group[early]])])[bound]
+    out_a, out_b = [held[:0]], [asked[:0]]
+    for s, e in vec.chunks(np.diff(total), most):
+        at = early[bound[s]:bound[e]]
+        n = times[group[at]]
+        pair, met = np.unique(np.repeat(b[at], n) * size + a[_ranges(start[group[at]], n)], return_counts=True)
+        ok = met >= np.minimum(least[pair // size], first)
+        pair, met = pair[ok], met[ok]
+        whose, who = pair // size, pair % size
+        ok = held[who] != asked[whose]
+        pair, met, whose, who = pair[ok], met[ok], whose[ok], who[ok]
+        more = late_bound[whose + 1] - late_bound[whose]
+        of = np.repeat(np.arange(len(pair)), more)
+        found = vec.among(group[late[_ranges(late_bound[whose], more)]] * size + who[of], holds)
+        met = met + np.bincount(of[found], minlength=len(pair))
+        ok = met >= least[whose]
+        out_a.append(held[who[ok]])
+        out_b.append(asked[whose[ok]])
+    return np.concatenate(out_a), np.concatenate(out_b)
+
+
 def _candidates(asked: DataFrame, index: DataFrame, nf: DataFrame, o: Arrivals) -> DataFrame:
     """(a, b): records a of the index that may share enough fingerprints with the asked record b.
 
@@ -324,7 +367,8 @@ def _candidates(asked: DataFrame, index: DataFrame, nf: DataFrame, o: Arrivals)
     all of its own, so F counts only what a can hold (else both sides have their winnowed marks).
     If b must find n of its F fingerprints in a, any F - n + m of them hold m
     that a has (m up to n): the rarest are looked up, those nothing else has counting among them,
-    and a must come up m times.
+    and a must come up m times.  As that holds for each m, a must come up twice among fewer of them
+    (three fewer, where m is 5) before the others, which are the most frequent, are looked at.
     """
     q = durable(asked.select("part", F.col("fp").alias("qfp"), F.col("rec").alias("qrec")))
 
@@ -346,44 +390,67 @@ def _candidates(asked: DataFrame, index: DataFrame, nf: DataFrame, o: Arrivals)
             if len(got):
                 yield {"part": np.full(len(got), part), "fp": fp[got].astype(np.int64), "b": rec[got], "n": n[got]}
 
-    seen = map_batches(positive.join(index.select("part", "seg", "fp"), ["part", "seg"]), count, "part int, fp long, b long, n long")
+    seen = map_batches(positive.join(index.select("part", "seg", "fp"), ["part", "seg"]), count, "part int, fp long, b long, n long").repartition("b")
     seen = seen.groupBy("b", "part", "fp").agg(F.sum("n").alias("n")).where("n > 1")  # one is b itself
     need = F.col("need")
     least = F.least(need, F.lit(o.shared))
     ranked = seen.join(nf.select(F.col("id").alias("b"), "nf", "need"), "b").withColumn(
         "rank", F.row_number().over(W.partitionBy("b").orderBy("n", "part", "fp"))).withColumn(
         "known", F.count("*").over(W.partitionBy("b")))
-    chosen = ranked.where(F.col("rank") + F.col("nf") - F.col("known") <= F.col("nf") - need + least).select("part", "fp", "b")
+    from_last = F.col("known") - need - F.col("rank")
+    chosen = durable(ranked.where(from_last + least >= 0).select(
+        "part", "fp", "b", "n", least.alias("least"), (from_last + F.least(least, F.lit(o.first)) < 0).alias("late")))
+    meets = chosen.where("not late").agg(F.sum("n")).first()[0] or 0
+    return _met(chosen, index, max(1, math.ceil(meets / o.meets)), o)
+
+
+def _met(chosen: DataFrame, index: DataFrame, buckets: int, o: Arrivals) -> DataFrame:
+    """(a, b): records a that hold ``least`` of the fingerprints (part, fp, late) chosen of b, ``first`` of them not late.
+
+    Owners and askers of a fingerprint go to a bucket of b as two lists, so what is moved does not
+    grow with their product.  Pairs are made there, of those fingerprints that aren't late; the late ones
+    are the most frequent, and are looked up only for pairs that met often enough before.
+    """
     chosen = chosen.repartition("part").sortWithinPartitions("part")
 
     def pack(cols):
-        part, fp, b = (cols[c].to_numpy() for c in ("part", "fp", "b"))
+        part, fp, b, least, late = (cols[c].to_numpy(zero_copy_only=False) for c in ("part", "fp", "b", "least", "late"))
         for p in np.unique(part):
             at = np.flatnonzero(part == p)
-            yield {"part": [int(p)], "qfp": [fp[at].astype(np.uint32).tobytes()], "qrec": [_pack_ids(b[at])]}
+            yield {"part": [int(p)], "qfp": [fp[at].astype(np.uint32).tobytes()], "qrec": [_pack_ids(b[at])], "code": [(least[at] * 2 + late[at]).astype(np.uint16).tobytes()]}
 
-    packed = map_batches(chosen, pack, "part int, qfp binary, qrec binary")
+    packed = map_batches(chosen, pack, "part int, qfp binary, qrec binary, code binary")
 
     def post(cols):
-        for qfp, qrec, sfp, srec in zip(*(cols[c].to_pylist() for c in ("qfp", "qrec", "fp", "rec"))):
+        for qfp, qrec, code, sfp, srec in zip(*(cols[c].to_pylist() for c in ("qfp", "qrec", "code", "fp", "rec"))):
             fp, rec = _unpack(qfp, qrec)
             have, owner = _unpack(sfp, srec)
+            kind = np.frombuffer(code, dtype=np.uint16)
             lo, hi = np.searchsorted(have, fp, "left"), np.searchsorted(have, fp, "right")
-            m = hi - lo
-            for s, e in vec.chunks(m, 2_000_000):
-                mm = m[s:e]
-                total = int(mm.sum())
-                if not total:
-                    continue
-                at = np.repeat(lo[s:e], mm) + np.arange(total) - np.repeat(np.cumsum(mm) - mm, mm)
-                a, b = owner[at], np.repeat(rec[s:e], mm)
-                pair, times = np.unique(np.stack([a[a != b], b[a != b]], 1), axis=0, return_counts=True)
-                if len(pair):
-                    yield {"a": pair[:, 0], "b": pair[:, 1], "times": times}
-
-    met = map_batches(packed.join(index.select("part", "fp", "rec"), "part"), post, "a long, b long, times long")
-    met = met.groupBy("a", "b").agg(F.sum("times").alias("times")).join(nf.select(F.col("id").alias("b"), "need"), "b")
-    return met.where(F.col("times") >= least).select("a", "b")
+            bucket = (vec.mix(rec.astype(np.uint64)) >> np.uint64(33)).astype(np.int64) % buckets
+            got = np.flatnonzero(hi > lo)
+            got = got[np.lexsort((fp[got], bucket[got]))]
+            for at in np.split(got, np.flatnonzero(np.diff(bucket[got])) + 1) if len(got) else []:
+                new = np.flatnonzero(np.diff(fp[at].astype(np.int64), prepend=-1))  # askers of one fingerprint stand together
+                start, times = lo[at[new]], hi[at[new]] - lo[at[new]]
+                yield {"bucket": [int(bucket[at[0]])], "b": [_pack_ids(rec[at])], "code": [kind[at].tobytes()], "askers": [np.diff(np.append(new, len(at))).astype(np.uint32).tobytes()],
+                       "a": [_pack_ids(owner[_ranges(start, times)])], "owners": [times.astype(np.uint32).tobytes()]}
+
+    lists = map_batches(packed.join(index.select("part", "fp", "rec"), "part"), post, "bucket int, b binary, code binary, askers binary, a binary, owners binary")
+    arrow = to_arrow_schema(StructType.fromDDL("a long, b long"))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and held[0]["bucket"] != row["bucket"]:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in meeting(held, o.first, o.meets)], schema=arrow)
+                    held = []
+                held.append(row)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in meeting(held, o.first, o.meets)], schema=arrow)
+
+    return map_stream(lists.repartition("bucket").sortWithinPartitions("bucket"), meet, "a long, b long")
 
 
 def ingest(store: Store, batch: DataFrame, id_col: str, batch_col: str, text_col: str, name: str | None = None) -> DataFrame:

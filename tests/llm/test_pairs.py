@@ -151,6 +151,35 @@ def test_arrivals_meet_across_the_length_of_short_records(spark, tmp_path):
     assert len(want) >= 2 * len(pairs) and got == want
 
 
+def shuffled_rows(spark):
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    empty = gateway.jvm.java.util.ArrayList
+    stages = store.stageList(empty(), False, False, gateway.new_array(gateway.jvm.double, 0), empty())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_lookups_do_not_move_a_row_for_each_meeting(spark):
+    """300 records ask for fingerprints that 400 hold, all of them alike in two, and some in more."""
+    rng, o = random.Random(5), arrivals.Arrivals(k=3, similarity=0.6)
+    held = {i: {rng.randrange(10**6) for _ in range(4)} | {1, 2} | set(rng.sample(range(100, 400), 25)) for i in range(400)}
+    asking = {1000 + i: {rng.randrange(10**6) for _ in range(6)} | {1, 2} | set(rng.sample(range(100, 400), 20)) for i in range(300)}
+    for i in range(0, 60, 2):
+        asking[1000 + i] = set(list(held[i])[:rng.randrange(8, 30)]) | set(rng.sample(range(100, 400), 3))
+    frame = lambda x: spark.createDataFrame([(i, bytearray(np.array(sorted(f), dtype=np.uint64).tobytes())) for i, f in x.items()], "id long, fps binary")
+    own, index = frame(asking), frame(held)
+    index = arrivals.segments(index.union(own), 2, o).localCheckpoint()
+    nf = spark.createDataFrame([(i, len(f), -(-len(f) // 4)) for i, f in asking.items()], "id long, nf int, need int")
+    asked = arrivals.segments(own, 2, o).select("part", "fp", "rec")
+    before = shuffled_rows(spark)
+    got = {tuple(r) for r in arrivals._candidates(asked, index, nf, o).collect()}
+    everyone = {**held, **asking}
+    must = {(i, j) for j, f in asking.items() for i, g in everyone.items() if i != j and len(f & g) >= -(-len(f) // 4)}
+    assert len(must) > 100 and must <= got
+    assert all(len(everyone[i] & asking[j]) >= min(5, -(-len(asking[j]) // 4)) for i, j in got)
+    meetings = sum(len(f & g) for f in asking.values() for g in held.values())
+    assert shuffled_rows(spark) - before < meetings / 3
+
+
 def test_store_of_its_own_reads_what_it_touches(spark, tmp_path):
     rng, o = random.Random(11), arrivals.Arrivals(k=3, similarity=0.6, part_entries=4000, bucket_chars=9000)
     text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
