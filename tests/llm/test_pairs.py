@@ -57,6 +57,17 @@ def test_pairs_that_share_stock_phrases_reach_the_recall(spark):
     assert sum(got[2 * i] != got[2 * i + 1] for i in range(n)) <= 2
 
 
+def test_signatures_do_not_move_a_row_each(spark):
+    rng = random.Random(6)
+    texts = {i: " ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for i in range(300)}
+    texts |= {1000 + i: edited(rng, texts[i], 2) for i in range(20)}
+    df = spark.createDataFrame(list(texts.items()), "id long, text string").localCheckpoint()
+    before = shuffled_rows(spark)
+    got = {r.id: r.set_id for r in neardup.near_duplicate_sets(df, "id", "text", neardup.NearDup(k=3, similarity=0.6)).collect()}
+    assert got == near_sets(texts, 3, 0.6)
+    assert shuffled_rows(spark) - before < 30 * len(texts)
+
+
 def test_sets_of_nothing(spark):
     df = spark.createDataFrame([], "id long, text string")
     assert neardup.near_duplicate_sets(df, "id", "text").count() == 0
