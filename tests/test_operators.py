@@ -149,6 +149,31 @@ def test_totals_of_users_are_the_pairs_counted(spark):
     assert rbac.user_model_totals(ur, mr, models.limit(0)).collect() == []
 
 
+def test_totals_of_users_move_packed_links(spark, monkeypatch):
+    """No checkpoint has a row a link or a bitmap a role and block; roles lie over many blocks."""
+    models = spark.range(5_000).select((F.col("id") * 3).alias("model_id"), F.lit("m").alias("name"))
+    mr = models.select("model_id", F.explode(F.array(*[F.pmod(F.hash("model_id", F.lit(i)), F.lit(300)) for i in range(3)])).alias("role_id"))
+    ur = spark.range(6_000).select((F.col("id") % 400).alias("user_id"), F.pmod(F.hash("id"), F.lit(300)).alias("role_id"))
+    want = {tuple(r) for r in rbac.user_models(ur, mr, models).groupBy("user_id").agg(F.count("*"), F.sum("model_id")).collect()}
+    rows, real = [], rbac.durable
+
+    def durable(df):
+        out = real(df)
+        if "model_id" not in out.columns:
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(rbac, "durable", durable)
+    assert {tuple(r) for r in rbac.user_model_totals(ur, mr, models).collect()} == want
+    assert max(rows) < 300, rows
+    monkeypatch.setattr(rbac, "TASK_ROWS", 300)
+    assert {tuple(r) for r in rbac.user_model_totals(ur, mr, models, chunk=100).collect()} == want
+    monkeypatch.setattr(rbac, "_layout", lambda *_: (7, 2))
+    assert {tuple(r) for r in rbac.user_model_totals(ur, mr, models, chunk=100).collect()} == want
+    monkeypatch.setattr(rbac, "SENT_ROWS", 0)  # every link to every block
+    assert {tuple(r) for r in rbac.user_model_totals(ur, mr, models, chunk=100).collect()} == want
+
+
 def test_longest_anchor(spark):
     rows = [("p", "u", "ab", 2), ("p", "u", "cd", 1), ("p", "u", "", 0), ("p", "e", "", 3), ("p", "v", "x", 4)]
     links = spark.createDataFrame(rows, "page string, url string, anchor string, pos int")
