@@ -392,3 +392,18 @@ def test_metadata_variant_is_fitted_saved_and_read(spark, tmp_path):
     score = lambda m: {r.id: round(r.s, 9) for r in m.score(ready).collect()}
     assert score(fitted) == score(again) and set(again.blocks) == {"_words", "_chars", "_names", "_titles"} and len(again.scale) == 6
     assert model.choose_variant(0.90, 0.93) == "metadata" and model.choose_variant(0.90, 0.915) == "content" and model.choose_variant(0.9, 0.1, "metadata") == "metadata"
+
+
+def test_folds_lay_out_few_records_a_task(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def statistics(df, *_):
+        raise Seen(df.rdd.getNumPartitions())
+
+    monkeypatch.setattr(model, "TASK_RECORDS", 10, raising=False)
+    monkeypatch.setattr(features, "term_statistics", statistics)
+    df = spark.range(200).select((F.col("id") % 20).cast("string").alias("g"), (F.col("id") % 2).cast("int").alias("y"), F.lit("some text").alias("text"))
+    with pytest.raises(Seen) as e:
+        model.out_of_fold(df, "g")
+    assert e.value.args[0] == 20
